@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import jaccard_join, line_chunks, string_tiling, subword_toxicity
 from .common import load
 from .sql import ORACLE
 
@@ -13,4 +13,17 @@ def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(load(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op7_set_relation_join,)}
+def op5_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return subword_toxicity.scored(docs, subword_toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
+def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+
+
+QUERIES = {f.__name__: f for f in (op5_greedy_string_tiling, op7_set_relation_join, op9_subword_toxicity, op10_line_chunk_dedup)}

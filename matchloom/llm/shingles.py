@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, np.uint64)
     out[:1] = 1
@@ -34,7 +34,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    return _powers(base, 1 << max(21, (size - 1).bit_length()))[:size]
+    return _powers(base, 1 << max(12, (size - 1).bit_length()))[:size]
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

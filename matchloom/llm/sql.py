@@ -17,4 +17,17 @@ reach as (select rep as x, rep as y from kinds where n > 0 union select r.x, l.y
 least_of as (select x, min(y) as component_id from reach group by x)
 select d.doc_id, cast(len(d.s) as bigint) as n_shingles, coalesce(c.component_id, d.doc_id) as component_id
 from sets d left join kinds k on k.s = list_sort(d.s) and k.n > 0 left join least_of c on c.x = k.rep""",
+    "op10_line_chunk_dedup": """
+with lines as (select doc_id, md5(text) as h, string_split(text, chr(10)) as l from documents),
+hashed as (select *, list_transform(l, lambda x: cast('0x' || substr(md5(x), 1, 7) as bigint)) as v from lines),
+ends as (select *, list_filter(range(1, len(l)), lambda i: (v[i] + 31 * coalesce(v[i - 1], 0)) % 3 = 0) as e from hashed),
+bounds as (select doc_id, h, l, list_concat([0], e, [len(l)]) as b from ends),
+parts as (select doc_id, h, unnest(list_transform(range(1, len(b)), lambda k: {'s': b[k], 'n': b[k + 1] - b[k], 'c': l[b[k] + 1 : b[k + 1]]})) as p from bounds),
+chunks as (select doc_id, h, p.s as s, p.n as n, array_to_string(p.c, chr(10)) as c from parts where len(list_filter(p.c, lambda x: trim(x) <> '')) >= 2),
+marked as (select *, first_value((doc_id, s)) over (partition by c order by doc_id, s) as f from chunks),
+gone as (select distinct doc_id, h, s, n from marked where (doc_id, s) > f),
+lost as (select doc_id, h, sum(n) as removed_lines, count(*) as removed_chunks, flatten(list(range(s, s + n))) as g from gone group by 1, 2)
+select d.doc_id, case when x.g is null then d.text else array_to_string(list_transform(list_filter(range(0, len(l.l)), lambda i: not list_contains(x.g, i)), lambda i: l.l[i + 1]), chr(10)) end as text,
+  cast(len(l.l) as bigint) as n_lines, cast(coalesce(removed_lines, 0) as bigint) as removed_lines, cast(coalesce(removed_chunks, 0) as bigint) as removed_chunks
+from documents d join (select distinct doc_id, h, l from lines) l on l.doc_id = d.doc_id and l.h = md5(d.text) left join lost x on x.doc_id = d.doc_id and x.h = l.h""",
 }
