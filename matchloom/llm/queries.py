@@ -1,22 +1,55 @@
-"""The corpus operators' queries and, where SQL can say the same, their SQL for DuckDB."""
+"""The corpus operators' queries; their SQL for DuckDB, where SQL can say the same, is in the module sql."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join, line_chunks, string_tiling, subword_toxicity
-from .common import load
-from .sql import ORACLE
+from . import content_archive, harmonic_packing, importance_resampling, jaccard_join, line_chunks, media_columns, personal_data, preference_format, string_tiling, subword_toxicity
+from .common import Scratch, load
 
 
-def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(load(spark, sf_dir, "documents"), n=4, percent=85)
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against its own turns with another conversation's last answer."""
+    turns = load(spark, sf_dir, "conversations")
+    return preference_format.preference_rows(turns, preference_format.with_other_answers(turns))
+
+
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all documents, by their likeness to those labelled as good."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    good = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return importance_resampling.drawn(docs, good)
+
+
+def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns.digests(media_columns.encoded(load(spark, sf_dir, "documents")))
+
+
+def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return personal_data.personal_data(docs, personal_data.train(docs))
 
 
 def op5_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic_packing.packed(load(spark, sf_dir, "documents"))
+
+
+def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(load(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op8_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    content_archive.write_archive(load(spark, sf_dir, "pages"), scratch.root)
+    rows = content_archive.read_archive(spark, scratch.root)
+    return rows.select(F.col("record").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return subword_toxicity.scored(docs, subword_toxicity.train(docs, load(spark, sf_dir, "labels")))
@@ -26,4 +59,18 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
-QUERIES = {f.__name__: f for f in (op5_greedy_string_tiling, op7_set_relation_join, op9_subword_toxicity, op10_line_chunk_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_preference_format,
+        op2_importance_resampling,
+        op3_flac_media,
+        op4_bilstm_crf_pii,
+        op5_greedy_string_tiling,
+        op6_harmonic_packing,
+        op7_set_relation_join,
+        op8_content_archive,
+        op9_subword_toxicity,
+        op10_line_chunk_dedup,
+    )
+}

@@ -30,4 +30,25 @@ lost as (select doc_id, h, sum(n) as removed_lines, count(*) as removed_chunks,
 select d.doc_id, case when x.g is null then d.text else array_to_string(list_transform(list_filter(range(0, len(l.l)), lambda i: not list_contains(x.g, i)), lambda i: l.l[i + 1]), chr(10)) end as text,
   cast(len(l.l) as bigint) as n_lines, cast(coalesce(removed_lines, 0) as bigint) as removed_lines, cast(coalesce(removed_chunks, 0) as bigint) as removed_chunks
 from documents d join (select distinct doc_id, h, l from lines) l on l.doc_id = d.doc_id and l.h = md5(d.text) left join lost x on x.doc_id = d.doc_id and x.h = l.h""",
+    "op1_preference_format": """
+with t as (select conv_id as pair_id, turn, role, text from conversations),
+last_turn as (select pair_id, max(turn) as turn from t group by 1),
+last_text as (select t.pair_id, min(t.text) as text from t join last_turn l on t.pair_id = l.pair_id and t.turn = l.turn group by 1),
+rejected as (select t.pair_id, t.turn, t.role, case when t.turn = l.turn then o.text else t.text end as text
+  from t join last_turn l on t.pair_id = l.pair_id left join last_text o on o.pair_id = xor(t.pair_id, 1) where t.turn < l.turn or o.text is not null),
+sides as (select *, 'chosen' as side from t union all select *, 'rejected' from rejected),
+per_turn as (select pair_id, turn, count(*) filter (side = 'chosen') as n, list_sort(list((role, text)) filter (side = 'chosen')) as c, list_sort(list((role, text)) filter (side = 'rejected')) as r from sides group by 1, 2),
+split as (select pair_id, coalesce(min(turn) filter (c is distinct from r), 4611686018427387904) as split from per_turn group by 1),
+parts as (select s.pair_id, case when s.turn < p.split then 'prompt' else s.side end as part, s.turn // 64 as block, s.turn, s.role, s.text, '<|' || s.role || '|>' || chr(10) as head
+  from sides s join split p on s.pair_id = p.pair_id where s.side = 'chosen' or s.turn >= p.split),
+placed as (select *, head || text || '<|end|>' || chr(10) as whole, row_number() over w as pos, sum(length(head || text || '<|end|>' || chr(10))) over (w rows unbounded preceding) as e
+  from parts window w as (partition by pair_id, part, block order by turn, role, text)),
+done as (select pair_id, part, cast(block as bigint) as block, string_agg(whole, '' order by pos) as text,
+  coalesce(string_agg(case when part <> 'prompt' and role = 'assistant' then cast(e - length(whole) + length(head) as varchar) || ':' || cast(e as varchar) end, ',' order by pos), '') as mask, count(*) as n_turns from placed group by 1, 2, 3)
+select d.*, cast((select coalesce(sum(q.n), 0) from per_turn q where q.pair_id = d.pair_id and q.turn < p.split) as bigint) as prompt_turns from done d join split p on p.pair_id = d.pair_id""",
+    "op8_content_archive": """
+with p as (select page_id, sha256(coalesce(html, '')) as payload_digest, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes from pages),
+f as (select *, min(page_id) over (partition by payload_digest) as first_id from p)
+select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > first_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id > first_id then first_id end as refers_to from f""",
 }
