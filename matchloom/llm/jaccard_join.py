@@ -8,7 +8,8 @@ Exact: two documents link when 100 * |intersection| >= percent * |union| of thei
 3. Index lists, one per shingle, are read as a stream, sorted by position. Lists of up to SHORT sets yield candidate pairs;
    a list sorted by position lets a block of later positions be skipped as soon as the bound on what is left is too low.
    Longer lists yield no pairs: their sets become one cluster, by links to the list's first set.
-4. A third pass brings the sets of candidates only. A pair is held against its first set. A cluster is cut into size classes
+4. A third pass brings the texts of candidates only, which travel smaller than their sets; the join is a merge join at any size, so
+   that what is shuffled follows the input. A pair is held against its first set. A cluster is cut into size classes
    and blocks of bounded size; a task holds two blocks and derives a set's overlaps with all others from those of a highly
    similar set: it adds the index lists of the shingles that it has and the other hasn't, and takes off those it lacks.
    Only links that join two groups of a task are returned, so the rows out grow with the sets, not with their pairs.
@@ -209,21 +210,21 @@ def _marked(batches):
     yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(words[at])], names=["word", "bits"])
 
 
-def _wanted_sets(batches, n: int, bitmap):
+def _wanted_texts(batches, n: int, bitmap):
     cells, seen = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little"), set()
     for batch in batches:
         data, offsets = utf8(batch.column(0))
         for a, b in slices(offsets):
-            keys, held = [], []
-            for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n):
+            keys, rows = [], []
+            for row, one in enumerate(shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n), a):
                 if len(one) and cells[_marks(key := _key(one))] and key not in seen:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
                     keys.append(key)
-                    held.append(one.tobytes())
+                    rows.append(row)
             if keys:
-                yield pa.record_batch([exact_binary(keys), exact_binary(held)], names=["key", "set"])
+                yield pa.record_batch([exact_binary(keys), batch.column(0).take(pa.array(rows))], names=["key", "text"])
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -283,8 +284,8 @@ def block_links(sets: list[np.ndarray], percent: int):
                 yield i, j
 
 
-def _unit_links(batches, percent: int):
-    """From (unit, role, key, set) sorted by unit and role, a unit's links. Role 0 holds every role 1 against itself; roles 2 form a block."""
+def _unit_links(batches, n: int, percent: int):
+    """From (unit, role, key, text) sorted by unit and role, a unit's links. Role 0 holds every role 1 against itself; roles 2 form a block."""
     unit, hub, keys, sets = None, None, [], []
     out: list[tuple] = []
 
@@ -295,11 +296,12 @@ def _unit_links(batches, percent: int):
                     out.append((keys[i], keys[j]))
 
     for batch in batches:
-        for u, role, key, held in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+        data, offsets = utf8(batch.column(3))
+        made = (one for a, b in slices(offsets) for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n))
+        for u, role, key, one in zip(*(batch.column(k).to_pylist() for k in range(3)), made, strict=True):
             if u != unit:
                 flush()
                 unit, hub, keys, sets = u, [], [], []
-            one = np.frombuffer(held, np.uint64)
             if role == 0:
                 hub.append((key, one))
             elif role == 1:
@@ -365,11 +367,11 @@ def linked_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     for row in units.select("key").mapInArrow(_marked, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
         cells[row.word] = row.bits
     bitmap = spark.sparkContext.broadcast(cells.tobytes())
-    sets = text.mapInArrow(partial(_wanted_sets, n=n, bitmap=bitmap), "key binary, set binary")
-    ready = units.join(sets, "key").select("unit", "role", "key", "set").repartition("unit").sortWithinPartitions("unit", "role", "key")
-    links = scratch.table(ready.mapInArrow(partial(_unit_links, percent=percent), "a binary, b binary"), "links")
+    texts = text.mapInArrow(partial(_wanted_texts, n=n, bitmap=bitmap), "key binary, text string")
+    ready = units.join(texts.hint("merge"), "key").select("unit", "role", "key", "text").repartition("unit").sortWithinPartitions("unit", "role", "key")
+    links = scratch.table(ready.mapInArrow(partial(_unit_links, n=n, percent=percent), "a binary, b binary"), "links")
     roots = components(links, scratch, "groups")
-    return members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return scratch.table(members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "linked")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
