@@ -30,6 +30,7 @@ SIZES = (3, 4, 5)
 WINDOW = 4
 DIM = 8
 TRAIN_CHARS = 20_000
+RUN = 400_000
 KNOWN = np.array([chr(c).isalnum() for c in range(0x10000)])
 SPACE = np.array([chr(c).isspace() for c in range(0x10000)])
 BEGIN, END = 0x110001, 0x110002
@@ -117,7 +118,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 24, seed: int = 0) ->
     y = np.array(labels, np.float32)
     if len(set(labels)) < 2:
         return Model(np.zeros(1 << BUCKET_BITS), -40.0, 0.0)
-    bags = [subwords(t) for t in texts]
+    bags = [(ids.astype(np.int32), grams.astype(np.int32)) for ids, grams in map(subwords, texts)]
     used = np.array([len(g) > 0 for _, g in bags])
     held = rng.random(len(y)) < 0.2
     fold = np.flatnonzero(used & ~held)
@@ -126,26 +127,32 @@ def fit(texts: list[str], labels: list[int], rounds: int = 24, seed: int = 0) ->
     out, bias = (rng.standard_normal((DIM, 2)) * 0.3).astype(np.float32), np.zeros(2, np.float32)
     adam = _Adam(0.02)
 
-    def learn(ids: np.ndarray, size: np.ndarray, which: np.ndarray, decay: float) -> None:
-        """One step on bags of n-grams: ids of all, number in each, and the document each is from."""
-        start = np.cumsum(size) - size
-        mean = np.add.reduceat(vectors[ids], start) / size[:, None]
-        z = mean @ out + bias
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(which)), y[which].astype(int)] -= 1
-        p *= (weight[which] / len(which))[:, None]
-        back = (p @ out.T) / size[:, None]
-        owner = np.repeat(np.arange(len(size)), size)
-        grad = np.stack([np.bincount(ids, back[owner, d], 1 << BUCKET_BITS) for d in range(DIM)], axis=1).astype(np.float32)
+    def learn(parts: list[np.ndarray], which: list[int], decay: float) -> None:
+        """One step on bags of n-grams and the documents they are from; the gradient is added up over runs of about RUN n-grams."""
+        sizes = np.array([len(x) for x in parts])
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // RUN)) + 1
+        grad, grad_out, grad_bias = np.zeros_like(vectors), np.zeros_like(out), np.zeros_like(bias)
+        for own in np.split(np.arange(len(parts)), cuts):
+            ids, size, of = np.concatenate([parts[i] for i in own]), sizes[own], np.array([which[i] for i in own])
+            mean = np.add.reduceat(vectors[ids], np.cumsum(size) - size) / size[:, None]
+            z = mean @ out + bias
+            z -= z.max(axis=1, keepdims=True)
+            p = np.exp(z)
+            p /= p.sum(axis=1, keepdims=True)
+            p[np.arange(len(of)), y[of].astype(int)] -= 1
+            p *= (weight[of] / len(which))[:, None]
+            back = ((p @ out.T) / size[:, None]).astype(np.float32)
+            for d in range(DIM):
+                grad[:, d] += np.bincount(ids, np.repeat(back[:, d], size), 1 << BUCKET_BITS)
+            grad_out += mean.T @ p
+            grad_bias += p.sum(axis=0)
         adam.step("vectors", vectors, grad + decay * vectors)
-        adam.step("out", out, mean.T @ p + decay * out)
-        adam.step("bias", bias, p.sum(axis=0))
+        adam.step("out", out, grad_out + decay * out)
+        adam.step("bias", bias, grad_bias)
 
     distinct = [np.unique(bags[i][0]) for i in fold]
     for _ in range(8):
-        learn(np.concatenate(distinct), np.array([len(x) for x in distinct]), fold, 1e-6)
+        learn(distinct, fold.tolist(), 1e-6)
     del distinct
 
     def best(i: int, value: np.ndarray, k: int):
@@ -168,10 +175,11 @@ def fit(texts: list[str], labels: list[int], rounds: int = 24, seed: int = 0) ->
             parts += got
             which += [i] * len(got)
         for _ in range(2):
-            learn(np.concatenate(parts), np.array([len(x) for x in parts]), np.array(which), 2e-6)
+            learn(parts, which, 2e-6)
     value = vectors @ (out[:, 1] - out[:, 0])
     model = Model(value, float(bias[1] - bias[0]), 0.0)
     check = np.flatnonzero(held & used) if len(set(y[held & used].tolist())) == 2 and (y[held & used] == 1).sum() >= 5 else np.flatnonzero(used)
+    del bags
     z = np.array([model.logit(texts[i]) for i in check])
     order = np.argsort(-z, kind="stable")
     right = np.cumsum(np.where(y[check][order] == 1, 1, -1))
