@@ -1,0 +1,121 @@
+"""Files: all-string CSV, sheets of XLSX and SpreadsheetML-2003, header aliases, a registry of hashes, row hashes, CSV export."""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from xml.etree import ElementTree
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+ROWS = "path string, sheet string, row_no long, cells array<string>"
+
+
+def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """All columns are strings; an empty cell is null, a quoted empty one is ''. Rows of blank cells alone are dropped; a byte order mark is not part of the first name."""
+    df = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", encoding).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    df = df.toDF(*(c.lstrip("﻿").strip() for c in df.columns))
+    return df.where(F.trim(F.concat_ws("", *(f"`{c}`" for c in df.columns))) != "")
+
+
+def _column(ref: str) -> int:
+    n = 0
+    for ch in re.match("[A-Z]+", ref).group():
+        n = n * 26 + ord(ch) - 64
+    return n - 1
+
+
+def _placed(cells: list[tuple[int, str]]) -> list[str]:
+    out = [""] * (max((i for i, _ in cells), default=-1) + 1)
+    for i, v in cells:
+        out[i] = v
+    return out
+
+
+def xlsx_rows(content: bytes):
+    """(sheet, row number, cells) of a workbook; every cell is text, missing ones are ''."""
+    tag = lambda e: e.tag.rpartition("}")[2]
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = set(z.namelist())
+        shared = ["".join(t.text or "" for t in s.iter() if tag(t) == "t") for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
+        sheets = [e.get("name") for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if tag(e) == "sheet"]
+        for n, sheet in enumerate(sheets, 1):
+            with z.open(f"xl/worksheets/sheet{n}.xml") as f:
+                for _, row in ElementTree.iterparse(f):
+                    if tag(row) != "row":
+                        continue
+                    cells = []
+                    for c in row:
+                        text = "".join(v.text or "" for v in c.iter() if tag(v) in ("v", "t"))
+                        cells.append((_column(c.get("r")), shared[int(text)] if c.get("t") == "s" else text))
+                    yield sheet, int(row.get("r")), _placed(cells)
+                    row.clear()
+
+
+def spreadsheetml_rows(content: bytes):
+    """(sheet, row number, cells) of SpreadsheetML-2003; a cell's Index leaves a gap, rows without text are skipped but counted."""
+    name = lambda e: e.tag.rpartition("}")[2]
+    get = lambda e, k: next((v for a, v in e.attrib.items() if a.rpartition("}")[2] == k), None)
+    sheet, at = None, 0
+    for event, e in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
+        if event == "start" and name(e) == "Worksheet":
+            sheet, at = get(e, "Name"), 0
+        elif event == "end" and name(e) == "Row":
+            at = int(get(e, "Index") or at + 1)
+            cells, i = [], -1
+            for c in e:
+                if name(c) == "Cell":
+                    i = int(get(c, "Index")) - 1 if get(c, "Index") else i + 1
+                    cells.append((i, "".join(c.itertext())))
+            if any(v.strip() for _, v in cells):
+                yield sheet, at, _placed(cells)
+            e.clear()
+
+
+def read_sheets(spark: SparkSession, path: str, kind: str = "xlsx") -> DataFrame:
+    """path, sheet, row_no and cells of every workbook under path, one file per task at a time; row numbers give the order."""
+
+    def rows(batches):
+        import pandas as pd
+
+        parse = xlsx_rows if kind == "xlsx" else spreadsheetml_rows
+        for batch in batches:
+            for p, content in zip(batch.path, batch.content, strict=True):
+                yield pd.DataFrame([(p, *r) for r in parse(content)], columns=["path", "sheet", "row_no", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, ROWS)
+
+
+def with_header(rows: DataFrame, wanted: dict[str, list[str]], header_row: int = 1) -> DataFrame:
+    """Named columns from cells: for each name the first of its aliases in the header (white space and case ignored), else null. Below the header only."""
+    plain = lambda c: F.regexp_replace(F.lower(c), r"\s+", "")
+    head = rows.where(F.col("row_no") == header_row).select("path", "sheet", F.transform("cells", plain).alias("_head"))
+    both = rows.where(F.col("row_no") > header_row).join(head, ["path", "sheet"])
+    at = lambda names: F.coalesce(*(F.nullif(F.array_position("_head", re.sub(r"\s+", "", n.lower())), F.lit(0)) for n in names))
+    return both.select("path", "sheet", "row_no", *(F.get("cells", (at(names) - 1).cast("int")).alias(k) for k, names in wanted.items()))
+
+
+def require(df: DataFrame, columns: list[str]) -> DataFrame:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns are missing: {', '.join(missing)}")
+    return df
+
+
+def file_registry(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
+    """path, sha256 and bytes of every file, without those whose hash is known already."""
+    found = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    return found.join(known.select("sha256"), "sha256", "left_anti") if known is not None else found
+
+
+def row_hash(columns: list[str]) -> Column:
+    """sha256 of the row as compact JSON with sorted keys, nulls included."""
+    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+
+
+def export_csv(df: DataFrame, path: str, parts: int | None = None) -> None:
+    """A header in each file; parts=1 only for reports that are small by nature."""
+    (df.coalesce(parts) if parts else df).write.option("header", True).option("emptyValue", '""').csv(path)
