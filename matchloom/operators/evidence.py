@@ -55,7 +55,7 @@ def unique_evidence(evidence: DataFrame, code: str, pair: str, item: str, risk:
     """Evidence whose code leads to exactly one pair, whose pair serves one item and whose item has one pair; risky rows left out. (code, pair, item)."""
     each = evidence.where(~F.coalesce(risk, F.lit(False))).select(code, pair, item).distinct()
     one = lambda by, other, n: each.groupBy(by).agg(F.count_distinct(other).alias(n)).where(f"{n} = 1").select(by)
-    return each.join(one(code, pair, "n_pairs"), code, "left_semi").join(one(pair, item, "n_items"), pair, "left_semi").join(one(item, pair, "n_own"), item, "left_semi")
+    return each.join(one(code, pair, "n_pairs"), code, "left_semi").join(one(pair, item, "n_items"), pair, "left_semi").join(one(item, pair, "n_own"), item, "left_semi").select(code, pair, item)
 
 
 def aligned_lines(rows: DataFrame, row: str, codes: str, options: str, statuses: str) -> DataFrame:
