@@ -2,10 +2,11 @@
 
 A piece of length n belongs to class capacity // n; a sequence of class j holds j of its pieces. Documents may be cut, so a
 length that would leave more than WASTE of the capacity empty in its class gives off a piece of the next class's full length,
-capacity // (j + 1), and the rest is looked at again; whole capacities come off first.
+capacity // (j + 1), and the rest is looked at again; whole capacities come off first. From class MANY on only halvings of the
+capacity are used, so that there are few classes.
 
 Each task cuts its own documents and numbers its pieces in each class. The pieces are written once; counts per task and class
-then say at which number a task begins, so that bins run on from task to task and one bin of each class, of some sixty, stays
+then say at which number a task begins, so that bins run on from task to task and one bin of each class, of some twenty, stays
 part-filled in the whole corpus. Only facts on pieces are shuffled, never texts or ids; a sequence has at most `capacity`
 pieces. Null and empty texts have the end id alone; repeated rows are packed each; a null id stays null; extra columns are
 ignored.
@@ -30,6 +31,7 @@ from .common import Scratch
 
 CAPACITY = 1024
 WASTE = 0.02
+MANY = 16
 END_ID = 0
 SPECIAL = "<|endoftext|>"
 
@@ -64,8 +66,11 @@ def cut(tokens: int, capacity: int = CAPACITY, waste: float = WASTE) -> list[int
     rest = tokens % capacity
     while rest:
         j = capacity // rest
-        piece = rest if capacity - j * rest <= waste * capacity or rest * rest <= capacity else capacity // (j + 1)
-        out.append(piece)
+        if j < MANY:
+            piece = rest if capacity - j * rest <= waste * capacity else capacity // (j + 1)
+        else:
+            piece = capacity // (1 << (-(-capacity // rest) - 1).bit_length())
+        out.append(piece := max(piece, 1))
         rest -= piece
     return out
 
