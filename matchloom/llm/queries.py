@@ -16,9 +16,9 @@ def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of all documents, by their likeness to those labelled as good."""
+    """Half of all documents, by their likeness to those labelled as good. Labels are merged in at any size: they grow with the documents."""
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
-    good = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    good = docs.select("doc_id", "text").join(labels.where("quality = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     return importance_resampling.drawn(docs, good)
 
 
