@@ -91,7 +91,7 @@ def version_compare(spark, sf):
 
 
 @query("""with s as (select a.p_partkey as row_id, b.p_partkey as candidate, lower(regexp_replace(a.p_name, '[^\\p{L}\\p{N}]+', '', 'g')) as x, lower(regexp_replace(b.p_name, '[^\\p{L}\\p{N}]+', '', 'g')) as y, b.p_size as o, a.p_name as n
-  from part a join part b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_partkey <> b.p_partkey),
+  from part a join part b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_size = b.p_size and a.p_partkey <> b.p_partkey),
 p as (select row_id, candidate, (case when x = y then 100 else 0 end + case when contains(x, y) or contains(y, x) then 40 else 0 end + case when contains(n, cast(o as varchar)) then 30 else 0 end) as score from s),
 w as (select *, max(score) over (partition by row_id) as top_score, dense_rank() over (partition by row_id order by score desc, candidate) as candidate_rank from p),
 v as (select *, count(*) filter (score = top_score) over (partition by row_id) as n_top from w)
@@ -99,8 +99,8 @@ select row_id, candidate, cast(score as bigint) as score, cast(top_score as bigi
   case when n_top = 1 and top_score >= 100 then 'strong' when n_top = 1 and top_score > 0 then 'weak' else 'manual' end as label from v""")
 def token_score_rank(spark, sf):
     part = t(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    other = part.select(F.col("p_partkey").alias("candidate"), F.col("p_name").alias("c_name"), "p_brand", "p_type", F.col("p_size").cast("string").alias("o"))
-    pairs = part.withColumnRenamed("p_partkey", "row_id").drop("p_size").join(other, ["p_brand", "p_type"]).where("row_id != candidate")
+    other = part.select(F.col("p_partkey").alias("candidate"), F.col("p_name").alias("c_name"), "p_brand", "p_type", "p_size", F.col("p_size").cast("string").alias("o"))
+    pairs = part.withColumnRenamed("p_partkey", "row_id").join(other, ["p_brand", "p_type", "p_size"]).where("row_id != candidate")
     scored = pairs.select("row_id", "candidate", codes.token_score(F.col("p_name"), F.col("c_name"), F.col("o")).cast("long").alias("score"))
     return codes.rank_candidates(scored, "row_id", "candidate").select("row_id", "candidate", "score", "top_score", "n_top", "candidate_rank", "label")
 
