@@ -88,3 +88,20 @@ def cross_source_matches(rows: DataFrame, row: str, columns: list[str], alias: D
     held = alias.select(F.upper(F.trim(F.col(value).cast("string"))).alias("v"), F.col(target)).distinct()
     found = each.join(held, "v").groupBy(row).agg(F.count_distinct(target).alias("n_targets"), F.bool_or(F.col("type") == columns[0]).alias("direct"))
     return rows.select(row).join(found, row, "left").select(row, F.coalesce("n_targets", F.lit(0)).alias("n_targets"), F.coalesce("direct", F.lit(False)).alias("direct"))
+
+
+def strict_evidence(tests: dict[str, Column]) -> dict[str, Column]:
+    """Columns verdict and failed: every test must hold for auto_confirm_ready, else manual with the names of the tests that fail. A null test fails."""
+    failed = F.array_join(F.filter(F.array(*(F.when(~F.coalesce(p, F.lit(False)), F.lit(k)) for k, p in tests.items())), lambda x: x.isNotNull()), ",")
+    return {"verdict": F.when(failed == "", "auto_confirm_ready").otherwise("manual"), "failed": failed}
+
+
+def image_coverage(items: DataFrame, images: DataFrame, key: str) -> DataFrame:
+    """Per item: n_images, n_primary and a state: none, no_primary, duplicate_primary, shared (one of its addresses serves other items too) or ok.
+
+    images: key, url, is_primary. Addresses are counted before the join, so a widely used one costs one row per item."""
+    users = images.select(key, "url").distinct().groupBy("url").agg(F.count("*").alias("n_items"))
+    held = images.join(users, "url").groupBy(key).agg(F.count("*").alias("n_images"), count_when(F.col("is_primary")).alias("n_primary"), F.max("n_items").alias("most"))
+    out = items.select(key).join(held, key, "left").fillna(0, ["n_images", "n_primary", "most"])
+    state = F.when(F.col("n_images") == 0, "none").when(F.col("n_primary") == 0, "no_primary").when(F.col("n_primary") > 1, "duplicate_primary").when(F.col("most") > 1, "shared").otherwise("ok")
+    return out.select(key, "n_images", "n_primary", state.alias("state"))

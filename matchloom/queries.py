@@ -543,3 +543,19 @@ def summary_json(spark, sf):
     c = t(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"), A.count_when(F.col("o_totalprice") > 200000).alias("dear"))
     pairs = F.array_sort(F.collect_list(F.struct(F.col("o_orderstatus").alias("k"), F.struct("n", "dear").alias("v"))))
     return c.agg(F.to_json(F.map_from_entries(pairs)).alias("summary"))
+
+
+@query("""select p_partkey, case when p_size > 5 and p_name not ilike '%red%' and p_retailprice > 1000 then 'auto_confirm_ready' else 'manual' end as verdict,
+  array_to_string(list_filter([case when not p_size > 5 then 'size' end, case when p_name ilike '%red%' then 'no_risk_word' end, case when not p_retailprice > 1000 then 'price' end], lambda x: x is not null), ',') as failed from part""")
+def strict_evidence(spark, sf):
+    tests = {"size": F.col("p_size") > 5, "no_risk_word": ~F.col("p_name").ilike("%red%"), "price": F.col("p_retailprice") > 1000}
+    return t(spark, sf, "part").select("p_partkey", *(c.alias(k) for k, c in evidence.strict_evidence(tests).items()))
+
+
+@query("""with i as (select page_id % 400 as p_partkey, 'u' || (page_id % 300) as url, page_id % 3 = 0 as is_primary from pages), u as (select url, count(distinct p_partkey) as n from i group by 1),
+h as (select p_partkey, count(*) as n_images, count(*) filter (is_primary) as n_primary, max(n) as most from i join u using (url) group by 1)
+select p_partkey, coalesce(n_images, 0) as n_images, coalesce(n_primary, 0) as n_primary, case when n_images is null then 'none' when n_primary = 0 then 'no_primary' when n_primary > 1 then 'duplicate_primary' when most > 1 then 'shared' else 'ok' end as state from part left join h using (p_partkey)""")
+def image_coverage(spark, sf):
+    k = F.col("page_id")
+    images = t(spark, sf, "pages").select((k % 400).alias("p_partkey"), F.concat(F.lit("u"), (k % 300).cast("string")).alias("url"), (k % 3 == 0).alias("is_primary"))
+    return evidence.image_coverage(t(spark, sf, "part"), images, "p_partkey")
