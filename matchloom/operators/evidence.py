@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.aggregates import count_when
+from matchloom.functions.aggregates import count_when, percent
 from matchloom.functions.text import nonblank
 
 #: Orders of the presence rules, by name. The first that holds wins; rows where none does get the last word.
@@ -15,6 +15,9 @@ PRESENCE = {
     "without_manual": (["confirmed", "blocked", "high", "medium", "absent"], "unknown"),
 }
 
+# The statuses of a presence report; the first three count as matched, the last two as left to people.
+MATCHED, OTHER, LEFT = ("confirmed", "high", "medium"), ("blocked", "absent"), ("manual", "unknown")
+
 
 def mapping_profile(rows: DataFrame, item: str, product: str, option: str, confirmed: Column) -> DataFrame:
     """Per item: rows, confirmed and candidate rows, distinct products and options, and the least of each as representatives."""
@@ -105,3 +108,33 @@ def image_coverage(items: DataFrame, images: DataFrame, key: str) -> DataFrame:
     out = items.select(key).join(held, key, "left").fillna(0, ["n_images", "n_primary", "most"])
     state = F.when(F.col("n_images") == 0, "none").when(F.col("n_primary") == 0, "no_primary").when(F.col("n_primary") > 1, "duplicate_primary").when(F.col("most") > 1, "shared").otherwise("ok")
     return out.select(key, "n_images", "n_primary", state.alias("state"))
+
+
+def presence_from_counts(counts: DataFrame) -> Column:
+    """The status of an item in a channel by what is on record there alone; a null count is 0.
+
+    counts: n_alias, n_confirmed, n_candidate, alias_products, alias_options, n_mapping, n_identity, mapping_products, mapping_options, mapping_owns,
+    fan_out (items of its widest own code), n_images. absent asks for no image; with one the status is unknown."""
+    c = {k: F.coalesce(F.col(k), F.lit(0)) for k in counts.columns if k.startswith(("n_", "alias_", "mapping_", "fan_"))}
+    nothing = (c["n_alias"] == 0) & (c["n_mapping"] == 0)
+    sure = (c["n_confirmed"] > 0) | (c["n_identity"] > 0)
+    many = F.greatest(c["alias_products"], c["alias_options"], c["mapping_products"], c["mapping_options"], c["mapping_owns"], c["fan_out"]) > 1
+    flags = {
+        "confirmed": sure, "blocked": many, "high": c["n_candidate"] > 0, "medium": ~nothing & ~sure & ((c["alias_products"] > 0) | (c["mapping_products"] > 0)),
+        "absent": nothing & (c["n_images"] == 0), "unknown": nothing & (c["n_images"] > 0),
+    }
+    return presence_status(flags)
+
+
+def presence_rates(rows: DataFrame, channel: str, status: str) -> DataFrame:
+    """(type, channel, row_count, rate, denominator): a channel's counts of each status and its rates, of all rows and of the present ones.
+
+    Rates have no count and counts no rate; a rate of nothing is null. Channels are few, so this is a small aggregate."""
+    n = lambda *names: count_when(F.col(status).isin(*names))
+    total, present = F.count("*"), count_when(F.col(status) != "absent")
+    lines = [("total_rows", total, None, "total"), ("present_rows", present, None, "present")]
+    lines += [(f"{k}_rows", n(k), None, "total" if k == "absent" else "present") for k in (*MATCHED, *OTHER, *LEFT)]
+    lines += [("match_rate_of_total", None, percent(n(*MATCHED), total), "total"), ("match_rate_of_present", None, percent(n(*MATCHED), present), "present")]
+    lines += [("manual_rate_of_present", None, percent(n(*LEFT), present), "present"), ("absent_rate_of_total", None, percent(n("absent"), total), "total")]
+    cells = [F.struct(F.lit(k).alias("type"), (F.lit(None) if c is None else c).cast("long").alias("row_count"), (F.lit(None) if r is None else r).cast("double").alias("rate"), F.lit(d).alias("denominator")) for k, c, r, d in lines]
+    return rows.groupBy(channel).agg(F.array(*cells).alias("_l")).select(channel, F.explode("_l").alias("_l")).select("_l.type", channel, "_l.row_count", "_l.rate", "_l.denominator")
