@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.functions import text as X
-from matchloom.operators import codes, evidence, options, relational, review, stock
-from matchloom.plans import apply
-from matchloom.sources import files
+from matchloom.operators import codes, evidence, lookup, options, queue, relational, review, stock, validation
+from matchloom.plans import apply, changes, export_rules
+from matchloom.sources import files, inventory
 
 
 def one(spark, **columns):
@@ -121,3 +121,121 @@ def test_files(spark, tmp_path):
     assert known.count() == 1 and files.file_registry(spark, f"{tmp_path}/a.csv", known).count() == 0
     with pytest.raises(ValueError):
         files.require(known, ["nope"])
+
+
+ROW = "row long, item_code string, own_code string, product_no string, raw_option string, plain_option string, name string, warning string, status string"
+
+
+def validated(spark, rows):
+    alias = spark.createDataFrame([("c1", 1), ("c2", 2), ("c2", 3)], "value string, target long")
+    own = spark.createDataFrame([("w1", 1), ("w9", 9)], "value string, target long")
+    catalog = spark.createDataFrame([(1, "Ring A", "로즈골드", ["n1"]), (2, None, None, None)], "target long, item_name string, item_option string, product_nos array<string>")
+    return {r.row: (r.item, r.blocked, r.tier) for r in validation.evidence_validation(spark.createDataFrame(rows, ROW + ", tier string"), alias, own, catalog).collect()}
+
+
+def test_option_key(spark):
+    texts = ["Rose  Gold", "RG", "핑크골드(주문제작)", "14K 골드", "One Type", "10mm바", "[x]", "", None]
+    assert [one(spark, k=validation.option_key(F.lit(x).cast("string")))["k"] for x in texts] == ["rosegold", "rosegold", "rosegold", "yellowgold", "onetype", "10mm", "x", "", ""]
+
+
+def test_evidence_validation(spark):
+    rows = [
+        (1, "c1", "w1", "n1", "rose gold", None, "ring-a", None, "ok", "x"), (2, "c2", None, None, "red", None, None, None, None, None), (3, "c1", "w9", "n1", "핑골", None, "Other", "ab?", None, None),
+        (4, None, None, "n9", "red", None, None, None, "odd", None), (5, "zz", None, "n8", "blue", None, None, None, "", None), (6, None, None, None, None, None, None, None, None, None), (7, None, None, None, "[a", "크리스탈AB", None, None, None, None),
+    ]
+    assert validated(spark, rows) == {
+        1: (1, "", "high"), 2: (None, "duplicate_item", "blocked_risk"), 3: (1, "ab_token,own_code,name", "blocked_risk"), 4: (None, "", "parse_warning"), 5: (None, "", "parse_good"), 6: (None, "", "manual"), 7: (None, "crystal,bracket", "blocked_risk"),
+    }
+    assert validated(spark, rows[:1] * 2) == {1: (1, "", "high")}  # a repeated row changes nothing
+    assert validated(spark, [(1, "c1", None, "n1", "rose gold", None, None, None, None, None), (2, "c1", None, "n2", "rose gold", None, None, None, None, None)])[1] == (1, "duplicate_item", "blocked_risk")
+
+
+def test_narrow_risk_and_impact(spark):
+    rows = spark.createDataFrame([("p", "크리스탈AB"), ("p", "크리스탈"), ("p", "x 1+1"), (None, "크리스탈"), ("q", None), ("q", "SET")], "product string, text string")
+    got = {(r.product, r.text): (r.narrow, r.clean) for r in validation.narrow_risk(rows, "product", "text").collect()}
+    assert got[("p", "x 1+1")] == ("one_plus_one,variant_conflict", False) and got[(None, "크리스탈")] == ("", True) and got[("q", None)] == ("", True) and got[("q", "SET")][0] == "set_or_quantity" and len(got) == 6
+    rows = spark.createDataFrame([("c", 1, "P", "O1", "w", "red one", "RED"), ("c", 2, "P", "O2", "w", "red", "red x"), ("c", 3, None, None, None, None, None), ("c", 4, "Q", "O", "w", "blue-ab", "blue")], "channel string, item long, product_code string, option_code string, own_code string, option string, channel_option string")
+    out = validation.option_impact(rows, [("c", "red", "token"), ("c", "blue", "contains")], mixed=("blueab", "blue", "ab"))
+    got = {r.item: (r.rule, r.before, r.after, r.candidate, r.ambiguous, r.manual) for r in out.collect()}
+    assert got == {1: ("red", False, True, True, True, False), 2: ("red", False, True, True, True, False), 3: ("raw_text", False, False, False, False, True), 4: ("blue", False, True, True, True, False)}
+
+
+def test_presence_rates(spark):
+    names = ["n_alias", "n_confirmed", "n_candidate", "alias_products", "alias_options", "n_mapping", "n_identity", "mapping_products", "mapping_options", "mapping_owns", "fan_out", "n_images"]
+    rows = [dict.fromkeys(names, None), dict.fromkeys(names, 0) | {"n_images": 2}, dict.fromkeys(names, 1), dict.fromkeys(names, 0) | {"n_alias": 1, "n_candidate": 1, "fan_out": 2}, dict.fromkeys(names, 0) | {"n_alias": 1}]
+    df = spark.createDataFrame([tuple(r[k] for k in names) for r in rows], ", ".join(f"{k} long" for k in names))
+    df = df.withColumn("s", evidence.presence_from_counts(df)).withColumn("c", F.lit("one"))
+    assert [r.s for r in df.collect()] == ["absent", "unknown", "confirmed", "blocked", "manual"]
+    got = {r.type: (r.row_count, r.rate) for r in evidence.presence_rates(df, "c", "s").collect()}
+    assert got["total_rows"] == (5, None) and got["match_rate_of_present"] == (None, 25.0) and got["absent_rate_of_total"] == (None, 20.0) and sum(n for k, (n, _) in got.items() if n and k[:5] not in ("total", "prese")) == 5
+    assert evidence.presence_rates(df.limit(0), "c", "s").count() == 0
+
+
+def test_review_queue(spark):
+    items = spark.createDataFrame([(1, "w", 1), (2, None, 1), (3, "w", None)], "item long, own_code string, n_images long")
+    mapping = spark.createDataFrame([("a", 1, False, "p0", "o0"), ("a", 1, True, "p", "o"), ("b", 1, None, "p", None), ("z", 1, True, "p", "o")], "channel string, item long, is_primary boolean, product_code string, option_code string")
+    mapping = mapping.select("*", *(F.lit(None).cast("string").alias(c) for c in ("product_candidate", "option_candidate", "own_code")))
+    got = {(r.channel, r.item): r.reason for r in queue.review_queue(items, mapping, {"a": queue.QueuePolicy(), "b": queue.QueuePolicy(missing_if="all")}).collect()}
+    assert got == {("b", 1): "review_required", ("a", 2): "own_code_missing", ("b", 2): "own_code_missing", ("a", 3): "image_missing", ("b", 3): "image_missing"}
+
+
+def test_lookup(spark):
+    items = spark.createDataFrame([("1", "P"), ("2", "P"), ("3", None)], "item string, product string")
+    alias = spark.createDataFrame([("ITEM", "1", "own", "S", False), ("ITEM", "1", "own", "A", True), ("ITEM", "1", "own", "S", False), ("PRODUCT", "P", "own", "S", None), ("ITEM", "3", "other", "S", True)], "kind string, target string, system string, value string, is_primary boolean")
+    images = spark.createDataFrame([("1", "u2", None, 2), ("1", "u1", None, 1), ("9", "u", True, 1)], "item string, url string, is_primary boolean, sort_order long")
+    got = sorted(tuple(r) for r in lookup.code_lookup(items, alias, images, "own", "S").collect())
+    assert got == [("1", "P", "S", "u1", "item"), ("2", "P", None, None, "product")]
+    rows = spark.createDataFrame([(1, None, "Abc"), (1, None, "Abc"), (2, "xaB", "q"), (3, None, None)], "id long, a string, b string")
+    assert sorted(map(tuple, lookup.text_search("ab", [("k", rows, "id", ["a", "b"]), ("other", rows, "id", ["a"])], {"k"}).collect())) == [("k", "1", "Abc"), ("k", "2", "xaB")]
+    with pytest.raises(ValueError):
+        lookup.text_search("ab", [], None)
+
+
+def test_insert_classes(spark):
+    rows = spark.createDataFrame([("a", "1", True), ("b", "1", None), (" ", "1", True), ("c", None, True), ("d", "x", True), ("e", "7", True), ("f", "1", True), ("f", "1", True), ("g", "1", True), ("h", "1", True)], "code string, item string, ok boolean")
+    existing, master = spark.createDataFrame([("g", "1"), ("g", "1"), ("h", "2")], "code string, item string"), spark.createDataFrame([("1",), ("1",)], "item string")
+    got = sorted((r.code, r.apply_class) for r in changes.insert_classes(rows, existing, master, {"ok": F.col("ok")}, "^[0-9]$").collect())
+    assert got == [(" ", "null_code"), ("a", "insert"), ("b", "ok"), ("c", "blank_item"), ("d", "invalid_item"), ("e", "missing_item"), ("f", "duplicate_source"), ("f", "duplicate_source"), ("g", "idempotent_existing"), ("h", "conflict_existing")]
+    table = spark.createDataFrame([(1, "a")], "k long, v string")
+    assert sorted(map(tuple, changes.insert_by_plan(table, spark.createDataFrame([("2", "q"), ("x", "r")], "k string, extra string")).collect()), key=str) == [(1, "a"), (2, None), (None, None)]
+
+
+def test_change_requests(spark, tmp_path):
+    target, table = apply.VersionedTable(spark, f"{tmp_path}/t"), apply.VersionedTable(spark, f"{tmp_path}/r")
+    target.write(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k long, v string, n int"))
+    requests, ids = changes.ChangeRequests(table), lambda *x: spark.createDataFrame([(i,) for i in x], "request_id string")
+    new = lambda *x: spark.createDataFrame(list(x), "request_id string, kind string, target_key string, field string, value string")
+    requests.draft(new(("r1", "sku_update", "1", "v", "c"), ("r2", "sku_update", "1", "n", "9"), ("r3", "sku_update", "2", "v", "z")), "ann", "t0")
+    for bad in (new(("r1", "sku_update", "1", "v", "c")), new(("r9", "odd", "1", "v", "c")), new(("r8", "sku_update", "1", "v", "c"), ("r8", "sku_update", "1", "v", "d"))):
+        with pytest.raises(apply.GuardError):
+            requests.draft(bad, "ann", "t0")
+    for action, which in (("approve", ids("r1")), ("submit", ids("r1", "nope"))):
+        with pytest.raises(apply.GuardError):
+            requests.move(which, action, "ann", "t1")
+    requests.move(ids("r1", "r2", "r3"), "submit", "ann", "t1")
+    requests.move(ids("r3"), "reject", "bob", "t2")
+    requests.move(ids("r1", "r2"), "approve", "bob", "t2")
+    with pytest.raises(apply.GuardError):
+        requests.apply(target, "k", ("v",), "bob", "t3")
+    requests.apply(target, "k", ("v", "n"), "bob", "t3")
+    assert sorted(map(tuple, target.read().collect())) == [(1, "c", 9), (2, "b", 6)]
+    got = {r.request_id: (r.state, [e.action for e in r.events]) for r in table.read().collect()}
+    assert got == {"r1": ("applied", ["draft", "submit", "approve", "apply"]), "r2": ("applied", ["draft", "submit", "approve", "apply"]), "r3": ("rejected", ["draft", "submit", "reject"])}
+    with pytest.raises(apply.GuardError):
+        requests.move(ids("r1"), "cancel", "ann", "t4")
+
+
+def test_export_check(spark):
+    rows = spark.createDataFrame([(1, "5", "https://a.b/c"), (2, "0", "x y"), (3, None, None), (4, "NaN", "p.JPG"), (5, " ", "http://")], "k long, price string, image string")
+    rules = {"INVALID_PRICE": export_rules.bad_number(F.col("price"), 0, 100, above=True), "INVALID_IMAGE_REFERENCE": export_rules.bad_reference(F.col("image")), "PRICE_PRIORITY_UNCONFIRMED": F.col("price").isNull()}
+    got = {r.k: (r.blockers, r.warnings, r.state) for r in export_rules.export_check(rows, rules).collect()}
+    assert got == {1: ("", "", "ready"), 2: ("INVALID_PRICE,INVALID_IMAGE_REFERENCE", "", "blocked"), 3: ("", "PRICE_PRIORITY_UNCONFIRMED", "warning"), 4: ("INVALID_PRICE", "", "blocked"), 5: ("INVALID_IMAGE_REFERENCE", "", "blocked")}
+    assert len(export_rules.BLOCKERS) + len(export_rules.WARNINGS) == 29
+    with pytest.raises(ValueError):
+        export_rules.export_check(rows, {"NOPE": F.lit(True)})
+
+
+def test_inventory(spark):
+    tables = {"a": spark.createDataFrame([(1, "x")], "k long, v string"), "b": spark.range(3)}
+    assert sorted(map(tuple, inventory.row_counts(tables).collect())) == [("a", 1, 2), ("b", 3, 1)]
+    assert inventory.columns(spark, tables).count() == 3 and inventory.missing(tables, {"a": ["k", "q"], "c": ["z"]}) == ["a.q", "c"]
