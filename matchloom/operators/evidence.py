@@ -138,3 +138,39 @@ def presence_rates(rows: DataFrame, channel: str, status: str) -> DataFrame:
     lines += [("manual_rate_of_present", None, percent(n(*LEFT), present), "present"), ("absent_rate_of_total", None, percent(n("absent"), total), "total")]
     cells = [F.struct(F.lit(k).alias("type"), (F.lit(None) if c is None else c).cast("long").alias("row_count"), (F.lit(None) if r is None else r).cast("double").alias("rate"), F.lit(d).alias("denominator")) for k, c, r, d in lines]
     return rows.groupBy(channel).agg(F.array(*cells).alias("_l")).select(channel, F.explode("_l").alias("_l")).select("_l.type", channel, "_l.row_count", "_l.rate", "_l.denominator")
+
+
+# How sale states are written.
+SALE_STATES = {"active": ("판매중",), "inactive": ("판매대기", "수정대기", "승인대기", "일시품절", "판매중지")}
+
+
+def line_evidence(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """One row per code line of multi-line cells: row, line_no, code, option, status, alignment, sale_state, option_state, active, warning.
+
+    rows: row, channel, product_code, codes, options, statuses, sale_status. dictionary: code. header: one option line more than codes, so that options
+    shift by one; direct: as many; both ask for as many status lines, else the count needs review. Options are read by place even then; statuses
+    only if their count fits. warning names what is wrong, '; '-joined, '' if nothing is; a null channel counts as unknown. active: sold, status Y, nothing
+    wrong with channel, dictionary or alignment. The dictionary is reduced to a row per code; lines never multiply."""
+    lines = lambda c: F.split(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(\r\n|\r|\n)+$", ""), r"\r\n|\r|\n", -1)
+    held = rows.select("row", "channel", "product_code", "sale_status", lines("codes").alias("c"), lines("options").alias("o"), lines("statuses").alias("s"))
+    n, o, s = F.size("c"), F.size("o"), F.size("s")
+    alignment = F.when((o == n + 1) & (s == n), "header").when((o == n) & (s == n), "direct").otherwise("needs_review")
+    held = held.withColumns({"alignment": alignment, "_shift": F.when(o == n + 1, 1).otherwise(0), "_fits": s == n})
+    each = held.select("*", F.posexplode("c").alias("_pos", "_code"))
+    text = lambda c: F.nullif(F.trim(c), F.lit(""))
+    each = each.select(
+        "row", "channel", "product_code", "sale_status", "alignment", (F.col("_pos") + 1).cast("long").alias("line_no"), text(F.col("_code")).alias("code"),
+        text(F.get("o", F.col("_pos") + F.col("_shift"))).alias("option"), F.when(F.col("_fits"), text(F.get("s", F.col("_pos")))).alias("status"),
+    )
+    out = each.join(dictionary.select("code").distinct().withColumn("_known", F.lit(True)), "code", "left")
+    known, channel = F.coalesce("_known", F.lit(False)), F.coalesce("channel", F.lit("unknown"))
+    wrong = {
+        "unknown_channel": channel == "unknown", "no_product_code": ~nonblank(F.col("product_code")), "no_code": F.col("code").isNull(), "no_option": F.col("option").isNull(), "line_count": F.col("alignment") == "needs_review",
+        "not_in_dictionary": ~known,
+    }
+    sale, option = F.lit("needs_review"), F.when(F.col("status") == "Y", "active").when(F.col("status") == "N", "inactive").otherwise("needs_review")
+    for state, names in SALE_STATES.items():
+        sale = F.when(F.col("sale_status").isin(*names), state).otherwise(sale)
+    active = (sale == "active") & (option == "active") & (channel != "unknown") & known & (F.col("alignment") != "needs_review")
+    warning = F.concat_ws("; ", *(F.when(p, F.lit(k)) for k, p in wrong.items()))
+    return out.select("row", "line_no", "code", "option", "status", "alignment", sale.alias("sale_state"), option.alias("option_state"), active.alias("active"), warning.alias("warning"))

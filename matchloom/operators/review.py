@@ -79,3 +79,75 @@ def shared_tags(rows: DataFrame, tags: DataFrame, keys: list[str], tag: str = "t
 def best_image(images: DataFrame, key: str) -> DataFrame:
     """One image for each key: primary first, then the least sort order, then the address."""
     return top_rows(images, [key], [F.col("is_primary").desc(), F.col("sort_order").asc_nulls_last(), F.col("url")])
+
+
+# Words that mark a row in its reasons and actions.
+CONFLICT_WORDS, AUTO_WORDS, FAST_WORDS = "(?i)중복|충돌|duplicate|conflict", "(?i)자동승인|auto.?approve", "(?i)빠른검토|fast.?review"
+UNLINKED_BUCKETS = ("unmatched", "code_blank", "stock_missing")
+
+
+def review_predicates(tier: Column, policy: Column, bucket: Column, texts: list[Column], duplicates: Column, linked: Column, unlinked: Column, discontinued: Column, required: Column) -> dict[str, Column]:
+    """Columns conflict, needs_linking, auto, fast and pending; nulls are false, empty or 0.
+
+    pending: rows that were unlinked by hand or are to be discontinued never are; then conflicts, rows without link and rows that ask for a review are;
+    of the rest those that can't be approved by themselves."""
+    no = lambda c: F.coalesce(c, F.lit(False))
+    text = F.concat_ws(" ", *texts)
+    conflict = (F.coalesce(duplicates, F.lit(0)) > 1) | text.rlike(CONFLICT_WORDS) | no(tier.rlike(CONFLICT_WORDS))
+    needs = no(unlinked) | ~no(linked) | no(bucket.isin(*UNLINKED_BUCKETS))
+    fast = no(tier == "FAST_REVIEW") | no(policy == "FAST") | text.rlike(FAST_WORDS)
+    auto = no(tier.isin("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW")) | no(policy.isin("AUTO", "WEAK_EVIDENCE", "FAST")) | text.rlike(AUTO_WORDS)
+    pending = ~no(unlinked) & ~no(discontinued) & (conflict | needs | no(required) | ~auto)
+    return {"conflict": conflict, "needs_linking": needs, "auto": auto, "fast": fast, "pending": pending}
+
+
+def tag_targets(uploads: DataFrame, queue: DataFrame) -> DataFrame:
+    """(upload, tag, scope, product, item, match): the tags of uploaded cells and what they are for.
+
+    uploads: upload (unique), tags, scope, product, item, channel, channel_product, channel_option; queue: channel, channel_product, channel_option,
+    product, item. A row with item or product is direct (an item's product is its code up to the first hyphen); else the queue's rows with
+    the given channel codes decide: one target is seller_resolved, several are multiple_targets, none is not_found. A code that isn't given matches
+    any, so uploads are joined once for each set of given codes, on these alone. Cells split at commas, semicolons and line breaks."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    keys = ["channel", "channel_product", "channel_option"]
+    ups = uploads.select("upload", "tags", F.lower(F.trim("scope")).alias("scope"), blank("product").alias("product"), blank("item").alias("item"), *(blank(k).alias(k) for k in keys))
+    ups = ups.withColumn("product", F.coalesce("product", F.substring_index("item", "-", 1)))
+    here = queue.select(*(blank(k).alias(k) for k in keys), F.coalesce(blank("product"), F.substring_index(blank("item"), "-", 1)).alias("_p"), blank("item").alias("_i")).where("_p is not null or _i is not null")
+    target = F.struct(F.coalesce("_p", F.lit("")).alias("p"), F.coalesce("_i", F.lit("")).alias("i"))
+    found = None
+    for n in range(2 ** len(keys)):
+        given = [k for j, k in enumerate(keys) if n >> j & 1]
+        test = F.col("item").isNull() & F.col("product").isNull()
+        for k in keys:
+            test = test & (F.col(k).isNotNull() if k in given else F.col(k).isNull())
+        # the targets of a key are counted before the join: only whether there is one or more than one matters
+        held = here.groupBy(*given).agg(F.min(target).alias("_least"), F.max(target).alias("_most"))
+        some = ups.where(test).select("upload", *given)
+        if not given:  # one row for all
+            some, held = some.withColumn("_all", F.lit(1)), F.broadcast(held.where("_least is not null").withColumn("_all", F.lit(1)))
+        each = some.join(held, given or ["_all"])
+        each = each.select("upload", "_least", "_most")
+        found = each if found is None else found.unionByName(each)
+    out = ups.join(found, "upload", "left")
+    direct, one = F.col("item").isNotNull() | F.col("product").isNotNull(), F.col("_least") == F.col("_most")
+    match = F.when(direct, "direct").when(F.col("_least").isNull(), "not_found").when(one, "seller_resolved").otherwise("multiple_targets")
+    out = out.withColumn("match", match)
+    resolved = F.col("match") == "seller_resolved"
+    product, item = F.when(resolved, F.nullif("_least.p", F.lit(""))).otherwise(F.col("product")), F.when(resolved, F.nullif("_least.i", F.lit(""))).otherwise(F.col("item"))
+    scope = F.when(F.col("scope").isin("product", "상품", "상품태그"), "product").when(F.col("scope").isin("option", "sku", "옵션", "옵션태그"), "option").when(item.isNotNull(), "option").otherwise("product")
+    tag = F.explode(F.array_distinct(F.filter(F.transform(F.split("tags", r"[,;\n\r]+"), lambda x: F.trim(x)), lambda x: x != "")))
+    return out.select("upload", scope.alias("scope"), product.alias("product"), item.alias("item"), "match", tag.alias("tag"))
+
+
+# Tiers that stay in the light queue.
+OPEN_TIERS = ("REVIEW", "FAST_REVIEW", "NO_MATCH", "MANUAL_LINKED")
+
+
+def light_queue(rows: DataFrame, tier: str, stock: str, required: str, texts: list[str], held_stock: tuple[str, ...] = ("STOCK_HOLD_REVIEW",)) -> DataFrame:
+    """Rows that a person may have to see, with queue_priority (10 first) and search_text (the texts joined by spaces, nulls skipped).
+
+    held_stock: states of the stock comparison that hold a row, those of a channel where the item wasn't found among them."""
+    held, at = F.col(stock).isin(*held_stock), F.col(tier)
+    priority = F.when(at == "NO_MATCH", 10).when(held, 20).when(at == "REVIEW", 30).when(at == "FAST_REVIEW", 40).when(at == "MANUAL_LINKED", 90).otherwise(50)
+    shown = F.coalesce(F.col(required), F.lit(False)) | F.coalesce(at.isin(*OPEN_TIERS), F.lit(False)) | F.coalesce(held, F.lit(False))
+    return rows.where(shown).withColumns({"queue_priority": priority.cast("long"), "search_text": F.concat_ws(" ", *texts)})

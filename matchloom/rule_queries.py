@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom.operators import evidence, lookup, queue, validation
+from matchloom.operators import evidence, lookup, queue, review, validation, weak
 from matchloom.plans import changes, export_rules
-from matchloom.queries import query, t
+from matchloom.queries import QUEUE, _queue, query, t
 from matchloom.sources import inventory
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -245,3 +245,95 @@ def export_check(spark, sf):
         "MISSING_REQUIRED_IMAGE": gone("image"), "INVALID_IMAGE_REFERENCE": export_rules.bad_reference(F.col("image")), "STOCK_POLICY_UNCONFIRMED": F.col("open_policy"),
     }
     return export_rules.export_check(rows, rules).select("p_partkey", "blockers", "warnings", "state")
+
+
+# ---- lines, weak candidates, review --------------------------------------------------------------------------------------
+
+
+@query("""with d as (select doc_id, regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)+$', ''), '\\r\\n|\\r|\\n') as c from documents), dict as (select distinct trim(v) as code, true as known from (select unnest(c) as v from d where doc_id % 4 = 0)),
+x as (select doc_id, c, case when doc_id % 3 = 0 then list_prepend('head', c) when doc_id % 3 = 1 then c else ['one', 'two'] end as o, case when doc_id % 2 = 0 then list_transform(c, lambda v: case when v = '' then '' else 'Y' end) else ['N'] end as s, case when doc_id % 7 <> 0 then 'shop' end as channel, case when doc_id % 11 = 0 then ' ' else 'P' end as product_code,
+    ['판매중', '판매중', '판매중지', 'odd'][doc_id % 4 + 1] as sale from d),
+e as (select *, len(o) = len(c) + 1 as more, unnest(range(1, len(c) + 1)) as line_no from x), a as (select *, case when len(s) <> len(c) then 'needs_review' when more then 'header' when len(o) = len(c) then 'direct' else 'needs_review' end as alignment, nullif(trim(c[line_no]), '') as code, nullif(trim(o[case when more then line_no + 1 else line_no end]), '') as option, case when len(s) = len(c) then nullif(trim(s[line_no]), '') end as status from e),
+k as (select a.*, coalesce(known, false) as known from a left join dict on dict.code = a.code), z as (select *, case when sale = '판매중' then 'active' when sale = '판매중지' then 'inactive' else 'needs_review' end as sale_state, case status when 'Y' then 'active' when 'N' then 'inactive' else 'needs_review' end as option_state from k)
+select doc_id, line_no, md5(code) as code, md5(option) as option, status, alignment, sale_state, option_state, sale_state = 'active' and option_state = 'active' and channel is not null and known and alignment <> 'needs_review' as active,
+  concat_ws('; ', case when channel is null then 'unknown_channel' end, case when trim(product_code) = '' then 'no_product_code' end, case when code is null then 'no_code' end, case when option is null then 'no_option' end, case when alignment = 'needs_review' then 'line_count' end, case when not known then 'not_in_dictionary' end) as warning from z""")
+def line_dictionary_check(spark, sf):
+    k, text = F.col("doc_id"), F.col("text")
+    docs = t(spark, sf, "documents")
+    rows = docs.select(
+        k.alias("row"), F.when(k % 7 != 0, "shop").alias("channel"), F.when(k % 11 == 0, " ").otherwise("P").alias("product_code"), text.alias("codes"), F.when(k % 3 == 0, F.concat(F.lit("head\n"), text)).when(k % 3 == 1, text).otherwise("one\ntwo").alias("options"),
+        F.when(k % 2 == 0, F.regexp_replace(text, r"[^\r\n]+", "Y")).otherwise("N").alias("statuses"), _choose(k, ["판매중", "판매중", "판매중지", "odd"]).alias("sale_status"),
+    )
+    dictionary = docs.where("doc_id % 4 = 0").select(F.explode(F.split("text", r"\r\n|\r|\n")).alias("code")).select(F.trim("code").alias("code"))
+    out = evidence.line_evidence(rows, dictionary)
+    return out.select(F.col("row").alias("doc_id"), "line_no", F.md5("code").alias("code"), F.md5("option").alias("option"), "status", "alignment", "sale_state", "option_state", "active", "warning")
+
+
+def _weak(spark, sf):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    text = lambda c: c.cast("string")
+    rows = t(spark, sf, "part").select(
+        F.when(size != 3, F.concat("p_brand", F.lit("-"), text(k % 40))).alias("product"), F.when(k % 13 == 0, "").when(k % 17 == 0, "D").otherwise(F.concat(F.lit("C"), text(k))).alias("code"), F.when(k % 19 != 0, text(k)).alias("item"),
+        F.when(k % 23 == 0, "x").when(k % 10 == 0, text(k % 7 + 1)).otherwise(text(k % 7)).alias("option_id"), F.when(k % 14 != 0, F.concat(F.lit("AB-1-0"), text(k % 7), F.lit("|q"))).otherwise("CD-9, AB-2").alias("aliases"),
+        F.concat("p_name", F.lit(" [x]")).alias("option"), F.when(k % 9 == 0, "zz").when(k % 2 == 0, F.upper("p_name")).otherwise(F.substring_index("p_name", " ", 1)).alias("item_option"), F.concat("p_name", F.lit(" 반지")).alias("name"),
+        F.when(k % 2 == 0, F.col("p_name")).otherwise("반지").alias("item_name"), text(k % 40 + 65).alias("score"), F.when(k % 29 == 0, "n/a").otherwise(text(k % 4)).alias("n_candidates"), "p_partkey",
+    )
+    return weak.weak_candidates(rows)
+
+
+WEAK = """r as (select *, case when p_size <> 3 then p_brand || '-' || (p_partkey % 40) end as product, case when p_partkey % 13 = 0 then '' when p_partkey % 17 = 0 then 'D' else 'C' || p_partkey end as code, case when p_partkey % 23 = 0 then 'x' when p_partkey % 10 = 0 then cast(p_partkey % 7 + 1 as varchar) else cast(p_partkey % 7 as varchar) end as option_id,
+    case when p_partkey % 14 <> 0 then cast(p_partkey % 7 as varchar) else '9' end as primary_no from part), s as (select *, primary_no = option_id as same_no from r), c as (select code, count(*) as n_code from s group by 1), g as (select product, count(*) as n_group, count(*) filter (same_no) as n_same from s group by 1),
+w as (select p_partkey, s.product, p_name || ' 반지' as name, option_id, primary_no, case when p_partkey % 2 = 0 then len(list_distinct(string_split(p_name, ' '))) else 0 end as overlap, array_to_string(list_filter([case when p_partkey % 40 + 65 < 70 then 'score' end, case when p_partkey % 29 = 0 then 'candidates' end, case when not same_no then 'option_no' end,
+    case when p_partkey % 9 = 0 then 'option_text' end, case when s.code = '' then 'code_blank' end, case when p_partkey % 19 = 0 then 'item_blank' end, case when s.code = '' or n_code <> 1 then 'code_not_single' end], lambda x: x is not null), ',') as failed, n_group, round(n_same / n_group, 4) as group_ratio, n_group >= 2 and n_same >= 0.8 * n_group as group_consistent
+  from s join c using (code) join g on g.product is not distinct from s.product)"""
+
+
+@query(f"with {WEAK} select p_partkey, primary_no, cast(overlap as bigint) as overlap, failed, failed = '' as strong, n_group, group_ratio, group_consistent from w")
+def weak_candidates(spark, sf):
+    return _weak(spark, sf).select("p_partkey", "primary_no", "overlap", "failed", "strong", "n_group", "group_ratio", "group_consistent")
+
+
+@query(f"""with {WEAK} select product, max(n_group) as n_group, count(*) filter (failed = '') as n_strong, max(group_ratio) as group_ratio, bool_or(group_consistent) as group_consistent, cast(min(coalesce(try_cast(option_id as int), 0)) as bigint) as least_option,
+  cast(max(coalesce(try_cast(option_id as int), 0)) as bigint) as greatest_option, array_to_string(list_slice(list_sort(list_distinct(list(name))), 1, 5), ' | ') as names from w group by 1""")
+def weak_groups(spark, sf):
+    return weak.weak_groups(_weak(spark, sf))
+
+
+@query(f"""with {QUEUE}, r as (select *, case when o_orderkey % 8 = 0 then 'Duplicate row' when o_orderkey % 15 = 0 then 'auto-approve' end as action, o_orderkey % 3 <> 0 as linked, o_orderkey % 50 = 0 as unlinked, o_orderkey % 33 = 0 as gone, case when o_orderkey % 4 <> 3 then o_orderkey % 12 = 1 end as required from q),
+x as (select *, dup > 1 or coalesce(action ilike '%duplicate%', false) as conflict, unlinked or not linked or trim(code) = '' or (tier = 'NO_MATCH' and not regexp_matches(reason, '(?i)set\\b')) as needs_linking, tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') or coalesce(action = 'auto-approve', false) as auto, tier = 'FAST_REVIEW' as fast from r)
+select o_orderkey, conflict, needs_linking, auto, fast, not unlinked and not gone and (conflict or needs_linking or coalesce(required, false) or not auto) as pending from x""")
+def review_predicates(spark, sf):
+    rows, k = _queue(spark, sf), F.col("o_orderkey")
+    tier, reason, code, dup = (F.col(c) for c in ("tier", "reason", "code", "dup"))
+    policy, bucket = review.policy_tier(tier, dup, reason, ("name", "code")), review.workflow_bucket(tier, reason, code)
+    action = F.when(k % 8 == 0, "Duplicate row").when(k % 15 == 0, "auto-approve")
+    found = review.review_predicates(tier, policy, bucket, [reason, action], dup, k % 3 != 0, k % 50 == 0, k % 33 == 0, F.when(k % 4 != 3, k % 12 == 1))
+    return rows.select("o_orderkey", *(c.alias(n) for n, c in found.items()))
+
+
+@query("""with u as (select s_suppkey as upload, case when s_suppkey % 5 = 0 then 'big, new;big' when s_suppkey % 5 = 1 then 'x' || chr(10) || ' y ' else 'one' end as tags, case s_suppkey % 6 when 0 then 'SKU' when 1 then '상품' end as scope, case when s_suppkey % 7 = 0 then 'Q-' || s_suppkey end as item, case when s_suppkey % 2 = 0 then ['F', 'O', 'P', 'Z'][s_suppkey // 2 % 4 + 1] end as channel,
+    case when s_suppkey % 3 = 0 then ['1-URGENT', '2-HIGH'][s_suppkey % 2 + 1] end as channel_product, case when s_suppkey % 3 <> 1 then 'O' || s_suppkey end as channel_option from supplier),
+q as (select o_orderstatus as channel, o_orderpriority as channel_product, 'O' || (o_orderkey % 400) as channel_option, 'P' || (o_custkey % 3) as p, 'P' || (o_custkey % 3) || '-' || (o_orderkey % 2) as i from orders where o_orderkey % 9 <> 0),
+m as (select upload, count(distinct (p, i)) as n, min(p) as p, min(i) as i from u join q on coalesce(u.channel = q.channel, true) and coalesce(u.channel_product = q.channel_product, true) and coalesce(u.channel_option = q.channel_option, true) where item is null group by 1),
+r as (select u.upload, tags, scope, case when item is not null then 'direct' when n is null then 'not_found' when n = 1 then 'seller_resolved' else 'multiple_targets' end as match, case when item is not null then 'Q' when n = 1 then p end as product, case when item is not null then item when n = 1 then i end as item from u left join m using (upload))
+select distinct upload, case when scope = '상품' then 'product' when scope = 'SKU' or item is not null then 'option' else 'product' end as scope, product, item, match, tag from (select *, trim(unnest(regexp_split_to_array(tags, '[,;\\n\\r]+'))) as tag from r) where tag <> ''""")
+def tag_targets(spark, sf):
+    k, o, c = F.col("s_suppkey"), F.col("o_orderkey"), F.col("o_custkey")
+    text = lambda letter, x: F.concat(F.lit(letter), x.cast("string"))
+    uploads = t(spark, sf, "supplier").select(
+        k.alias("upload"), F.when(k % 5 == 0, "big, new;big").when(k % 5 == 1, "x\n y ").otherwise("one").alias("tags"), F.when(k % 6 == 0, "SKU").when(k % 6 == 1, "상품").alias("scope"), F.lit(" ").alias("product"), F.when(k % 7 == 0, text("Q-", k)).alias("item"),
+        F.when(k % 2 == 0, _choose(F.floor(k / 2), ["F", "O", "P", "Z"])).alias("channel"), F.when(k % 3 == 0, _choose(k, ["1-URGENT", "2-HIGH"])).alias("channel_product"), F.when(k % 3 != 1, text("O", k)).alias("channel_option"),
+    )
+    rows = t(spark, sf, "orders").where("o_orderkey % 9 != 0").select(
+        F.col("o_orderstatus").alias("channel"), F.col("o_orderpriority").alias("channel_product"), text("O", o % 400).alias("channel_option"), F.when(o % 2 == 0, text("P", c % 3)).alias("product"), F.concat(text("P", c % 3), text("-", o % 2)).alias("item")
+    )
+    return review.tag_targets(uploads, rows)
+
+
+@query(f"""with {QUEUE}, r as (select *, case when o_orderkey % 11 = 0 then 'STOCK_HOLD_REVIEW' when o_orderkey % 13 = 0 then 'STOCK_MATCH' end as stock, case when o_orderkey % 6 <> 5 then o_orderkey % 5 = 0 end as required from q)
+select o_orderkey, case when tier = 'NO_MATCH' then 10 when coalesce(stock, '') = 'STOCK_HOLD_REVIEW' then 20 when tier = 'REVIEW' then 30 when tier = 'FAST_REVIEW' then 40 else 50 end::bigint as queue_priority, concat_ws(' ', code, stock, reason) as search_text from r
+where coalesce(required, false) or tier <> 'AUTO_APPROVE_CANDIDATE' or coalesce(stock, '') = 'STOCK_HOLD_REVIEW'""")
+def light_queue(spark, sf):
+    k = F.col("o_orderkey")
+    rows = _queue(spark, sf).withColumns({"stock": F.when(k % 11 == 0, "STOCK_HOLD_REVIEW").when(k % 13 == 0, "STOCK_MATCH"), "required": F.when(k % 6 != 5, k % 5 == 0)})
+    return review.light_queue(rows, "tier", "stock", "required", ["code", "stock", "reason"]).select("o_orderkey", "queue_priority", "search_text")
