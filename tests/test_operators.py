@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.functions import text as X
-from matchloom.operators import codes, evidence, lookup, options, queue, relational, review, stock, validation
+from matchloom.operators import codes, evidence, lookup, options, queue, relational, review, stock, validation, weak
 from matchloom.plans import apply, changes, export_rules
 from matchloom.sources import files, inventory
 
@@ -239,3 +239,52 @@ def test_inventory(spark):
     tables = {"a": spark.createDataFrame([(1, "x")], "k long, v string"), "b": spark.range(3)}
     assert sorted(map(tuple, inventory.row_counts(tables).collect())) == [("a", 1, 2), ("b", 3, 1)]
     assert inventory.columns(spark, tables).count() == 3 and inventory.missing(tables, {"a": ["k", "q"], "c": ["z"]}) == ["a.q", "c"]
+
+
+def test_line_evidence(spark):
+    schema = "row long, channel string, product_code string, codes string, options string, statuses string, sale_status string, warning string"
+    rows = [(1, "shop", "p", "a\r\nb", "head\nx\n ", "Y\nN", "판매중", "clash"), (2, None, " ", "a\n\nzz", "x", "Y", None, None), (3, "shop", "p", None, None, None, "판매대기", None), (4, "shop", "p", "a", "x", "Y", "판매중", None)]
+    out = evidence.line_evidence(spark.createDataFrame(rows, schema), spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "code string"))
+    got = {(r.row, r.line_no): (r.code, r.option, r.status, r.alignment, r.sale_state, r.option_state, r.active, r.warning) for r in out.collect()}
+    assert got == {
+        (1, 1): ("a", "x", "Y", "header", "active", "active", True, ""), (1, 2): ("b", None, "N", "header", "active", "inactive", False, "no_option"), (2, 1): ("a", "x", None, "needs_review", "needs_review", "needs_review", False, "unknown_channel; no_product_code; line_count"),
+        (2, 2): (None, None, None, "needs_review", "needs_review", "needs_review", False, "unknown_channel; no_product_code; no_code; no_option; line_count; not_in_dictionary"),
+        (2, 3): ("zz", None, None, "needs_review", "needs_review", "needs_review", False, "unknown_channel; no_product_code; no_option; line_count; not_in_dictionary"),
+        (3, 1): (None, None, None, "direct", "inactive", "needs_review", False, "no_code; no_option; not_in_dictionary"), (4, 1): ("a", "x", "Y", "direct", "active", "active", True, ""),
+    }
+
+
+def test_weak_candidates(spark):
+    names = "product code item option_id aliases option item_option name item_name score n_candidates".split()
+    good = ("p", "c1", "i", "07", "X-007|Y-2", "Red [x] 1", "red", "Ring red 반지", "red 반지", "70", "3")
+    rows = [good, ("p", "c2", "i", "3", "X-003", "blue", "BLUE", "a", None, " 99 ", "1"), ("q", "d", None, "", None, None, "x", None, "red", "7.5", ""), ("q", "d", "i", "x", "X", "a", "b", None, None, None, None), (None, None, "i", "1", "X-1", "a", "a", None, None, "80", "1")]
+    out = weak.weak_candidates(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names)))
+    got = [(r.code, r.primary_no, r.overlap, r.failed, r.strong, r.n_group, r.group_ratio, r.group_consistent) for r in out.orderBy("code", "item").collect()]
+    assert got == [
+        (None, "1", 0, "code_blank,code_not_single", False, 1, 1.0, False), ("c1", "7", 1, "", True, 2, 1.0, True), ("c2", "3", 0, "", True, 2, 1.0, True),
+        ("d", None, 0, "score,candidates,option_no,option_text,item_blank,code_not_single", False, 2, 0.0, False), ("d", None, 0, "score,candidates,option_no,option_text,code_not_single", False, 2, 0.0, False),
+    ]
+    groups = {r.product: (r.n_group, r.n_strong, r.least_option, r.greatest_option, r.names) for r in weak.weak_groups(out).collect()}
+    assert groups == {"p": (2, 2, 3, 7, "Ring red 반지 | a"), "q": (2, 0, 0, 0, ""), None: (1, 0, 1, 1, "")}
+
+
+def test_review_predicates_and_light_queue(spark):
+    null = F.lit(None)
+    args = lambda **k: [k.get(n, null.cast(kind)) for n, kind in (("tier", "string"), ("policy", "string"), ("bucket", "string"))] + [[k.get("text", null.cast("string"))], k.get("dup", null.cast("int")), k.get("linked", null.cast("boolean")), k.get("unlinked", null.cast("boolean")), k.get("gone", null.cast("boolean")), k.get("required", null.cast("boolean"))]
+    of = lambda **k: {n for n, v in one(spark, **review.review_predicates(*args(**k))).items() if v}
+    yes = F.lit(True)
+    assert of() == {"needs_linking", "pending"} and of(linked=yes) == {"pending"} and of(linked=yes, tier=F.lit("FAST_REVIEW")) == {"auto", "fast"}
+    assert of(linked=yes, policy=F.lit("AUTO"), dup=F.lit(2)) == {"auto", "conflict", "pending"} and of(linked=yes, unlinked=yes) == {"needs_linking"} and of(gone=yes) == {"needs_linking"}
+    assert of(linked=yes, text=F.lit("자동승인"), required=yes) == {"auto", "pending"}
+    rows = spark.createDataFrame([(1, "NO_MATCH", None, None), (2, None, None, None), (3, "AUTO", "STOCK_HOLD_REVIEW", False), (4, "MANUAL_LINKED", "x", None), (5, "AUTO", None, True), (6, "AUTO", None, False)], "k long, tier string, stock string, required boolean")
+    got = {r.k: (r.queue_priority, r.search_text) for r in review.light_queue(rows, "tier", "stock", "required", ["tier", "stock"]).collect()}
+    assert got == {1: (10, "NO_MATCH"), 3: (20, "AUTO STOCK_HOLD_REVIEW"), 4: (90, "MANUAL_LINKED x"), 5: (50, "AUTO")}
+
+
+def test_tag_targets(spark):
+    ups = "upload long, tags string, scope string, product string, item string, channel string, channel_product string, channel_option string"
+    rows = [(1, "a, b;a", None, None, "AB-1", None, None, None), (2, "c\nd", "상품", None, " ", "x", "p1", None), (3, "e", None, None, None, "x", None, None), (4, "f", None, None, None, "zz", None, None), (5, "g", None, None, None, None, None, None), (6, " ;", None, "AB", None, None, None, None), (7, None, None, "AB", None, None, None, None)]
+    queue_rows = [("x", "p1", "o1", None, "AB-2"), ("x", "p1", "o2", "AB", "AB-2"), ("x", "p2", "o3", "CD", None), ("zz", "p", "o", None, None)]
+    out = review.tag_targets(spark.createDataFrame(rows, ups), spark.createDataFrame(queue_rows, "channel string, channel_product string, channel_option string, product string, item string"))
+    got = sorted((r.upload, r.tag, r.scope, r.product, r.item, r.match) for r in out.collect())
+    assert got == [(1, "a", "option", "AB", "AB-1", "direct"), (1, "b", "option", "AB", "AB-1", "direct"), (2, "c", "product", "AB", "AB-2", "seller_resolved"), (2, "d", "product", "AB", "AB-2", "seller_resolved"), (3, "e", "product", None, None, "multiple_targets"), (4, "f", "product", None, None, "not_found"), (5, "g", "product", None, None, "multiple_targets")]
