@@ -248,7 +248,8 @@ def stock_buckets(spark, sf):
     q, p, s = F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey")
     a = F.when(p % 17 == 0, "n/a").when(p % 19 == 0, " ").otherwise(F.concat(q.cast("string"), F.lit(" ")))
     b = F.when(s % 23 == 0, "abc").when(s % 7 == 0, "0").otherwise((q - 25 + p % 40).cast("string"))
-    return t(spark, sf, "lineitem").select(stock.stock_bucket(a, b).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_rows"))
+    rows = t(spark, sf, "lineitem").select(a.alias("current"), b.alias("proposed"))
+    return rows.select(stock.stock_bucket(F.col("current"), F.col("proposed")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_rows"))
 
 
 @query("""with s as (select user_id, event_id, case when event_type = 'click' then value end as a, value as b from events), l as (select *, row_number() over (partition by user_id order by event_id desc) as r, count(*) over (partition by user_id) - 1 as d from s)
