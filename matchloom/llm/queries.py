@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_archive, harmonic_packing, importance_resampling, jaccard_join, line_chunks, media_columns, personal_data, preference_format, string_tiling, subword_toxicity
+from . import content_archive, harmonic_packing, importance_resampling, jaccard_join, line_chunks, line_passages, media_columns, personal_data, preference_format, string_tiling, subword_toxicity
 from .common import Scratch, load
 
 
@@ -59,6 +59,10 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_passages.without_repeated_passages(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,5 +76,6 @@ QUERIES = {
         op8_content_archive,
         op9_subword_toxicity,
         op10_line_chunk_dedup,
+        op10_passage_dedup,
     )
 }
