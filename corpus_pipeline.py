@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchloom.llm import harmonic_packing, jaccard_join, line_chunks, string_tiling, subword_toxicity
+from matchloom.llm import harmonic_packing, jaccard_join, line_passages, string_tiling, subword_toxicity
 from matchloom.llm.common import Scratch, load
 
 
@@ -12,8 +12,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that an earlier document has leave the texts."""
-    return line_chunks.without_repeated_chunks(docs)
+    """Passages of over 50 words that stand at an earlier place leave the texts."""
+    return line_passages.without_repeated_passages(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
