@@ -188,6 +188,16 @@ def source_conflict(spark, sf):
     return relational.source_conflicts(rows, "item", "code", "source")
 
 
+@query("""with r as (select distinct l_partkey as item, l_suppkey as code, l_linestatus || l_returnflag as source from lineitem),
+x as (select *, count(*) over (partition by item) - count(*) over (partition by item, code) - count(*) over (partition by item, source) + 1 > 0 as code_conflict,
+  count(*) over (partition by code) - count(*) over (partition by code, item) - count(*) over (partition by code, source) + 1 > 0 as item_conflict from r)
+select * from x where code_conflict or item_conflict""")
+def source_conflict_lines(spark, sf):
+    """As source_conflict, over all lines; the SQL counts too, as its EXISTS with <> would be slow here."""
+    rows = t(spark, sf, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("code"), F.concat("l_linestatus", "l_returnflag").alias("source"))
+    return relational.source_conflicts(rows, "item", "code", "source")
+
+
 @query("""with d as (select doc_id, regexp_replace(text, '(\\r\\n|\\r|\\n)+$', '') as c from documents), l as (select doc_id, regexp_split_to_array(c, '\\r\\n|\\r|\\n') as c from d),
 x as (select doc_id, c, case when doc_id % 3 = 0 then list_prepend('head', c) when doc_id % 3 = 1 then c else ['only', 'two', 'or', 'four', 'lines', 'of', 'other', 'length', 'than', 'codes', 'have', 'here'] end as o from l),
 a as (select *, case when len(o) = len(c) then 'direct' when len(o) = len(c) + 1 then 'header' else 'needs_review' end as alignment from x),
