@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a new local one where that is unset, as in tests."""
+    """The folder of spark.checkpoint.dir. Where that is unset, a new local one if the session runs on this machine alone; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="matchloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
