@@ -1,15 +1,14 @@
 """Harmonic packing: pieces of documents go to reciprocal-capacity classes, each with a fixed number of pieces in a sequence.
 
-A piece of length n belongs to class capacity // n; a sequence of class j holds j of its pieces. Documents may be cut, so a
-length that would leave more than WASTE of the capacity empty in its class gives off a piece of the next class's full length,
-capacity // (j + 1), and the rest is looked at again; whole capacities come off first. From class MANY on only halvings of the
-capacity are used, so that there are few classes.
-
-Each task cuts its own documents and numbers its pieces in each class. The pieces are written once; counts per task and class
-then say at which number a task begins, so that bins run on from task to task and one bin of each class, of some twenty, stays
-part-filled in the whole corpus. Only facts on pieces are shuffled, never texts or ids; a sequence has at most `capacity`
-pieces. Null and empty texts have the end id alone; repeated rows are packed each; a null id stays null; extra columns are
-ignored.
+A piece of length n belongs to class capacity // n; a sequence of class j holds j of its pieces. From class MANY on only powers of two
+are classes, so that there are few. A document gives off whole capacities; what is left stays one piece, or gives off at most CUTS pieces of
+capacity // k tokens, which fill class k without padding, and leaves at least `least` tokens. Of these ways that with the least padding is
+taken, where a cut counts as CUT tokens; so no document is cut into crumbs.
+
+Each task fills its own bins and numbers them by task, so workers need nothing of each other and nothing is shuffled or gathered: a task
+leaves at most one part-filled bin of each class, of some twenty. A task that is run again reads the same rows and makes the same bins. Null
+and empty texts have the end id alone; repeated rows are packed each; a null id stays null; extra columns are ignored; memory follows the longest
+single text.
 """
 
 from __future__ import annotations
@@ -23,15 +22,14 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Scratch
-
 CAPACITY = 1024
-WASTE = 0.02
+LEAST = 32
 MANY = 16
+CUT, CUTS = 4.0, 2
 END_ID = 0
 SPECIAL = "<|endoftext|>"
 
@@ -60,60 +58,79 @@ def _encoder(files: tuple[str, str, str]):
     return encode
 
 
-def cut(tokens: int, capacity: int = CAPACITY, waste: float = WASTE) -> list[int]:
+def class_of(length: int, capacity: int = CAPACITY) -> int:
+    """How many pieces of this length, or of any longer one of its class, a sequence holds."""
+    j = capacity // length
+    return j if j < MANY else 1 << (j.bit_length() - 1)
+
+
+def _padding(length: int, capacity: int) -> float:
+    """A piece's share of the empty places in a full sequence of its class."""
+    return capacity / class_of(length, capacity) - length
+
+
+@lru_cache(maxsize=16384)
+def _rest(tokens: int, capacity: int, least: int, cuts: int = CUTS) -> tuple[float, int, tuple[int, ...]]:
+    """(cost, pieces, lengths) of the way with the least padding; of equal ones the fewest pieces, then the longest first piece."""
+    best = (_padding(tokens, capacity), 1, (tokens,))
+    for k in range(capacity // tokens + 1, MANY) if cuts else ():
+        first = capacity // k
+        if first >= least and tokens - first >= least:
+            cost, pieces, lengths = _rest(tokens - first, capacity, least, cuts - 1)
+            best = min(best, (cost + _padding(first, capacity) + CUT, pieces + 1, (first, *lengths)), key=lambda w: (w[0], w[1], -w[2][0]))
+    return best
+
+
+def cut(tokens: int, capacity: int = CAPACITY, least: int = LEAST) -> list[int]:
     """Lengths of a document's pieces, in order."""
     out = [capacity] * (tokens // capacity)
-    rest = tokens % capacity
-    while rest:
-        j = capacity // rest
-        if j < MANY:
-            piece = rest if capacity - j * rest <= waste * capacity else capacity // (j + 1)
-        else:
-            piece = capacity // (1 << (-(-capacity // rest) - 1).bit_length())
-        out.append(piece := max(piece, 1))
-        rest -= piece
-    return out
+    return [*out, *_rest(tokens % capacity, capacity, least)[2]] if tokens % capacity else out
 
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, task int, number long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class long"
+ROWS = 20_000
 
 
-def _pieces(batches, files, capacity: int, waste: float, with_ids: bool):
+def _pieces(batches, files, capacity: int, least: int, with_ids: bool):
     encode, task = _encoder(files), TaskContext.get().partitionId()
-    number = np.zeros(capacity + 1, np.int64)
+    number, at = np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)  # of each class: pieces so far, tokens in its open bin
+    rows, ids_out = [], []
+
+    def batch_of():
+        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64()) for _ in range(8)]
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "class"]
+        if with_ids:
+            columns, names = [*columns, pa.array(ids_out, pa.list_(pa.int32()))], [*names, "ids"]
+        out = pa.record_batch(columns, names=names)
+        rows.clear()
+        ids_out.clear()
+        return out
+
     for batch in batches:
-        rows, ids_out = [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids = np.append(encode(text), np.uint32(END_ID)).astype("<u4") if text else np.array([END_ID], "<u4")
             start = 0
-            for length in cut(len(ids), capacity, waste):
-                own = ids[start : start + length]
-                j = capacity // length
-                rows.append((doc_id, start, length, zlib.crc32(own.tobytes()), len(ids), j, task, int(number[j])))
+            for length in cut(len(ids), capacity, least):
+                own, j = ids[start : start + length], class_of(length, capacity)
+                if number[j] % j == 0:
+                    at[j] = 0
+                sequence = (task << 40) + int(number[j] // j) * (capacity + 1) + j
+                rows.append((doc_id, start, length, zlib.crc32(own.tobytes()), len(ids), sequence, int(at[j]), j))
                 if with_ids:
                     ids_out.append(own.astype(np.int32).tolist())
                 number[j] += 1
+                at[j] += length
                 start += length
-        types = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64()]
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types]
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "task", "number"]
-        if with_ids:
-            columns, names = [*columns, pa.array(ids_out, pa.list_(pa.int32()))], [*names, "ids"]
-        yield pa.record_batch(columns, names=names)
+            if len(rows) >= ROWS:
+                yield batch_of()
+        yield batch_of()
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY, waste: float = WASTE, id_col: str = "doc_id", text_col: str = "text", files: tuple[str, str, str] | None = None, with_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = CAPACITY, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", files: tuple[str, str, str] | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, class, and with_ids its ids."""
-    scratch = Scratch(docs.sparkSession, "packing")
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
-    pieces = scratch.table(read.mapInArrow(partial(_pieces, files=files or vocabulary(), capacity=capacity, waste=waste, with_ids=with_ids), schema), "pieces")
-    counts = pieces.groupBy("class", "task").agg(F.count("*").alias("n"))
-    begins = counts.select("class", "task", (F.sum("n").over(Window.partitionBy("class").orderBy("task")) - F.col("n")).alias("begin"))
-    place = F.col("begin") + F.col("number")
-    rows = pieces.join(begins, ["class", "task"]).withColumn("place", place).withColumn("sequence_id", F.floor(F.col("place") / F.col("class")) * (capacity + 1) + F.col("class"))
-    before = F.sum("length").over(Window.partitionBy("sequence_id").orderBy("place")) - F.col("length")
-    return rows.withColumn("offset", before).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", F.col("class").cast("long").alias("class"), *(["ids"] if with_ids else []))
+    return read.mapInArrow(partial(_pieces, files=files or vocabulary(), capacity=capacity, least=least, with_ids=with_ids), schema)
 
 
 def sequences(pieces: DataFrame, capacity: int = CAPACITY, pad_id: int = END_ID) -> DataFrame:
