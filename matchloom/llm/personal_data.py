@@ -3,9 +3,10 @@
 Base rules are leftmost, non-overlapping matches for each kind (KINDS), each then checked and dropped if it fails. The network is
 trained in numpy from labelled spans: those of the base rules in a bounded sample of the texts, and written variants of
 them (spelled-out e-mail addresses, numbers without a plus, addresses with other separators), each labelled where it is put into
-sampled text. Every text is cut into windows of WINDOW characters, OVERLAP of them shared with the next; each window's best tag path
-is decoded. Spans that windows cut or see twice are joined, and of those
-that still overlap in a document the set of the greatest total score stays. A span of the network that meets a base span, is
+sampled text. Every text is cut into windows of WINDOW characters, OVERLAP of them shared with the next, which is more than MOST, so any span that may
+be added lies whole in a window; each window's best tag path is decoded. Spans of one kind that share characters are joined: a later piece adds its
+margin for the characters that are new. Spans that only touch stay two. Of spans of several kinds that overlap in a document the set of the greatest
+total score stays. A span of the network that meets a base span, is
 not of LEAST to MOST characters, has fewer digits than its kind needs or a mean margin below MARGIN is left out, so base spans
 always stay as they are.
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
-WINDOW, OVERLAP = 256, 40
+WINDOW, OVERLAP = 512, 96
 HIDDEN, EMBED = 8, 8
 LEAST, MOST, MARGIN = 7, 80, 1.0
 LEAST_DIGITS = (0, 4, 12, 7)
@@ -281,24 +282,56 @@ class Network:
 # ---- labelled spans ------------------------------------------------------------------------------------------------------
 
 
-def _variant(rng: np.random.Generator) -> tuple[int, str]:
-    """A span that the base rules don't have, and its kind."""
-    letters = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
-    digits = lambda n: "".join(str(c) for c in rng.integers(0, 10, n))
-    pick = lambda *x: x[int(rng.integers(len(x)))]
-    kind = int(rng.integers(len(KINDS)))
-    if kind == 0:
-        at, dot = pick((" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), ("(at)", "."), (" [at] ", "."))
-        return 0, letters(int(rng.integers(3, 10))) + pick("", ".", "_") + pick("", digits(2)) + at + letters(int(rng.integers(3, 9))) + dot + pick("com", "org", "net", "example" + dot + "com")
-    if kind == 1:
-        return 1, pick("[.]", "(.)", " . ").join(str(int(x)) for x in rng.integers(1, 255, 4))
-    if kind == 2:
-        return 2, pick(".", "/", "_").join(digits(4) for _ in range(4))
-    return 3, pick(f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"00{digits(2)} {digits(3)} {digits(7)}", f"tel. {digits(3)}/{digits(7)}")
-
-
-def labelled(texts: list[str], size: int = 96, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of classes and tags: around base spans, around variants put into text, and of text without any."""
+def _letters(rng, n: int) -> str:
+    return "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+
+
+def _digits(rng, n: int) -> str:
+    return "".join(str(c) for c in rng.integers(0, 10, n))
+
+
+def _spelled(at: str, dot: str):
+    """An e-mail address with other signs for @ and the dot."""
+
+    def make(rng: np.random.Generator) -> str:
+        tail = ("com", "org", "net", "example" + dot + "com")[int(rng.integers(4))]
+        return _letters(rng, int(rng.integers(3, 10))) + ("", ".", "_")[int(rng.integers(3))] + ("", _digits(rng, 2))[int(rng.integers(2))] + at + _letters(rng, int(rng.integers(3, 9))) + dot + tail
+
+    return make
+
+
+#: Written variants that the base rules don't have: (kind, how one is made).
+VARIANTS = [
+    *((0, _spelled(*x)) for x in ((" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), ("(at)", "."), (" [at] ", "."))),
+    *((1, lambda rng, sign=sign: sign.join(str(int(x)) for x in rng.integers(1, 255, 4))) for sign in ("[.]", "(.)", " . ")),
+    *((2, lambda rng, sign=sign: sign.join(_digits(rng, 4) for _ in range(4))) for sign in (".", "/", "_")),
+    (3, lambda rng: f"({_digits(rng, 3)}) {_digits(rng, 3)}-{_digits(rng, 4)}"),
+    (3, lambda rng: f"{_digits(rng, 3)}-{_digits(rng, 3)}-{_digits(rng, 4)}"),
+    (3, lambda rng: f"00{_digits(rng, 2)} {_digits(rng, 3)} {_digits(rng, 7)}"),
+    (3, lambda rng: f"tel. {_digits(rng, 3)}/{_digits(rng, 7)}"),
+]
+
+
+def _variant(rng: np.random.Generator, variants: list) -> tuple[int, str]:
+    """Kinds are drawn alike, then the variants of the kind."""
+    kinds = sorted({k for k, _ in variants})
+    kind = kinds[int(rng.integers(len(kinds)))]
+    own = [make for k, make in variants if k == kind]
+    return kind, own[int(rng.integers(len(own)))](rng)
+
+
+def _drawn(rng: np.random.Generator, spans: list[tuple[int, int, int]], most: int) -> list[tuple[int, int, int]]:
+    """At most so many spans, one of each kind in turn, at random within a kind."""
+    turns = []
+    for kind in range(len(KINDS)):
+        own = [s for s in spans if s[0] == kind]
+        turns += [(n, kind, own[i]) for n, i in enumerate(rng.permutation(len(own)).tolist())]
+    return [s for *_, s in sorted(turns)[:most]]
+
+
+def labelled(texts: list[str], size: int = 96, seed: int = 5, per_text: int = 6, variants: list = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of classes and tags: around base spans, of a text at most `per_text`, drawn over its kinds in turn, around variants put into text, and of text
+    without any."""
     rng = np.random.default_rng(seed)
     rows, tags = [], []
 
@@ -319,11 +352,11 @@ def labelled(texts: list[str], size: int = 96, seed: int = 5) -> tuple[np.ndarra
         if not text:
             continue
         spans = base_spans(text)
-        for _, start, _ in spans[:6]:
+        for _, start, _ in _drawn(rng, spans, per_text):
             add(text, spans, max(0, start - int(rng.integers(0, size * 3 // 4))))
         at = int(rng.integers(0, max(1, len(text) - size)))
         add(text, spans, at)
-        kind, value = _variant(rng)
+        kind, value = _variant(rng, variants)
         gap = text.find(" ", at + size // 4)
         gap = min(gap, at + size // 2) if gap >= 0 else min(len(text), at + size // 2)
         whole = text[at:gap] + " " + value + " " + text[gap : gap + size]
@@ -335,14 +368,14 @@ def labelled(texts: list[str], size: int = 96, seed: int = 5) -> tuple[np.ndarra
     return np.stack(rows) if rows else np.zeros((0, size), np.uint8), np.stack(tags) if tags else np.zeros((0, size), np.uint8)
 
 
-def train(docs: DataFrame, sample: int = 800, chars: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
+def train(docs: DataFrame, sample: int = 800, chars: int = 6000, per_text: int = 6, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
     """Fits on a sample of at most `sample` texts (least hashes of their ids), of at most `chars` characters each from a hashed place on."""
     ids = docs.where(F.length(F.col(text_col)) > 0).select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
     text = F.col(text_col).cast("string")
     start = F.pmod(F.xxhash64("_id", F.lit(3)), F.greatest(F.length(text) - chars, F.lit(1))).cast("int") + 1
     got = docs.withColumn("_id", F.col(id_col).cast("long")).join(F.broadcast(ids), "_id").where(text != "").groupBy("_id").agg(F.min(F.substring(text, start, F.lit(chars))).alias("part"))
     texts = [r.part for r in sorted(got.collect(), key=lambda r: r._id)]
-    windows, tags = labelled(texts)
+    windows, tags = labelled(texts, per_text=per_text)
     return Network().fit(windows, tags) if len(windows) else None
 
 
@@ -350,13 +383,16 @@ def train(docs: DataFrame, sample: int = 800, chars: int = 6000, id_col: str = "
 
 
 def reconciled(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
-    """(kind, start, end, score): joins spans of one kind that meet, then keeps the non-overlapping set of the greatest score."""
+    """(kind, start, end, score): joins spans of one kind that share characters, then keeps the non-overlapping set of the greatest score."""
     joined: list[list] = []
     for kind in range(len(KINDS)):
         last = None
         for _, a, b, s in sorted(x for x in spans if x[0] == kind):
-            if last is not None and a <= last[2]:
-                last[2], last[3] = max(last[2], b), max(last[3], s)
+            if last is not None and a < last[2]:
+                if b > last[2]:  # the new characters' part of the piece's score
+                    last[2], last[3] = b, last[3] + s * (b - last[2]) / (b - a)
+                elif s > last[3]:
+                    last[3] = s
             else:
                 joined.append(last := [kind, a, b, s])
     joined.sort(key=lambda x: (x[2], x[1]))
@@ -438,7 +474,7 @@ def _joined(spans: list) -> str:
 def _score(batches, model):
     network = model.value
     prepared = network.prepared() if network else None
-    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added", "n_spans"]
     for batch in batches:
         texts = [x or "" for x in batch.column(1).to_pylist()]
         at = 0
@@ -449,17 +485,17 @@ def _score(batches, model):
                 to += 1
             rows = []
             for base, spans in all_spans(texts[at:to], network, prepared):
-                rows.append((*(sum(k == kind for k, *_ in base) for kind in range(len(KINDS))), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), len(spans) - len(base)))
-            types = [pa.int64()] * len(KINDS) + [pa.string(), pa.string(), pa.int64()]
+                rows.append((*(sum(k == kind for k, *_ in base) for kind in range(len(KINDS))), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), len(spans) - len(base), len(spans)))
+            types = [pa.int64()] * len(KINDS) + [pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.record_batch([batch.column(0).slice(at, to - at), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=names)
             at = to
 
 
 def personal_data(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base counts by kind, base_sha256, spans (kind:start:end, comma-joined) and n_added for every document."""
+    """doc_id, base counts by kind, base_sha256, spans (kind:start:end, comma-joined), n_added and n_spans (added ones, and all) for every document."""
     held = docs.sparkSession.sparkContext.broadcast(network)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return read.mapInArrow(partial(_score, model=held), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return read.mapInArrow(partial(_score, model=held), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
