@@ -3,9 +3,13 @@
 Words (see shingles) of every document are held against those of every benchmark item. A Karp-Rabin hash of each `least`
 words in a row finds shared seeds; seeds on one diagonal make maximal matches; the longest match whose words are free on
 both sides is marked as a tile, again and again, until none of `least` words is left (ties: the earlier place in the item,
-then in the document). A tile's words are compared byte for byte. Coverage is the share of the item's words under tiles, so
+then in the document). A tile's words are compared byte for byte, and a match is split where they differ. Coverage is the share of the item's words under tiles, so
 a passage counts in whatever order its parts come. Items of fewer words than `least` count as one seed of their own length.
 
+Seeds are held as postings, those of the text by place and those of the item by hash, and are paired for one text and item at a time, in ranges of
+diagonals of about PAIRS pairs; a pair of texts is looked into only if its seeds could cover enough of the item. So memory follows the text and the item,
+not the number of equal places: a text of one word over and over costs time, not memory.
+
 The benchmark is gathered in blocks of a fixed number of bytes and each block meets all documents in one pass without a
 shuffle; a larger benchmark makes more blocks. Nulls and empty texts match nothing, nor do items without words; repeated
 rows give repeated results; extra columns are kept by `clean_documents` and not read by `leaks`.
@@ -26,12 +30,13 @@ from .shingles import LOWER, shingle_hashes, word_hashes
 
 LEAST_WORDS = 5
 COVERAGE_PERCENT = 50
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 32_000_000
 FILTER_BITS = 22
+PAIRS = 1_000_000
 
 
 class Items:
-    """The seeds of one block of the benchmark, sorted by hash, by seed length."""
+    """One block of the benchmark: ids, words, numbers of words, and seeds by their length."""
 
     def __init__(self, ids: list, texts: list, least: int):
         self.ids, self.words, seeds = ids, [], {}
@@ -46,49 +51,108 @@ class Items:
                 length = min(least, b - a)
                 found = shingle_hashes(hashes[a:b], length)
                 seeds.setdefault(length, []).append((found, np.full(len(found), item), np.arange(len(found))))
-        self.seeds = {}
-        for length, parts in seeds.items():
-            found, item, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(found, kind="stable")
-            found, item, place = found[order], item[order], place[order]
-            distinct, begin = np.unique(found, return_index=True)
-            cells = np.zeros(1 << FILTER_BITS, bool)
-            cells[(distinct >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.seeds[length] = distinct, np.r_[begin, len(found)], item, place, np.packbits(cells, bitorder="little")
-
-
-def _tiles(doc_at: np.ndarray, item_at: np.ndarray, length: int, words: list[bytes], word) -> list[tuple[int, int, int]]:
-    """Greedy tiles (document word, item word, words) from the seeds that a document and an item share."""
-    diagonal = doc_at - item_at
-    order = np.lexsort((doc_at, diagonal))
-    d, at = diagonal[order], doc_at[order]
-    cut = np.flatnonzero((d[1:] != d[:-1]) | (at[1:] != at[:-1] + 1)) + 1
-    begin, end = np.r_[0, cut], np.r_[cut, len(d)]
-    heap = [(-int(e - b) - length + 1, int(at[b] - d[b]), int(at[b])) for b, e in zip(begin, end, strict=True)]
-    heapq.heapify(heap)
-    used, taken = bytearray(len(words)), {}
-    tiles = []
-    while heap:
-        size, j, i = heapq.heappop(heap)
-        size = -size
-        free = [not used[j + k] and i + k not in taken for k in range(size)]
-        if all(free):
-            if all(word(i + k) == words[j + k] for k in range(size)):
-                used[j : j + size] = b"\1" * size
-                taken.update(dict.fromkeys(range(i, i + size)))
-                tiles.append((i, j, size))
+        self.sizes = np.array([len(w) for w in self.words])
+        self.seeds = {length: Seeds(*(np.concatenate(x) for x in zip(*parts, strict=True))) for length, parts in seeds.items()}
+
+
+class Seeds:
+    """Postings of seeds of one length: distinct hashes, for each the items that have it with their number of places, and each item's places by hash."""
+
+    def __init__(self, found: np.ndarray, item: np.ndarray, place: np.ndarray):
+        order = np.lexsort((place, item, found))
+        found, item = found[order], item[order]
+        new = np.r_[True, (found[1:] != found[:-1]) | (item[1:] != item[:-1])]
+        at = np.flatnonzero(new)
+        self.items, self.counts = item[at], np.diff(np.r_[at, len(found)])
+        self.hashes, first = np.unique(found[at], return_index=True)
+        self.begin = np.r_[first, len(at)]
+        cells = np.zeros(1 << FILTER_BITS, bool)
+        cells[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.cells = np.packbits(cells, bitorder="little")
+        # by item: its hashes' numbers, where the places of each begin, the places
+        number = np.searchsorted(self.hashes, found)
+        by_item = np.lexsort((place[order], number, item))
+        self.by_item, self.number, self.place = item[by_item], number[by_item], place[order][by_item]
+
+    def of(self, item: int) -> tuple[np.ndarray, np.ndarray]:
+        """The item's seeds as (number of the hash, place), sorted."""
+        a, b = np.searchsorted(self.by_item, [item, item + 1])
+        return self.number[a:b], self.place[a:b]
+
+
+def _runs(at: np.ndarray, number: np.ndarray, of_item: tuple[np.ndarray, np.ndarray]):
+    """Maximal runs of seeds on one diagonal, as arrays (doc word, item word, seeds): at and number are the text's seeds by place."""
+    numbers, places = of_item
+    first, last = np.searchsorted(numbers, number), np.searchsorted(numbers, number, side="right")
+    has = last > first
+    at, first = at[has], first[has]
+    if not len(at):
+        return
+    low, high = int(at[0] - places.max()), int(at[-1] - places.min()) + 1
+    ranges = [(low, high)]
+    # places are sorted within a hash, so those of a range of diagonals are a slice of each seed's places
+    wide = int(places.max()) + 2
+    order, own = numbers * wide + places, numbers[first]
+    while ranges:
+        low, high = ranges.pop()
+        a = np.searchsorted(order, own * wide + np.clip(at - high + 1, 0, wide - 1))
+        b = np.searchsorted(order, own * wide + np.clip(at - low + 1, 0, wide - 1))
+        count = b - a
+        if (n := int(count.sum())) > PAIRS and high - low > 1:
+            middle = (low + high) // 2
+            ranges += [(middle, high), (low, middle)]
+            continue
+        if not n:
             continue
-        k = 0
-        while k < size:
-            if not free[k]:
-                k += 1
+        where = places[np.repeat(a - np.cumsum(count) + count, count) + np.arange(n)]
+        doc = np.repeat(at, count)
+        diagonal = doc - where
+        by = np.lexsort((doc, diagonal))
+        d, i = diagonal[by], doc[by]
+        cut = np.flatnonzero((d[1:] != d[:-1]) | (i[1:] != i[:-1] + 1)) + 1
+        begin, end = np.r_[0, cut], np.r_[cut, n]
+        yield np.stack([i[begin], i[begin] - d[begin], end - begin]).astype(np.int32)
+
+
+def _free(used: np.ndarray, length: int) -> bool:
+    """Whether so many words in a row are still free."""
+    edge = np.flatnonzero(np.diff(np.r_[True, used, True].view(np.int8)))
+    return len(edge) > 0 and int((edge[1::2] - edge[::2]).max()) >= length
+
+
+def _tiles(runs, first: int, size: int, length: int, words: list[bytes], word) -> list[tuple[int, int, int]]:
+    """Greedy tiles (document word, item word, words) from runs of seeds; the document's words are first to first + size. Runs are taken by length from
+    a sorted array, what is left of a run that was split comes from a heap."""
+    parts = list(runs)
+    if not parts:
+        return []
+    at, place, count = np.concatenate(parts, axis=1)
+    order = np.lexsort((at, place, -count))
+    used, taken, tiles, heap, next_run = np.zeros(len(words), bool), np.zeros(size, bool), [], [], 0
+    while next_run < len(order) or heap:
+        run = (1, 0, 0)
+        if next_run < len(order):
+            x = order[next_run]
+            run = (-int(count[x]) - length + 1, int(place[x]), int(at[x]))
+        if heap and heap[0] < run:
+            n, j, i = heapq.heappop(heap)
+        else:
+            n, j, i = run
+            next_run += 1
+        n, own = -n, i - first
+        bad = used[j : j + n] | taken[own : own + n]
+        if not bad.any():
+            bad = np.array([word(i + k) != words[j + k] for k in range(n)])
+            if not bad.any():
+                used[j : j + n] = taken[own : own + n] = True
+                tiles.append((i, j, n))
+                if not _free(used, length):
+                    break
                 continue
-            e = k
-            while e < size and free[e]:
-                e += 1
-            if e - k >= length:
-                heapq.heappush(heap, (k - e, j + k, i + k))
-            k = e
+        edge = np.flatnonzero(np.diff(np.r_[True, bad, True].view(np.int8)))
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            if b - a >= length:
+                heapq.heappush(heap, (a - b, j + a, i + a))
     return tiles
 
 
@@ -102,33 +166,33 @@ def _matches(column: pa.Array, items: Items, percent: int):
         def word(k, part=part, starts=starts, ends=ends):
             return LOWER[part[starts[k] : ends[k]]].tobytes()
 
-        for length, (distinct, begin, item, place, cells) in items.seeds.items():
+        for length, seeds in items.seeds.items():
             found = shingle_hashes(hashes, length)
             cell = (found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            at = np.flatnonzero((cells[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1)
-            k = np.minimum(np.searchsorted(distinct, found[at]), len(distinct) - 1)
-            right = distinct[k] == found[at]
+            at = np.flatnonzero((seeds.cells[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1)
+            k = np.minimum(np.searchsorted(seeds.hashes, found[at]), len(seeds.hashes) - 1)
+            right = seeds.hashes[k] == found[at]
             at, k = at[right], k[right]
             row = np.searchsorted(first, at, side="right") - 1
             inside = at + length <= first[row + 1]
             at, k, row = at[inside], k[inside], row[inside]
             if not len(at):
                 continue
-            count = begin[k + 1] - begin[k]
-            each = np.repeat(begin[k] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            row, at, who, where = np.repeat(row, count), np.repeat(at, count), item[each], place[each]
-            pair = row * len(items.ids) + who
-            order = np.argsort(pair, kind="stable")
-            cuts = np.flatnonzero(np.diff(pair[order])) + 1
-            for one in np.split(order, cuts):
-                words = items.words[who[one[0]]]
-                if not words or 100 * min(len(words), length * len(np.unique(where[one]))) < percent * len(words):
-                    continue
-                tiles = _tiles(at[one], where[one], length, words, word)
-                covered = sum(t[2] for t in tiles)
-                if tiles and 100 * covered >= percent * len(words):
-                    base = int(first[row[one[0]]])
-                    yield a + int(row[one[0]]), int(who[one[0]]), covered, [(i - base, j, n) for i, j, n in tiles]
+            cuts = np.flatnonzero(np.diff(row)) + 1
+            for begin, end in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(at)].tolist(), strict=True):
+                here, numbers, r = at[begin:end], k[begin:end], int(row[begin])
+                each = np.unique(numbers)
+                count = seeds.begin[each + 1] - seeds.begin[each]
+                which = np.repeat(seeds.begin[each] - np.cumsum(count) + count, count) + np.arange(count.sum())
+                places = np.bincount(seeds.items[which], seeds.counts[which], len(items.ids))
+                for item in np.flatnonzero(100 * np.minimum(items.sizes, length * places) >= percent * items.sizes).tolist():
+                    if not places[item]:
+                        continue
+                    lo, hi = int(first[r]), int(first[r + 1])
+                    tiles = _tiles(_runs(here, numbers, seeds.of(item)), lo, hi - lo, length, items.words[item], word)
+                    covered = sum(t[2] for t in tiles)
+                    if tiles and 100 * covered >= percent * len(items.words[item]):
+                        yield a + r, item, covered, [(i - lo, j, n) for i, j, n in tiles]
 
 
 def _pairs(batches, items, percent: int):
