@@ -2,15 +2,16 @@
 
 Two tables of turns (pair, turn, role, text) give the chosen and the rejected conversation of each pair. Turns stand in the order
 of their numbers; rows of one number stand by role and text. The prompt ends before the first number at which the two
-conversations differ in role, text or number of rows. It is found by an aggregate over hashes of turns, so no conversation
-is ever gathered: the texts are shuffled once, in blocks of BLOCK turn numbers.
+conversations differ in role, text or number of rows, found by an aggregate over two 64-bit hashes of each row (128 bits; texts that differ and
+agree in both would be taken as equal). Only hashes travel for that. The texts are shuffled once, by pair and block of BLOCK turn numbers, to where
+each block's split is joined to them, so no conversation is ever gathered, however long.
 
-Result: one row per pair, part (prompt, chosen, rejected) and block, the blocks in order make the part; a pair of ordinary
-length has one block for each part. `text` is the rendered turns and `mask` its learned spans (start:end in characters, end
-exclusive, comma-joined): text and end mark of assistant turns in completions, nothing in a prompt. `prompt_turns` is the
-number of rows in the prompt. A part without turns has no row. Conversations that are equal have only a prompt; a pair with
-one conversation only has no prompt. A null role or text is empty, a null turn stands last, rows without a pair id belong
-to no pair and are left out; extra columns are ignored.
+Result: one row per pair and block, with the prompt and both completions side by side; the blocks in order make each text. A pair
+of ordinary length has one row. `chosen` and `rejected` are rendered turns, `chosen_mask` and `rejected_mask` their learned spans (start:end in
+characters, end exclusive, comma-joined): text and end mark of assistant turns. Nothing in a prompt is learned. `n_turns` counts the rows rendered,
+`prompt_turns` those of the pair's whole prompt. A text without turns is empty: conversations that are equal have empty completions, a pair with
+one conversation only has an empty prompt and one empty completion. A null role or text is empty, a null turn stands last, rows without a pair id belong
+to no pair and are left out; repeated rows are rendered as often as they stand; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,24 +41,28 @@ def _same(side: str) -> list[Column]:
 
 
 def preference_rows(chosen: DataFrame, rejected: DataFrame, id_col: str = "conv_id", learned: str = "assistant") -> DataFrame:
-    """pair_id, part, block, text, mask, n_turns, prompt_turns; see the module."""
-    rows = _side(chosen, "chosen", id_col).union(_side(rejected, "rejected", id_col))
-    turns = rows.groupBy("pair_id", "turn").agg(F.struct(*_same("chosen")).alias("c"), F.struct(*_same("rejected")).alias("r"))
-    turns = turns.select("pair_id", "turn", F.col("c.col1").alias("n"), (F.col("c.col1") == F.col("r.col1")).alias("as_many"), ((F.col("c.col2") == F.col("r.col2")) & (F.col("c.col3") == F.col("r.col3"))).alias("alike"))
-    split = turns.groupBy("pair_id").agg(F.coalesce(F.min(F.when(~(F.col("as_many") & F.col("alike")), F.col("turn"))), F.lit(LAST + 1)).alias("split"))
-    own = rows.join(split, "pair_id").where("side = 'chosen' or turn >= split")
+    """pair_id, block, prompt, chosen, chosen_mask, rejected, rejected_mask, n_turns, prompt_turns; see the module."""
+    rows = _side(chosen, "chosen", id_col).union(_side(rejected, "rejected", id_col)).withColumn("block", F.floor(F.col("turn") / BLOCK))
+    turns = rows.groupBy("pair_id", "turn", "block").agg(F.struct(*_same("chosen")).alias("c"), F.struct(*_same("rejected")).alias("r"))
+    turns = turns.select("pair_id", "turn", "block", F.col("c.col1").alias("n"), (F.col("c") == F.col("r")).alias("alike"))
+    split = turns.groupBy("pair_id").agg(F.coalesce(F.min(F.when(~F.col("alike"), F.col("turn"))), F.lit(LAST + 1)).alias("split"))
+    placed = turns.join(split, "pair_id")
+    before = placed.groupBy("pair_id").agg(F.min("split").alias("split"), F.coalesce(F.sum(F.when(F.col("turn") < F.col("split"), F.col("n"))), F.lit(0)).cast("long").alias("prompt_turns"))
+    blocks = turns.select("pair_id", "block").distinct().join(before, "pair_id")
+    own = rows.join(blocks, ["pair_id", "block"]).where("side = 'chosen' or turn >= split")
     part = F.when(F.col("turn") < F.col("split"), "prompt").otherwise(F.col("side"))
     head = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    own = own.select("pair_id", part.alias("part"), F.floor(F.col("turn") / BLOCK).alias("block"), "turn", "role", "text", F.concat(head, "text", F.lit("<|end|>\n")).alias("whole"), F.length(head).alias("head"))
-    order = Window.partitionBy("pair_id", "part", "block").orderBy("turn", "role", "text")
+    own = own.select("pair_id", "block", "prompt_turns", part.alias("part"), "turn", "role", "text", F.concat(head, "text", F.lit("<|end|>\n")).alias("whole"), F.length(head).alias("head"))
+    order = Window.partitionBy("pair_id", "block", "part").orderBy("turn", "role", "text")
     own = own.withColumn("end", F.sum(F.length("whole")).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("at", F.row_number().over(order))
     start = F.col("end") - F.length("whole") + F.col("head")
     span = F.when((F.col("part") != "prompt") & (F.col("role") == learned), F.concat(start.cast("string"), F.lit(":"), F.col("end").cast("string")))
-    inner = F.array_sort(F.collect_list(F.struct("at", "whole", span.alias("span"))))
-    done = own.groupBy("pair_id", "part", "block").agg(inner.alias("all"), F.count("*").alias("n_turns"))
-    done = done.select("pair_id", "part", "block", F.array_join("all.whole", "").alias("text"), F.array_join("all.span", ",").alias("mask"), "n_turns")
-    before = turns.join(split, "pair_id").groupBy("pair_id").agg(F.coalesce(F.sum(F.when(F.col("turn") < F.col("split"), F.col("n"))), F.lit(0)).cast("long").alias("prompt_turns"))
-    return done.join(before, "pair_id")
+    each = F.array_sort(F.collect_list(F.struct("at", "part", "whole", span.alias("span"))))
+    done = own.groupBy("pair_id", "block").agg(F.min("prompt_turns").alias("prompt_turns"), each.alias("all"), F.count("*").alias("n_turns"))
+    of = lambda name: F.filter("all", lambda x: x.part == name)
+    text = lambda name: F.array_join(F.transform(of(name), lambda x: x.whole), "")
+    mask = lambda name: F.array_join(F.filter(F.transform(of(name), lambda x: x.span), lambda x: x.isNotNull()), ",")
+    return done.select("pair_id", "block", text("prompt").alias("prompt"), text("chosen").alias("chosen"), mask("chosen").alias("chosen_mask"), text("rejected").alias("rejected"), mask("rejected").alias("rejected_mask"), "n_turns", "prompt_turns")
 
 
 def with_other_answers(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:

@@ -43,8 +43,10 @@ parts as (select s.pair_id, case when s.turn < p.split then 'prompt' else s.side
   from sides s join split p on s.pair_id = p.pair_id where s.side = 'chosen' or s.turn >= p.split),
 placed as (select *, head || text || '<|end|>' || chr(10) as whole, row_number() over w as pos, sum(length(head || text || '<|end|>' || chr(10))) over (w rows unbounded preceding) as e
   from parts window w as (partition by pair_id, part, block order by turn, role, text)),
-done as (select pair_id, part, cast(block as bigint) as block, string_agg(whole, '' order by pos) as text,
-  coalesce(string_agg(case when part <> 'prompt' and role = 'assistant' then cast(e - length(whole) + length(head) as varchar) || ':' || cast(e as varchar) end, ',' order by pos), '') as mask, count(*) as n_turns from placed group by 1, 2, 3)
+done as (select pair_id, cast(block as bigint) as block, coalesce(string_agg(whole, '' order by pos) filter (part = 'prompt'), '') as prompt,
+  coalesce(string_agg(whole, '' order by pos) filter (part = 'chosen'), '') as chosen, coalesce(string_agg(span, ',' order by pos) filter (part = 'chosen'), '') as chosen_mask,
+  coalesce(string_agg(whole, '' order by pos) filter (part = 'rejected'), '') as rejected, coalesce(string_agg(span, ',' order by pos) filter (part = 'rejected'), '') as rejected_mask, count(*) as n_turns
+  from (select *, case when part <> 'prompt' and role = 'assistant' then cast(e - length(whole) + length(head) as varchar) || ':' || cast(e as varchar) end as span from placed) group by 1, 2)
 select d.*, cast((select coalesce(sum(q.n), 0) from per_turn q where q.pair_id = d.pair_id and q.turn < p.split) as bigint) as prompt_turns from done d join split p on p.pair_id = d.pair_id""",
     "op8_content_archive": """
 with p as (select page_id, sha256(coalesce(html, '')) as payload_digest, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes from pages),
