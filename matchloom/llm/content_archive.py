@@ -9,7 +9,8 @@ is joined as a skewed join of its small columns.
 
 A null payload is empty. A null id counts as the largest; rows of the least id with one payload are all responses. A null URL
 leaves its line out; line breaks in one are percent-encoded. Extra columns are not stored. A payload whose bytes don't hash to
-its digest, and a header whose payload is missing, stop the read.
+its digest, and a header whose payload is missing, stop the read. On writing, payloads of one digest are compared by their length and a
+second, independent hash; if any differ, the write stops, so nothing is stored under another payload's digest.
 """
 
 from __future__ import annotations
@@ -57,8 +58,10 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
     """Writes `payloads` and `headers` under root."""
     spark = pages.sparkSession
     rows = _records(pages, id_col, url_col, payload_col)
-    stored = rows.groupBy("digest").agg(F.first("payload").alias("payload"), F.min("record").alias("first"))
-    stored.select("digest", "payload", F.octet_length("payload").cast("long").alias("bytes"), "first").write.option("compression", "zstd").parquet(f"{root}/payloads")
+    second = F.xxhash64("bytes", "payload")
+    stored = rows.groupBy("digest").agg(F.first("payload").alias("payload"), F.min("record").alias("first"), F.min(second).alias("low"), F.max(second).alias("high"))
+    same = F.when(F.col("low") == F.col("high"), F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("different payloads hash to "), F.col("digest"))).cast("binary"))
+    stored.select("digest", same.alias("payload"), F.octet_length("payload").cast("long").alias("bytes"), "first").write.option("compression", "zstd").parquet(f"{root}/payloads")
     first = spark.read.parquet(f"{root}/payloads").select("digest", "first")
     records = rows.drop("payload").join(first, "digest")
     later = (F.col("bytes") >= least_bytes) & F.col("first").isNotNull() & (F.col("record").isNull() | (F.col("record") > F.col("first")))
@@ -94,7 +97,19 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
 
 
 def warc_records(spark: SparkSession, root: str) -> DataFrame:
-    """record and warc: each record's bytes as they stand in a WARC file."""
+    """record and warc: each record's bytes as they stand in a WARC file; of a revisit these are its headers alone."""
     end = F.encode(F.lit(CRLF * 2), "UTF-8")
     whole = F.when(F.col("record_type") == "response", F.concat("header", "payload", end)).otherwise(F.concat("header", end))
     return read_archive(spark, root).where("bytes >= 0").select("record", whole.alias("warc"))
+
+
+def rebuilt_facts(spark: SparkSession, root: str) -> DataFrame:
+    """record, record_type, refers_to, payload_bytes, payload_digest and warc_bytes, worked out from each record's rebuilt bytes: header and payload are
+    joined to the response as it was fetched, and what stands after the header is measured and hashed anew (a revisit's, too, with the payload that
+    it refers to)."""
+    end = F.encode(F.lit(CRLF * 2), "UTF-8")
+    at = F.octet_length("header")
+    rows = read_archive(spark, root).where("bytes >= 0").withColumn("fetched", F.concat("header", "payload", end))
+    body = F.substring(F.col("fetched"), at + 1, F.octet_length("fetched") - at - len(CRLF * 2))
+    stored = F.when(F.col("record_type") == "response", F.octet_length("fetched")).otherwise(at + len(CRLF * 2))
+    return rows.select("record", "record_type", "refers_to", F.octet_length(body).cast("long").alias("payload_bytes"), F.sha2(body, 256).alias("payload_digest"), stored.cast("long").alias("warc_bytes"))

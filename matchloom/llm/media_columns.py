@@ -1,7 +1,7 @@
 """FLAC media columns: bytes are stored as FLAC streams of 8-bit samples, and read back as PCM blocks with sample offsets.
 
 `encoded` and `pcm_blocks` work on a column of binary media; each row is coded on its own, many frames at a time, so nothing is
-shuffled. A null or empty text is the padding alone; repeated rows give equal streams; extra columns are ignored. Memory follows
+shuffled. `digests` reads a stored stream back as the same PCM blocks, in order, and works out all facts on the payload from them. A null or empty text is the padding alone; repeated rows give equal streams; extra columns are ignored. Memory follows
 the longest single text.
 """
 
@@ -21,6 +21,7 @@ from .common import exact_binary, slices, utf8
 
 PAD = 255
 SLICE_BYTES = 1_200_000
+SAMPLES = 64 * flac.BLOCK
 
 
 def _encode(batches, unit: int):
@@ -48,43 +49,71 @@ def _runs(batch: pa.RecordBatch, column: int):
         yield a, b, files, flac.decode([x or b"" for x in files])
 
 
+def _pcm(s: flac.Stream, samples: int):
+    """A stream's blocks in order: first sample, number of samples, where to start reading (byte, that frame's first sample), PCM bytes."""
+    wide = -(-s.bits // 8)
+    for at in range(0, len(s.pcm), samples):
+        x = s.pcm[at : at + samples]
+        yield at, len(x), *flac.seek_frame(s, at), x.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :wide].tobytes()
+
+
 def _blocks(batches, samples: int):
     schema = pa.schema([("doc_id", pa.int64()), ("first_sample", pa.int64()), ("n_samples", pa.int64()), ("frame_offset", pa.int64()), ("frame_sample", pa.int64()), ("pcm", pa.binary())])
     for batch in batches:
         for a, _, _, streams in _runs(batch, 1):
-            rows = []
-            for i, s in enumerate(streams):
-                wide = -(-s.bits // 8)
-                for at in range(0, len(s.pcm), samples):
-                    x = s.pcm[at : at + samples]
-                    rows.append((batch.column(0)[a + i].as_py(), at, len(x), *flac.seek_frame(s, at), x.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :wide].tobytes()))
+            rows = [(batch.column(0)[a + i].as_py(), *block) for i, s in enumerate(streams) for block in _pcm(s, samples)]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)] if rows else [pa.array([], t) for t in schema.types], schema=schema)
 
 
-def pcm_blocks(media: DataFrame, samples: int = 64 * flac.BLOCK, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+def pcm_blocks(media: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """One row per block of samples: doc_id, first_sample, n_samples, pcm (signed, little-endian, channels interleaved), and where to
     start reading the stream for it: frame_offset (byte) and frame_sample (that frame's first sample). Rows without media have none."""
     read = media.where(F.col(media_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(media_col).alias("media"))
     return read.mapInArrow(partial(_blocks, samples=samples), "doc_id long, first_sample long, n_samples long, frame_offset long, frame_sample long, pcm binary")
 
 
-def _digests(batches, unit: int):
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames"]
+class _Facts:
+    """Facts on a payload, from its PCM blocks of signed 8-bit samples as they come."""
+
+    def __init__(self):
+        self.hash, self.tail, self.size, self.last = hashlib.sha256(), b"", 0, None
+        self.peak = self.total = self.energy = self.crossings = 0
+
+    def add(self, pcm: bytes) -> None:
+        x = np.frombuffer(pcm, np.int8).astype(np.int64)
+        payload = (x + 128).astype(np.uint8).tobytes()
+        self.hash.update(payload)
+        self.tail, self.size = (self.tail + payload)[-32:], self.size + len(payload)
+        below = x < 0
+        self.crossings += int((below[1:] != below[:-1]).sum()) + (self.last is not None and bool(below[0]) != self.last)
+        self.last = bool(below[-1])
+        self.peak, self.total, self.energy = max(self.peak, int(np.abs(x).max())), self.total + int(x.sum()), self.energy + int((x * x).sum())
+
+    def row(self) -> tuple:
+        feature = f"samples={self.size};peak={self.peak};sum={self.total};energy={self.energy};crossings={self.crossings}"
+        return self.size, self.hash.hexdigest(), zlib.crc32(self.tail), feature
+
+
+def _digests(batches, samples: int):
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "blocks", "last_block_frame_offset"]
     for batch in batches:
         for a, b, files, streams in _runs(batch, 2):
             rows = []
             for file, s in zip(files, streams, strict=True):
-                x = s.pcm[:, 0]
-                payload = (x + 128).astype(np.uint8).tobytes()
-                crossings = int(((x[1:] < 0) != (x[:-1] < 0)).sum())
-                energy = int((x.astype(np.int64) ** 2).sum())
-                feature = f"samples={len(x)};peak={int(np.abs(x).max())};sum={int(x.sum(dtype=np.int64))};energy={energy};crossings={crossings}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), feature, len(s.offsets)))
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                facts, blocks, offset = _Facts(), 0, 0
+                for at, _, offset, _, pcm in _pcm(s, samples):
+                    if at != facts.size:
+                        raise ValueError("blocks are not gapless")
+                    facts.add(pcm)
+                    blocks += 1
+                size, digest, tail, feature = facts.row()
+                rows.append((size, digest, tail, len(file), hashlib.sha256(file).hexdigest(), feature, len(s.offsets), blocks, offset))
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=names)
 
 
-def digests(media: DataFrame, unit: int = flac.BLOCK) -> DataFrame:
-    """From `encoded` rows: facts on the payload as it is read back from the stream, and on the stream."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames long"
-    return media.mapInArrow(partial(_digests, unit=unit), schema)
+def digests(media: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """From `encoded` rows of one 8-bit channel: facts on the payload as its PCM blocks are read back from the stream in order, on the stream, and the
+    number of blocks with the byte of the frame where the last one starts."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames long, blocks long, last_block_frame_offset long"
+    return media.mapInArrow(partial(_digests, samples=samples), schema)

@@ -23,7 +23,9 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns.digests(media_columns.encoded(load(spark, sf_dir, "documents")))
+    """Every text stored as a FLAC stream, then the stored streams read back as PCM blocks."""
+    media = Scratch(spark, "media").table(media_columns.encoded(load(spark, sf_dir, "documents")), "media")
+    return media_columns.digests(media)
 
 
 def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,10 +46,11 @@ def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, then every record rebuilt by the join of headers and payloads, and measured and hashed as rebuilt."""
     scratch = Scratch(spark, "warc")
     content_archive.write_archive(load(spark, sf_dir, "pages"), scratch.root)
-    rows = content_archive.read_archive(spark, scratch.root)
-    return rows.select(F.col("record").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+    rows = content_archive.rebuilt_facts(spark, scratch.root)
+    return rows.select(F.col("record").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
