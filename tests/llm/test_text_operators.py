@@ -139,6 +139,29 @@ def test_tiling(spark):
     assert kept == {d for d, _ in rows} - {g[0] for g in got}
 
 
+def test_tiling_edges(spark):
+    bench = spark.createDataFrame([(1, "x " * 1000), (2, "one two three four five six seven"), (2, "one two three four five six seven")], "item_id long, text string")
+    rows = [(1, "x " * 200_000), (2, "ONE two three four five six seven"), (2, "ONE two three four five six seven"), (3, "y")]
+    got = sorted((r.doc_id, r.item_id, r.covered_words) for r in string_tiling.leaks(frame(spark, rows), bench).collect())
+    assert got == [(1, 1, 1000), *[(2, 2, 7)] * 4]
+    assert string_tiling.leaks(frame(spark, rows).limit(0), bench).count() == 0 == string_tiling.leaks(frame(spark, rows), bench.limit(0)).count()
+    assert string_tiling.clean_documents(frame(spark, rows), bench.limit(0)).count() == 4
+
+
+@pytest.mark.parametrize("pairs", [5, 1_000_000])
+def test_tiling_of_repeated_words(monkeypatch, pairs):
+    """Few different words, so many seeds on many diagonals, in small ranges of diagonals too."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(string_tiling, "PAIRS", pairs)
+    rng = random.Random(pairs)
+    for _ in range(30):
+        items, docs = ([" ".join(rng.choice("abc") for _ in range(rng.randint(1, n))) for _ in range(5)] for n in (25, 40))
+        got = sorted((r, i, c, tuple(sorted(t))) for r, i, c, t in string_tiling._matches(pa.array(docs), string_tiling.Items(list(range(5)), items, 3), 50))
+        tiles = {(r, i): brute_tiles(d.split(), x.split(), min(3, len(x.split()))) for r, d in enumerate(docs) for i, x in enumerate(items)}
+        assert got == sorted((r, i, sum(x[2] for x in t), tuple(t)) for (r, i), t in tiles.items() if t and 100 * sum(x[2] for x in t) >= 50 * len(items[i].split()))
+
+
 def test_base_spans():
     text = "a.b@c.d.e x@y @z.w 1.2.3.4 256.1.1.1 x 4111 1111-1111 1111 +1 (743) 555-3824 +12 m@n.o@p.q 12345678901234567890"
     got = [(personal_data.KINDS[k], text[a:b]) for k, a, b in personal_data.base_spans(text)]
@@ -182,6 +205,18 @@ def test_personal_data(spark):
     got = network.decode(network.emissions(windows, network.prepared()))
     hit = ((got > 0) & (tags > 0)).sum()
     assert hit / (tags > 0).sum() > 0.9 and hit / (got > 0).sum() > 0.9
+    # variants of which nothing was trained on: one of each kind is held out
+    new = [personal_data.VARIANTS[i] for i in (2, 6, 9, 13)]
+    old = [v for v in personal_data.VARIANTS if v not in new]
+    fewer = personal_data.Network().fit(*personal_data.labelled(texts, variants=old), steps=500)
+    rng, found = np.random.default_rng(3), []
+    for _ in range(120):
+        kind, value = personal_data._variant(rng, new)
+        text = f"some words before {value} and some after"
+        ((_, spans),) = personal_data.all_spans([text], fewer)
+        found.append(any(k == kind and a < 18 + len(value) and b > 18 for k, a, b in spans))
+    print(f"held-out variants found: {np.mean(found):.2f}")
+    assert np.mean(found) > 0.2
     long = "word " * 3000 + "me@there.org" + " word" * 3000
     rows = [(1, long), (1, long), (2, None), (3, ""), (4, "no data here"), (None, "me@there.org")]
     out = sorted(map(tuple, personal_data.personal_data(frame(spark, rows), network).select("doc_id", "n_email", "spans").where("doc_id is not null").collect()))
@@ -191,9 +226,19 @@ def test_personal_data(spark):
 
 
 def test_reconciled():
-    spans = [(0, 0, 10, 5.0), (0, 8, 14, 4.0), (1, 12, 20, 6.0), (1, 30, 40, 1.0), (2, 32, 36, 3.0)]
-    assert personal_data.reconciled(spans) == [(1, 12, 20, 6.0), (2, 32, 36, 3.0)]
+    spans = [(0, 0, 10, 5.0), (0, 8, 14, 4.0), (1, 12, 20, 9.0), (1, 30, 40, 1.0), (2, 32, 36, 3.0)]
+    assert personal_data.reconciled(spans) == [(1, 12, 20, 9.0), (2, 32, 36, 3.0)]
+    assert personal_data.reconciled([(0, 100, 150, 50.0), (0, 140, 180, 40.0)]) == [(0, 100, 180, 80.0)]
+    assert personal_data.reconciled([(0, 0, 10, 5.0), (0, 10, 20, 4.0)]) == [(0, 0, 10, 5.0), (0, 10, 20, 4.0)]
     assert personal_data.masked("write a@b.c now", [(0, 6, 11)]) == "write [email] now"
+    assert personal_data.OVERLAP > personal_data.MOST
+
+
+def test_every_kind_is_drawn():
+    text = "a@b.org " * 6 + "4111 1111 1111 1111 and 10.0.0.1 and +1 743 555 3824"
+    spans = personal_data.base_spans(text)
+    drawn = personal_data._drawn(np.random.default_rng(0), spans, 6)
+    assert len(spans) == 9 and {k for k, *_ in drawn} == {0, 1, 2, 3} and len(drawn) == 6
 
 
 def brute_weights(rows, targets):
@@ -246,7 +291,11 @@ def test_toxicity(spark):
     assert len(few) == 5 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in few) and few[0].score < 0.5
     assert subword_toxicity.without_toxic(frame(spark, rows).limit(0), model).count() == 0
     none = subword_toxicity.train(docs.limit(0), labels.limit(0))
-    assert none.score("anything") < 0.5
+    assert none.score("anything") == 0
+    filler = "plain words of a long text about nothing " * 700
+    long = spark.createDataFrame([(i, filler + ("vile slur here " * 2000 if i % 2 else "kind hello there " * 2000)) for i in range(40)], "doc_id long, text string")
+    of_long = subword_toxicity.train(long, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert of_long.score("a vile slur here") > of_long.score("a kind hello there")
 
 
 def test_pipeline(spark):
