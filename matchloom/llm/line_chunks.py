@@ -3,8 +3,8 @@
 A text's lines are hashed; after a line, a rolling hash over it and the WINDOW - 1 lines before decides whether a chunk ends
 (one time in DIVISOR), so an inserted line moves no boundary further on. Chunks of at least two lines that are not blank are
 grouped over all documents by hash and bytes. Of equal chunks that of the least doc_id and then the least line stays, all
-others are removed, in the same document too; the rest of a text keeps its order. Should two different chunks ever share a
-64-bit hash, neither is removed.
+others are removed, in the same document too; the rest of a text keeps its order. Two different chunks that share a 64-bit hash are told apart by
+the SHA-256 of their bytes, which travels with the hash.
 
 The texts of chunks are shuffled once, combined before the shuffle, so that a chunk in a third of all documents is one row per
 task; after it only hashes and line numbers travel. Ties (rows of one doc_id with the same chunk at the same line) all stay.
@@ -51,9 +51,10 @@ def _removals(docs: DataFrame) -> DataFrame:
     each = each.where(F.size(F.filter("part", lambda x: F.trim(x) != "")) >= 2).withColumn("chunk", F.array_join("part", "\n"))
     place = F.coalesce(F.col("_id").cast("decimal(38,0)"), F.lit("9223372036854775808").cast("decimal(38,0)")) * F.lit(2**32).cast("decimal(10,0)") + F.col("start")
     each = each.select("_id", "_hash", "start", "size", F.xxhash64("chunk").alias("h"), place.cast("decimal(38,0)").alias("place"), "chunk")
-    same_bytes = each.groupBy("h", "chunk").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    repeated = same_bytes.groupBy("h").agg(F.count("*").alias("kinds"), F.max("n").alias("n"), F.min("first").alias("first")).where("kinds = 1 and n > 1")
-    gone = each.drop("chunk").join(repeated.select("h", "first"), "h").where("place > first")
+    each = each.withColumn("digest", F.unhex(F.sha2(F.encode("chunk", "UTF-8"), 256)))
+    same_bytes = each.groupBy("h", "chunk").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("digest").alias("digest"))
+    repeated = same_bytes.where("n > 1").select("h", "digest", "first")
+    gone = each.drop("chunk").join(repeated, ["h", "digest"]).where("place > first")
     return gone.groupBy("_id", "_hash").agg(F.flatten(F.collect_set(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1))).alias("_gone"), F.count_distinct("start").alias("_cut"))
 
 

@@ -59,11 +59,13 @@ def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+    """Every passage of over 50 words that stands at an earlier place leaves the texts."""
+    return line_passages.without_repeated_passages(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
-def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_passages.without_repeated_passages(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+def content_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks between content-defined boundaries alone, as SQL can express them."""
+    return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
 QUERIES = {
@@ -79,6 +81,6 @@ QUERIES = {
         op8_content_archive,
         op9_subword_toxicity,
         op10_line_chunk_dedup,
-        op10_passage_dedup,
+        content_chunk_dedup,
     )
 }

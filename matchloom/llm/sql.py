@@ -17,7 +17,7 @@ reach as (select rep as x, rep as y from kinds where n > 0 union select r.x, l.y
 least_of as (select x, min(y) as component_id from reach group by x)
 select d.doc_id, cast(len(d.s) as bigint) as n_shingles, coalesce(c.component_id, d.doc_id) as component_id
 from sets d left join kinds k on k.s = list_sort(d.s) and k.n > 0 left join least_of c on c.x = k.rep""",
-    "op10_line_chunk_dedup": """
+    "content_chunk_dedup": """
 with lines as (select doc_id, md5(text) as h, string_split(text, chr(10)) as l from documents),
 hashed as (select *, list_transform(l, lambda x: cast('0x' || substr(md5(x), 1, 7) as bigint)) as v from lines),
 ends as (select *, list_filter(range(1, len(l)), lambda i: (v[i] + 31 * coalesce(v[i - 1], 0)) % 3 = 0) as e from hashed),
