@@ -39,3 +39,9 @@ def single(x: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """Null if the whole is 0."""
     return F.round(part.cast("decimal(20,4)") * 100 / F.nullif(whole.cast("decimal(20,4)"), F.lit(0).cast("decimal(20,4)")), digits).cast("double")
+
+
+def ordered_array(x: Column, *order: Column) -> Column:
+    """All values of a group as an array by the order, nulls kept; null order keys come last. For groups of a bounded size."""
+    keys = [k for i, c in enumerate(order) for k in (c.isNull().alias(f"n{i}"), c.alias(f"k{i}"))]
+    return F.transform(F.array_sort(F.collect_list(F.struct(*keys, x.alias("x")))), lambda s: s.x)

@@ -46,19 +46,73 @@ def presence_status(flags: dict[str, Column], rules: str = "candidate") -> Colum
     return out.otherwise(last) if out is not None else F.lit(last)
 
 
-def promotion(status: Column, code: Column, image: Column, own: Column, duplicate: Column, semantic: Column, quantity: Column, strict: bool = False) -> Column:
-    """A blocked row's tier. high: code pair, image and own code without semantic or quantity risk; medium: two of the three, not high; residual: the rest.
-    strict: a duplicate bars promotion too. Rows that aren't blocked have none."""
-    risk = semantic | quantity | (duplicate if strict else F.lit(False))
-    many = code.cast("int") + image.cast("int") + own.cast("int")
-    return F.when(status != "blocked", None).when(risk, "residual").when(many == 3, "high").when(many == 2, "medium").otherwise("residual")
+PROMOTION_FLAGS = ("blocked", "duplicate", "one_target", "pair", "one_item", "split", "semantic", "quantity", "same_family", "same_product", "cross_product", "unique_code", "absorbable", "single_risk", "code", "absent")
 
 
-def unique_evidence(evidence: DataFrame, code: str, pair: str, item: str, risk: Column) -> DataFrame:
-    """Evidence whose code leads to exactly one pair, whose pair serves one item and whose item has one pair; risky rows left out. (code, pair, item)."""
-    each = evidence.where(~F.coalesce(risk, F.lit(False))).select(code, pair, item).distinct()
-    one = lambda by, other, n: each.groupBy(by).agg(F.count_distinct(other).alias(n)).where(f"{n} = 1").select(by)
-    return each.join(one(code, pair, "n_pairs"), code, "left_semi").join(one(pair, item, "n_items"), pair, "left_semi").join(one(item, pair, "n_own"), item, "left_semi").select(code, pair, item)
+def promotion(flags: dict[str, Column]) -> dict[str, Column]:
+    """Columns tier (high, medium or not_candidate) and conflict of blocked rows whose own code repeats. flags: PROMOTION_FLAGS, null ones don't hold.
+
+    high: the shared code has one target, a channel code and option are on record and lead to one item, the code isn't split over channel codes, no semantic
+    or quantity risk, and the repeats stay within a product or family. medium: not high, not split, no semantic risk, not absent, and any of: a channel code
+    of its own, a difference that wording absorbs, a quantity or single-piece risk, a channel code within the family. conflict: split, a code and
+    option of several items, a semantic risk, repeats over products without a channel code of their own, or no channel code though not absent."""
+    f = {k: F.coalesce(flags[k], F.lit(False)) for k in PROMOTION_FLAGS}
+    scope = f["blocked"] & f["duplicate"]
+    strong = f["one_target"] & f["pair"] & f["one_item"] & ~f["split"] & ~f["semantic"] & ~f["quantity"] & (f["same_family"] | f["same_product"])
+    weak = f["unique_code"] | f["absorbable"] | f["quantity"] | f["single_risk"] | (f["code"] & f["same_family"])
+    medium = scope & ~strong & ~f["split"] & ~f["semantic"] & ~f["absent"] & weak
+    conflict = f["split"] | (f["pair"] & ~f["one_item"]) | f["semantic"] | (f["cross_product"] & ~f["unique_code"]) | (~f["code"] & ~f["absent"])
+    return {"tier": F.when(scope & strong, "high").when(medium, "medium").otherwise("not_candidate"), "conflict": scope & conflict}
+
+
+STRICT_FLAGS = ("blocked", "confirmed", "true_risk", "pair", "one_item", "one_own", "option_only", "product_only", "absorbable")
+
+
+def strict_promotion(flags: dict[str, Column]) -> Column:
+    """The strict split's tier: high, medium or residual for blocked, unconfirmed rows, null for the others. flags: STRICT_FLAGS.
+
+    Any true risk (semantic, quantity or a duplicate of any kind) bars both. high: product and option on record, leading to one item, and own codes of one
+    target each; medium: half of the pair on record, or a difference that wording absorbs."""
+    f = {k: F.coalesce(flags[k], F.lit(False)) for k in STRICT_FLAGS}
+    scope = f["blocked"] & ~f["confirmed"]
+    strong = f["pair"] & f["one_item"] & f["one_own"]
+    return F.when(~scope, None).when(f["true_risk"], "residual").when(strong, "high").when(f["option_only"] | f["product_only"] | f["absorbable"], "medium").otherwise("residual")
+
+
+def unique_evidence(items: DataFrame, mapping: DataFrame) -> DataFrame:
+    """One row per item: item, n_pairs, product, option, n_items, n_products, risk, verdict.
+
+    items: item, shared (the code that stands for the item), code (an own code; several rows give several), risk (any true one counts). mapping: code, product, option.
+    n_pairs counts the distinct (product, option) of all the item's codes, those with neither left out; only items with exactly one are candidates. On all candidates,
+    risky ones too, n_items counts the items of the pair and n_products the products of the shared code. verdict, the first that holds: evidence_missing,
+    duplicate_evidence, duplicate_pair, duplicate_product, risk, clean. Blank codes are none; nulls and repeated rows do nothing."""
+    blank = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+    each = items.groupBy("item").agg(F.min("shared").alias("shared"), F.coalesce(F.bool_or("risk"), F.lit(False)).alias("risk"))
+    codes = items.select("item", blank("code").alias("code")).where("code is not null").distinct()
+    held = mapping.select(blank("code").alias("code"), blank("product").alias("product"), blank("option").alias("option")).where("code is not null and (product is not null or option is not null)").distinct()
+    pair = F.concat_ws("|", "product", "option")
+    found = codes.join(held, "code").groupBy("item").agg(F.count_distinct(pair).alias("n_pairs"), F.min("product").alias("product"), F.min("option").alias("option"))
+    rows = each.join(found, "item", "left").fillna(0, ["n_pairs"])
+    sure = rows.where("n_pairs = 1")
+    by_pair = sure.groupBy(F.col("product").alias("_p"), F.col("option").alias("_o")).agg(F.count_distinct("item").alias("n_items"))
+    by_code = sure.groupBy(F.col("shared").alias("_s")).agg(F.count_distinct("product").alias("n_products"))
+    one = F.col("n_pairs") == 1
+    rows = rows.join(by_pair, one & F.col("product").eqNullSafe(F.col("_p")) & F.col("option").eqNullSafe(F.col("_o")), "left").join(by_code, one & F.col("shared").eqNullSafe(F.col("_s")), "left")
+    verdict = F.when(F.col("n_pairs") == 0, "evidence_missing").when(F.col("n_pairs") > 1, "duplicate_evidence").when(F.col("n_items") > 1, "duplicate_pair").when(F.col("n_products") > 1, "duplicate_product").when(F.col("risk"), "risk").otherwise("clean")
+    return rows.select("item", "n_pairs", *(F.when(one, F.col(c)).alias(c) for c in ("product", "option")), "n_items", "n_products", "risk", verdict.alias("verdict"))
+
+
+def _lines(c: str) -> Column:
+    """A cell's lines; any kind of line break separates, those at the end make no line."""
+    return F.split(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(\r\n|\r|\n)+$", ""), r"\r\n|\r|\n", -1)
+
+
+def _zipped(codes: str, options: str, statuses: str, shift: Column, fits: Column, known: Column) -> Column:
+    """(code, option, status) of each code line, zipped before anything is exploded, so that no line carries its cell's other lines."""
+    n = F.size(codes)
+    moved = F.when(known, F.when(shift == 1, F.slice(options, 2, n)).otherwise(F.slice(options, 1, n)))
+    empty = F.array().cast("array<string>")
+    return F.arrays_zip(F.col(codes).alias("code"), F.coalesce(moved, empty).alias("option"), F.when(fits, F.col(statuses)).otherwise(empty).alias("status"))
 
 
 def aligned_lines(rows: DataFrame, row: str, codes: str, options: str, statuses: str) -> DataFrame:
@@ -66,22 +120,34 @@ def aligned_lines(rows: DataFrame, row: str, codes: str, options: str, statuses:
 
     n codes with n options are direct; with n + 1 options the first is a header and options shift by one; anything else needs review and has no
     option. Status lines count only if there are n. Any kind of line break separates; one at the end makes no line."""
-    lines = lambda c: F.split(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(\r\n|\r|\n)+$", ""), r"\r\n|\r|\n", -1)
-    held = rows.select(row, lines(codes).alias("c"), lines(options).alias("o"), lines(statuses).alias("s"))
+    held = rows.select(row, _lines(codes).alias("c"), _lines(options).alias("o"), _lines(statuses).alias("s"))
     held = held.withColumn("alignment", F.when(F.size("o") == F.size("c"), "direct").when(F.size("o") == F.size("c") + 1, "header").otherwise("needs_review"))
-    shift = F.when(F.col("alignment") == "header", 1).otherwise(0)
-    each = held.select(row, F.posexplode("c").alias("pos", "code"), "o", "s", "alignment", shift.alias("shift"), (F.size("s") == F.size("c")).alias("with_status"))
-    option = F.when(F.col("alignment") != "needs_review", F.get("o", F.col("pos") + F.col("shift")))
-    return each.select(row, (F.col("pos") + 1).cast("long").alias("line_no"), F.trim("code").alias("code"), F.trim(option).alias("option"), F.when(F.col("with_status"), F.trim(F.get("s", F.col("pos")))).alias("status"), "alignment")
-
-
-def evidence_support(rows: DataFrame, second: DataFrame, item: str, own: str, pair: str) -> DataFrame:
-    """Adds support: the second source's pair by item, else by own code, against the row's own. Sources with several pairs for a key are incomplete."""
-    by = lambda key, name: second.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct(pair).alias(f"n_{name}"), F.min(pair).alias(f"p_{name}"))
-    out = rows.join(by(item, "item"), item, "left").join(by(own, "own"), own, "left")
-    n, p = F.coalesce("n_item", "n_own"), F.when(F.col("n_item").isNotNull(), F.col("p_item")).otherwise(F.col("p_own"))
-    support = F.when(n.isNull(), "none").when((n > 1) | p.isNull() | F.col(pair).isNull(), "incomplete").when(p == F.col(pair), "supported").otherwise("conflict")
-    return out.withColumn("support", support).drop("n_item", "p_item", "n_own", "p_own")
+    zipped = _zipped("c", "o", "s", F.when(F.col("alignment") == "header", 1).otherwise(0), F.size("s") == F.size("c"), F.col("alignment") != "needs_review")
+    each = held.select(row, "alignment", zipped.alias("z")).select(row, "alignment", F.posexplode("z").alias("pos", "x"))
+    return each.select(row, (F.col("pos") + 1).cast("long").alias("line_no"), F.trim("x.code").alias("code"), F.trim("x.option").alias("option"), F.trim("x.status").alias("status"), "alignment")
+
+
+def evidence_support(rows: DataFrame, second: DataFrame) -> DataFrame:
+    """Adds support: a second source's product and option, by item, else by own code, against the row's own.
+
+    rows: item, own, product, option, compares (whether the row's channel is the one whose codes the source speaks of). second: item, own, product,
+    option. none: the source has nothing; incomplete: it has no product or no option, or several for the key; supported: both are the row's; conflict: one
+    that the row has is another; relaxed: the rest, such as rows without codes of their own and channels that don't compare."""
+    second = second.select("item", "own", F.nullif(F.trim("product"), F.lit("")).alias("product"), F.nullif(F.trim("option"), F.lit("")).alias("option"))
+
+    def by(key: str) -> DataFrame:
+        one = lambda c: F.when(F.count_distinct(c) == 1, F.min(c))
+        return second.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"_k_{key}")).agg(F.struct(one("product").alias("p"), one("option").alias("o")).alias(f"_{key}"))
+
+    out = rows.join(by("item"), F.col("item") == F.col("_k_item"), "left").join(by("own"), F.col("own") == F.col("_k_own"), "left")
+    found = F.coalesce("_item", "_own")
+    p, o, mine, choice = found.p, found.o, F.col("product"), F.col("option")
+    compares = F.coalesce(F.col("compares"), F.lit(False))
+    support = (
+        F.when(found.isNull(), "none").when(p.isNull() | o.isNull(), "incomplete").when(compares & (mine == p) & (choice == o), "supported")
+        .when(compares & (F.coalesce(mine != p, F.lit(False)) | F.coalesce(choice != o, F.lit(False))), "conflict").otherwise("relaxed")
+    )
+    return out.withColumn("support", support).select(*rows.columns, "support")
 
 
 def cross_source_matches(rows: DataFrame, row: str, columns: list[str], alias: DataFrame, value: str = "value", target: str = "target") -> DataFrame:
@@ -151,17 +217,15 @@ def line_evidence(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     shift by one; direct: as many; both ask for as many status lines, else the count needs review. Options are read by place even then; statuses
     only if their count fits. warning names what is wrong, '; '-joined, '' if nothing is; a null channel counts as unknown. active: sold, status Y, nothing
     wrong with channel, dictionary or alignment. The dictionary is reduced to a row per code; lines never multiply."""
-    lines = lambda c: F.split(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(\r\n|\r|\n)+$", ""), r"\r\n|\r|\n", -1)
-    held = rows.select("row", "channel", "product_code", "sale_status", lines("codes").alias("c"), lines("options").alias("o"), lines("statuses").alias("s"))
+    held = rows.select("row", "channel", "product_code", "sale_status", _lines("codes").alias("c"), _lines("options").alias("o"), _lines("statuses").alias("s"))
     n, o, s = F.size("c"), F.size("o"), F.size("s")
     alignment = F.when((o == n + 1) & (s == n), "header").when((o == n) & (s == n), "direct").otherwise("needs_review")
-    held = held.withColumns({"alignment": alignment, "_shift": F.when(o == n + 1, 1).otherwise(0), "_fits": s == n})
-    each = held.select("*", F.posexplode("c").alias("_pos", "_code"))
+    zipped = _zipped("c", "o", "s", F.when(o == n + 1, 1).otherwise(0), s == n, F.lit(True))
+    # a cell may have more option lines than code lines; those stand for no code
+    facts = ["row", "channel", "product_code", "sale_status", "alignment"]
+    each = held.withColumns({"alignment": alignment, "z": zipped}).select(*facts, F.posexplode("z").alias("_pos", "x"))
     text = lambda c: F.nullif(F.trim(c), F.lit(""))
-    each = each.select(
-        "row", "channel", "product_code", "sale_status", "alignment", (F.col("_pos") + 1).cast("long").alias("line_no"), text(F.col("_code")).alias("code"),
-        text(F.get("o", F.col("_pos") + F.col("_shift"))).alias("option"), F.when(F.col("_fits"), text(F.get("s", F.col("_pos")))).alias("status"),
-    )
+    each = each.select(*facts, (F.col("_pos") + 1).cast("long").alias("line_no"), *(text(F.col(f"x.{k}")).alias(k) for k in ("code", "option", "status")))
     out = each.join(dictionary.select("code").distinct().withColumn("_known", F.lit(True)), "code", "left")
     known, channel = F.coalesce("_known", F.lit(False)), F.coalesce("channel", F.lit("unknown"))
     wrong = {

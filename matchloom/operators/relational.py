@@ -77,10 +77,60 @@ def search(df: DataFrame, text: str | None, columns: list[str], filters: dict[st
     return df
 
 
-def stratified_sample(df: DataFrame, buckets: dict[str, Column], id_col: str, n: int = 20, random: str = "random") -> DataFrame:
-    """(bucket, bucket_size, sample_rank, row): up to n rows of each of several overlapping buckets, in the order of md5(id|bucket)."""
+def stratified_sample(df: DataFrame, buckets: dict[str, Column], id_col: str, code: str, n: int = 20, random: str = "random", wide: int = 32) -> DataFrame:
+    """(bucket, bucket_size, sample_rank, row): up to n rows of each of several overlapping buckets.
+
+    The random bucket goes by md5 of id and bucket, the others by the code, filled up with zeros on the left to `wide` characters, and then the id, as texts."""
     hits = F.filter(F.array(*(F.when(p, F.lit(k)) for k, p in buckets.items())), lambda x: x.isNotNull())
     rows = df.withColumn("bucket", F.explode(hits))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("bucket_size"))
-    order = F.md5(F.concat(F.col(id_col).cast("string"), F.lit("|"), F.col("bucket")))
+    key = F.col(id_col).cast("string")
+    order = F.when(F.col("bucket") == random, F.md5(F.concat(key, F.col("bucket")))).otherwise(F.concat(F.lpad(F.coalesce(F.col(code).cast("string"), F.lit("")), wide, "0"), key))
     return top_rows(rows, ["bucket"], [order, F.col(id_col)], n, "sample_rank").join(F.broadcast(sizes), "bucket")
+
+
+def related_rows(df: DataFrame, row: str, keys: list[str], most: int | None = 80) -> DataFrame:
+    """(row, other): other rows that share any of the keys with a row, each once, the first `most` by id; None gives all. Blank and null keys relate nothing.
+
+    One equi-join for each key. The cut is the feature: for each row a list of a readable length."""
+    found = None
+    for k in keys:
+        value = F.nullif(F.trim(F.col(k).cast("string")), F.lit(""))
+        own = df.select(F.col(row).alias("row"), value.alias("_k")).where("_k is not null")
+        others = own.withColumnRenamed("row", "other")
+        if most is not None:  # a row's list is filled from the first most + 1 of a key, so a hot key's pairs stay in proportion to its rows
+            others = top_rows(others, ["_k"], [F.col("other")], most + 1)
+        each = own.join(others, "_k").where("row != other").select("row", "other")
+        found = each if found is None else found.union(each)
+    found = found.distinct()
+    return found if most is None else top_rows(found, ["row"], [F.col("other")], most)
+
+
+def ranked_matches(rows: DataFrame, row: str, others: DataFrame, keys: dict[str, int | None], order: list[Column], values: list[str]) -> DataFrame:
+    """For each row the best other row that shares any key: keys with a rank come first, lower ones before, keys without one count alike; then the order.
+
+    One equi-join for each key instead of a condition with OR. Rows without a match have nulls; null keys match nothing."""
+    found = None
+    for k in keys:
+        ranks = [F.coalesce((F.col(f"_o_{j}") == F.col(f"_r_{j}")).cast("int"), F.lit(0)).alias(f"_hit_{j}") for j, rank in keys.items() if rank is not None]
+        a = rows.select(F.col(row), *(F.col(j).alias(f"_r_{j}") for j in keys))
+        b = others.select(*others.columns, *(F.col(j).alias(f"_o_{j}") for j in keys)).drop(*(j for j in keys))
+        each = a.join(b, F.col(f"_r_{k}") == F.col(f"_o_{k}")).select("*", *ranks)
+        found = each if found is None else found.unionByName(each)
+    hits = [F.col(f"_hit_{k}").desc() for k, rank in sorted(((k, r) for k, r in keys.items() if r is not None), key=lambda x: x[1])]
+    best = top_rows(found, [row], [*hits, *order]).select(row, *values)
+    return rows.select(row).join(best, row, "left")
+
+
+def most_common(df: DataFrame, value: str, n: int = 20) -> DataFrame:
+    """(value, row_count, place): the n most frequent values; of equal counts the lesser value first. Nulls are a value."""
+    counts = df.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("row_count")).orderBy(F.col("row_count").desc(), F.col("value").asc_nulls_first()).limit(n)
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("row_count").desc(), F.col("value").asc_nulls_first())).cast("long"))
+
+
+def merged_lists(lists: list[str], key) -> Column:
+    """One list of several columns of structs, in their order, of equal keys the first. key: struct column -> text; null lists and null elements are left out."""
+    kind = F.array_compact(F.concat(*(F.coalesce(F.col(c), F.array().cast("array<void>")) for c in lists)))
+    keyed = F.transform(kind, lambda x: F.struct(key(x).alias("k"), x.alias("x")))
+    keys = F.transform(keyed, lambda r: r.k)
+    return F.transform(F.filter(F.transform(keyed, lambda r, i: F.struct(r.x.alias("x"), (F.array_position(keys, r.k) == i + 1).alias("first"))), lambda r: r["first"]), lambda r: r.x)

@@ -5,54 +5,187 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.text import nonblank, stable_id
+from matchloom.functions.text import stable_id
 
 from .options import joined_reasons
 from .relational import top_rows
 
-#: Two versions of the workflow rules that disagree: which tiers are candidates, and the end of the word "set".
-WORKFLOW = {"browser": (("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW"), r"(?i)set\b"), "summary": (("AUTO_APPROVE_CANDIDATE",), r"(?i)(^|[^a-z0-9])set([^a-z0-9]|$)")}
-
-
-def workflow_bucket(tier: Column, reason: Column, code: Column, rules: str = "browser") -> Column:
-    candidates, set_word = WORKFLOW[rules]
-    return F.when(~nonblank(code), "code_blank").when(reason.rlike(set_word), "set_risk").when(tier.isin(*candidates), "candidate").when(tier == "NO_MATCH", "unmatched").otherwise("review")
-
-
-def policy_tier(tier: Column, duplicates: Column, reason: Column, tokens: tuple[str, str]) -> Column:
-    both = F.contains(reason, F.lit(tokens[0])) & F.contains(reason, F.lit(tokens[1]))
-    return F.when(tier == "AUTO_APPROVE_CANDIDATE", "AUTO").when((tier == "FAST_REVIEW") & (F.coalesce(duplicates, F.lit(0)) <= 3) & both, "WEAK_EVIDENCE").when(tier == "FAST_REVIEW", "FAST").otherwise(tier)
-
-
-def group_matrix(rows: DataFrame, group: list[str], channel: str, order: str, image: Column, duplicates: str, channels: list[str]) -> DataFrame:
-    """Per group the last row's order value of each channel, the primary row (last with image, else last) and the duplicates' sum."""
+# Words that put a row in a bucket, and the two versions of the rules that disagree on the word "set", on what says that a code is blank, and on which
+# tiers are candidates.
+EXCLUDED_WORDS, SUBOPTION_WORDS = "단종|삭제|제외|excluded|discontinued|hidden", "보조옵션|보조 옵션|하위옵션|suboption|추가상품"
+BROWSER_RULES = ("세트|조합|bundle|set(?![a-z0-9_])", "코드 근거|코드공란|코드 공란|자사코드 공란|code blank|blank code", ("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW", "MANUAL_LINKED"))
+SUMMARY_RULES = ("세트|조합|bundle|(^|[^a-z0-9])set([^a-z0-9]|$)", "코드 근거|코드공백|코드 공백|자사코드 공백|code blank|blank code", ("AUTO_APPROVE_CANDIDATE", "MANUAL_LINKED"))
+WORKFLOW = {"browser": BROWSER_RULES, "summary": SUMMARY_RULES}
+# Stock states and their buckets; the order in which a group takes the bucket of one of its rows.
+STOCK_BUCKETS = {"STOCK_MATCH": "stock_match", "STOCK_DIFF": "stock_diff", "STOCK_NOT_FOUND": "stock_missing"}
+BUCKET_PRIORITY = ("excluded", "no_match", "bundle", "suboption", "code_blank", "stock_diff", "stock_missing", "hold", "candidate", "stock_match")
+
+
+def workflow_bucket(tier: Column, texts: list[Column], stock: Column, rules: str = "browser") -> Column:
+    """The first rule that holds: no match, excluded, bundle, suboption, blank code (words in the texts, case ignored), candidate tiers, stock states; else hold.
+
+    texts: tier, action, reason, duplicate risk and the channel's names, as texts; nulls are empty."""
+    bundle, blank, candidates = WORKFLOW[rules]
+    text = F.lower(F.concat_ws(" ", *(F.coalesce(c.cast("string"), F.lit("")) for c in texts)))
+    out = F.when(F.upper(tier) == "NO_MATCH", "no_match").when(text.rlike(EXCLUDED_WORDS), "excluded").when(text.rlike(bundle), "bundle").when(text.rlike(SUBOPTION_WORDS), "suboption").when(text.rlike(blank), "code_blank")
+    out = out.when(tier.isin(*candidates), "candidate")
+    for state, bucket in STOCK_BUCKETS.items():
+        out = out.when(stock == state, bucket)
+    return out.otherwise("hold")
+
+
+def group_bucket(buckets: Column) -> Column:
+    """The bucket of a group, from an array of its rows' buckets: the first of the priority list that is there, else hold."""
+    out = None
+    for k in BUCKET_PRIORITY:
+        out = F.when(F.array_contains(buckets, k), k) if out is None else out.when(F.array_contains(buckets, k), k)
+    return out.otherwise("hold")
+
+
+def policy_tier(tier: Column, duplicates: Column, reason: Column, needed: str, either: tuple[str, ...]) -> Column:
+    """FAST_REVIEW rows with at most three duplicates whose reason has one token and any of some others are candidates with weak evidence; other tiers stay, null is empty."""
+    has = lambda x: F.contains(F.coalesce(reason, F.lit("")), F.lit(x))
+    any_of = F.lit(False)
+    for x in either:
+        any_of = any_of | has(x)
+    weak = (F.coalesce(duplicates, F.lit(0)) <= 3) & has(needed) & any_of
+    return F.when(tier == "AUTO_APPROVE_CANDIDATE", tier).when((tier == "FAST_REVIEW") & weak, "APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK").when(tier == "FAST_REVIEW", "FAST_REVIEW_REQUIRED").otherwise(F.coalesce(tier, F.lit("")))
+
+
+def group_matrix(rows: DataFrame, group: list[str], channel: str, order: str, image: Column, duplicates: str, channels: list[str], tags: str | None = None, bucket: str | None = None) -> DataFrame:
+    """Per group the last row's order value of each channel, the primary row (last with image, else last) and the duplicates' sum; with tags (an array column) the
+    longest list, of equally long ones the earliest; with bucket the group's bucket by BUCKET_PRIORITY."""
     key = F.col(order)
     cells = [F.max(F.when(F.col(channel) == c, key)).alias(f"at_{c}") for c in channels]
-    return rows.groupBy(*group).agg(*cells, F.coalesce(F.max(F.when(image, key)), F.max(key)).alias("primary_row"), F.sum(duplicates).cast("long").alias("duplicates"), F.count("*").alias("n_rows"))
-
-
-def exclusion(code: Column, listed: Column, listed_excluded: Column, text: Column, colours: list[str]) -> Column:
-    """Why a row is left out, null if it isn't. A code on the final list is decided by that list alone; heuristics speak for the others."""
-    heuristic = F.when(F.lower(text).contains("xx"), "xx").when(F.lower(text).rlike("|".join(colours)), "colour")
-    return F.when(~nonblank(code), "blank_code").when(listed, F.when(listed_excluded, "listed")).otherwise(heuristic)
-
-
-def auto_approval(rows: DataFrame, name_a: Column, name_b: Column, option_a: Column, option_b: Column, ok: Column, tagged: Column, hold: Column, key: str, option_key: str) -> DataFrame:
-    """Adds approval: P1 for strict, untagged matches; P2 for strict held rows whose option key has one key; null otherwise."""
-    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(c), r"(?s)[=\n].*$", ""), r"\[[^\]]*\]|\([^)]*\)", ""), r"[^\p{L}\p{N}]+", ""))
-    a, b = plain(name_a), plain(name_b)
-    strict = (a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)) & (plain(option_a) == plain(option_b)) & ok
-    rows = rows.withColumn("strict", F.coalesce(strict, F.lit(False))).withColumn("hold", hold).withColumn("tagged", tagged)
-    single = rows.where("strict and hold").groupBy(option_key).agg(F.count_distinct(key).alias("n_keys")).where("n_keys = 1").select(option_key, F.lit(True).alias("alone"))
-    out = rows.join(single, option_key, "left")
-    return out.withColumn("approval", F.when(F.col("strict") & ~F.col("tagged") & ~F.col("hold"), "P1").when(F.col("strict") & F.col("hold") & F.col("alone"), "P2")).drop("alone")
-
-
-def workbench(rows: DataFrame, key: list[str], flags: dict[str, Column]) -> DataFrame:
-    """Rows that have any flag: review_id (a hash of the key), reasons, level (high from two flags on) and action."""
-    n = sum(F.coalesce(p, F.lit(False)).cast("int") for p in flags.values())
-    out = rows.withColumn("reasons", joined_reasons({k: F.coalesce(p, F.lit(False)) for k, p in flags.items()})).withColumn("n_flags", n).where("n_flags > 0")
-    return out.select(stable_id(*(F.col(k) for k in key)).alias("review_id"), *rows.columns, "reasons", F.when(F.col("n_flags") >= 2, "high").otherwise("normal").alias("level"), F.when(F.col("n_flags") >= 2, "inspect").otherwise("confirm").alias("action"))
+    more = []
+    if tags:
+        more.append(F.max(F.struct(F.size(F.coalesce(F.col(tags), F.array().cast("array<string>"))).alias("n"), (-key).alias("o"), F.col(tags).alias("t"))).getField("t").alias("tags"))
+    if bucket:
+        more.append(group_bucket(F.collect_set(bucket)).alias("bucket"))
+    return rows.groupBy(*group).agg(*cells, F.coalesce(F.max(F.when(image, key)), F.max(key)).alias("primary_row"), F.sum(duplicates).cast("long").alias("duplicates"), F.count("*").alias("n_rows"), *more)
+
+
+def queue_filter(rows: DataFrame, channels: list[str], tier: str | None = None, stock: str | None = None, bucket: str | None = None, mode: str | None = None, tags: tuple[str, ...] = (), image_only: bool = False, text: str = "", columns: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the shown channels that pass every filter given. rows: channel, tier, stock, bucket, tag_names (array), has_image and the text columns.
+
+    All of the tags must be there. mode: problem leaves out candidates and matching stock, candidate leaves only those. bucket: a stock bucket asks for the
+    stock state, others for the workflow bucket. text: contained in the columns, joined by spaces, case ignored."""
+    df = rows.where(F.col("channel").isin(*channels)) if channels else rows.where("false")
+    done = F.coalesce(F.col("bucket").isin("candidate", "stock_match"), F.lit(False))
+    states = {v: k for k, v in STOCK_BUCKETS.items()}
+    if tier:
+        df = df.where(F.col("tier") == tier)
+    if stock:
+        df = df.where(F.col("stock") == stock)
+    if bucket:
+        df = df.where(F.col("stock") == states[bucket] if bucket in states else F.col("bucket") == bucket)
+    if mode:
+        df = df.where(done if mode == "candidate" else ~done)
+    if tags:
+        df = df.where(F.size(F.array_except(F.array(*(F.lit(x) for x in tags)), F.coalesce("tag_names", F.array().cast("array<string>")))) == 0)
+    if image_only:
+        df = df.where("has_image")
+    if text.strip():
+        df = df.where(F.contains(F.lower(F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))), F.lit(text.strip().lower())))
+    return df
+
+
+# What marks a row as left out, in its code and name, its colour hints and its explicit marks.
+XX_CODE, XX_NAME = r"(?i)(^|[^a-z0-9])xx([^a-z0-9]|$)", r"(?i)^\s*\[?xx\]?"
+COLOUR_HINTS = {"orange": "orange|주황|ffc000|ff9900|ff7a00", "yellow": "yellow|노랑|노란|ffff00|ffe65a"}
+EXPLICIT_MARK = r"(^|\s)(true|1|yes|y|exclude|excluded|md_excluded|{channel}_excluded)(\s|$)"
+
+
+def exclusion(known: Column, listed: Column, code: Column, name: Column, hints: Column, marks: Column, channel: str) -> Column:
+    """Why a row is left out, comma-joined, '' if it isn't. known: the final list has the row; listed: that list's reasons (an array), which alone count then.
+
+    Else: a bounded xx in the code or one at the name's start, colours in the hints (both may hold), and an explicit mark where nothing else holds. hints and marks
+    are lower-case texts; nulls are empty."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    reasons = [F.when(text(code).rlike(XX_CODE) | text(name).rlike(XX_NAME), "xx"), *(F.when(text(hints).rlike(p), k) for k, p in COLOUR_HINTS.items())]
+    found = F.array_compact(F.array(*reasons))
+    explicit = text(marks).rlike(EXPLICIT_MARK.format(channel=channel))
+    found = F.when((F.size(found) == 0) & explicit, F.array(F.lit("explicit"))).otherwise(found)
+    own = F.array_distinct(F.array_compact(F.coalesce(listed, F.array().cast("array<string>"))))
+    return F.array_join(F.when(F.coalesce(known, F.lit(False)), own).otherwise(F.array_distinct(F.concat(own, found))), ",")
+
+
+# Signs that names and options are compared without, what ends an option, words that mark a risk, the action that holds a row back.
+NAME_SIGNS, OPTION_SIGNS, OPTION_END, WORN = r"[\s\[\](){}<>_\-./|]+", r"[\s\[\](){}<>_\-./|,*]+", r"(?s)(=|\r|\n).*$", "-?모델착용"
+RISK_WORDS = "세트 묶음 1+1 랜덤 혼합 대체 교환 단종 삭제 품절 크리스탈ab [xxx]".split() + ["sold out", "crystal ab"]
+RISK_PATTERN = "(^|[^a-z0-9가-힣])(ab|set)([^a-z0-9가-힣]|$)"
+HOLD_ACTION = "자동 승인하지 않음"
+
+
+def plain_name(c: Column) -> Column:
+    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), NAME_SIGNS, ""))
+
+
+def plain_option(c: Column) -> Column:
+    """Without bracketed parts, what follows a sign of equality or a line break, and the note that a model wears it."""
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"\[[^\]]*\]", "")
+    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(out, OPTION_END, ""), WORN, ""), OPTION_SIGNS, ""))
+
+
+def auto_approval(rows: DataFrame, promoted_channel: str, tiers: tuple[str, ...] = ("REVIEW", "NO_MATCH")) -> DataFrame:
+    """Adds approval: P1A (names equal) or P1B (one contains the other) for strict rows that aren't held; P2 for held ones; null otherwise.
+
+    rows: channel, tier, product_code, option_code (the channel's), item_product, item (what it would be linked to), name, item_name, option, item_option, reason,
+    action, duplicates, duplicate_risk, stock, tagged. Strict: a tier of the scope, both item codes, at most one candidate and no duplicate risk, matching stock
+    (null counts as such), no risk word in any text, names equal or contained, options equal as plain_option has them. A row that a person has tagged is never approved. P2
+    asks for equal names, the one channel whose held rows may be promoted, and a (channel, product, option) key whose held rows with equal names lead to one item."""
+    text = F.lower(F.concat_ws(" ", "name", "option", "item_name", "item_option", "reason", "action"))
+    risk = text.rlike(RISK_PATTERN)
+    for w in RISK_WORDS:
+        risk = risk | F.contains(text, F.lit(w))
+    a, b, o, p = plain_name(F.col("name")), plain_name(F.col("item_name")), plain_option(F.col("option")), plain_option(F.col("item_option"))
+    named = (a != "") & (b != "")
+    exact = named & (a == b)
+    match = named & (F.contains(a, b) | F.contains(b, a))
+    single = (F.coalesce(F.col("duplicates"), F.lit(0)) <= 1) & ~F.coalesce(F.col("duplicate_risk").cast("string"), F.lit("")).isin("true", "t", "1", "yes", "Y")
+    strict = F.col("tier").isin(*tiers) & F.col("item_product").isNotNull() & F.col("item").isNotNull() & single & (F.coalesce("stock", F.lit("STOCK_MATCH")) == "STOCK_MATCH") & ~risk & match & (o != "") & (o == p)
+    free = ~F.coalesce(F.col("tagged"), F.lit(False))
+    held = rows.withColumns({"_exact": exact, "_strict": F.coalesce(strict, F.lit(False)) & free, "_held": F.col("action") == HOLD_ACTION, "_key": F.concat_ws("|", "channel", "product_code", "option_code"), "_target": F.concat_ws("|", "item_product", "item")})
+    sure = F.col("_strict") & F.col("_held") & F.col("_exact") & (F.col("channel") == promoted_channel)
+    alone = held.where(sure).groupBy(F.col("_key").alias("_k")).agg(F.count_distinct("_target").alias("_n")).where("_n = 1").select("_k", F.lit(True).alias("_alone"))
+    out = held.join(alone, F.col("_key") == F.col("_k"), "left")
+    first = F.col("_strict") & ~F.col("_held")  # a row without action is neither held nor free to go
+    return out.withColumn("approval", F.when(first & F.col("_exact"), "P1A").when(first, "P1B").when(sure & F.col("_alone"), "P2")).select(*rows.columns, "approval")
+
+
+# The workbench's flags, in the order of their reasons; its types and actions, each the first that holds.
+WORKBENCH_FLAGS = ("source_conflict", "warning", "duplicate_sku", "narrow_risk", "evidence_missing", "absent_possible", "alias_conflict", "mapping_conflict")
+WORKBENCH_TYPES = [("source_conflict", ("source_conflict",)), ("warning_bucket", ("warning",)), ("duplicate_sku", ("duplicate_sku",)), ("narrow_risk", ("narrow_risk",)), ("evidence_missing", ("evidence_missing",)), ("channel_absent_or_inactive_possible", ("absent_possible",)), ("existing_conflict", ("alias_conflict", "mapping_conflict"))]
+WORKBENCH_ACTIONS = [("classify_channel_absent_or_inactive", ("absent_possible",)), ("compare_conflicting_candidates", ("source_conflict",)), ("inspect_source_warning", ("warning",)), ("compare_duplicate_candidates", ("duplicate_sku", "duplicate_evidence")), ("manual_option_risk_review", ("narrow_risk",)), ("find_or_mark_missing_evidence", ("evidence_missing",)), ("do_not_overwrite_existing_mapping", ("alias_conflict", "mapping_conflict"))]
+
+
+def workbench(rows: DataFrame, key: list[str], always: Column | None = None) -> DataFrame:
+    """Rows that a person must see: review_id (md5 of the key), evidence_level, risk_type, reasons, action and scope beside the key.
+
+    rows: the key, WORKBENCH_FLAGS, duplicate_evidence, n_items (items that the evidence leads to), direct, same_target (an existing alias or mapping has the same item: such rows
+    are done and dropped). always: rows that are listed without a flag. Level, type and action are the first rule that holds; null flags don't."""
+    flags = (*WORKBENCH_FLAGS, "duplicate_evidence", "direct", "same_target")
+    f = {k: F.coalesce(F.col(k), F.lit(False)) for k in flags}
+    n = F.coalesce(F.col("n_items"), F.lit(0))
+
+    def any_of(names) -> Column:
+        out = F.lit(False)
+        for k in names:
+            out = out | f[k]
+        return out
+
+    def first(rules: list, last: str) -> Column:
+        out = None
+        for name, of in rules:
+            out = F.when(any_of(of), name) if out is None else out.when(any_of(of), name)
+        return out.otherwise(last)
+
+    level = F.when(f["source_conflict"], "source_conflict").when(f["duplicate_evidence"] | f["duplicate_sku"], "duplicate").when((n == 1) & f["direct"], "direct").when(n == 1, "unique").when(n == 0, "missing").otherwise("needs_review")
+    seen = any_of(WORKBENCH_FLAGS) | (F.coalesce(always, F.lit(False)) if always is not None else F.lit(False))
+    return rows.where(~f["same_target"] & seen).select(
+        stable_id(*(F.col(k) for k in key)).alias("review_id"), *key, level.alias("evidence_level"), first(WORKBENCH_TYPES, "manual_review_required").alias("risk_type"), joined_reasons({k: f[k] for k in WORKBENCH_FLAGS}).alias("reasons"),
+        first(WORKBENCH_ACTIONS, "manual_match_review").alias("action"), F.when(f["absent_possible"], "deletion_or_inactive_review_candidate").otherwise("manual_matching_candidate").alias("scope"),
+    )
 
 
 def long_template(rows: DataFrame, row: str, lists: list[str], score: str, most: int) -> DataFrame:
@@ -83,7 +216,7 @@ def best_image(images: DataFrame, key: str) -> DataFrame:
 
 # Words that mark a row in its reasons and actions.
 CONFLICT_WORDS, AUTO_WORDS, FAST_WORDS = "(?i)중복|충돌|duplicate|conflict", "(?i)자동승인|auto.?approve", "(?i)빠른검토|fast.?review"
-UNLINKED_BUCKETS = ("unmatched", "code_blank", "stock_missing")
+UNLINKED_BUCKETS = ("no_match", "code_blank", "stock_missing")
 
 
 def review_predicates(tier: Column, policy: Column, bucket: Column, texts: list[Column], duplicates: Column, linked: Column, unlinked: Column, discontinued: Column, required: Column) -> dict[str, Column]:
@@ -95,8 +228,8 @@ def review_predicates(tier: Column, policy: Column, bucket: Column, texts: list[
     text = F.concat_ws(" ", *texts)
     conflict = (F.coalesce(duplicates, F.lit(0)) > 1) | text.rlike(CONFLICT_WORDS) | no(tier.rlike(CONFLICT_WORDS))
     needs = no(unlinked) | ~no(linked) | no(bucket.isin(*UNLINKED_BUCKETS))
-    fast = no(tier == "FAST_REVIEW") | no(policy == "FAST") | text.rlike(FAST_WORDS)
-    auto = no(tier.isin("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW")) | no(policy.isin("AUTO", "WEAK_EVIDENCE", "FAST")) | text.rlike(AUTO_WORDS)
+    fast = no(tier == "FAST_REVIEW") | no(policy == "FAST_REVIEW_REQUIRED") | text.rlike(FAST_WORDS)
+    auto = no(tier.isin("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW")) | no(policy.isin("AUTO_APPROVE_CANDIDATE", "APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK", "FAST_REVIEW_REQUIRED")) | text.rlike(AUTO_WORDS)
     pending = ~no(unlinked) & ~no(discontinued) & (conflict | needs | no(required) | ~auto)
     return {"conflict": conflict, "needs_linking": needs, "auto": auto, "fast": fast, "pending": pending}
 

@@ -11,15 +11,16 @@ from .relational import top_rows
 
 
 def stock_bucket(current: Column, proposed: Column, units: int = 20, share: float = 0.5) -> Column:
-    """Texts as they were typed. A fall is large from `units` or from `share` of the current stock on; a blank current stock is 0."""
+    """Texts as they were typed; blank counts as 0. A fall is large from `units` on, or from `share` of the current stock on where that is above 0; only a
+    stock above 0 can be zeroed out."""
     a, b = number(current), number(proposed)
     fall = a - b
     return (
         F.when(a.isNull() | b.isNull(), "RECHECK_REQUIRED")
         .when(fall == 0, "NO_CHANGE")
-        .when(b == 0, "ZERO_OUT")
+        .when((b == 0) & (a > 0), "ZERO_OUT")
         .when(fall < 0, "INCREASE")
-        .when((fall >= units) | (fall >= a * share), "LARGE_DECREASE")
+        .when((fall >= units) | ((a > 0) & (fall >= a * share)), "LARGE_DECREASE")
         .otherwise("SMALL_DECREASE")
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -62,16 +62,24 @@ def insert_new(table: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
     return table.unionByName(least.join(table, by, "left_anti"))
 
 
+def single_rows(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The rows, each key checked to stand once; the job fails at the first key that repeats, before anything is written. One grouping of the changes."""
+    held = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min(F.struct(*rows.columns)).alias("_r"))
+    twice = F.raise_error(F.concat(F.lit("a key stands more than once: "), F.concat_ws(", ", *(F.col(k).cast("string") for k in by)))).cast("boolean")
+    return held.where(F.when(F.col("_n") == 1, True).otherwise(twice)).select("_r.*")
+
+
 def upsert(table: DataFrame, rows: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
-    """Rows replace those of their key, but the columns in keep stay as they were; new keys are added. A key must stand once in rows."""
+    """Rows replace those of their key, but the columns in keep stay as they were; new keys are added. A key that stands twice in rows fails the job."""
+    rows = single_rows(rows.select(*table.columns), by)
     old = table.select(*by, *(F.col(c).alias(f"_old_{c}") for c in keep))
     new = rows.join(old, by, "left").select(*(F.coalesce(f"_old_{c}", c).alias(c) if c in keep else F.col(c) for c in table.columns))
     return table.join(rows, by, "left_anti").unionByName(new)
 
 
 def update_from(table: DataFrame, changes: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """Sets columns where changes have the key; a null in changes sets null."""
-    new = changes.select(*by, F.struct(*columns).alias("_new"))
+    """Sets columns where changes have the key; a null in changes sets null. A key that stands twice in changes fails the job."""
+    new = single_rows(changes.select(*by, *columns), by).select(*by, F.struct(*columns).alias("_new"))
     return table.join(new, by, "left").select(*(F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in table.columns))
 
 
@@ -96,23 +104,63 @@ def run(table: VersionedTable, change: Callable[[DataFrame], DataFrame], guards:
 
 #: Decisions: the actions of reviewers and the states they lead to.
 DECISIONS = {"approve": "approve_match", "hold": "hold", "exclude": "exclude_candidate", "inactive": "inactive_reviewed", "fix": "needs_source_fix"}
-EDITABLE = ("channel_product_code", "channel_option_code", "channel_product_name", "channel_option_name", "sku_code", "product_name", "option_name")
+EDITABLE = ("channel_product_code", "channel_option_code", "channel_product_name", "channel_option_name", "product_code", "sku_code", "product_name", "option_name", "recommended_action", "match_reason")
+LOG = "queue_id long, field string, value string, action string, reviewer string, at string, place long"
 
 
 class DecisionService:
-    """Reviewers' changes to a queue with the columns queue_id, status, reviewer, events and EDITABLE. Each call writes one version."""
+    """Reviewers' changes to a queue with the columns queue_id, status and EDITABLE, as a log beside it that is merged on reading.
+
+    A decision appends one small file to the log and leaves the queue's files alone. current() takes each cell's last entry; compact() writes the merged queue as a new version
+    with the log's entries as events, after which the log starts anew. One writer at a time."""
 
     def __init__(self, table: VersionedTable, writers: set[str] | None):
         self.table, self.writers = table, writers
 
+    def status(self, reviewer: str) -> dict[str, object]:
+        """Who asks, and whether they may write."""
+        known = bool(reviewer.strip())
+        return {"reviewer": reviewer.strip(), "known": known, "can_write": known and (self.writers is None or reviewer.strip() in self.writers)}
+
+    def _log_path(self) -> str:
+        return f"{self.table.root}/log_v{self.table.versions()[-1]}"
+
+    def log(self) -> DataFrame:
+        """The decisions since the last version, in the order of place."""
+        spark, path = self.table.spark, self.table.spark._jvm.org.apache.hadoop.fs.Path(self._log_path())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return spark.read.schema(LOG).parquet(self._log_path()) if fs.exists(path) else spark.createDataFrame([], LOG)
+
+    def current(self) -> DataFrame:
+        """The queue with every cell's last decision."""
+        rows = self.table.read()
+        cells = [c for c in rows.columns if c in (*EDITABLE, "status")]
+        last = self.log().groupBy(F.col("queue_id").alias("_id")).agg(*(F.max(F.when(F.col("field") == c, F.struct("place", "value"))).alias(f"_{c}") for c in cells))
+        both = rows.join(last, F.col("queue_id") == F.col("_id"), "left")
+        return both.select(*(F.when(F.col(f"_{c}").isNotNull(), F.col(f"_{c}.value")).otherwise(F.col(c)).alias(c) if c in cells else F.col(c) for c in rows.columns))
+
     def _change(self, queue_id: int, reviewer: str, at: str, action: str, column: str, value: str | None) -> int:
-        if not reviewer.strip() or (self.writers is not None and reviewer not in self.writers):
+        if not self.status(reviewer)["can_write"]:
             raise PermissionError(f"{reviewer!r} may not write")
-        rows = self.table.read()
-        expect(rows.where(F.col("queue_id") == queue_id), {"rows": (F.count("*"), 1)})
-        own = F.col("queue_id") == queue_id
-        event = append_event(F.col("events"), action, F.col(column).cast("string"), F.lit(value).cast("string"), reviewer, at)
-        return self.table.write(rows.withColumn("events", F.when(own, event).otherwise(F.col("events"))).withColumn(column, F.when(own, F.lit(value)).otherwise(F.col(column))))
+        expect(self.table.read().where(F.col("queue_id") == queue_id), {"rows": (F.count("*"), 1)})
+        place = (self.log().agg(F.max("place")).first()[0] or 0) + 1
+        self.table.spark.createDataFrame([(queue_id, column, value, action, reviewer.strip(), at, place)], LOG).coalesce(1).write.mode("append").parquet(self._log_path())
+        return place
+
+    def compact(self) -> int:
+        """Writes current() as a new version; events, if the queue has them, get one entry for each decision."""
+        now, log, columns = self.current(), self.log(), self.table.read().columns
+        if "events" in columns:
+            cells = {c for c in columns if c in (*EDITABLE, "status")}
+            before = self.table.read().select(F.col("queue_id").alias("_q"), *(F.col(c).cast("string").alias(f"_b_{c}") for c in cells))
+            first = Window.partitionBy("queue_id", "field").orderBy("place")
+            old = F.coalesce(*(F.when(F.col("field") == c, F.col(f"_b_{c}")) for c in cells)) if cells else F.lit(None).cast("string")
+            told = log.join(before, F.col("queue_id") == F.col("_q")).withColumn("before", F.when(F.row_number().over(first) == 1, old).otherwise(F.lag("value").over(first)))
+            entry = F.struct("place", F.struct("action", "before", F.col("value").alias("after"), "reviewer", "at").alias("e"))
+            new = told.groupBy(F.col("queue_id").alias("_q")).agg(F.array_sort(F.collect_list(entry)).alias("_new"))
+            merged = F.concat(F.coalesce("events", F.array().cast("array<struct<action:string,before:string,after:string,reviewer:string,at:string>>")), F.transform("_new", lambda x: x.e))
+            now = now.join(new, F.col("queue_id") == F.col("_q"), "left").withColumn("events", F.when(F.col("_new").isNull(), F.col("events")).otherwise(merged)).select(*columns)
+        return self.table.write(now)
 
     def decide(self, queue_id: int, action: str, reviewer: str, at: str) -> int:
         return self._change(queue_id, reviewer, at, action, "status", DECISIONS[action])
@@ -127,11 +175,58 @@ class DecisionService:
         return self._change(queue_id, reviewer, at, "unlink", "sku_code", None)
 
     def edit(self, queue_id: int, column: str, value: str, reviewer: str, at: str) -> int:
+        column = column.strip().lower()
         if column not in EDITABLE:
             raise ValueError(f"{column} is not editable")
         return self._change(queue_id, reviewer, at, "edit", column, value)
 
 
+@dataclass(frozen=True)
+class RunContext:
+    """Where a job runs: catalog and database of the session, the user, and whether it may write. Jobs ask for what they need before they start."""
+
+    catalog: str
+    database: str
+    user: str
+    read_only: bool = True
+
+    @classmethod
+    def of(cls, spark: SparkSession, read_only: bool = True) -> "RunContext":
+        row = spark.sql("select current_catalog() as c, current_database() as d, current_user() as u").first()
+        return cls(row.c, row.d, row.u, read_only)
+
+    def require(self, **wanted: object) -> None:
+        """Raises GuardError with everything that differs: require(database="test", read_only=True)."""
+        wrong = [f"{k} is {getattr(self, k)!r}, not {v!r}" for k, v in wanted.items() if getattr(self, k) != v]
+        if wrong:
+            raise GuardError("; ".join(wrong))
+
+
+def refresh_summary(cache: VersionedTable, summary: DataFrame, at: str) -> int:
+    """Replaces the one row of a summary cache; the summary must have exactly one."""
+    expect(summary, {"rows": (F.count("*"), 1)})
+    return cache.write(summary.withColumns({"singleton": F.lit(True), "refreshed_at": F.lit(at)}))
+
+
+def merge_json(base: Column, more: dict[str, Column], strip_nulls: bool = True) -> Column:
+    """A flat JSON object of texts with some keys set; strip_nulls leaves out keys whose value is null. Keys come out in order."""
+    old = F.coalesce(F.from_json(base, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    names = F.array(*(F.lit(k) for k in more))
+    new = F.map_from_arrays(names, F.array(*(v.cast("string") for v in more.values())))
+    both = F.map_concat(F.map_filter(old, lambda k, v: ~F.array_contains(names, k)), new)
+    both = F.map_filter(both, lambda k, v: v.isNotNull()) if strip_nulls else both
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(both))), {"ignoreNullFields": "false"})
+
+
+def json_contains(whole: Column, part: dict[str, str]) -> Column:
+    """Whether a flat JSON object has all these keys with these values."""
+    held = F.from_json(whole, "map<string,string>")
+    out = F.lit(True)
+    for k, v in part.items():
+        out = out & F.coalesce(F.element_at(held, k) == v, F.lit(False))
+    return out
+
+
 #: Order states and the moves between them.
 ORDER_MOVES = [("received", "picking"), ("picking", "shortage"), ("picking", "inspection"), ("shortage", "picking"), ("inspection", "hold"), ("hold", "inspection"), ("inspection", "shipped"), ("received", "cancelled"), ("picking", "cancelled"), ("hold", "cancelled")]
 

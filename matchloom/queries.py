@@ -75,33 +75,41 @@ def alias_classify(spark, sf):
     return out.select("p_partkey", codes.classify_match(*args).alias("reason"), codes.classify_match(*args, split_same=True).alias("reason_split"))
 
 
-@query("""with r as (select p_partkey, case when p_partkey % 4 = 0 then 'AB-' || p_partkey end as direct, case when p_partkey % 3 = 0 then 'x [AB-' || p_partkey || '-1]' else p_name end as a, case when p_partkey % 5 <> 0 then 'y [CD-' || p_partkey || '-2-3]' end as b from part),
-e as (select p_partkey, coalesce(direct, nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), ''), nullif(regexp_extract(coalesce(b, ''), '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '')) as old,
-  coalesce(direct, nullif(regexp_extract(coalesce(b, ''), '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), ''), nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '')) as new from r)
-select p_partkey, old, new, case when old is not distinct from new then 'same' when old is null then 'new' when new is null then 'lost' else 'changed' end as change from e""")
+@query("""with r as (select p_partkey as k, case when p_partkey % 4 = 0 then 'AB-' || p_partkey when p_partkey % 4 = 1 then ' ' end as direct, case when p_partkey % 3 = 0 then 'x [AB-' || p_partkey || '-1]' when p_partkey % 7 = 0 then '[EF-' || p_partkey || '-3-4]' else p_name end as a,
+    case when p_partkey % 10 = 0 then null when p_partkey % 2 = 0 then 'y [CD-' || p_partkey || '-2-3]' when p_partkey % 5 = 0 then '[GH-' || p_partkey || '-9_1] z' else 'loose ij-' || p_partkey || '-5-6' end as b from part),
+x as (select *, nullif(trim(direct), '') as d, nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as a3, nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as a4,
+    nullif(regexp_extract(b, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as b3, nullif(regexp_extract(b, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as b4 from r),
+e as (select k as p_partkey, coalesce(d, a3, b3, a4, b4) as old, coalesce(d, b3, b4, a3, a4) as new, case when d is not null then 'direct' when b3 is not null then 'b_bracket' when b4 is not null then 'b_four_parts' when a3 is not null then 'a_bracket' when a4 is not null then 'a_four_parts' end as method,
+    case when d is not null or b3 is not null then 'existing' when b4 is not null then 'new' when a3 is not null then 'existing' when a4 is not null then 'new' end as family, nullif(regexp_extract(coalesce(a, '') || ' ' || coalesce(b, ''), '([A-Za-z]+-[0-9]+-[0-9]+-[0-9]+)', 1), '') as loose from x)
+select p_partkey, old, new, method, family, loose, case when old is not distinct from new then 'same' when old is null then 'new' when new is null then 'lost' else 'changed' end as change from e""")
 def version_compare(spark, sf):
     k = F.col("p_partkey")
     text = k.cast("string")
+    made = lambda head, tail: F.concat(F.lit(head), text, F.lit(tail))
     rows = t(spark, sf, "part").select(
-        "p_partkey", F.when(k % 4 == 0, F.concat(F.lit("AB-"), text)).alias("direct"), F.when(k % 3 == 0, F.concat(F.lit("x [AB-"), text, F.lit("-1]"))).otherwise(F.col("p_name")).alias("a"),
-        F.when(k % 5 != 0, F.concat(F.lit("y [CD-"), text, F.lit("-2-3]"))).alias("b"),
+        "p_partkey", F.when(k % 4 == 0, F.concat(F.lit("AB-"), text)).when(k % 4 == 1, " ").alias("direct"), F.when(k % 3 == 0, made("x [AB-", "-1]")).when(k % 7 == 0, made("[EF-", "-3-4]")).otherwise(F.col("p_name")).alias("a"),
+        F.when(k % 10 == 0, None).when(k % 2 == 0, made("y [CD-", "-2-3]")).when(k % 5 == 0, made("[GH-", "-9_1] z")).otherwise(made("loose ij-", "-5-6")).alias("b"),
     )
-    both = rows.select("p_partkey", codes.extract_code(F.col("direct"), F.col("a"), F.col("b")).code.alias("old"), codes.extract_code(F.col("direct"), F.col("b"), F.col("a")).code.alias("new"))
+    both = rows.select("p_partkey", codes.extract_code(F.col("direct"), F.col("a"), F.col("b"), "v2").code.alias("old"), codes.extract_code(F.col("direct"), F.col("a"), F.col("b")).alias("n"))
+    both = both.select("p_partkey", "old", F.col("n.code").alias("new"), "n.method", "n.family", "n.loose")
     return both.withColumn("change", codes.version_changes(both, "old", "new"))
 
 
-@query("""with s as (select a.p_partkey as row_id, b.p_partkey as candidate, lower(regexp_replace(a.p_name, '[^\\p{L}\\p{N}]+', '', 'g')) as x, lower(regexp_replace(b.p_name, '[^\\p{L}\\p{N}]+', '', 'g')) as y, b.p_size as o, a.p_name as n
-  from part a join part b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_size = b.p_size and a.p_partkey <> b.p_partkey),
-p as (select row_id, candidate, (case when x = y then 100 else 0 end + case when contains(x, y) or contains(y, x) then 40 else 0 end + case when contains(n, cast(o as varchar)) then 30 else 0 end) as score from s),
+@query("""with n as (select p_partkey, p_brand, p_type, cast(p_size as varchar) as size, case when p_partkey % 4 = 0 then p_name || ' ' || (p_partkey % 3) || '-' || (p_partkey % 5) else p_name end as text from part),
+c as (select *, lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')) as norm, trim(regexp_replace(text, '[^0-9]+', ' ', 'g')) as nums from n),
+p as (select a.p_partkey as row_id, b.p_partkey as candidate, cast(case when a.norm = b.norm then 100 else 0 end + case when contains(a.norm, b.norm) or contains(b.norm, a.norm) then 40 else 0 end + case when a.nums <> '' and a.nums = b.nums then 20 else 0 end
+    + case when a.size = b.size then 30 else 0 end as bigint) as score from c a join c b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_partkey <> b.p_partkey),
 w as (select *, max(score) over (partition by row_id) as top_score, dense_rank() over (partition by row_id order by score desc, candidate) as candidate_rank from p),
 v as (select *, count(*) filter (score = top_score) over (partition by row_id) as n_top from w)
-select row_id, candidate, cast(score as bigint) as score, cast(top_score as bigint) as top_score, cast(n_top as bigint) as n_top, cast(candidate_rank as bigint) as candidate_rank,
-  case when n_top = 1 and top_score >= 100 then 'strong' when n_top = 1 and top_score > 0 then 'weak' else 'manual' end as label from v""")
+select row_id, candidate, score, top_score, n_top, candidate_rank, case when n_top = 1 and top_score >= 100 then 'strong' when n_top = 1 and top_score > 0 then 'weak' else 'manual' end as label from v""")
 def token_score_rank(spark, sf):
-    part = t(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    other = part.select(F.col("p_partkey").alias("candidate"), F.col("p_name").alias("c_name"), "p_brand", "p_type", "p_size", F.col("p_size").cast("string").alias("o"))
-    pairs = part.withColumnRenamed("p_partkey", "row_id").join(other, ["p_brand", "p_type", "p_size"]).where("row_id != candidate")
-    scored = pairs.select("row_id", "candidate", codes.token_score(F.col("p_name"), F.col("c_name"), F.col("o")).cast("long").alias("score"))
+    """Items of one brand and type as each other's candidates; texts are brought to one form before rows are paired."""
+    k = F.col("p_partkey")
+    text = F.when(k % 4 == 0, F.concat("p_name", F.lit(" "), (k % 3).cast("string"), F.lit("-"), (k % 5).cast("string"))).otherwise(F.col("p_name"))
+    part = t(spark, sf, "part").select(k.alias("row_id"), "p_brand", "p_type", F.col("p_size").cast("string").alias("size"), *(c.alias(n) for n, c in codes.token_parts(text).items()))
+    other = part.select("p_brand", "p_type", F.col("row_id").alias("candidate"), F.col("norm").alias("c_norm"), F.col("numbers").alias("c_numbers"), F.array(F.lit(" "), "size", F.lit(None)).alias("c_options"))
+    pairs = part.join(other, ["p_brand", "p_type"]).where("row_id != candidate")
+    scored = pairs.select("row_id", "candidate", codes.token_score(*(F.col(c) for c in ("norm", "numbers", "c_norm", "c_numbers", "size", "c_options"))).cast("long").alias("score"))
     return codes.rank_candidates(scored, "row_id", "candidate").select("row_id", "candidate", "score", "top_score", "n_top", "candidate_rank", "label")
 
 
@@ -162,29 +170,57 @@ def presence_status(spark, sf):
     return rows.select(*(evidence.presence_status(flags, k).alias(k) for k in evidence.PRESENCE)).groupBy(*evidence.PRESENCE).agg(F.count("*").alias("n_items"))
 
 
-@query("""with f as (select case when p_size > 10 then 'blocked' else 'confirmed' end as status, p_partkey % 2 = 0 as c, p_partkey % 3 = 0 as i, p_size % 2 = 0 as o, p_partkey % 7 = 0 as d, p_name like '%red%' as s, p_size > 45 as q from part),
-g as (select *, cast(c as int) + cast(i as int) + cast(o as int) as m from f)
-select case when status <> 'blocked' then null when s or q then 'residual' when m = 3 then 'high' when m = 2 then 'medium' else 'residual' end as tier,
-  case when status <> 'blocked' then null when s or q or d then 'residual' when m = 3 then 'high' when m = 2 then 'medium' else 'residual' end as strict_tier, count(*) as n_items from g group by 1, 2""")
+@query("""with f as (select p_partkey as k, p_size as z, p_size > 10 as blocked, p_partkey % 3 <> 0 as duplicate, p_partkey % 4 <> 0 as one_target, p_partkey % 2 = 0 as pair, p_partkey % 5 <> 0 as one_item, p_partkey % 11 = 0 as split, p_name like '%red%' as semantic, p_size > 45 as quantity,
+    p_partkey % 7 < 3 as family, p_partkey % 13 = 0 as product, p_partkey % 7 > 4 as cross_p, p_partkey % 6 = 1 as unique_code, p_size % 3 = 0 as absorbable, p_size % 17 = 0 as single, p_partkey % 8 <> 1 as code, p_size % 9 = 0 as absent from part),
+g as (select *, blocked and duplicate as scope, one_target and pair and one_item and not split and not semantic and not quantity and (family or product) as strong from f)
+select case when scope and strong then 'high' when scope and not split and not semantic and not absent and (unique_code or absorbable or quantity or single or (code and family)) then 'medium' else 'not_candidate' end as tier,
+  scope and (split or (pair and not one_item) or semantic or (cross_p and not unique_code) or (not code and not absent)) as conflict, count(*) as n_items from g group by 1, 2""")
 def promotion_tiers(spark, sf):
     k, size = F.col("p_partkey"), F.col("p_size")
-    args = [F.when(size > 10, "blocked").otherwise("confirmed"), k % 2 == 0, k % 3 == 0, size % 2 == 0, k % 7 == 0, F.col("p_name").like("%red%"), size > 45]
-    return t(spark, sf, "part").select(evidence.promotion(*args).alias("tier"), evidence.promotion(*args, strict=True).alias("strict_tier")).groupBy("tier", "strict_tier").agg(F.count("*").alias("n_items"))
+    flags = {
+        "blocked": size > 10, "duplicate": k % 3 != 0, "one_target": k % 4 != 0, "pair": k % 2 == 0, "one_item": k % 5 != 0, "split": k % 11 == 0, "semantic": F.col("p_name").like("%red%"), "quantity": size > 45, "same_family": k % 7 < 3, "same_product": k % 13 == 0,
+        "cross_product": k % 7 > 4, "unique_code": k % 6 == 1, "absorbable": size % 3 == 0, "single_risk": size % 17 == 0, "code": k % 8 != 1, "absent": size % 9 == 0,
+    }
+    found = t(spark, sf, "part").select(*(c.alias(n) for n, c in evidence.promotion(flags).items()))
+    return found.groupBy("tier", "conflict").agg(F.count("*").alias("n_items"))
 
 
-@query("""with e as (select distinct l_orderkey as code, l_suppkey as pair, l_partkey as item from lineitem where l_shipdate >= timestamp '1995-01-01' and l_quantity <= 5),
-a as (select code from e group by 1 having count(distinct pair) = 1), b as (select pair from e group by 1 having count(distinct item) = 1), c as (select item from e group by 1 having count(distinct pair) = 1)
-select code, pair, item from e where code in (from a) and pair in (from b) and item in (from c)""")
+@query("""with f as (select p_size > 10 as blocked, p_partkey % 10 = 0 as confirmed, p_partkey % 3 = 0 as risk, p_partkey % 2 = 0 as pair, p_partkey % 5 <> 0 as one_item, p_partkey % 7 <> 0 as one_own, p_size % 3 = 0 as option_only, p_size % 4 = 0 as product_only, p_size % 5 = 0 as absorbable from part)
+select case when not blocked or confirmed then null when risk then 'residual' when pair and one_item and one_own then 'high' when option_only or product_only or absorbable then 'medium' else 'residual' end as tier, count(*) as n_items from f group by 1""")
+def strict_promotion(spark, sf):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    flags = {"blocked": size > 10, "confirmed": k % 10 == 0, "true_risk": k % 3 == 0, "pair": k % 2 == 0, "one_item": k % 5 != 0, "one_own": k % 7 != 0, "option_only": size % 3 == 0, "product_only": size % 4 == 0, "absorbable": size % 5 == 0}
+    return t(spark, sf, "part").groupBy(evidence.strict_promotion(flags).alias("tier")).agg(F.count("*").alias("n_items"))
+
+
+@query("""with i as (select p_partkey as item, 'S' || (p_partkey // 2) as shared, 'C' || p_partkey as code, p_name like '%red%' as risk from part union all select p_partkey, 'S' || (p_partkey // 2), 'D' || (p_partkey // 3), false from part where p_partkey % 11 = 0 union all select p_partkey, 'S' || (p_partkey // 2), ' ', null from part),
+m as (select 'C' || p_partkey as code, 'P' || (p_partkey // 4) as product, 'O' || (p_partkey % case when p_size % 3 = 0 then 2 else 4 end) as option from part where p_partkey % 13 <> 0 union all select 'C' || p_partkey, null, ' ' from part where p_partkey % 13 = 0 union all select 'C' || p_partkey, 'P0', 'O9' from part where p_partkey % 17 = 0
+  union all select 'C' || p_partkey, 'Q' || p_partkey, null from part where p_partkey % 26 = 0 union all select 'D' || p_partkey, 'P' || p_partkey, 'O1' from part where p_partkey % 5 = 0),
+b as (select item, min(shared) as shared, coalesce(bool_or(risk), false) as risk from i group by 1), c as (select distinct item, trim(code) as code from i where trim(code) <> ''), h as (select distinct code, nullif(trim(product), '') as product, nullif(trim(option), '') as option from m where trim(coalesce(product, '')) <> '' or trim(coalesce(option, '')) <> ''),
+f as (select item, count(distinct concat_ws('|', product, option)) as n_pairs, min(product) as product, min(option) as option from c join h using (code) group by 1), r as (select b.*, coalesce(n_pairs, 0) as n_pairs, product, option from b left join f using (item)), s as (select * from r where n_pairs = 1),
+p as (select product, option, count(distinct item) as n_items from s group by 1, 2), q as (select shared, count(distinct product) as n_products from s group by 1)
+select r.item, r.n_pairs, case when r.n_pairs = 1 then r.product end as product, case when r.n_pairs = 1 then r.option end as option, p.n_items, q.n_products, risk,
+  case when r.n_pairs = 0 then 'evidence_missing' when r.n_pairs > 1 then 'duplicate_evidence' when p.n_items > 1 then 'duplicate_pair' when q.n_products > 1 then 'duplicate_product' when risk then 'risk' else 'clean' end as verdict
+from r left join p on r.n_pairs = 1 and p.product is not distinct from r.product and p.option is not distinct from r.option left join q on r.n_pairs = 1 and q.shared = r.shared""")
 def unique_evidence(spark, sf):
-    rows = t(spark, sf, "lineitem").where("l_shipdate >= timestamp_ntz '1995-01-01'").select(F.col("l_orderkey").alias("code"), F.col("l_suppkey").alias("pair"), F.col("l_partkey").alias("item"), "l_quantity")
-    return evidence.unique_evidence(rows, "code", "pair", "item", F.col("l_quantity") > 5)
-
-
-@query("""with r as (select distinct l_partkey as item, l_suppkey as code, l_linestatus || l_returnflag as source from lineitem where l_linenumber = 1),
-x as (select *, exists (select 1 from r b where b.item = r.item and b.code <> r.code and b.source <> r.source) as code_conflict, exists (select 1 from r b where b.code = r.code and b.item <> r.item and b.source <> r.source) as item_conflict from r)
+    part, k, size = t(spark, sf, "part"), F.col("p_partkey"), F.col("p_size")
+    text = lambda letter, x: F.concat(F.lit(letter), F.floor(x).cast("string"))
+    shared = text("S", k / 2).alias("shared")
+    items = part.select(k.alias("item"), shared, text("C", k).alias("code"), F.col("p_name").like("%red%").alias("risk"))
+    items = items.union(part.where("p_partkey % 11 = 0").select(k, shared, text("D", k / 3), F.lit(False))).union(part.select(k, shared, F.lit(" "), F.lit(None).cast("boolean")))
+    mapping = part.where("p_partkey % 13 != 0").select(text("C", k).alias("code"), text("P", k / 4).alias("product"), text("O", k % F.when(size % 3 == 0, 2).otherwise(4)).alias("option"))
+    for rule, row in (("% 13 = 0", [text("C", k), F.lit(None), F.lit(" ")]), ("% 17 = 0", [text("C", k), F.lit("P0"), F.lit("O9")]), ("% 26 = 0", [text("C", k), text("Q", k), F.lit(None)]), ("% 5 = 0", [text("D", k), text("P", k), F.lit("O1")])):
+        mapping = mapping.union(part.where(f"p_partkey {rule}").select(*row))
+    return evidence.unique_evidence(items, mapping)
+
+
+@query("""with r as (select distinct l_partkey as item, l_suppkey as code, l_returnflag as source from lineitem),
+x as (select *, count(*) over (partition by item) - count(*) over (partition by item, code) - count(*) over (partition by item, source) + 1 > 0 as code_conflict,
+  count(*) over (partition by code) - count(*) over (partition by code, item) - count(*) over (partition by code, source) + 1 > 0 as item_conflict from r)
 select * from x where code_conflict or item_conflict""")
 def source_conflict(spark, sf):
-    rows = t(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("code"), F.concat("l_linestatus", "l_returnflag").alias("source"))
+    """Over all lines, by return flag; source_conflict_lines takes the line status into the source too."""
+    rows = t(spark, sf, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("code"), F.col("l_returnflag").alias("source"))
     return relational.source_conflicts(rows, "item", "code", "source")
 
 
@@ -210,17 +246,19 @@ def multiline_align(spark, sf):
     return evidence.aligned_lines(rows, "doc_id", "c", "o", "s").select("doc_id", "line_no", F.md5("code").alias("code"), F.md5("option").alias("option"), "alignment")
 
 
-@query("""with second as (select o_orderkey % 2000 as item, cast(null as varchar) as own, o_orderpriority as pair from orders where o_orderkey % 3 = 0 union all select null, 'Brand#' || (o_orderkey % 60), o_orderpriority from orders where o_orderkey % 97 = 0),
-i as (select item, count(distinct pair) as n, min(pair) as p from second where item is not null group by 1), w as (select own, count(distinct pair) as n, min(pair) as p from second where own is not null group by 1),
-r as (select p_partkey, p_brand, case when p_size % 5 <> 0 then '1-URGENT' end as pair from part)
-select p_partkey, case when coalesce(i.n, w.n) is null then 'none' when coalesce(i.n, w.n) > 1 or coalesce(i.p, w.p) is null or r.pair is null then 'incomplete' when coalesce(i.p, w.p) = r.pair then 'supported' else 'conflict' end as support
-from r left join i on i.item = p_partkey left join w on w.own = p_brand""")
+@query("""with second as (select o_orderkey // 8 as item, cast(null as varchar) as own, case when o_orderkey % 7 <> 0 then o_orderpriority end as product, cast(o_custkey % 3 as varchar) as option from orders where o_orderkey % 6 = 0 union all select null, 'Brand#' || (o_orderkey % 60), o_orderpriority, '1' from orders where o_orderkey % 997 = 0),
+i as (select item, count(distinct product) as np, min(product) as p, count(distinct option) as no, min(option) as o from second where item is not null group by 1), w as (select own, count(distinct product) as np, min(product) as p, count(distinct option) as no, min(option) as o from second where own is not null group by 1),
+r as (select p_partkey, p_brand, case when p_size % 5 <> 0 then '1-URGENT' end as product, case when p_size % 7 <> 0 then cast(p_size % 3 as varchar) end as option, p_partkey % 4 <> 0 as compares from part),
+j as (select r.*, i.item is not null or w.own is not null as found, case when i.item is not null then case when i.np = 1 then i.p end else case when w.np = 1 then w.p end end as p, case when i.item is not null then case when i.no = 1 then i.o end else case when w.no = 1 then w.o end end as o
+  from r left join i on i.item = p_partkey left join w on w.own = p_brand)
+select p_partkey, case when not found then 'none' when p is null or o is null then 'incomplete' when compares and coalesce(product = p, false) and coalesce(option = o, false) then 'supported' when compares and (coalesce(product <> p, false) or coalesce(option <> o, false)) then 'conflict' else 'relaxed' end as support from j""")
 def evidence_support(spark, sf):
-    orders = t(spark, sf, "orders")
-    second = orders.where("o_orderkey % 3 = 0").select((F.col("o_orderkey") % 2000).alias("item"), F.lit(None).cast("string").alias("own"), F.col("o_orderpriority").alias("pair"))
-    second = second.union(orders.where("o_orderkey % 97 = 0").select(F.lit(None).cast("long"), F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 60).cast("string")), "o_orderpriority"))
-    rows = t(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("own"), F.when(F.col("p_size") % 5 != 0, "1-URGENT").alias("pair"))
-    return evidence.evidence_support(rows, second, "item", "own", "pair").select(F.col("item").alias("p_partkey"), "support")
+    orders, k = t(spark, sf, "orders"), F.col("o_orderkey")
+    second = orders.where("o_orderkey % 6 = 0").select(F.floor(k / 8).alias("item"), F.lit(None).cast("string").alias("own"), F.when(k % 7 != 0, F.col("o_orderpriority")).alias("product"), (F.col("o_custkey") % 3).cast("string").alias("option"))
+    second = second.union(orders.where("o_orderkey % 997 = 0").select(F.lit(None).cast("long"), F.concat(F.lit("Brand#"), (k % 60).cast("string")), "o_orderpriority", F.lit("1")))
+    size = F.col("p_size")
+    rows = t(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("own"), F.when(size % 5 != 0, "1-URGENT").alias("product"), F.when(size % 7 != 0, (size % 3).cast("string")).alias("option"), (F.col("p_partkey") % 4 != 0).alias("compares"))
+    return evidence.evidence_support(rows, second).select(F.col("item").alias("p_partkey"), "support")
 
 
 @query("""with a as (select distinct upper(trim(c_name)) as v, c_nationkey as target from customer), r as (select s_suppkey, s_name, 'customer#' || lpad(cast(s_suppkey as varchar), 9, '0') as c2 from supplier),
@@ -252,12 +290,12 @@ def risk_flags(spark, sf):
     return t(spark, sf, "documents").select("doc_id", *(c.alias(k) for k, c in flags.items()), options.joined_reasons(flags).alias("reasons"))
 
 
-@query("""with r as (select l_orderkey, l_linenumber, l_partkey, l_quantity, case when l_partkey % 17 = 0 then null when l_partkey % 19 = 0 then 0 else l_quantity end as a, case when l_suppkey % 23 = 0 then null when l_suppkey % 7 = 0 then 0.0 else l_quantity - 25 + l_partkey % 40 end as b from lineitem)
-select case when a is null or b is null then 'RECHECK_REQUIRED' when a = b then 'NO_CHANGE' when b = 0 then 'ZERO_OUT' when a < b then 'INCREASE' when a - b >= 20 or a - b >= a * 0.5 then 'LARGE_DECREASE' else 'SMALL_DECREASE' end as bucket, count(*) as n_rows from r group by 1""")
+@query("""with r as (select case when l_partkey % 17 = 0 then null when l_partkey % 19 = 0 then 0 when l_partkey % 23 = 0 then -5 when l_partkey % 29 = 0 then -100 else l_quantity end as a, case when l_suppkey % 23 = 0 then null when l_suppkey % 7 = 0 then 0.0 when l_suppkey % 11 = 0 then -101 else l_quantity - 25 + l_partkey % 40 end as b from lineitem)
+select case when a is null or b is null then 'RECHECK_REQUIRED' when a = b then 'NO_CHANGE' when b = 0 and a > 0 then 'ZERO_OUT' when a < b then 'INCREASE' when a - b >= 20 or (case when a > 0 then (a - b) / a else 0 end) >= 0.5 then 'LARGE_DECREASE' else 'SMALL_DECREASE' end as bucket, count(*) as n_rows from r group by 1""")
 def stock_buckets(spark, sf):
     q, p, s = F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey")
-    a = F.when(p % 17 == 0, "n/a").when(p % 19 == 0, " ").otherwise(F.concat(q.cast("string"), F.lit(" ")))
-    b = F.when(s % 23 == 0, "abc").when(s % 7 == 0, "0").otherwise((q - 25 + p % 40).cast("string"))
+    a = F.when(p % 17 == 0, "n/a").when(p % 19 == 0, " ").when(p % 23 == 0, "-5").when(p % 29 == 0, "-100").otherwise(F.concat(q.cast("string"), F.lit(" ")))
+    b = F.when(s % 23 == 0, "abc").when(s % 7 == 0, "0").when(s % 11 == 0, "-101").otherwise((q - 25 + p % 40).cast("string"))
     rows = t(spark, sf, "lineitem").select(a.alias("current"), b.alias("proposed"))
     return rows.select(stock.stock_bucket(F.col("current"), F.col("proposed")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_rows"))
 
@@ -269,17 +307,26 @@ def latest_overlay(spark, sf):
     return stock.latest_overlay(t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id")), snapshot, "user_id", "event_id", ["a", "b"])
 
 
-@query("""select o_custkey, o_orderpriority, max(o_orderkey) filter (o_orderstatus = 'F') as "at_F", max(o_orderkey) filter (o_orderstatus = 'O') as "at_O", coalesce(max(o_orderkey) filter (o_totalprice > 200000), max(o_orderkey)) as primary_row,
-  cast(sum(o_orderkey % 4) as bigint) as duplicates, count(*) as n_rows from orders group by 1, 2""")
+@query("""with r as (select *, (['x', 'y', 'z'])[1:o_orderkey % 4] as tags, ['hold', 'candidate', 'excluded', 'stock_match', 'no_match', 'other'][case when o_orderkey % 9 < 5 then o_orderkey % 2 + 1 else o_orderkey % 6 + 1 end] as b from orders)
+select o_custkey, o_orderpriority, max(o_orderkey) filter (o_orderstatus = 'F') as "at_F", max(o_orderkey) filter (o_orderstatus = 'O') as "at_O", coalesce(max(o_orderkey) filter (o_totalprice > 200000), max(o_orderkey)) as primary_row,
+  cast(sum(o_orderkey % 4) as bigint) as duplicates, count(*) as n_rows, array_to_string((list(tags order by len(tags) desc, o_orderkey))[1], ',') as tags,
+  case when bool_or(b = 'excluded') then 'excluded' when bool_or(b = 'no_match') then 'no_match' when bool_or(b = 'hold') then 'hold' when bool_or(b = 'candidate') then 'candidate' when bool_or(b = 'stock_match') then 'stock_match' else 'hold' end as bucket from r group by 1, 2""")
 def group_matrix(spark, sf):
-    rows = t(spark, sf, "orders").withColumn("dup", F.col("o_orderkey") % 4)
-    return review.group_matrix(rows, ["o_custkey", "o_orderpriority"], "o_orderstatus", "o_orderkey", F.col("o_totalprice") > 200000, "dup", ["F", "O"])
+    k = F.col("o_orderkey")
+    names = F.array(*(F.lit(x) for x in ("hold", "candidate", "excluded", "stock_match", "no_match", "other")))
+    rows = t(spark, sf, "orders").withColumns({"dup": k % 4, "t": F.slice(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.lit(1), (k % 4).cast("int")), "b": F.get(names, F.when(k % 9 < 5, k % 2).otherwise(k % 6).cast("int"))})
+    out = review.group_matrix(rows, ["o_custkey", "o_orderpriority"], "o_orderstatus", "o_orderkey", F.col("o_totalprice") > 200000, "dup", ["F", "O"], tags="t", bucket="b")
+    return out.withColumn("tags", F.array_join("tags", ","))
 
 
 QUEUE = """q as (select o_orderkey, case o_orderkey % 4 when 0 then 'AUTO_APPROVE_CANDIDATE' when 1 then 'FAST_REVIEW' when 2 then 'REVIEW' else 'NO_MATCH' end as tier, case when o_orderkey % 5 = 0 then 'set of ' || o_orderpriority when o_orderkey % 7 = 0 then 'offset name' else 'name code' end as reason,
   case when o_orderkey % 9 <> 0 then 'C' || o_custkey else ' ' end as code, o_orderkey % 6 as dup from orders)"""
 
 
+# Texts of actions, by o_orderkey % 13.
+ACTIONS = ["단종 상품", "discontinued", "보조옵션", "code blank", "코드공백", "코드공란", "sets", "my_set", "bundle", "추가상품", "plain", None, "name"]
+
+
 def _queue(spark, sf):
     k = F.col("o_orderkey")
     return t(spark, sf, "orders").select(
@@ -289,28 +336,41 @@ def _queue(spark, sf):
     )
 
 
-@query(f"""with {QUEUE} select case when trim(code) = '' then 'code_blank' when regexp_matches(reason, '(?i)set\\b') then 'set_risk' when tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') then 'candidate' when tier = 'NO_MATCH' then 'unmatched' else 'review' end as browser,
-  case when trim(code) = '' then 'code_blank' when regexp_matches(reason, '(?i)(^|[^a-z0-9])set([^a-z0-9]|$)') then 'set_risk' when tier = 'AUTO_APPROVE_CANDIDATE' then 'candidate' when tier = 'NO_MATCH' then 'unmatched' else 'review' end as summary,
-  case when tier = 'AUTO_APPROVE_CANDIDATE' then 'AUTO' when tier = 'FAST_REVIEW' and dup <= 3 and contains(reason, 'name') and contains(reason, 'code') then 'WEAK_EVIDENCE' when tier = 'FAST_REVIEW' then 'FAST' else tier end as policy, count(*) as n_rows from q group by 1, 2, 3""")
+@query(f"""with {QUEUE}, r as (select *, {{texts}}[o_orderkey % 13 + 1] as action, ['STOCK_MATCH', 'STOCK_DIFF', 'STOCK_NOT_FOUND', null][o_orderkey // 4 % 4 + 1] as stock, case when o_orderkey % 16 = 15 then 'MANUAL_LINKED' else tier end as tier2 from q), x as (select *, lower(tier2 || ' ' || coalesce(action, '') || ' ' || reason) as b from r)
+select case when tier2 = 'NO_MATCH' then 'no_match' when regexp_matches(b, '단종|삭제|제외|excluded|discontinued|hidden') then 'excluded' when regexp_matches(b, '세트|조합|bundle|set($|[^a-z0-9_])') then 'bundle' when regexp_matches(b, '보조옵션|보조 옵션|하위옵션|suboption|추가상품') then 'suboption'
+    when regexp_matches(b, '코드 근거|코드공란|코드 공란|자사코드 공란|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_NOT_FOUND' then 'stock_missing' else 'hold' end as browser,
+  case when tier2 = 'NO_MATCH' then 'no_match' when regexp_matches(b, '단종|삭제|제외|excluded|discontinued|hidden') then 'excluded' when regexp_matches(b, '세트|조합|bundle|(^|[^a-z0-9])set([^a-z0-9]|$)') then 'bundle' when regexp_matches(b, '보조옵션|보조 옵션|하위옵션|suboption|추가상품') then 'suboption'
+    when regexp_matches(b, '코드 근거|코드공백|코드 공백|자사코드 공백|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_NOT_FOUND' then 'stock_missing' else 'hold' end as summary,
+  case when tier2 = 'AUTO_APPROVE_CANDIDATE' then tier2 when tier2 = 'FAST_REVIEW' and dup <= 3 and contains(reason, 'name') and (contains(reason, 'code') or contains(reason, 'exact')) then 'APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK' when tier2 = 'FAST_REVIEW' then 'FAST_REVIEW_REQUIRED' else tier2 end as policy, count(*) as n_rows from x group by 1, 2, 3""".replace("{texts}", str(ACTIONS).replace("None", "null")))
 def workflow_bucket(spark, sf):
-    tier, reason, code = F.col("tier"), F.col("reason"), F.col("code")
-    rows = _queue(spark, sf).select(*(review.workflow_bucket(tier, reason, code, k).alias(k) for k in review.WORKFLOW), review.policy_tier(tier, F.col("dup"), reason, ("name", "code")).alias("policy"))
+    k, reason = F.col("o_orderkey"), F.col("reason")
+    tier, action = F.when(k % 16 == 15, "MANUAL_LINKED").otherwise(F.col("tier")), F.get(F.array(*(F.lit(x).cast("string") for x in ACTIONS)), (k % len(ACTIONS)).cast("int"))
+    stocked = F.get(F.array(*(F.lit(x).cast("string") for x in ("STOCK_MATCH", "STOCK_DIFF", "STOCK_NOT_FOUND", None))), (F.floor(k / 4) % 4).cast("int"))
+    rows = _queue(spark, sf).select(*(review.workflow_bucket(tier, [tier, action, reason], stocked, r).alias(r) for r in review.WORKFLOW), review.policy_tier(tier, F.col("dup"), reason, "name", ("code", "exact")).alias("policy"))
     return rows.groupBy("browser", "summary", "policy").agg(F.count("*").alias("n_rows"))
 
 
-@query(f"""with {QUEUE}, f as (select *, trim(code) = '' as a, tier = 'NO_MATCH' as b, dup > 3 as c from q) select md5(tier || '|' || o_orderkey) as review_id, o_orderkey, tier,
-  array_to_string(list_filter([case when a then 'blank_code' end, case when b then 'no_match' end, case when c then 'duplicates' end], lambda x: x is not null), ',') as reasons,
-  case when cast(a as int) + cast(b as int) + cast(c as int) >= 2 then 'high' else 'normal' end as level, case when cast(a as int) + cast(b as int) + cast(c as int) >= 2 then 'inspect' else 'confirm' end as action from f where a or b or c""")
+@query("""with f as (select o_orderkey as k, o_orderstatus as channel, o_orderkey % 11 = 0 as source_conflict, o_orderkey % 7 = 0 as warning, o_orderkey % 5 = 0 as duplicate_sku, o_orderkey % 13 = 0 as narrow_risk, o_orderkey % 3 = 0 as evidence_missing, case when o_orderkey % 17 = 0 then true when o_orderkey % 2 = 0 then false end as absent_possible,
+    o_orderkey % 19 = 0 as alias_conflict, o_orderkey % 23 = 0 as mapping_conflict, o_orderkey % 29 = 0 as duplicate_evidence, case when o_orderkey % 3 <> 0 then o_orderkey % 4 end as n, o_orderkey % 8 < 4 as direct, o_orderkey % 31 = 0 as same_target from orders)
+select md5(channel || '|' || k) as review_id, channel, k as o_orderkey, case when source_conflict then 'source_conflict' when duplicate_evidence or duplicate_sku then 'duplicate' when n = 1 and direct then 'direct' when n = 1 then 'unique' when coalesce(n, 0) = 0 then 'missing' else 'needs_review' end as evidence_level,
+  case when source_conflict then 'source_conflict' when warning then 'warning_bucket' when duplicate_sku then 'duplicate_sku' when narrow_risk then 'narrow_risk' when evidence_missing then 'evidence_missing' when absent_possible then 'channel_absent_or_inactive_possible' when alias_conflict or mapping_conflict then 'existing_conflict' else 'manual_review_required' end as risk_type,
+  concat_ws(',', case when source_conflict then 'source_conflict' end, case when warning then 'warning' end, case when duplicate_sku then 'duplicate_sku' end, case when narrow_risk then 'narrow_risk' end, case when evidence_missing then 'evidence_missing' end, case when absent_possible then 'absent_possible' end, case when alias_conflict then 'alias_conflict' end, case when mapping_conflict then 'mapping_conflict' end) as reasons,
+  case when absent_possible then 'classify_channel_absent_or_inactive' when source_conflict then 'compare_conflicting_candidates' when warning then 'inspect_source_warning' when duplicate_sku or duplicate_evidence then 'compare_duplicate_candidates' when narrow_risk then 'manual_option_risk_review' when evidence_missing then 'find_or_mark_missing_evidence' when alias_conflict or mapping_conflict then 'do_not_overwrite_existing_mapping' else 'manual_match_review' end as action,
+  case when absent_possible then 'deletion_or_inactive_review_candidate' else 'manual_matching_candidate' end as scope
+from f where not same_target and (source_conflict or warning or duplicate_sku or narrow_risk or evidence_missing or coalesce(absent_possible, false) or alias_conflict or mapping_conflict or channel = 'P')""")
 def review_workbench(spark, sf):
-    flags = {"blank_code": ~X.nonblank(F.col("code")), "no_match": F.col("tier") == "NO_MATCH", "duplicates": F.col("dup") > 3}
-    return review.workbench(_queue(spark, sf), ["tier", "o_orderkey"], flags).drop("reason", "code", "dup")
+    k = F.col("o_orderkey")
+    flags = {"source_conflict": k % 11 == 0, "warning": k % 7 == 0, "duplicate_sku": k % 5 == 0, "narrow_risk": k % 13 == 0, "evidence_missing": k % 3 == 0, "absent_possible": F.when(k % 17 == 0, True).when(k % 2 == 0, False), "alias_conflict": k % 19 == 0, "mapping_conflict": k % 23 == 0}
+    more = {"duplicate_evidence": k % 29 == 0, "n_items": F.when(k % 3 != 0, k % 4), "direct": k % 8 < 4, "same_target": k % 31 == 0}
+    rows = t(spark, sf, "orders").select(F.col("o_orderstatus").alias("channel"), "o_orderkey", *(c.alias(n) for n, c in (flags | more).items()))
+    return review.workbench(rows, ["channel", "o_orderkey"], F.col("channel") == "P")
 
 
-@query("""with r as (select o_orderkey, o_totalprice, unnest(list_filter(['random', case when o_totalprice > 250000 then 'dear' end, case when o_orderstatus = 'F' then 'done' end], lambda x: x is not null)) as bucket from orders),
-s as (select *, count(*) over (partition by bucket) as bucket_size, row_number() over (partition by bucket order by md5(o_orderkey || '|' || bucket), o_orderkey) as sample_rank from r) select bucket, bucket_size, sample_rank, o_orderkey from s where sample_rank <= 20""")
+@query("""with r as (select o_orderkey, o_custkey, unnest(list_filter(['random', case when o_totalprice > 250000 then 'dear' end, case when o_orderstatus = 'F' then 'done' end], lambda x: x is not null)) as bucket from orders),
+s as (select *, count(*) over (partition by bucket) as bucket_size, row_number() over (partition by bucket order by case when bucket = 'random' then md5(o_orderkey || bucket) else lpad(coalesce(cast(nullif(o_custkey, 7) as varchar), ''), 32, '0') || o_orderkey end, o_orderkey) as sample_rank from r) select bucket, bucket_size, sample_rank, o_orderkey from s where sample_rank <= 20""")
 def stratified_sample(spark, sf):
-    orders = t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    out = relational.stratified_sample(orders, {"random": F.lit(True), "dear": F.col("o_totalprice") > 250000, "done": F.col("o_orderstatus") == "F"}, "o_orderkey")
+    orders = t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.nullif("o_custkey", F.lit(7)).alias("code"))
+    out = relational.stratified_sample(orders, {"random": F.lit(True), "dear": F.col("o_totalprice") > 250000, "done": F.col("o_orderstatus") == "F"}, "o_orderkey", "code")
     return out.select("bucket", "bucket_size", "sample_rank", "o_orderkey")
 
 
@@ -321,23 +381,41 @@ def template_long(spark, sf):
     return review.long_template(rows, "p_partkey", ["names", "types"], "p_size", 2)
 
 
-@query("""with x as (select c_custkey, case when c_custkey % 10 = 0 then null when c_custkey % 3 = 0 then 'XXL red' when c_custkey % 3 = 1 then 'plain blue' else 'plain' end as txt, case when c_custkey % 10 = 0 then ' ' else 'k' || c_custkey end as code, c_custkey % 4 = 0 as listed, c_custkey % 8 = 0 as out from customer)
-select c_custkey, case when trim(code) = '' then 'blank_code' when listed then case when out then 'listed' end when contains(lower(txt), 'xx') then 'xx' when regexp_matches(lower(txt), 'red|blue') then 'colour' end as excluded from x""")
+@query("""with x as (select c_custkey as k, case when c_custkey % 10 = 0 then null when c_custkey % 6 = 1 then 'XX-' || c_custkey when c_custkey % 6 = 2 then 'boxx' || c_custkey else 'k' || c_custkey end as code, case when c_custkey % 9 = 0 then ' [XX] ring' when c_custkey % 9 = 1 then 'foxx' end as name,
+    case when c_custkey % 7 = 0 then 'fill ffc000' when c_custkey % 7 = 1 then '노랑 주황' when c_custkey % 7 = 2 then 'red' end as hints, case when c_custkey % 5 = 0 then 'note shop_excluded' when c_custkey % 5 = 1 then 'unexcluded' end as marks, c_custkey % 4 = 0 as known, case when c_custkey % 8 = 0 then ['discontinued', 'discontinued'] when c_custkey % 8 = 3 then ['late'] end as listed from customer),
+f as (select *, list_filter([case when regexp_matches(coalesce(code, ''), '(?i)(^|[^a-z0-9])xx([^a-z0-9]|$)') or regexp_matches(coalesce(name, ''), '(?i)^\\s*\\[?xx') then 'xx' end, case when regexp_matches(coalesce(hints, ''), 'orange|주황|ffc000|ff9900|ff7a00') then 'orange' end, case when regexp_matches(coalesce(hints, ''), 'yellow|노랑|노란|ffff00|ffe65a') then 'yellow' end], lambda v: v is not null) as h from x)
+select k as c_custkey, case when known then case when listed is not null then 'discontinued' else '' end else array_to_string(list_concat(coalesce(listed, []), case when len(h) > 0 then h when regexp_matches(coalesce(marks, ''), '(^|\\s)(true|1|yes|y|exclude|excluded|md_excluded|shop_excluded)(\\s|$)') then ['explicit'] else [] end), ',') end as excluded from f""")
 def exclusion_overlay(spark, sf):
     k = F.col("c_custkey")
-    text = F.when(k % 10 == 0, None).when(k % 3 == 0, "XXL red").when(k % 3 == 1, "plain blue").otherwise("plain")
-    code = F.when(k % 10 == 0, " ").otherwise(F.concat(F.lit("k"), k.cast("string")))
-    return t(spark, sf, "customer").select("c_custkey", review.exclusion(code, k % 4 == 0, k % 8 == 0, text, ["red", "blue"]).alias("excluded"))
-
-
-@query("""with r as (select p_partkey, p_name as a, case when p_partkey % 2 = 0 then p_name || '=x' else p_type end as b, p_brand as oa, case when p_partkey % 3 = 0 then p_type else p_brand end as ob, p_size > 3 as ok, p_size % 2 = 0 as tagged, p_size % 5 = 0 as hold from part),
-c as (select *, regexp_replace(lower(a), '[^\\p{L}\\p{N}]+', '', 'g') as pa, regexp_replace(regexp_replace(lower(b), '[=].*$', ''), '[^\\p{L}\\p{N}]+', '', 'g') as pb, regexp_replace(lower(oa), '[^\\p{L}\\p{N}]+', '', 'g') as qa, regexp_replace(lower(ob), '[^\\p{L}\\p{N}]+', '', 'g') as qb from r),
-s as (select *, pa <> '' and pb <> '' and (contains(pa, pb) or contains(pb, pa)) and qa = qb and ok as strict from c), o as (select oa, a from s where strict and hold group by all), z as (select a from s where strict and hold group by 1 having count(distinct p_partkey) = 1)
-select p_partkey, case when strict and not tagged and not hold then 'P1' when strict and hold and a in (from z) then 'P2' end as approval from s""")
+    text = k.cast("string")
+    code = F.when(k % 10 == 0, None).when(k % 6 == 1, F.concat(F.lit("XX-"), text)).when(k % 6 == 2, F.concat(F.lit("boxx"), text)).otherwise(F.concat(F.lit("k"), text))
+    name, hints = F.when(k % 9 == 0, " [XX] ring").when(k % 9 == 1, "foxx"), F.when(k % 7 == 0, "fill ffc000").when(k % 7 == 1, "노랑 주황").when(k % 7 == 2, "red")
+    marks, listed = F.when(k % 5 == 0, "note shop_excluded").when(k % 5 == 1, "unexcluded"), F.when(k % 8 == 0, F.array(F.lit("discontinued"), F.lit("discontinued"))).when(k % 8 == 3, F.array(F.lit("late")))
+    return t(spark, sf, "customer").select("c_custkey", review.exclusion(k % 4 == 0, listed, code, name, hints, marks, "shop").alias("excluded"))
+
+
+@query("""with r as (select p_partkey as k, ['one', 'two'][p_partkey % 2 + 1] as channel, ['REVIEW', 'NO_MATCH', 'REVIEW', 'FAST_REVIEW'][p_partkey // 2 % 4 + 1] as tier, 'P' || (p_partkey // 12) as product_code, case when p_partkey % 3 = 0 then 'O1' else 'O' || p_partkey end as option_code, case when p_partkey % 41 <> 0 then 'IP' || (p_partkey // 24) end as item_product, case when p_partkey % 43 <> 0 then 'I1' end as item,
+    p_name as name, case p_partkey % 5 when 0 then upper(p_name) || '.' when 1 then '<' || p_name || '> plus' when 4 then p_type else replace(p_name, ' ', '_') end as item_name, case p_partkey % 7 when 0 then '[x] ' || p_brand || '=rest' when 1 then p_brand || '-모델착용' else p_brand end as option, case when p_partkey % 11 = 0 then p_type else lower(p_brand) || ' ' end as item_option,
+    case when p_partkey % 17 = 0 then 'a SET of' when p_partkey % 19 = 0 then '세트' when p_partkey % 23 = 0 then 'abc sets' end as reason, case when p_partkey % 4 < 2 then '자동 승인하지 않음' when p_partkey % 13 <> 0 then 'ok' end as action, case when p_partkey % 29 = 0 then 2 when p_partkey % 2 = 0 then 1 end as duplicates, case when p_partkey % 31 = 0 then 'true' end as duplicate_risk,
+    case when p_partkey % 37 = 0 then 'STOCK_DIFF' when p_partkey % 3 = 0 then 'STOCK_MATCH' end as stock, case when p_partkey % 6 = 5 then true when p_partkey % 6 = 4 then false end as tagged from part),
+c as (select *, lower(concat_ws(' ', name, option, item_name, item_option, reason, action)) as b, lower(regexp_replace(name, '[\\s\\[\\](){}<>_\\-./|]+', '', 'g')) as n1, lower(regexp_replace(item_name, '[\\s\\[\\](){}<>_\\-./|]+', '', 'g')) as n2,
+    lower(regexp_replace(replace(regexp_replace(regexp_replace(option, '\\[[^\\]]*\\]', '', 'g'), '=.*$', '', 'g'), '-모델착용', ''), '[\\s\\[\\](){}<>_\\-./|,*]+', '', 'g')) as o1, lower(regexp_replace(item_option, '[\\s\\[\\](){}<>_\\-./|,*]+', '', 'g')) as o2 from r),
+s as (select *, n1 = n2 as exact, action = '자동 승인하지 않음' as held, tier in ('REVIEW', 'NO_MATCH') and item_product is not null and item is not null and coalesce(duplicates, 0) <= 1 and coalesce(duplicate_risk, '') <> 'true' and coalesce(stock, 'STOCK_MATCH') = 'STOCK_MATCH' and not contains(b, '세트') and not regexp_matches(b, '(^|[^a-z0-9가-힣])(ab|set)([^a-z0-9가-힣]|$)')
+    and (contains(n1, n2) or contains(n2, n1)) and o1 = o2 and not coalesce(tagged, false) as strict from c),
+u as (select channel, product_code, option_code from s where strict and held and exact and channel = 'two' group by all having count(distinct item_product || '|' || item) = 1)
+select k as p_partkey, case when strict and not held and exact then 'P1A' when strict and not held then 'P1B' when strict and held and exact and s.channel = 'two' and u.channel is not null then 'P2' end as approval from s left join u using (channel, product_code, option_code)""")
 def auto_approval(spark, sf):
-    part = t(spark, sf, "part").withColumn("b", F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("=x"))).otherwise(F.col("p_type"))).withColumn("ob", F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).otherwise(F.col("p_brand")))
-    out = review.auto_approval(part, F.col("p_name"), F.col("b"), F.col("p_brand"), F.col("ob"), F.col("p_size") > 3, F.col("p_size") % 2 == 0, F.col("p_size") % 5 == 0, "p_partkey", "p_name")
-    return out.select("p_partkey", "approval")
+    k, name, brand = F.col("p_partkey"), F.col("p_name"), F.col("p_brand")
+    text = lambda letter, x: F.concat(F.lit(letter), F.floor(x).cast("string"))
+    tiers = F.array(*(F.lit(x) for x in ("REVIEW", "NO_MATCH", "REVIEW", "FAST_REVIEW")))
+    rows = t(spark, sf, "part").select(
+        "p_partkey", F.when(k % 2 == 0, "one").otherwise("two").alias("channel"), F.get(tiers, (F.floor(k / 2) % 4).cast("int")).alias("tier"), text("P", k / 12).alias("product_code"), F.when(k % 3 == 0, "O1").otherwise(text("O", k)).alias("option_code"), F.when(k % 41 != 0, text("IP", k / 24)).alias("item_product"), F.when(k % 43 != 0, "I1").alias("item"),
+        name.alias("name"), F.when(k % 5 == 0, F.concat(F.upper(name), F.lit("."))).when(k % 5 == 1, F.concat(F.lit("<"), name, F.lit("> plus"))).when(k % 5 == 4, F.col("p_type")).otherwise(F.replace(name, F.lit(" "), F.lit("_"))).alias("item_name"),
+        F.when(k % 7 == 0, F.concat(F.lit("[x] "), brand, F.lit("=rest"))).when(k % 7 == 1, F.concat(brand, F.lit("-모델착용"))).otherwise(brand).alias("option"), F.when(k % 11 == 0, F.col("p_type")).otherwise(F.concat(F.lower(brand), F.lit(" "))).alias("item_option"),
+        F.when(k % 17 == 0, "a SET of").when(k % 19 == 0, "세트").when(k % 23 == 0, "abc sets").alias("reason"), F.when(k % 4 < 2, review.HOLD_ACTION).when(k % 13 != 0, "ok").alias("action"), F.when(k % 29 == 0, 2).when(k % 2 == 0, 1).alias("duplicates"), F.when(k % 31 == 0, "true").alias("duplicate_risk"),
+        F.when(k % 37 == 0, "STOCK_DIFF").when(k % 3 == 0, "STOCK_MATCH").alias("stock"), F.when(k % 6 == 5, True).when(k % 6 == 4, False).alias("tagged"),
+    )
+    return review.auto_approval(rows, "two").select("p_partkey", "approval")
 
 
 @query("""with g as (select distinct 'p_brand' as scope, p_brand as key, 'brand' as t from part where p_size = 1 union select distinct 'p_type', p_type, x from part, (values ('typed'), ('brand')) v(x) where p_size = 50)
@@ -500,10 +578,14 @@ def insert_guarded(spark, sf):
     return apply.insert_new(table, rows, ["o_orderkey"])
 
 
-@query("""select o_orderkey, o_orderstatus as before, 'hold' as after, 1 as n_events from orders where o_orderkey % 100 = 0""")
+@query("""select o_orderkey, o_orderstatus as before, case when o_orderkey % 100 = 0 then 'hold' else o_orderstatus end as after, case when o_orderkey % 3 = 0 then 2 else 1 end as n_events from orders""")
 def audit_append(spark, sf):
-    rows = _orders(spark, sf).where("o_orderkey % 100 = 0").withColumn("events", apply.append_event(F.lit(None), "decide", F.col("o_orderstatus"), F.lit("hold"), "tester", "2026-01-01T00:00:00Z"))
-    return rows.select("o_orderkey", F.get("events", F.lit(0)).before.alias("before"), F.get("events", F.lit(0)).after.alias("after"), F.size("events").alias("n_events"))
+    k = F.col("o_orderkey")
+    first = apply.append_event(F.lit(None), "import", F.lit(None).cast("string"), F.col("o_orderstatus"), "loader", "2025-01-01T00:00:00Z")
+    after = F.when(k % 100 == 0, "hold").otherwise(F.col("o_orderstatus"))
+    rows = _orders(spark, sf).withColumn("events", F.when(k % 3 == 0, first)).withColumn("events", apply.append_event(F.col("events"), "decide", F.col("o_orderstatus"), after, "tester", "2026-01-01T00:00:00Z"))
+    last = F.element_at("events", -1)
+    return rows.select("o_orderkey", last.before.alias("before"), last.after.alias("after"), F.size("events").alias("n_events"))
 
 
 @query("""select a.o_orderstatus as state_from, b.o_orderstatus as state_to, false as allowed from (select distinct o_orderstatus from orders) a cross join (select distinct o_orderstatus from orders) b union all select 'received', 'picking', true union all select 'shipped', 'picking', false""")

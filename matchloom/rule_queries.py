@@ -120,7 +120,7 @@ def option_match_before_after(spark, sf):
 # ---- presence in channels ------------------------------------------------------------------------------------------------
 
 
-@query("""with a as (select l_partkey as item, l_returnflag as channel, count(*) as n_alias, count(*) filter (l_quantity > 48) as n_confirmed, count(*) filter (l_quantity > 30) as n_candidate, count(distinct l_linenumber) as alias_products from lineitem where (l_partkey + l_suppkey) % 11 = 0 group by 1, 2),
+@query("""with a as (select l_partkey as item, l_returnflag as channel, count(*) as n_alias, count(*) filter (l_quantity = 50 and l_linenumber = 1) as n_confirmed, count(*) filter (l_quantity = 49) as n_candidate, count(distinct case when l_quantity > 47 then l_suppkey end) as alias_products from lineitem group by 1, 2),
 o as (select p_name, count(distinct p_partkey) as fan_out from part where p_partkey % 3 = 0 group by 1), u as (select p_partkey as item, c as channel, fan_out, case when p_size % 2 = 0 then 1 end as n_images from part left join o using (p_name), unnest(['A', 'N', 'R', 'X']) as t(c)),
 s as (select u.channel, case when coalesce(n_confirmed, 0) > 0 then 'confirmed' when coalesce(alias_products, 0) > 1 or coalesce(fan_out, 0) > 60 then 'blocked' when coalesce(n_candidate, 0) > 0 then 'high' when coalesce(n_alias, 0) > 0 and alias_products > 0 then 'medium' when n_alias is null and n_images is null then 'absent' when n_alias is null then 'unknown' else 'manual' end as st from u left join a on a.item = u.item and a.channel = u.channel),
 c as (select channel, count(*) as total, count(*) filter (st <> 'absent') as present, count(*) filter (st in ('confirmed', 'high', 'medium')) as matched, count(*) filter (st in ('manual', 'unknown')) as open_rows, count(*) filter (st = 'absent') as gone from s group by 1),
@@ -131,8 +131,8 @@ union all select 'match_rate_of_total', channel, null, cast(round(100.0 * matche
 union all select 'manual_rate_of_present', channel, null, cast(round(100.0 * open_rows / nullif(present, 0), 2) as double), 'present' from c union all select 'absent_rate_of_total', channel, null, cast(round(100.0 * gone / nullif(total, 0), 2) as double), 'total' from c""")
 def presence_rates(spark, sf):
     q = F.col("l_quantity")
-    held = t(spark, sf, "lineitem").where("(l_partkey + l_suppkey) % 11 = 0").groupBy(F.col("l_partkey").alias("item"), F.col("l_returnflag").alias("channel")).agg(
-        F.count("*").alias("n_alias"), F.count(F.when(q > 48, 1)).alias("n_confirmed"), F.count(F.when(q > 30, 1)).alias("n_candidate"), F.count_distinct("l_linenumber").alias("alias_products")
+    held = t(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("item"), F.col("l_returnflag").alias("channel")).agg(
+        F.count("*").alias("n_alias"), F.count(F.when((q == 50) & (F.col("l_linenumber") == 1), 1)).alias("n_confirmed"), F.count(F.when(q == 49, 1)).alias("n_candidate"), F.count_distinct(F.when(q > 47, F.col("l_suppkey"))).alias("alias_products")
     )
     part = t(spark, sf, "part")
     fans = part.where("p_partkey % 3 = 0").groupBy("p_name").agg(F.count("*").alias("n")).select("p_name", F.when(F.col("n") > 60, 2).otherwise(1).alias("fan_out"))
@@ -230,7 +230,7 @@ def change_moves(spark, sf):
 
 
 @query("""with r as (select p_partkey, case when p_partkey % 12 <> 0 then 'S' || p_partkey end as code, case p_partkey % 8 when 0 then 'n/a' when 1 then '0' when 2 then ' ' else cast(p_size as varchar) end as price, case p_partkey % 9 when 0 then '-1' when 1 then '' else '5' end as stock, case p_partkey % 7 when 0 then 'http://a.b/c.jpg' when 1 then 'x.PNG' when 2 then 'not a file' end as image, p_size % 10 = 0 as open_policy from part),
-f as (select p_partkey, concat_ws(',', case when trim(coalesce(code, '')) = '' then 'MISSING_OWN_SKU_CODE' end, case when trim(price) = '' then 'MISSING_REQUIRED_PRICE' end, case when trim(price) <> '' and coalesce(try_cast(price as double), 0) <= 0 then 'INVALID_PRICE' end, case when trim(stock) = '' then 'MISSING_STOCK' end,
+f as (select p_partkey, concat_ws(',', case when trim(coalesce(code, '')) = '' then 'MISSING_OWN_SKU_CODE' end, case when p_partkey % 25 = 0 then 'MISSING_MAIN_CODE' end, case when trim(price) = '' then 'MISSING_REQUIRED_PRICE' end, case when trim(price) <> '' and coalesce(try_cast(price as double), 0) <= 0 then 'INVALID_PRICE' end, case when trim(stock) = '' then 'MISSING_STOCK' end,
     case when stock = '-1' then 'INVALID_STOCK' end, case when image is null then 'MISSING_REQUIRED_IMAGE' end, case when image = 'not a file' then 'INVALID_IMAGE_REFERENCE' end) as blockers, case when open_policy then 'STOCK_POLICY_UNCONFIRMED' else '' end as warnings from r)
 select *, case when blockers <> '' then 'blocked' when warnings <> '' then 'warning' else 'ready' end as state from f""")
 def export_check(spark, sf):
@@ -241,10 +241,10 @@ def export_check(spark, sf):
     )
     gone = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     rules = {
-        "MISSING_OWN_SKU_CODE": gone("code"), "MISSING_REQUIRED_PRICE": gone("price"), "INVALID_PRICE": export_rules.bad_number(F.col("price"), 0, 1e9, above=True), "MISSING_STOCK": gone("stock"), "INVALID_STOCK": export_rules.bad_number(F.col("stock"), 0, 1e6),
+        "MISSING_OWN_SKU_CODE": gone("code"), "MISSING_MAIN_CODE": k % 25 == 0, "MISSING_REQUIRED_PRICE": gone("price"), "INVALID_PRICE": export_rules.bad_number(F.col("price"), 0, 1e9, above=True), "MISSING_STOCK": gone("stock"), "INVALID_STOCK": export_rules.bad_number(F.col("stock"), 0, 1e6),
         "MISSING_REQUIRED_IMAGE": gone("image"), "INVALID_IMAGE_REFERENCE": export_rules.bad_reference(F.col("image")), "STOCK_POLICY_UNCONFIRMED": F.col("open_policy"),
     }
-    return export_rules.export_check(rows, rules).select("p_partkey", "blockers", "warnings", "state")
+    return export_rules.export_check(rows, rules, main_code="MISSING_MAIN_CODE").select("p_partkey", "blockers", "warnings", "state")
 
 
 # ---- lines, weak candidates, review --------------------------------------------------------------------------------------
@@ -300,13 +300,13 @@ def weak_groups(spark, sf):
 
 
 @query(f"""with {QUEUE}, r as (select *, case when o_orderkey % 8 = 0 then 'Duplicate row' when o_orderkey % 15 = 0 then 'auto-approve' end as action, o_orderkey % 3 <> 0 as linked, o_orderkey % 50 = 0 as unlinked, o_orderkey % 33 = 0 as gone, case when o_orderkey % 4 <> 3 then o_orderkey % 12 = 1 end as required from q),
-x as (select *, dup > 1 or coalesce(action ilike '%duplicate%', false) as conflict, unlinked or not linked or trim(code) = '' or (tier = 'NO_MATCH' and not regexp_matches(reason, '(?i)set\\b')) as needs_linking, tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') or coalesce(action = 'auto-approve', false) as auto, tier = 'FAST_REVIEW' as fast from r)
+x as (select *, dup > 1 or coalesce(action ilike '%duplicate%', false) as conflict, unlinked or not linked or tier = 'NO_MATCH' or (tier = 'REVIEW' and not regexp_matches(reason, '(?i)set($|[^a-z0-9_])') and o_orderkey % 21 = 2) as needs_linking, tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') or coalesce(action = 'auto-approve', false) as auto, tier = 'FAST_REVIEW' as fast from r)
 select o_orderkey, conflict, needs_linking, auto, fast, not unlinked and not gone and (conflict or needs_linking or coalesce(required, false) or not auto) as pending from x""")
 def review_predicates(spark, sf):
     rows, k = _queue(spark, sf), F.col("o_orderkey")
-    tier, reason, code, dup = (F.col(c) for c in ("tier", "reason", "code", "dup"))
-    policy, bucket = review.policy_tier(tier, dup, reason, ("name", "code")), review.workflow_bucket(tier, reason, code)
+    tier, reason, dup = (F.col(c) for c in ("tier", "reason", "dup"))
     action = F.when(k % 8 == 0, "Duplicate row").when(k % 15 == 0, "auto-approve")
+    policy, bucket = review.policy_tier(tier, dup, reason, "name", ("code",)), review.workflow_bucket(tier, [tier, action, reason], F.when(k % 21 == 2, "STOCK_NOT_FOUND"))
     found = review.review_predicates(tier, policy, bucket, [reason, action], dup, k % 3 != 0, k % 50 == 0, k % 33 == 0, F.when(k % 4 != 3, k % 12 == 1))
     return rows.select("o_orderkey", *(c.alias(n) for n, c in found.items()))
 

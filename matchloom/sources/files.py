@@ -9,7 +9,8 @@ from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from matchloom.operators.relational import metric_rows, top_rows
 
 ROWS = "path string, sheet string, row_no long, cells array<string>"
 
@@ -21,6 +22,73 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     return df.where(F.trim(F.concat_ws("", *(f"`{c}`" for c in df.columns))) != "")
 
 
+ENCODINGS = ("UTF-8", "MS949")
+
+
+def bad_encoding(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Files (path) that don't decode; each is looked at on its own, in a task."""
+
+    def wrong(batches):
+        import codecs
+
+        import pandas as pd
+
+        name = {"MS949": "cp949"}.get(encoding, encoding)
+        for batch in batches:
+            bad = []
+            for p, content in zip(batch.path, batch.content, strict=True):
+                try:
+                    codecs.decode(bytes(content), name)
+                except (UnicodeDecodeError, LookupError):
+                    bad.append(p)
+            yield pd.DataFrame({"path": bad}, dtype=str)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(wrong, "path string")
+
+
+def read_csv_any(spark: SparkSession, path: str, encodings: tuple[str, ...] = ENCODINGS) -> tuple[DataFrame, str]:
+    """read_csv by the first encoding in which all files decode, with its name. A byte order mark is dropped in any case."""
+    for encoding in encodings:
+        if bad_encoding(spark, path, encoding).isEmpty():
+            return read_csv(spark, path, encoding), encoding
+    raise ValueError(f"no encoding of {', '.join(encodings)} fits all files of {path}")
+
+
+# The columns of the integrity report.
+INTEGRITY = ("product_uid", "sto_id", "sto_code", "opt_value", "opt_values")
+
+
+def csv_integrity(rows: DataFrame, bracket: str) -> DataFrame:
+    """(metric, value): counts of rows, blanks, bracketed codes, resolvable rows and keys that repeat, for a sheet with the columns INTEGRITY.
+
+    A row resolves by its own code, else by a bracketed code of either text. Two passes over keys and one over rows; nulls are blank."""
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    count = lambda p: F.count(F.when(p, 1))
+    code = {c: F.nullif(F.regexp_extract(F.coalesce(F.col(c), F.lit("")), bracket, 1), F.lit("")) for c in ("opt_value", "opt_values")}
+    solved = (text("sto_code") != "") | code["opt_value"].isNotNull() | code["opt_values"].isNotNull()
+    metrics = {"row_count": F.count("*"), "product_uid_distinct": F.count_distinct(F.nullif(text("product_uid"), F.lit("")))}
+    metrics |= {f"{c}_blank_rows": count(text(c) == "") for c in INTEGRITY}
+    for c, x in code.items():
+        metrics |= {f"{c}_bracket_hits": count(x.isNotNull()), f"{c}_bracket_unique_codes": F.count_distinct(x)}
+    metrics |= {"own_sku_candidate_resolvable": count(solved), "own_sku_candidate_unresolvable": count(~solved)}
+    out = metric_rows(rows, metrics)
+    for name, keys in (("sto_id", ["sto_id"]), ("product_sto", ["product_uid", "sto_id"])):
+        each = rows.select(*(text(k).alias(k) for k in keys)).where(" and ".join(f"{k} != ''" for k in keys)).groupBy(*keys).agg(F.count("*").alias("n"))
+        out = out.unionByName(metric_rows(each, {f"{name}_duplicate_keys": count(F.col("n") > 1), f"{name}_duplicate_rows": F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))}))
+    return out
+
+
+def keyed_rows(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """An apply map: of the rows with all keys (trimmed, not blank) the last of each key by the order, with apply_key, the keys joined by |."""
+    trimmed = rows.withColumns({k: F.trim(F.col(k).cast("string")) for k in keys}).where(" and ".join(f"`{k}` != ''" for k in keys))
+    return top_rows(trimmed, keys, [F.col(order).desc_nulls_last()]).withColumn("apply_key", F.concat_ws("|", *keys))
+
+
+def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of JSON files of the form {"rows": [...]}, with row_no, the place in the list; files that have none give none."""
+    return spark.read.schema(f"rows array<struct<{schema}>>").option("multiLine", True).json(path).select(F.posexplode("rows").alias("row_no", "r")).select("row_no", "r.*")
+
+
 def _column(ref: str) -> int:
     n = 0
     for ch in re.match("[A-Z]+", ref).group():
@@ -89,13 +157,16 @@ def read_sheets(spark: SparkSession, path: str, kind: str = "xlsx") -> DataFrame
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, ROWS)
 
 
-def with_header(rows: DataFrame, wanted: dict[str, list[str]], header_row: int = 1) -> DataFrame:
-    """Named columns from cells: for each name the first of its aliases in the header (white space and case ignored), else null. Below the header only."""
+def with_header(rows: DataFrame, wanted: dict[str, list[str]], header_row: int = 1, fixed: dict[str, int] | None = None) -> DataFrame:
+    """Named columns from cells: a fixed place (from 0) if the row is that wide, else the first of the name's aliases in the header (white space and case
+    ignored), else null. Below the header only."""
     plain = lambda c: F.regexp_replace(F.lower(c), r"\s+", "")
     head = rows.where(F.col("row_no") == header_row).select("path", "sheet", F.transform("cells", plain).alias("_head"))
     both = rows.where(F.col("row_no") > header_row).join(head, ["path", "sheet"])
     at = lambda names: F.coalesce(*(F.nullif(F.array_position("_head", re.sub(r"\s+", "", n.lower())), F.lit(0)) for n in names))
-    return both.select("path", "sheet", "row_no", *(F.get("cells", (at(names) - 1).cast("int")).alias(k) for k, names in wanted.items()))
+    found = {k: F.get("cells", (at(names) - 1).cast("int")) for k, names in wanted.items()}
+    found |= {k: F.when(F.size("_head") > i, F.get("cells", F.lit(i))).otherwise(found.get(k, F.lit(None).cast("string"))) for k, i in (fixed or {}).items()}
+    return both.select("path", "sheet", "row_no", *(c.alias(k) for k, c in found.items()))
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -111,6 +182,11 @@ def file_registry(spark: SparkSession, path: str, known: DataFrame | None = None
     return found.join(known.select("sha256"), "sha256", "left_anti") if known is not None else found
 
 
+def table_facts(rows: DataFrame) -> DataFrame:
+    """Per path of sheet rows (path, sheet, row_no, cells): row_count, column_count (the widest row) and sheet_count, to stand beside file_registry."""
+    return rows.groupBy("path").agg(F.count("*").alias("row_count"), F.max(F.size("cells")).cast("long").alias("column_count"), F.count_distinct("sheet").alias("sheet_count"))
+
+
 def row_hash(columns: list[str]) -> Column:
     """sha256 of the row as compact JSON with sorted keys, nulls included."""
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
