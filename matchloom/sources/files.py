@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from functools import partial
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,35 +23,39 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     return df.where(F.trim(F.concat_ws("", *(f"`{c}`" for c in df.columns))) != "")
 
 
-ENCODINGS = ("UTF-8", "MS949")
+ENCODINGS = ("utf-8-sig", "cp949", "utf-8")
 
 
-def bad_encoding(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Files (path) that don't decode; each is looked at on its own, in a task."""
+def _csv_rows(batches, encoding: str):
+    """(path, row number, cells) of every file, parsed in a task; (path, null, null) for a file that doesn't decode."""
+    import csv
 
-    def wrong(batches):
-        import codecs
+    import pandas as pd
 
-        import pandas as pd
-
-        name = {"MS949": "cp949"}.get(encoding, encoding)
-        for batch in batches:
-            bad = []
-            for p, content in zip(batch.path, batch.content, strict=True):
-                try:
-                    codecs.decode(bytes(content), name)
-                except (UnicodeDecodeError, LookupError):
-                    bad.append(p)
-            yield pd.DataFrame({"path": bad}, dtype=str)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(wrong, "path string")
+    for batch in batches:
+        for path, content in zip(batch.path, batch.content, strict=True):
+            try:
+                text = bytes(content).decode(encoding)
+            except UnicodeDecodeError:
+                yield pd.DataFrame([(path, None, None)], columns=["path", "row_no", "cells"]).astype({"row_no": "Int64"})
+                continue
+            rows = [(path, i, cells) for i, cells in enumerate(csv.reader(io.StringIO(text, newline="")), 1)]
+            yield pd.DataFrame(rows, columns=["path", "row_no", "cells"]).astype({"row_no": "Int64"})
 
 
 def read_csv_any(spark: SparkSession, path: str, encodings: tuple[str, ...] = ENCODINGS) -> tuple[DataFrame, str]:
-    """read_csv by the first encoding in which all files decode, with its name. A byte order mark is dropped in any case."""
+    """All-string columns of the files by the first encoding in which every one of them decodes, with its name. For encodings that Spark's own reader doesn't take.
+
+    Each file is read whole in a task. All must have the same header. An empty cell is '', a missing one null; rows of blank cells alone are dropped."""
+    found = spark.read.format("binaryFile").load(path).select("path", "content")
     for encoding in encodings:
-        if bad_encoding(spark, path, encoding).isEmpty():
-            return read_csv(spark, path, encoding), encoding
+        rows = found.mapInPandas(partial(_csv_rows, encoding=encoding), "path string, row_no long, cells array<string>")
+        if rows.where("row_no is null").isEmpty():
+            heads = rows.where("row_no = 1").select("cells").distinct().limit(2).collect()
+            if len(heads) != 1:
+                raise ValueError(f"the files of {path} have {'no header' if not heads else 'several headers'}")
+            named = rows.where("row_no > 1").select(*(F.get("cells", F.lit(i)).alias(c.strip()) for i, c in enumerate(heads[0].cells)))
+            return named.where(F.trim(F.concat_ws("", *(f"`{c}`" for c in named.columns))) != ""), encoding
     raise ValueError(f"no encoding of {', '.join(encodings)} fits all files of {path}")
 
 

@@ -27,8 +27,14 @@ def test_blanks_and_parsing(spark):
 
 
 def test_codes(spark):
-    code = codes.extract_code(F.lit(" "), F.lit("q [AB-1-2_3]"), F.lit("[CD-1-2-3]"))
-    assert one(spark, c=code)["c"].asDict() == {"code": "AB-1-2_3", "method": "bracket_first"}
+    a, b = F.lit("q [AB-1-2-3]"), F.lit("[CD-1-2_3] ef-1-2-3")
+    assert one(spark, c=codes.extract_code(F.lit(" "), a, b, "v2"))["c"].asDict() == {"code": "CD-1-2_3", "method": "b_bracket", "pattern": "bracket", "family": "existing", "loose": "AB-1-2-3"}
+    # a short bracket of either text comes before four parts in v2, the second text before the first in v3
+    a, b = F.lit("[AB-1-2]"), F.lit("[CD-1-2-3]")
+    assert [one(spark, c=codes.extract_code(F.lit(None), a, b, v))["c"].method for v in ("v2", "v3")] == ["a_bracket", "b_four_parts"]
+    assert one(spark, c=codes.extract_code(F.lit(" X "), a, b))["c"].code == "X" and one(spark, c=codes.extract_code(F.lit(None), F.lit(None), F.lit("")))["c"].code is None
+    score = lambda x, y, option, numbers: one(spark, s=codes.token_score(*codes.token_parts(F.lit(x)).values(), *codes.token_parts(F.lit(y)).values(), F.lit(option), F.array(*(F.lit(n).cast("string") for n in numbers))))["s"]
+    assert [score("Red 10", "red-10", "1", ["1"]), score("red 10", "red", "1", ["10"]), score("1 2", "2 1", None, [None]), score("a b", "ab", "", [""]), score("", None, "3", ["2", "3"])] == [190, 40, 0, 0, 30]
     assert one(spark, a=codes.composite_key(F.lit(" a"), F.lit("b ")), b=codes.composite_key(F.lit("a"), F.lit(" "))) == {"a": "a-b", "b": None}
     alias = spark.createDataFrame([("x", 1), ("x", 1), ("y", 1), ("y", 2)], "value string, target long")
     rows = spark.createDataFrame([("x",), ("y",), ("z",), (None,)], "code string")
@@ -45,14 +51,17 @@ def test_aligned_lines(spark):
 
 
 def test_unique_evidence_and_conflicts(spark):
-    rows = spark.createDataFrame([(1, "p", 10), (2, "q", 11), (2, "r", 11), (3, "s", 12), (4, "s", 13)], "code long, pair string, item long")
-    assert [tuple(r) for r in evidence.unique_evidence(rows, "code", "pair", "item", F.lit(False)).collect()] == [(1, "p", 10)]
+    items = [(1, "s1", "c1", False), (2, "s2", "c2", False), (3, "s3", "c3", True), (4, "s4", "c4", False), (5, "s5", "c5", False), (6, "s6", "c6", None), (6, "s6", "c6b", None), (7, "s7", " ", False), (8, "s8", "c8", True), (9, "s9", "c9", False), (10, "s9", "c10", False)]
+    mapping = [("c1", "p1", "o1"), ("c1", "p1", "o1"), ("c2", "p2", "o2"), ("c3", "p2", "o2"), ("c4", "p4", "o1"), ("c4", "p4", "o2"), ("c5", None, " "), ("c6", "p6", "o"), ("c6b", "p6", None), ("c8", "p8", "o"), ("c9", "p9", "o"), ("c10", "p10", "o"), (None, "x", "y")]
+    got = evidence.unique_evidence(spark.createDataFrame(items, "item long, shared string, code string, risk boolean"), spark.createDataFrame(mapping, "code string, product string, option string"))
+    # a clean item whose pair also serves a risky one is not unique
+    assert {r.item: r.verdict for r in got.collect()} == {1: "clean", 2: "duplicate_pair", 3: "duplicate_pair", 4: "duplicate_evidence", 5: "evidence_missing", 6: "duplicate_evidence", 7: "evidence_missing", 8: "risk", 9: "duplicate_product", 10: "duplicate_product"}
     rows = spark.createDataFrame([("i", "a", "s1"), ("i", "b", "s1"), ("j", "a", "s2"), ("k", "c", "s1"), ("k", "c", "s2")], "item string, code string, source string")
     got = {(r.item, r.code): (r.code_conflict, r.item_conflict) for r in relational.source_conflicts(rows, "item", "code", "source").collect()}
     assert got == {("i", "a"): (False, True), ("j", "a"): (False, True)}
 
 
-@pytest.mark.parametrize("a,b,bucket", [("", "0", "NO_CHANGE"), ("abc", "1", "RECHECK_REQUIRED"), ("5", "0", "ZERO_OUT"), ("5", "6", "INCREASE"), ("100", "80", "LARGE_DECREASE"), ("100", "81", "SMALL_DECREASE"), ("10", "5", "LARGE_DECREASE"), ("1,000", "999", "SMALL_DECREASE")])
+@pytest.mark.parametrize("a,b,bucket", [("", "0", "NO_CHANGE"), ("abc", "1", "RECHECK_REQUIRED"), ("5", "0", "ZERO_OUT"), ("5", "6", "INCREASE"), ("100", "80", "LARGE_DECREASE"), ("100", "81", "SMALL_DECREASE"), ("10", "5", "LARGE_DECREASE"), ("1,000", "999", "SMALL_DECREASE"), ("-5", "0", "INCREASE"), ("0", "-1", "SMALL_DECREASE"), ("-100", "-101", "SMALL_DECREASE"), ("0", "-20", "LARGE_DECREASE"), ("0", "0", "NO_CHANGE")])
 def test_stock_bucket(spark, a, b, bucket):
     assert one(spark, x=stock.stock_bucket(F.lit(a), F.lit(b)))["x"] == bucket
 
@@ -64,13 +73,60 @@ def test_dictionary(spark):
 
 
 def test_review_rules(spark):
-    tier, code = F.lit("FAST_REVIEW"), F.lit("c")
-    assert one(spark, a=review.workflow_bucket(tier, F.lit("my set"), code), b=review.workflow_bucket(tier, F.lit("x"), code, "summary"), c=review.workflow_bucket(tier, F.lit("x"), code)) == {"a": "set_risk", "b": "review", "c": "candidate"}
+    bucket = lambda tier, text, stock=None, rules="browser": one(spark, x=review.workflow_bucket(F.lit(tier), [F.lit(tier), F.lit(text)], F.lit(stock), rules))["x"]
+    assert [bucket("NO_MATCH", "단종"), bucket("REVIEW", "단종 세트"), bucket("REVIEW", "my set"), bucket("REVIEW", "subset"), bucket("REVIEW", "a my_set"), bucket("REVIEW", "my_set", None, "summary"), bucket("REVIEW", "추가상품"), bucket("REVIEW", "코드공란"), bucket("REVIEW", "코드공란", None, "summary")] == ["no_match", "excluded", "bundle", "bundle", "bundle", "bundle", "suboption", "code_blank", "hold"]
+    assert [bucket("REVIEW", "sets", None), bucket("REVIEW", "xset", None, "summary"), bucket("FAST_REVIEW", "x"), bucket("FAST_REVIEW", "x", "STOCK_DIFF", "summary"), bucket("MANUAL_LINKED", "x", None, "summary"), bucket("REVIEW", "", "STOCK_NOT_FOUND"), bucket(None, None, None)] == ["hold", "hold", "candidate", "stock_diff", "candidate", "stock_missing", "hold"]
+    policy = lambda tier, dup, reason: one(spark, x=review.policy_tier(F.lit(tier), F.lit(dup), F.lit(reason), "seen", ("exact", "part")))["x"]
+    assert [policy("FAST_REVIEW", 3, "seen part"), policy("FAST_REVIEW", 4, "seen part"), policy("FAST_REVIEW", None, "exact part"), policy("AUTO_APPROVE_CANDIDATE", 9, ""), policy(None, 0, None)] == ["APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK", "FAST_REVIEW_REQUIRED", "FAST_REVIEW_REQUIRED", "AUTO_APPROVE_CANDIDATE", ""]
+    why = lambda known=False, listed=None, code="", name="", hints="", marks="": one(spark, x=review.exclusion(F.lit(known), F.array(*map(F.lit, listed)) if listed else F.lit(None).cast("array<string>"), F.lit(code), F.lit(name), F.lit(hints), F.lit(marks), "shop"))["x"]
+    assert [why(code="boxxed"), why(code="a-XX-1"), why(name="[xx] a"), why(name="a xx"), why(hints="orange ffff00", marks="yes"), why(marks="so shop_excluded"), why(marks="yesterday"), why(True, ["gone", "gone"], "xx"), why(True, None, "xx"), why(False, ["gone"], "xx")] == ["", "xx", "xx", "", "orange,yellow", "explicit", "", "gone", "", "gone,xx"]
     rows = spark.createDataFrame([(1, "a|b|c", "x", 2), (2, None, "", 1)], "row long, p string, q string, s int")
     got = [tuple(r) for r in review.long_template(rows, "row", ["p", "q"], "s", 2).orderBy("place").collect()]
     assert got == [(1, 3, 197, 1, "a", "x"), (1, 3, 197, 2, "b", None), (1, 3, 197, 3, "c", None)]
 
 
+def test_auto_approval(spark):
+    schema = "k long, channel string, tier string, product_code string, option_code string, item_product string, item string, name string, item_name string, option string, item_option string, reason string, action string, duplicates long, duplicate_risk string, stock string, tagged boolean"
+    good = dict(channel="a", tier="REVIEW", product_code="p", option_code="o", item_product="ip", item="i", name="Ring (A)", item_name="ring a", option="[x] Red=1\nmore", item_option="red-모델착용", reason=None, action="ok", duplicates=1, duplicate_risk=None, stock=None, tagged=None)
+    held = good | dict(action=review.HOLD_ACTION, channel="b")
+    cases = [good, good | dict(item_name="ring a big"), good | dict(tagged=True), good | dict(action=None), good | dict(tier="FAST_REVIEW"), good | dict(item=None), good | dict(duplicates=2), good | dict(duplicate_risk="yes"), good | dict(stock="STOCK_DIFF"), good | dict(reason="a set of"), good | dict(reason="1+1"), good | dict(option="blue"), good | dict(name="")]
+    cases += [held | dict(option_code="o1"), held | dict(option_code="o2", tagged=True), held | dict(option_code="o3", item_name="ring a big"), held | dict(option_code="o4", channel="a"), held | dict(option_code="o5"), held | dict(option_code="o5", item="j"), held | dict(option_code="o6"), held | dict(option_code="o6", item="j", tagged=True)]
+    names = [x.split()[0] for x in schema.split(", ")][1:]
+    rows = spark.createDataFrame([(k, *(c[n] for n in names)) for k, c in enumerate(cases)], schema)
+    got = {r.k: r.approval for r in review.auto_approval(rows, "b").collect()}
+    assert got == dict.fromkeys(range(len(cases))) | {0: "P1A", 1: "P1B", 13: "P2", 19: "P2"}
+
+
+def test_promotion_support_and_workbench(spark):
+    high = dict.fromkeys(evidence.PROMOTION_FLAGS, False) | dict.fromkeys(("blocked", "duplicate", "one_target", "pair", "one_item", "same_family", "code"), True)
+    tier = lambda **x: tuple(one(spark, **evidence.promotion({k: F.lit(v) for k, v in (high | x).items()})).values())
+    assert [tier(), tier(quantity=True), tier(semantic=True), tier(split=True), tier(same_family=False), tier(same_family=False, unique_code=True, cross_product=True), tier(duplicate=False), tier(one_item=False, absent=True)] == [
+        ("high", False), ("medium", False), ("not_candidate", True), ("not_candidate", True), ("not_candidate", False), ("medium", False), ("not_candidate", False), ("not_candidate", True),
+    ]
+    rows = spark.createDataFrame([(1, "w", "p", "o", True), (2, "w", "p", "x", True), (3, "w", None, None, True), (4, "w", "p", "x", False), (5, "v", "p", "o", True), (6, "u", "p", "o", True), (None, "w", "q", None, True)], "item long, own string, product string, option string, compares boolean")
+    second = spark.createDataFrame([(1, None, "p", "o"), (2, None, "p", "o"), (3, None, "p", "o"), (4, None, "p", "o"), (5, None, "p", "o"), (5, None, "p", "o2"), (None, "w", "p", "o")], "item long, own string, product string, option string")
+    assert {r.item: r.support for r in evidence.evidence_support(rows, second).collect()} == {1: "supported", 2: "conflict", 3: "relaxed", 4: "relaxed", 5: "incomplete", 6: "none", None: "conflict"}
+    names = (*review.WORKBENCH_FLAGS, "duplicate_evidence", "direct", "same_target")
+    flagged = [{"source_conflict": True, "absent_possible": True}, {"alias_conflict": True, "direct": True}, {}, {"warning": True, "same_target": True}, {"narrow_risk": True, "duplicate_sku": True}]
+    rows = spark.createDataFrame([(k, 1, *(f.get(n) for n in names)) for k, f in enumerate(flagged)], "k long, n_items long, " + ", ".join(f"{n} boolean" for n in names))
+    got = {r.k: (r.evidence_level, r.risk_type, r.reasons, r.action) for r in review.workbench(rows, ["k"]).collect()}
+    assert got == {0: ("source_conflict", "source_conflict", "source_conflict,absent_possible", "classify_channel_absent_or_inactive"), 1: ("direct", "existing_conflict", "alias_conflict", "do_not_overwrite_existing_mapping"), 4: ("duplicate", "duplicate_sku", "duplicate_sku,narrow_risk", "compare_duplicate_candidates")}
+
+
+def test_keys_that_repeat_fail(spark):
+    table, twice = spark.createDataFrame([(1, "a")], "k long, v string"), spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
+    for change in (lambda: apply.upsert(table, twice, ["k"], []), lambda: apply.update_from(table, twice, ["k"], ["v"])):
+        with pytest.raises(Exception, match="more than once"):
+            change().collect()
+
+
+def test_long_cells_stay_linear(spark):
+    text = "\n".join(f"line {i}" for i in range(20_000))
+    rows = spark.createDataFrame([(1, text, "head\n" + text, text)], "row long, c string, o string, s string")
+    got = evidence.aligned_lines(rows, "row", "c", "o", "s").where("code = option and option = status").agg(F.count("*"), F.max("line_no")).first()
+    assert tuple(got) == (20_000, 20_000)
+
+
 def test_apply_protocol(spark, tmp_path):
     table = apply.VersionedTable(spark, f"{tmp_path}/t")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
@@ -91,16 +147,90 @@ def test_apply_protocol(spark, tmp_path):
 def test_decisions(spark, tmp_path):
     table = apply.VersionedTable(spark, f"{tmp_path}/q")
     events = "array<struct<action:string,before:string,after:string,reviewer:string,at:string>>"
-    table.write(spark.createDataFrame([(1, "open", None, None, None)], f"queue_id long, status string, reviewer string, sku_code string, events {events}"))
+    table.write(spark.createDataFrame([(1, "open", None, None, None), (2, "open", None, "S-0", None)], f"queue_id long, status string, reviewer string, sku_code string, events {events}"))
     service = apply.DecisionService(table, {"ann"})
     service.decide(1, "approve", "ann", "t0")
     service.link(1, "S-1", "ann", "t1")
-    row = table.read().first()
-    assert (row.status, row.sku_code, [e.action for e in row.events]) == ("approve_match", "S-1", ["approve", "link"])
-    with pytest.raises(PermissionError):
-        service.discontinue(1, "bob", "t2")
+    service.unlink(2, "ann", "t2")
+    service.edit(2, " SKU_code ", "S-9", "ann", "t3")
+    assert table.versions() == [1] and service.log().count() == 4
+    assert sorted((r.queue_id, r.status, r.sku_code) for r in service.current().collect()) == [(1, "approve_match", "S-1"), (2, "open", "S-9")]
+    assert service.compact() == 2 and service.log().count() == 0
+    rows = {r.queue_id: r for r in service.current().collect()}
+    assert [(e.action, e.before, e.after) for e in rows[1].events] == [("approve", "open", "approve_match"), ("link", None, "S-1")]
+    assert [(e.action, e.before, e.after) for e in rows[2].events] == [("unlink", "S-0", None), ("edit", None, "S-9")]
+    assert service.status("ann")["can_write"] and not service.status("bob")["can_write"] and not service.status(" ")["known"]
+    for wrong in (lambda: service.discontinue(1, "bob", "t2"), lambda: service.decide(1, "hold", " ", "t2")):
+        with pytest.raises(PermissionError):
+            wrong()
     with pytest.raises(apply.GuardError):
         service.unlink(9, "ann", "t2")
+    with pytest.raises(ValueError):
+        service.edit(1, "status", "x", "ann", "t2")
+
+
+def test_context_summary_and_json(spark, tmp_path):
+    here = apply.RunContext.of(spark)
+    here.require(database=here.database, read_only=True)
+    with pytest.raises(apply.GuardError, match="read_only is True"):
+        here.require(read_only=False, user=here.user)
+    cache = apply.VersionedTable(spark, f"{tmp_path}/s")
+    summary = spark.createDataFrame([("{}",)], "summary string")
+    assert apply.refresh_summary(cache, summary, "t0") == 1 and apply.refresh_summary(cache, summary, "t1") == 2
+    assert tuple(cache.read().first()) == ("{}", True, "t1")
+    with pytest.raises(apply.GuardError):
+        apply.refresh_summary(cache, summary.union(summary), "t2")
+    got = one(spark, a=apply.merge_json(F.lit('{"b":"1","c":null}'), {"a": F.lit(2), "b": F.lit(None).cast("string")}), b=apply.merge_json(F.lit(None), {"a": F.lit(None).cast("string")}, strip_nulls=False), c=apply.json_contains(F.lit('{"a":"1","b":"2"}'), {"a": "1"}), d=apply.json_contains(F.lit(None), {"a": "1"}))
+    assert got == {"a": '{"a":"2"}', "b": '{"a":null}', "c": True, "d": False}
+
+
+def test_more_shapes(spark):
+    rows = spark.createDataFrame([(1, "s", "p"), (2, "s", "q"), (3, " ", "p"), (4, None, None), (5, "s", "p")], "id long, sku string, product string")
+    got = {r.row: [] for r in relational.related_rows(rows, "id", ["sku", "product"]).collect()}
+    for r in relational.related_rows(rows, "id", ["sku", "product"], most=2).orderBy("row", "other").collect():
+        got[r.row].append(r.other)
+    assert got == {1: [2, 3], 2: [1, 5], 3: [1, 5], 5: [1, 2]}
+    from matchloom.functions import aggregates
+
+    held = spark.createDataFrame([(2, "b"), (None, "z"), (1, None)], "k long, v string").agg(aggregates.ordered_array(F.col("v"), F.col("k")).alias("x")).first().x
+    assert held == [None, "b", "z"]
+    common = relational.most_common(spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string"), "v", 3)
+    assert sorted((r.place, r.value, r.row_count) for r in common.collect()) == [(1, "c", 2), (2, None, 1), (3, "a", 1)]
+    lists = spark.createDataFrame([([("1", "x"), None, ("2", "y")], [("1", "z"), ("3", "w")]), (None, [("1", "z")])], "a array<struct<id:string,name:string>>, b array<struct<id:string,name:string>>")
+    merged = [[(x.id, x.name) for x in r.m] for r in lists.select(relational.merged_lists(["a", "b"], lambda t: t.id).alias("m")).collect()]
+    assert merged == [[("1", "x"), ("2", "y"), ("3", "w")], [("1", "z")]]
+    items = spark.createDataFrame([("i1", "c1", "p1"), ("i2", "c2", "p2"), ("i3", None, "p9")], "item string, code string, product string")
+    images = spark.createDataFrame([("x", "c1", None, "by_code", False, 1), ("i1", None, None, "by_item", False, 5), (None, None, "p2", "late", True, 2), (None, None, "p2", "first", True, 1)], "item string, code string, product string, url string, is_primary boolean, sort_order int")
+    best = relational.ranked_matches(items, "item", images, {"item": 0, "code": 1, "product": None}, [F.col("is_primary").desc(), F.col("sort_order"), F.col("url")], ["url"])
+    assert {r.item: r.url for r in best.collect()} == {"i1": "by_item", "i2": "first", "i3": None}
+
+
+def test_queue_filter(spark):
+    rows = spark.createDataFrame([(1, "a", "REVIEW", "STOCK_DIFF", "hold", ["x", "y"], True, "Blue Ring"), (2, "a", "REVIEW", "STOCK_MATCH", "stock_match", ["x"], False, None), (3, "b", "NO_MATCH", None, "no_match", None, True, "red")], "k long, channel string, tier string, stock string, bucket string, tag_names array<string>, has_image boolean, name string")
+    ids = lambda channels=("a", "b"), **x: [r.k for r in review.queue_filter(rows, list(channels), columns=("k", "name"), **x).orderBy("k").collect()]
+    assert [ids(), ids(["a"]), ids([]), ids(tier="REVIEW"), ids(stock="STOCK_DIFF"), ids(bucket="stock_diff"), ids(bucket="hold"), ids(mode="problem"), ids(mode="candidate"), ids(tags=("x",)), ids(tags=("x", "y")), ids(image_only=True), ids(text=" BLUE "), ids(text="3 RED")] == [
+        [1, 2, 3], [1, 2], [], [1, 2], [1], [1], [1], [1, 3], [2], [1, 2], [1], [1, 3], [1], [3],
+    ]
+
+
+def test_encodings_and_integrity(spark, tmp_path):
+    (tmp_path / "k.csv").write_bytes("이름,값\n가나,1\n".encode("cp949"))
+    (tmp_path / "u.csv").write_bytes("\ufeff이름,값\n가나,1\n".encode())
+    (tmp_path / "bad.csv").write_bytes(b"a\n\xff\xff\n")
+    for name, encoding in (("k", "cp949"), ("u", "utf-8-sig")):
+        got, used = files.read_csv_any(spark, f"{tmp_path}/{name}.csv")
+        assert used == encoding and got.columns == ["이름", "값"] and got.first()[0] == "가나"
+    with pytest.raises(ValueError):
+        files.read_csv_any(spark, f"{tmp_path}/bad.csv")
+    rows = spark.createDataFrame([("p1", "1", "C", "x", ""), ("p1", "1", " ", "[AB-1-2]", "y [AB-1-2]"), ("p2", "1", None, None, "[CD-1-2]"), (None, "", "", "", "z")], "product_uid string, sto_id string, sto_code string, opt_value string, opt_values string")
+    got = {r.metric: r.value for r in files.csv_integrity(rows, codes.BRACKET).collect()}
+    assert len(got) == 17 and [got[k] for k in ("row_count", "product_uid_distinct", "product_uid_blank_rows", "sto_code_blank_rows", "opt_value_bracket_hits", "opt_values_bracket_unique_codes", "own_sku_candidate_resolvable", "sto_id_duplicate_keys", "sto_id_duplicate_rows", "product_sto_duplicate_keys", "product_sto_duplicate_rows")] == [4, 2, 1, 3, 1, 2, 3, 1, 3, 1, 2]
+    (tmp_path / "m.json").write_text('{"rows": [{"no": " 1 ", "code": "a", "qty": 1}, {"no": "1", "code": "a", "qty": 2}, {"no": "", "code": "b", "qty": 3}]}')
+    held = files.keyed_rows(files.read_json_rows(spark, f"{tmp_path}/m.json", "no string, code string, qty long"), ["no", "code"], "row_no").collect()
+    assert [(r.apply_key, r.qty) for r in held] == [("1|a", 2)]
+    sheet = spark.createDataFrame([("f", "s", 1, ["A", "B"]), ("f", "s", 2, ["1", "2"]), ("f", "t", 2, ["3"])], "path string, sheet string, row_no long, cells array<string>")
+    assert tuple(files.table_facts(sheet).first()) == ("f", 3, 2, 2)
+    assert [tuple(r)[3:] for r in files.with_header(sheet.where("sheet = 's'"), {"x": ["b"], "y": ["nope"]}, fixed={"y": 0, "z": 7}).collect()] == [("2", "1", None)]
 
 
 def test_files(spark, tmp_path):
@@ -230,7 +360,7 @@ def test_export_check(spark):
     rules = {"INVALID_PRICE": export_rules.bad_number(F.col("price"), 0, 100, above=True), "INVALID_IMAGE_REFERENCE": export_rules.bad_reference(F.col("image")), "PRICE_PRIORITY_UNCONFIRMED": F.col("price").isNull()}
     got = {r.k: (r.blockers, r.warnings, r.state) for r in export_rules.export_check(rows, rules).collect()}
     assert got == {1: ("", "", "ready"), 2: ("INVALID_PRICE,INVALID_IMAGE_REFERENCE", "", "blocked"), 3: ("", "PRICE_PRIORITY_UNCONFIRMED", "warning"), 4: ("INVALID_PRICE", "", "blocked"), 5: ("INVALID_IMAGE_REFERENCE", "", "blocked")}
-    assert len(export_rules.BLOCKERS) + len(export_rules.WARNINGS) == 29
+    assert len(export_rules.BLOCKERS) + len(export_rules.WARNINGS) == 28
     with pytest.raises(ValueError):
         export_rules.export_check(rows, {"NOPE": F.lit(True)})
 
@@ -274,7 +404,7 @@ def test_review_predicates_and_light_queue(spark):
     of = lambda **k: {n for n, v in one(spark, **review.review_predicates(*args(**k))).items() if v}
     yes = F.lit(True)
     assert of() == {"needs_linking", "pending"} and of(linked=yes) == {"pending"} and of(linked=yes, tier=F.lit("FAST_REVIEW")) == {"auto", "fast"}
-    assert of(linked=yes, policy=F.lit("AUTO"), dup=F.lit(2)) == {"auto", "conflict", "pending"} and of(linked=yes, unlinked=yes) == {"needs_linking"} and of(gone=yes) == {"needs_linking"}
+    assert of(linked=yes, policy=F.lit("AUTO_APPROVE_CANDIDATE"), dup=F.lit(2)) == {"auto", "conflict", "pending"} and of(linked=yes, unlinked=yes) == {"needs_linking"} and of(gone=yes) == {"needs_linking"}
     assert of(linked=yes, text=F.lit("자동승인"), required=yes) == {"auto", "pending"}
     rows = spark.createDataFrame([(1, "NO_MATCH", None, None), (2, None, None, None), (3, "AUTO", "STOCK_HOLD_REVIEW", False), (4, "MANUAL_LINKED", "x", None), (5, "AUTO", None, True), (6, "AUTO", None, False)], "k long, tier string, stock string, required boolean")
     got = {r.k: (r.queue_priority, r.search_text) for r in review.light_queue(rows, "tier", "stock", "required", ["tier", "stock"]).collect()}
