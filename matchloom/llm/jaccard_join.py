@@ -5,12 +5,14 @@ Exact: two documents link when 100 * |intersection| >= percent * |union| of thei
 1. One pass over all texts yields each document's set size and a 128-bit key of its set, and a count sketch of fixed size
    (2**SKETCH_BITS cells) of all shingles. The sketch only orders shingles, rarer cells first, so any count is correct.
 2. A second pass posts each set's prefix: in that order, sets that link share one of their first n - ceil(p n) + 1 shingles.
-3. Index lists, one per shingle, are read as a stream, sorted by position. Lists of up to SHORT sets yield candidate pairs;
-   a list sorted by position lets a block of later positions be skipped as soon as the bound on what is left is too low.
-   Longer lists yield no pairs: their sets become one cluster, by links to the list's first set.
-4. A third pass brings the texts of candidates only, which travel smaller than their sets; the join is a merge join at any size, so
-   that what is shuffled follows the input. A pair is held against its first set. A cluster is cut into size classes
-   and blocks of bounded size; a task holds two blocks and derives a set's overlaps with all others from those of a highly
+3. Index lists, one per shingle, are read as a stream, sorted by position. Lists of up to SHORT sets yield candidate pairs: sets of a size class
+   stand in blocks by position, and two blocks are skipped whole if even their least positions leave too little in common.
+   Of longer lists the first HUBS sets are hubs, and each other set is paired with the hubs that the bound allows.
+4. A third pass brings the texts of candidates only, once for each set, which travel smaller than their sets; the join is a merge join at any
+   size, so that what is shuffled follows the input. Pairs are verified hub by hub, in units of bounded size. Links so far give components.
+   A long list whose sets are all in one component is done: that is what near copies of one text come to, in work that grows with their number.
+   The sets of the other long lists make clusters, cut into size classes and blocks of bounded size; blocks that hold sets of one
+   component only don't meet each other. A task holds two blocks and derives a set's overlaps with all others from those of a highly
    similar set: it adds the index lists of the shingles that it has and the other hasn't, and takes off those it lacks.
    Only links that join two groups of a task are returned, so the rows out grow with the sets, not with their pairs.
 5. Components by alternating stars; copies (equal sets) meet again by key.
@@ -36,10 +38,11 @@ from .shingles import shingle_sets
 
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
-SHORT = 48
+SHORT, SKIP, HUBS, PART = 48, 16, 4, 256
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1_000_000
 BITMAP_BITS = 24
+SALTS = 16
 
 
 def _key(one: np.ndarray) -> bytes:
@@ -125,40 +128,68 @@ def _postings(batches, n: int, percent: int, sketch):
                 yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), exact_binary(keys).take(pa.array(at)), pa.array(np.array(sizes, np.int32)[at]), pa.array(position.astype(np.int32))], names=["token", "key", "size", "position"])
 
 
-def _list_pairs(keys: list, sizes: np.ndarray, positions: np.ndarray, percent: int):
-    """Pairs of one index list, which comes sorted by position: whatever stands after the first position whose bound fails is skipped."""
-    for i in range(1, len(keys)):
-        n, left = int(sizes[i]), int(sizes[i] - positions[i])
-        if 100 * left < percent * n:  # as the list goes on by position, no set of this size or less can still link
-            continue
-        other, rest = sizes[:i], sizes[:i] - positions[:i]
-        overlap = np.minimum(rest, left)
-        ok = (100 * np.minimum(other, n) >= percent * np.maximum(other, n)) & (100 * overlap >= percent * (other + n - overlap))
-        for j in np.flatnonzero(ok):
-            if keys[i] != keys[j]:
-                yield (keys[j], keys[i]) if keys[j] < keys[i] else (keys[i], keys[j])
+def _enough(overlap, n, m, percent: int):
+    """Whether sets of n and m shingles can link with at most this overlap."""
+    return 100 * overlap >= percent * (n + m - overlap)
+
+
+def _list_pairs(keys: list, sizes: np.ndarray, positions: np.ndarray, percent: int, counts: list | None = None):
+    """Pairs of one index list that may link. counts: [pairs of sets in the list, those that were skipped with their blocks] is added to.
+
+    Shared shingles from two sets' positions on are at most as many as either has left. Blocks of SKIP sets hold one size class in the order of
+    positions, so their first position and their sizes bound all that stand in them."""
+    kind = np.floor(np.log(sizes) / np.log(100 / (percent - 1))).astype(np.int64)
+    order = np.lexsort((positions, kind))
+    n, left = sizes[order], (sizes - positions)[order]
+    cut = np.r_[0, np.flatnonzero(np.diff(kind[order])) + 1, len(order)]
+    begin = np.concatenate([np.arange(x, y, SKIP) for x, y in zip(cut[:-1], cut[1:], strict=True)])
+    end = np.r_[begin[1:], len(order)]
+    low, most = np.minimum.reduceat(n, begin), np.maximum.reduceat(left, begin)
+    for x in range(len(begin)):
+        for y in np.flatnonzero(_enough(np.minimum(most[x], most[x:]), low[x], low[x:], percent)) + x:
+            a, b = slice(begin[x], end[x]), slice(begin[y], end[y])
+            ok = _enough(np.minimum(left[a][:, None], left[b][None, :]), n[a][:, None], n[b][None, :], percent)
+            if counts is not None:
+                counts[1] -= (end[x] - begin[x]) * (end[y] - begin[y]) if x != y else (end[x] - begin[x]) * (end[x] - begin[x] - 1) // 2
+            for i, j in zip(*np.nonzero(np.triu(ok, 1) if x == y else ok), strict=True):
+                p, q = keys[order[begin[x] + i]], keys[order[begin[y] + j]]
+                if p != q:
+                    yield (p, q) if p < q else (q, p)
+    if counts is not None:
+        total = len(order) * (len(order) - 1) // 2
+        counts[0] += total
+        counts[1] += total
+
+
+PAIR, HUB, LIST = 0, 1, 2
 
 
 def _candidates(batches, percent: int):
-    """From postings sorted by (token, position): (a, b, 0) for pairs of short lists, (first, member, 1) for members of long ones."""
+    """From postings sorted by (token, position): (a, b, PAIR, 0) of short lists; of long ones (hub, member, HUB, part) and (first, member, LIST, 0)."""
     seen: set[tuple] = set()
     out: list[tuple] = []
-    token, keys, sizes, positions, first = None, [], [], [], None
+    token, keys, sizes, positions, member = None, [], [], [], 0
 
     def flush():
-        if 1 < len(keys):
+        if 1 < len(keys) and not member:
             for pair in _list_pairs(keys, np.array(sizes, np.int64), np.array(positions, np.int64), percent):
-                put(*pair, 0)
+                put(*pair, PAIR, 0)
 
-    def put(a, b, kind):
+    def put(a, b, kind, part):
         if (a, b, kind) not in seen:
             if len(seen) >= 200_000:
                 seen.clear()
             seen.add((a, b, kind))
-            out.append((a, b, kind))
+            out.append((a, b, kind, part))
+
+    def put_member(key, size, position):
+        put(keys[0], key, LIST, 0)
+        for hub, n, at in zip(keys[:HUBS], sizes, positions, strict=False):
+            if hub != key and _enough(min(n - at, size - position), n, size, percent):
+                put(hub, key, HUB, member // PART)
 
     def rows():
-        batch = pa.record_batch([exact_binary([x[0] for x in out]), exact_binary([x[1] for x in out]), pa.array([x[2] for x in out], pa.int32())], names=["a", "b", "kind"])
+        batch = pa.record_batch([exact_binary([x[0] for x in out]), exact_binary([x[1] for x in out]), pa.array([x[2] for x in out], pa.int32()), pa.array([x[3] for x in out], pa.int32())], names=["a", "b", "kind", "part"])
         out.clear()
         return batch
 
@@ -174,19 +205,20 @@ def _candidates(batches, percent: int):
         for t, key, size, position in zip(tokens[at].tolist(), part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
             if t != token:
                 flush()
-                token, keys, sizes, positions, first = t, [], [], [], None
-            if first is not None:
-                if key != first:
-                    put(first, key, 1)
+                token, keys, sizes, positions, member = t, [], [], [], 0
+            if member:
+                member += 1
+                put_member(key, size, position)
             elif key not in keys:
                 keys.append(key)
                 sizes.append(size)
                 positions.append(position)
                 if len(keys) > SHORT:
-                    first = keys[0]
-                    for other in keys[1:]:
-                        put(first, other, 1)
-                    keys, sizes, positions = [], [], []
+                    for member, one in enumerate(zip(keys[1:], sizes[1:], positions[1:], strict=True), 1):
+                        put_member(*one)
+                    del keys[HUBS:], sizes[HUBS:], positions[HUBS:]
+            if len(out) >= 50_000:
+                yield rows()
         if out:
             yield rows()
     flush()
@@ -321,24 +353,41 @@ def _unit_links(batches, n: int, percent: int):
         yield pa.record_batch([exact_binary([x[0] for x in out]), exact_binary([x[1] for x in out])], names=["a", "b"])
 
 
-def _cluster_units(clusters: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(unit, role, key): sets of a cluster by size class and block. Sets that link are at most one class apart."""
+def _cluster_units(clusters: DataFrame, percent: int) -> DataFrame:
+    """(unit, role, key): sets of a cluster by size class and block. clusters: key, cluster, component, size.
+
+    Sets that link are at most one class apart. A component that fills a block of a class has blocks of its own, which meet neither each other nor themselves: they
+    are linked already. All other sets share mixed blocks."""
     width = float(np.log(100 / (percent - 1)))
-    own = clusters.join(sizes, "key").withColumn("class", F.floor(F.log("size") / F.lit(width)))
-    many = own.groupBy("cluster", "class").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_SETS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))).cast("long").alias("blocks"))
-    near = many.select("cluster", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above")).join(many, ["cluster", "class"], "full")
-    near = near.join(many.select("cluster", (F.col("class") + 1).alias("class"), F.col("blocks").alias("below")), ["cluster", "class"], "left")
-    own = own.join(near.where("blocks is not null"), ["cluster", "class"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    own = clusters.withColumn("class", F.floor(F.log("size") / F.lit(width)))
+    large = own.groupBy("cluster", "class", "component").agg(F.count("*").alias("n")).where(F.col("n") >= BLOCK_SETS).select("cluster", "class", "component", F.col("component").alias("pure"))
+    own = own.join(large, ["cluster", "class", "component"], "left").withColumn("pure", F.coalesce("pure", F.lit(b"")))
+    many = own.groupBy("cluster", "class", "pure").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_SETS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))).cast("long").alias("blocks"))
+    other = many.toDF("cluster", "class2", "pure2", "blocks2")
+    near = many.join(other, "cluster").where("abs(class - class2) <= 1 and (pure != pure2 or pure = X'')")
+    own = own.join(near.select("cluster", "class", "pure", "blocks", "class2", "pure2", "blocks2"), ["cluster", "class", "pure"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    mine = F.struct(F.col("class").alias("c"), F.col("pure").alias("p"), F.col("block").alias("b"))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks2") - 1), lambda j: F.struct(F.col("class2").alias("c"), F.col("pure2").alias("p"), j.alias("b")))
+    unit = F.transform(every, lambda x: F.xxhash64("cluster", F.least(mine, x), F.greatest(mine, x)))
+    return own.select(F.explode(unit).alias("unit"), F.lit(2).alias("role"), "key").distinct()
+
+
+def _verified(units: DataFrame, text: DataFrame, n: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Links (a, b) among the units' sets, whose texts come from one more pass over all; each set's text once."""
+    spark = units.sparkSession
+    units = scratch.table(units, f"{name}-units")
+    cells = np.zeros((1 << BITMAP_BITS) // 64, np.int64)
+    for row in units.select("key").mapInArrow(_marked, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
+        cells[row.word] = row.bits
+    bitmap = spark.sparkContext.broadcast(cells.tobytes())
+    texts = text.mapInArrow(partial(_wanted_texts, n=n, bitmap=bitmap), "key binary, text string").groupBy("key").agg(F.first("text").alias("text"))
+    ready = units.join(texts.hint("merge"), "key").select("unit", "role", "key", "text").repartition("unit").sortWithinPartitions("unit", "role", "key")
+    return scratch.table(ready.mapInArrow(partial(_unit_links, n=n, percent=percent), "a binary, b binary"), name)
 
-    def unit(low_class, low, high_class, high):
-        return F.xxhash64("cluster", low_class, low, high_class, high)
 
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    same = F.transform(every, lambda j: unit(F.col("class"), F.least(F.col("block"), j), F.col("class"), F.greatest(F.col("block"), j)))
-    up = F.when(F.col("above").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("above") - 1), lambda j: unit(F.col("class"), F.col("block"), F.col("class") + 1, j)))
-    down = F.when(F.col("below").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("below") - 1), lambda j: unit(F.col("class") - 1, j, F.col("class"), F.col("block"))))
-    none = F.array().cast("array<bigint>")
-    return own.select(F.explode(F.concat(same, F.coalesce(up, none), F.coalesce(down, none))).alias("unit"), F.lit(2).alias("role"), "key")
+def _whole(roots: DataFrame) -> DataFrame:
+    """(key, component) of all that are linked, the roots too."""
+    return roots.select(F.col("node").alias("key"), F.col("root").alias("component")).union(roots.select("root", "root").distinct())
 
 
 def linked_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -354,43 +403,51 @@ def linked_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     sketch = spark.sparkContext.broadcast(_sketch(first.where("part is not null").select("part", "counts")))
     members = first.where("part is null").select("doc_id", "text_hash", "n_shingles", "key")
     lists = text.mapInArrow(partial(_postings, n=n, percent=percent, sketch=sketch), "token long, key binary, size int, position int")
-    found = scratch.table(lists.repartition("token").sortWithinPartitions("token", "position", "key").mapInArrow(partial(_candidates, percent=percent), "a binary, b binary, kind int"), "candidates")
-    long = components(found.where("kind = 1"), scratch, "clusters")
-    clusters = scratch.table(long.select(F.col("node").alias("key"), F.col("root").alias("cluster")).union(long.select("root", "root").distinct()), "clusters")
-    pairs = found.where("kind = 0").select("a", "b").distinct()
-    pairs = pairs.join(clusters.select(F.col("key").alias("a"), F.col("cluster").alias("ca")), "a", "left").join(clusters.select(F.col("key").alias("b"), F.col("cluster").alias("cb")), "b", "left").where("ca is null or cb is null or ca != cb").select("a", "b")
-    sizes = members.where("n_shingles > 0").groupBy("key").agg(F.min("n_shingles").alias("size"))
-    hub = F.xxhash64("a")
+    schema = "a binary, b binary, kind int, part int"
+    found = scratch.table(lists.repartition("token").sortWithinPartitions("token", "position", "key").mapInArrow(partial(_candidates, percent=percent), schema), "candidates")
+    pairs = found.where(F.col("kind") != LIST).groupBy("a", "b").agg(F.min("part").alias("part"))
+    hub = F.xxhash64("a", "part")
     starred = pairs.select(hub.alias("unit"), F.lit(1).alias("role"), F.col("b").alias("key")).union(pairs.select(hub, F.lit(0), "a").distinct())
-    units = scratch.table(starred.union(_cluster_units(clusters, sizes, percent)), "units")
-    cells = np.zeros((1 << BITMAP_BITS) // 64, np.int64)
-    for row in units.select("key").mapInArrow(_marked, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
-        cells[row.word] = row.bits
-    bitmap = spark.sparkContext.broadcast(cells.tobytes())
-    texts = text.mapInArrow(partial(_wanted_texts, n=n, bitmap=bitmap), "key binary, text string")
-    ready = units.join(texts.hint("merge"), "key").select("unit", "role", "key", "text").repartition("unit").sortWithinPartitions("unit", "role", "key")
-    links = scratch.table(ready.mapInArrow(partial(_unit_links, n=n, percent=percent), "a binary, b binary"), "links")
-    roots = components(links, scratch, "groups")
-    return scratch.table(members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "linked")
+    links = _verified(starred, text, n, percent, scratch, "links")
+    held = _whole(components(links, scratch, "stars"))
+    # long lists whose sets aren't all linked yet
+    lists = found.where(F.col("kind") == LIST).select("a", "b").distinct()
+    of = lambda side, name: held.select(F.col("key").alias(side), F.col("component").alias(name))
+    lists = lists.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    left = lists.groupBy("a").agg(F.bool_or(F.col("ca") != F.col("cb")).alias("several")).where("several").select("a")
+    left = scratch.table(lists.join(left, "a", "left_semi"), "lists")
+    if not left.isEmpty():
+        clusters = _whole(components(left.select("a", "b"), scratch, "clusters")).withColumnRenamed("component", "cluster")
+        ends = left.select(F.col("a").alias("key"), F.col("ca").alias("component")).union(left.select("b", "cb")).groupBy("key").agg(F.min("component").alias("component"))
+        sizes = members.where("n_shingles > 0").groupBy("key").agg(F.min("n_shingles").alias("size"))
+        more = _verified(_cluster_units(clusters.join(ends, "key").join(sizes, "key"), percent), text, n, percent, scratch, "more")
+        held = _whole(components(links.union(more), scratch, "groups"))
+    return scratch.table(members.join(held.withColumnRenamed("component", "root"), "key", "left").withColumn("root", F.coalesce("root", "key")), "linked")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id that links reach (its own where the set is empty)."""
     rows = linked_documents(docs, n, percent, id_col, text_col)
-    least = rows.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = rows.where("n_shingles > 0").join(least, "root").select("doc_id", "n_shingles", "component_id")
-    return full.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    full = rows.where("n_shingles > 0")
+    # one row for each set before sets of a root meet, and roots in SALTS copies, so that a large component is no single key
+    sets = full.groupBy("key", "root").agg(F.min("doc_id").alias("least"))
+    least = sets.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    several = least.where("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("root", "salt", "component_id")
+    named = sets.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(several, ["root", "salt"], "left").select("key", F.coalesce("component_id", "least").alias("component_id"))
+    out = full.join(named, "key").select("doc_id", "n_shingles", "component_id")
+    return out.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the rows' first by (id, text hash) stays, whole; rows without words all stay. A null id counts as the largest.
 
-    Rows equal in id and text are one document repeated: the least of them by its other columns stays, if the document does."""
+    Rows with words that are equal in id and text are one document repeated: the least of them by its other columns stays, if the document does."""
     rows = linked_documents(docs, n, percent, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
-    first = rows.where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("o"))
-    keep = first.select("o.doc_id", "o.text_hash").union(rows.where("n_shingles = 0").select("doc_id", "text_hash")).distinct()
+    keep = rows.where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("o")).select("o.doc_id", "o.text_hash")
     keep = keep.select(F.col("doc_id").alias(i := fresh(docs, "keep_id")), F.col("text_hash").alias(h := fresh(docs, "keep_hash")))
     own = docs.withColumn(mine := fresh(docs, "own_hash"), F.xxhash64(F.col(text_col).cast("string")))
-    kept = own.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(mine) == F.col(h)), "left_semi")
-    return kept.groupBy(id_col, mine).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    empty = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^ \t\n\x0b\f\r]")
+    kept = own.where(~empty).join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(mine) == F.col(h)), "left_semi")
+    kept = kept.groupBy(id_col, mine).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.unionByName(docs.where(empty))

@@ -50,6 +50,8 @@ def test_jaccard(spark, monkeypatch, n, percent, short):
     rng = random.Random(n)
     monkeypatch.setattr(jaccard_join, "SHORT", short)
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "HUBS", 2 if short == 3 else 4)
+    monkeypatch.setattr(jaccard_join, "PART", 5)
     rows, base = [], [[rng.choice(WORDS) for _ in range(rng.randint(1, 40))] for _ in range(12)]
     for d in range(160):
         w = list(rng.choice(base))
@@ -63,12 +65,47 @@ def test_jaccard(spark, monkeypatch, n, percent, short):
 
 def test_one_of_each_group(spark):
     text = " ".join(WORDS * 3)
-    rows = [(3, text), (1, text), (1, text), (None, text), (5, None), (6, ""), (7, "other words here")]
+    rows = [(3, text), (1, text), (1, text), (None, text), (5, None), (5, None), (None, " "), (None, " "), (6, ""), (7, "other words here")]
     got = jaccard_join.one_of_each_group(frame(spark, rows))
-    assert sorted((r.doc_id for r in got.collect()), key=lambda x: x or 0) == [1, 5, 6, 7] and got.columns == frame(spark, rows).columns
+    assert sorted((r.doc_id for r in got.collect()), key=lambda x: x or 0) == [None, None, 1, 5, 5, 6, 7] and got.columns == frame(spark, rows).columns
     assert jaccard_join.one_of_each_group(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_lists_are_skipped_by_position():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(40, 120, 300)
+    positions = (rng.random(300) * sizes * 0.15).astype(np.int64)
+    keys, counts = [bytes([i // 256, i % 256]) for i in range(300)], [0, 0]
+    got = set(jaccard_join._list_pairs(keys, sizes, positions, 85, counts))
+    want = set()
+    for i, j in itertools.combinations(range(300), 2):
+        overlap = min(sizes[i] - positions[i], sizes[j] - positions[j])
+        if 100 * overlap >= 85 * (sizes[i] + sizes[j] - overlap):
+            want.add((keys[i], keys[j]))
+    assert got == want and counts[0] == 300 * 299 // 2 and counts[1] > 0.4 * counts[0]
+
+
+def test_near_copies_of_one_text_stay_linear(spark, monkeypatch):
+    """A few hundred near copies, by hubs, parts and residual clusters, are one component; none of the lists is compared with itself."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for d in range(400):
+        w = list(base)
+        w[rng.randrange(120)] = f"x{d}"
+        rows.append((d, " ".join(w)))
+    rows += [(500 + d, " ".join(f"y{d}z{i}" for i in range(30))) for d in range(20)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(frame(spark, rows), 4, 85).collect()}
+    assert {got[d] for d in range(400)} == {0} and all(got[500 + d] == 500 + d for d in range(20))
+
+
+def test_jaccard_of_no_rows_and_long_text(spark):
+    assert jaccard_join.jaccard_components(frame(spark, [(1, "a")]).limit(0)).count() == 0
+    long = " ".join(f"w{i % 50_000}" for i in range(200_000))
+    got = jaccard_join.jaccard_components(frame(spark, [(1, long), (2, long + " end"), (3, "end")])).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 def test_block_links_are_complete():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 40, 30).astype(np.uint64)) for _ in range(40)]
