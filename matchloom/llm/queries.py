@@ -23,9 +23,8 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored as a FLAC stream, then the stored streams read back as PCM blocks."""
-    media = Scratch(spark, "media").table(media_columns.encoded(load(spark, sf_dir, "documents")), "media")
-    return media_columns.digests(media)
+    """Every text as a stored FLAC stream, a column of binary, which is then read back as PCM blocks in order."""
+    return media_columns.digests(media_columns.encoded(load(spark, sf_dir, "documents")))
 
 
 def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
