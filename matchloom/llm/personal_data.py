@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
 WINDOW, OVERLAP = 512, 96
+WIDTHS = [64, 128, 192, 256, 320, 384, 448, WINDOW]
 HIDDEN, EMBED = 8, 8
 LEAST, MOST, MARGIN = 7, 80, 1.0
 LEAST_DIGITS = (0, 4, 12, 7)
@@ -423,25 +424,29 @@ def _found(network: Network, prepared, texts: list[str]) -> list[list[tuple[int,
     owner = np.repeat(np.arange(len(texts)), counts)
     first = np.cumsum(counts) - counts
     start = (np.arange(len(owner)) - first[owner]) * step
-    most = max(1, SLICE_CHARS // WINDOW)
-    for a in range(0, len(owner), most):
-        own, at = owner[a : a + most], start[a : a + most]
-        index = at[:, None] + np.arange(WINDOW)
-        inside = index < np.diff(base)[own][:, None]
-        windows = np.where(inside, coded[np.minimum(base[own][:, None] + index, len(coded) - 1)], 0)
-        emitted = network.emissions(windows, prepared)
-        tags = np.ascontiguousarray(network.decode(emitted))
-        for w in np.flatnonzero(tags.any(axis=1)).tolist():
-            line = tags[w]
-            doc, offset = int(own[w]), int(at[w])
-            kind = np.where(line > 0, (line.astype(np.int64) + 1) // 2, 0)
-            cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (line[1:] % 2 == 1) & (line[1:] > 0)])
-            for c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), WINDOW], strict=True):
-                if kind[c]:
-                    e = min(d + offset, len(texts[doc]))
-                    margin = emitted[np.arange(c, d), line[c:d], w] - emitted[c:d, 0, w]
-                    if e > c + offset:
-                        out[doc].append((int(kind[c]) - 1, c + offset, e, float(margin.sum())))
+    own_length = np.minimum(np.diff(base)[owner] - start, WINDOW)
+    width = np.array(WIDTHS)[np.searchsorted(WIDTHS, own_length)]  # ends of texts don't fill a window, so they are run in shorter ones
+    for size in WIDTHS:
+        these = np.flatnonzero(width == size)
+        for a in range(0, len(these), max(1, SLICE_CHARS // size)):
+            at_once = these[a : a + max(1, SLICE_CHARS // size)]
+            own, at = owner[at_once], start[at_once]
+            index = at[:, None] + np.arange(size)
+            inside = index < np.diff(base)[own][:, None]
+            windows = np.where(inside, coded[np.minimum(base[own][:, None] + index, len(coded) - 1)], 0)
+            emitted = network.emissions(windows, prepared)
+            tags = np.ascontiguousarray(network.decode(emitted))
+            for w in np.flatnonzero(tags.any(axis=1)).tolist():
+                line = tags[w]
+                doc, offset = int(own[w]), int(at[w])
+                kind = np.where(line > 0, (line.astype(np.int64) + 1) // 2, 0)
+                cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (line[1:] % 2 == 1) & (line[1:] > 0)])
+                for c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), size], strict=True):
+                    if kind[c]:
+                        e = min(d + offset, len(texts[doc]))
+                        margin = emitted[np.arange(c, d), line[c:d], w] - emitted[c:d, 0, w]
+                        if e > c + offset:
+                            out[doc].append((int(kind[c]) - 1, c + offset, e, float(margin.sum())))
     return out
 
 
