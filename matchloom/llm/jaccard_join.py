@@ -412,17 +412,17 @@ def linked_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     held = _whole(components(links, scratch, "stars"))
     # long lists whose sets aren't all linked yet
     lists = found.where(F.col("kind") == LIST).select("a", "b").distinct()
-    of = lambda side, name: held.select(F.col("key").alias(side), F.col("component").alias(name))
+    of = lambda side, name: held.select(F.col("key").alias(side), F.col("component").alias(name)).hint("merge")  # noqa: E731 - the same plan at any size
     lists = lists.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
     left = lists.groupBy("a").agg(F.bool_or(F.col("ca") != F.col("cb")).alias("several")).where("several").select("a")
-    left = scratch.table(lists.join(left, "a", "left_semi"), "lists")
+    left = scratch.table(lists.join(left.hint("merge"), "a", "left_semi"), "lists")
     if not left.isEmpty():
         clusters = _whole(components(left.select("a", "b"), scratch, "clusters")).withColumnRenamed("component", "cluster")
         ends = left.select(F.col("a").alias("key"), F.col("ca").alias("component")).union(left.select("b", "cb")).groupBy("key").agg(F.min("component").alias("component"))
         sizes = members.where("n_shingles > 0").groupBy("key").agg(F.min("n_shingles").alias("size"))
         more = _verified(_cluster_units(clusters.join(ends, "key").join(sizes, "key"), percent), text, n, percent, scratch, "more")
         held = _whole(components(links.union(more), scratch, "groups"))
-    return scratch.table(members.join(held.withColumnRenamed("component", "root"), "key", "left").withColumn("root", F.coalesce("root", "key")), "linked")
+    return scratch.table(members.join(held.withColumnRenamed("component", "root").hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key")), "linked")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
