@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, utf8
+from .common import Scratch, fresh, slices, utf8
 from .shingles import shingle_hashes, word_hashes
 
 BUCKET_BITS = 14
@@ -107,5 +107,6 @@ def drawn(docs: DataFrame, targets: DataFrame, fraction: float = FRACTION, id_co
 
 def resampled(docs: DataFrame, targets: DataFrame, fraction: float = FRACTION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The drawn documents with all their columns."""
-    keep = drawn(docs, targets, fraction, id_col, text_col).select(F.col("doc_id").alias("_drawn_id"), F.col("text_hash").alias("_drawn_hash")).distinct()
-    return docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_drawn_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_drawn_hash")), "left_semi")
+    own_id, own_hash = fresh(docs, "drawn_id"), fresh(docs, "drawn_hash")
+    keep = drawn(docs, targets, fraction, id_col, text_col).select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
+    return docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(own_hash)), "left_semi")

@@ -311,6 +311,9 @@ def test_resampling(spark):
     assert {r.doc_id for r in drawn} == {r.doc_id for r in sorted(got.values(), key=lambda r: -r.key)[: math.ceil(0.4 * len(rows))]}
     assert sum(r.doc_id % 2 for r in drawn) > 0.75 * len(drawn)
     assert importance_resampling.resampled(frame(spark, rows), good, 0.4).columns == frame(spark, rows).columns
+    clash = frame(spark, rows).withColumn("drawn_id", F.lit("x")).withColumn("_drawn_hash", F.lit(1))
+    kept = importance_resampling.resampled(clash, good, 0.4)
+    assert kept.columns == clash.columns and kept.count() == len(drawn)
     assert importance_resampling.drawn(frame(spark, rows).limit(0), good).count() == 0
     flat = importance_resampling.weighted(frame(spark, rows), good.limit(0))
     assert flat.where("log_weight != 0").count() == 0
