@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_archive, harmonic_packing, importance_resampling, jaccard_join, line_chunks, line_passages, media_columns, personal_data, preference_format, string_tiling, subword_toxicity
+from . import collocations, content_archive, embedding_dedup, filter_audit, harmonic_packing, importance_resampling, jaccard_join, line_chunks, line_passages, media_columns, personal_data, preference_format, string_tiling, subword_toxicity
 from .common import Scratch, load
 
 
@@ -62,6 +62,18 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_passages.without_repeated_passages(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
+def op13_quantised_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 def content_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunks between content-defined boundaries alone, as SQL can express them."""
     return line_chunks.without_repeated_chunks(load(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
@@ -80,6 +92,9 @@ QUERIES = {
         op8_content_archive,
         op9_subword_toxicity,
         op10_line_chunk_dedup,
+        op11_filter_interactions,
+        op12_phrase_collocations,
+        op13_quantised_near_dedup,
         content_chunk_dedup,
     )
 }

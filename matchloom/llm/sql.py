@@ -53,4 +53,48 @@ with p as (select page_id, sha256(coalesce(html, '')) as payload_digest, cast(st
 f as (select *, min(page_id) over (partition by payload_digest) as first_id from p)
 select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > first_id then 'revisit' else 'response' end as record_type,
   case when payload_bytes >= 100 and page_id > first_id then first_id end as refers_to from f""",
+    "op11_filter_interactions": """
+with w as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+firsts as (select t as ft, min(doc_id) as first_id from w group by 1),
+known as (select doc_id as label_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by 1),
+flags as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, case when len(w) < 200 then 1 else 0 end as fa, case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end as fb,
+  case when 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) then 4 else 0 end as fc, case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end as fd,
+  case when doc_id > first_id then 16 else 0 end as fe from w left join firsts on ft = t left join known on label_id = doc_id),
+masks as (select part, fa + fb + fc + fd + fe as m, count(*) as n, sum(good) as g, sum(toxic) as x from flags group by 1, 2),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+orders as (select a.f || b.f || c.f || d.f || e.f as filter_order from letters a, letters b, letters c, letters d, letters e
+  where (select count(distinct y.f) from (values (a.f), (b.f), (c.f), (d.f), (e.f)) as y(f)) = 5),
+steps as (select filter_order, step, cast(1 << (ascii(substr(filter_order, step, 1)) - 65) as integer) as bit,
+  cast(list_sum(list_concat([0], list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i, 1)) - 65)))) as integer) as before from orders, (select cast(unnest(range(1, 6)) as integer) as step)),
+done as (select part, filter_order, step, bit, sum(n) filter (m & (before | bit) = 0) as kept, sum(n) filter (m & before = 0 and m & bit <> 0) as removed,
+  sum(n) filter (m & before <> 0 and m & bit <> 0) as redundant, sum(n) filter (m = bit) as unique_fails, sum(g) filter (m & before = 0 and m & bit <> 0) as good_lost,
+  sum(x) filter (m & before = 0 and m & bit <> 0) as toxic_lost from masks, steps group by 1, 2, 3, 4)
+select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed, cast(coalesce(redundant, 0) as bigint) as redundant,
+  cast(coalesce(unique_fails, 0) as bigint) as unique_fails, cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+  cast(sum(coalesce(removed, 0)) over (partition by part, bit) as bigint) as shapley from done""",
+    "op12_phrase_collocations": r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents),
+words as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces),
+sums as (select lang, sum(len(w)) as n from words group by 1),
+grams as (select lang, unnest(flatten([list_transform(range(1, len(w) + 1), lambda i: w[i]), list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+  list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])])) as phrase from words),
+f as (select lang, phrase, count(*)::hugeint as f, string_split(phrase, ' ') as w from grams group by 1, 2 having count(*) >= 10),
+cuts as (select lang, phrase, f as a, w, unnest(range(1, len(w))) as k from f where len(w) > 1),
+scored as (select c.lang, c.phrase, c.a, c.k, x.f as l, y.f as r, (1000000 * c.a * c.a) // (x.f * y.f) as score from cuts c
+  join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : c.k], ' ') join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1 :], ' ')),
+lowest as (select *, row_number() over (partition by lang, phrase order by score, k) as o from scored),
+longer as (select lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase, f as b from f where len(w) = 3),
+covered as (select lang, phrase, max(b) as b from longer group by 1, 2),
+kept as (select q.* from lowest q left join covered c on c.lang = q.lang and c.phrase = q.phrase where o = 1 and (c.b is null or 100 * c.b < 50 * q.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select r.lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked r join sums s on s.lang = r.lang where rank <= 2000""",
+    "op13_quantised_near_dedup": """
+with recursive v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings),
+sound as (select vec_id, e from v where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as x, b.vec_id as y from sound a join sound b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (select vec_id as x, vec_id as y from v union select r.x, l.y from reach r join links l on r.y = l.x),
+least_of as (select x, min(y) as component_id from reach group by x),
+counts as (select x, count(*) as n from links group by 1)
+select v.vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, v.vec_id = component_id as kept from v join least_of on least_of.x = v.vec_id left join counts on counts.x = v.vec_id""",
 }
