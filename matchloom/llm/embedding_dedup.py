@@ -3,7 +3,8 @@
 1. Equal vectors are one vector with a count. The rest works on distinct vectors; links to copies are counted by their numbers.
 2. Codes. On a sample of the distinct vectors (`sample`, those of the least hashes, whatever the input's size) principal axes and rotations are learned: each
    rotation starts at random and is fitted in turn with the signs that it gives, so that the signs lose least (iterative quantisation). A bit
-   is the side of the sample's median, so that codes are balanced. Several rotations give as many bits as the tables need.
+   is the side of the sample's median, so that codes are balanced. Of near duplicates in the sample only one counts: a third of all rows in one group would draw
+   every median into it, and cut it in two in every bit. Several rotations give as many bits as the tables need.
 3. Tables. The bits are cut into tables of b bits; vectors meet that have all bits of a table in common (a pair that differs in fewer bits than
    there are tables always meets). b is log2 of the number of distinct vectors, and `slack` more; the number of tables follows from the recall that is asked for
    at exactly the threshold, where one bit agrees with probability 1 - angle / pi. Every vector is in every table. Buckets of one vector go before any vector is shuffled.
@@ -37,7 +38,7 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType
 from .common import Scratch
 from .graph import components
 
-COSINE, RECALL, SAMPLE, SLACK, BLOCK = 0.95, 0.95, 20_000, 4, 4096
+COSINE, RECALL, SAMPLE, SLACK, BLOCK = 0.95, 0.95, 10_000, 4, 4096
 NO_ID = 2**63 - 1
 
 
@@ -75,6 +76,15 @@ def fit(sample: np.ndarray, bits: int, seed: int = 7, rounds: int = 30) -> tuple
     return mean, projection, np.median(centred @ projection, axis=0)
 
 
+def thinned(x: np.ndarray, cosine: float, rows_at_once: int = 1000) -> np.ndarray:
+    """The vectors without those that are near an earlier one."""
+    small, keep = x.astype(np.float32), np.ones(len(x), bool)
+    for k in range(0, len(x), rows_at_once):
+        near = small[k : k + rows_at_once] @ small[: k + rows_at_once].T >= cosine
+        keep[k : k + rows_at_once] = ~np.tril(near, k - 1).any(1)
+    return x[keep]
+
+
 def _unit(rows: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers and unit vectors, for each length that the rows have."""
     sizes = np.diff(rows.offsets.to_numpy())
@@ -110,11 +120,11 @@ def _coded(batches: Iterator[pa.RecordBatch], models: dict[int, tuple], form: Sh
         yield pa.RecordBatch.from_arrays([batch.column("node"), lists], names=["node", "keys"])
 
 
-def learned(kinds: DataFrame, form: Shape, sample: int = SAMPLE) -> dict[int, tuple]:
-    """A model for each length of vector in a sample of the distinct vectors: those of the least hashes."""
+def learned(kinds: DataFrame, form: Shape, sample: int = SAMPLE, cosine: float = COSINE) -> dict[int, tuple]:
+    """A model for each length of vector in a sample of the distinct vectors: those of the least hashes, without near duplicates."""
     rows = kinds.select("embedding").orderBy(F.xxhash64("embedding")).limit(sample).toArrow().column("embedding").combine_chunks()
     rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
-    return {x.shape[1]: fit(x, form.tables * form.bits) for _, x in _unit(rows)}
+    return {x.shape[1]: fit(thinned(x, cosine), form.tables * form.bits) for _, x in _unit(rows)}
 
 
 def _roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> None:
@@ -182,7 +192,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     kinds = scratch.table(fit_rows.groupBy("embedding").agg(node.alias("node"), F.count("*").alias("copies")), "kinds")
     form = shape(kinds.count(), cosine, recall, slack)
     node_type = kinds.schema["node"].dataType.simpleString()
-    keys = scratch.table(kinds.select("node", "embedding").mapInArrow(partial(_coded, models=learned(kinds, form, sample), form=form), f"node {node_type}, keys array<long>"), "keys")
+    keys = scratch.table(kinds.select("node", "embedding").mapInArrow(partial(_coded, models=learned(kinds, form, sample, cosine), form=form), f"node {node_type}, keys array<long>"), "keys")
     entries = keys.select("node", F.posexplode("keys").alias("t", "key"))
     full = entries.groupBy("t", "key").agg(F.count("*").alias("size")).where("size > 1")
     # places in buckets of two or more, with the pairs of blocks that a vector's own block is part of
