@@ -84,8 +84,9 @@ def unique_evidence(items: DataFrame, mapping: DataFrame) -> DataFrame:
 
     items: item, shared (the code that stands for the item), code (an own code; several rows give several), risk (any true one counts). mapping: code, product, option.
     n_pairs counts the distinct (product, option) of all the item's codes, those with neither left out; only items with exactly one are candidates. On all candidates,
-    risky ones too, n_items counts the items of the pair and n_products the products of the shared code. verdict, the first that holds: evidence_missing,
-    duplicate_evidence, duplicate_pair, duplicate_product, risk, clean. Blank codes are none; nulls and repeated rows do nothing."""
+    risky ones too, n_items counts the items of the pair and n_products the products of the shared code; half a pair, without product or without option, is no address
+    and counts 0, as does an item without a shared code or without a product. verdict, the first that holds: evidence_missing, duplicate_evidence, duplicate_pair,
+    duplicate_product, half_pair (either count is 0), risk, clean (both are 1). Blank codes are none; nulls and repeated rows do nothing."""
     blank = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
     each = items.groupBy("item").agg(F.min("shared").alias("shared"), F.coalesce(F.bool_or("risk"), F.lit(False)).alias("risk"))
     codes = items.select("item", blank("code").alias("code")).where("code is not null").distinct()
@@ -94,16 +95,19 @@ def unique_evidence(items: DataFrame, mapping: DataFrame) -> DataFrame:
     found = codes.join(held, "code").groupBy("item").agg(F.count_distinct(pair).alias("n_pairs"), F.min("product").alias("product"), F.min("option").alias("option"))
     rows = each.join(found, "item", "left").fillna(0, ["n_pairs"])
     sure = rows.where("n_pairs = 1")
-    by_pair = sure.groupBy(F.col("product").alias("_p"), F.col("option").alias("_o")).agg(F.count_distinct("item").alias("n_items"))
-    by_code = sure.groupBy(F.col("shared").alias("_s")).agg(F.count_distinct("product").alias("n_products"))
+    by_pair = sure.where("product is not null and option is not null").groupBy(F.col("product").alias("_p"), F.col("option").alias("_o")).agg(F.count_distinct("item").alias("_items"))
+    by_code = sure.where("shared is not null").groupBy(F.col("shared").alias("_s")).agg(F.count_distinct("product").alias("_products"))
     one = F.col("n_pairs") == 1
-    rows = rows.join(by_pair, one & F.col("product").eqNullSafe(F.col("_p")) & F.col("option").eqNullSafe(F.col("_o")), "left").join(by_code, one & F.col("shared").eqNullSafe(F.col("_s")), "left")
-    verdict = F.when(F.col("n_pairs") == 0, "evidence_missing").when(F.col("n_pairs") > 1, "duplicate_evidence").when(F.col("n_items") > 1, "duplicate_pair").when(F.col("n_products") > 1, "duplicate_product").when(F.col("risk"), "risk").otherwise("clean")
+    rows = rows.join(by_pair, one & (F.col("product") == F.col("_p")) & (F.col("option") == F.col("_o")), "left").join(by_code, one & (F.col("shared") == F.col("_s")), "left")
+    rows = rows.withColumns({"n_items": F.when(one, F.coalesce("_items", F.lit(0))), "n_products": F.when(one, F.coalesce("_products", F.lit(0)))})
+    verdict = F.when(F.col("n_pairs") == 0, "evidence_missing").when(F.col("n_pairs") > 1, "duplicate_evidence").when(F.col("n_items") > 1, "duplicate_pair").when(F.col("n_products") > 1, "duplicate_product").when((F.col("n_items") == 0) | (F.col("n_products") == 0), "half_pair").when(F.col("risk"), "risk").otherwise("clean")
     return rows.select("item", "n_pairs", *(F.when(one, F.col(c)).alias(c) for c in ("product", "option")), "n_items", "n_products", "risk", verdict.alias("verdict"))
 
 
 def _lines(c: str) -> Column:
-    """A cell's lines; any kind of line break separates, those at the end make no line."""
+    """A cell's lines, one at least; any kind of line break separates, those at the end make no line.
+
+    As no cell is without lines, they are exploded as outer: else Spark infers a filter on their number and works the arrays out again for it."""
     return F.split(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(\r\n|\r|\n)+$", ""), r"\r\n|\r|\n", -1)
 
 
@@ -123,7 +127,7 @@ def aligned_lines(rows: DataFrame, row: str, codes: str, options: str, statuses:
     held = rows.select(row, _lines(codes).alias("c"), _lines(options).alias("o"), _lines(statuses).alias("s"))
     held = held.withColumn("alignment", F.when(F.size("o") == F.size("c"), "direct").when(F.size("o") == F.size("c") + 1, "header").otherwise("needs_review"))
     zipped = _zipped("c", "o", "s", F.when(F.col("alignment") == "header", 1).otherwise(0), F.size("s") == F.size("c"), F.col("alignment") != "needs_review")
-    each = held.select(row, "alignment", zipped.alias("z")).select(row, "alignment", F.posexplode("z").alias("pos", "x"))
+    each = held.select(row, "alignment", zipped.alias("z")).select(row, "alignment", F.posexplode_outer("z").alias("pos", "x"))
     return each.select(row, (F.col("pos") + 1).cast("long").alias("line_no"), F.trim("x.code").alias("code"), F.trim("x.option").alias("option"), F.trim("x.status").alias("status"), "alignment")
 
 
@@ -223,7 +227,7 @@ def line_evidence(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     zipped = _zipped("c", "o", "s", F.when(o == n + 1, 1).otherwise(0), s == n, F.lit(True))
     # a cell may have more option lines than code lines; those stand for no code
     facts = ["row", "channel", "product_code", "sale_status", "alignment"]
-    each = held.withColumns({"alignment": alignment, "z": zipped}).select(*facts, F.posexplode("z").alias("_pos", "x"))
+    each = held.withColumns({"alignment": alignment, "z": zipped}).select(*facts, F.posexplode_outer("z").alias("_pos", "x"))
     text = lambda c: F.nullif(F.trim(c), F.lit(""))
     each = each.select(*facts, (F.col("_pos") + 1).cast("long").alias("line_no"), *(text(F.col(f"x.{k}")).alias(k) for k in ("code", "option", "status")))
     out = each.join(dictionary.select("code").distinct().withColumn("_known", F.lit(True)), "code", "left")

@@ -1,9 +1,13 @@
-"""Option texts: a dictionary of terms evaluated as one expression over literals, and risk flags."""
+"""Option texts: dictionaries of terms, a short one as an expression over literals and one of any size as an automaton in the tasks, and risk flags."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchloom.functions.text import compact, like_any
 
@@ -19,6 +23,60 @@ def dictionary_term(text: Column, terms: list[tuple[str, str, str]], pinned: str
     return F.coalesce(*hits)
 
 
+def _blocks(terms: DataFrame, pinned: str | None, most_bytes: int) -> Iterator[list[tuple[int, str, str, str]]]:
+    """The terms in the order in which they win, as (rank, category, term, mode), in lists of about so many bytes."""
+    order = [(F.col("category") != pinned) if pinned is not None else F.lit(True), -F.length("term"), F.col("term"), F.col("category"), F.col("mode")]
+    known = terms.select("category", "term", "mode").where("term is not null and term != ''").distinct()
+    block, size = [], 0
+    for rank, r in enumerate(known.orderBy(*(F.coalesce(o, F.lit(True)) if i == 0 else o for i, o in enumerate(order))).toLocalIterator()):
+        if block and size + len(r.term) + 64 > most_bytes:
+            yield block
+            block, size = [], 0
+        block.append((rank, r.category, r.term, r.mode))
+        size += len(r.term) + 64
+    if block:
+        yield block
+
+
+def dictionary_terms(rows: DataFrame, text: str, terms: DataFrame, pinned: str | None = None, block_bytes: int = 16_000_000) -> DataFrame:
+    """Adds category and term as dictionary_term finds them, for a dictionary of any size. terms: category, term, mode (contains or token); blanks are none.
+
+    The terms are taken in blocks of bounded size, the winning ones first; each block is broadcast and searched for as one automaton in every task, in one pass over
+    the rows without a shuffle. A row that has a term of an earlier block passes the later ones unread. Of equal terms the lesser category wins."""
+    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    names = rows.columns
+    out = rows.select("*", compact(F.col(text)).alias("_flat"), spaced.alias("_spaced"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("term"))
+    schema = StructType([*rows.schema.fields, *(StructField(c, StringType()) for c in ("_flat", "_spaced", "category", "term"))])
+    for block in _blocks(terms, pinned, block_bytes):
+        held = rows.sparkSession.sparkContext.broadcast(block)
+
+        def found(batches, held=held):
+            import ahocorasick
+
+            flat, tokens = ahocorasick.Automaton(), ahocorasick.Automaton()
+            for rank, category, term, mode in reversed(held.value):  # of equal terms the first stays
+                if mode == "token":
+                    tokens.add_word(f" {term} ", (rank, category, term))
+                else:
+                    flat.add_word(term, (rank, category, term))
+            sought = [(a, c) for a, c in ((flat, "_flat"), (tokens, "_spaced")) if len(a)]
+            for a, _ in sought:
+                a.make_automaton()
+            for batch in batches:
+                category, term = batch.column("category").to_pylist(), batch.column("term").to_pylist()
+                texts = [(a, batch.column(c).to_pylist()) for a, c in sought]
+                for i, known in enumerate(term):
+                    if known is None:
+                        hits = [v for a, t in texts if t[i] is not None for _, v in a.iter(t[i])]
+                        if hits:
+                            _, category[i], term[i] = min(hits)
+                columns = [batch.column(c) for c in batch.schema.names[:-2]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(category, pa.string()), pa.array(term, pa.string())], schema=batch.schema)
+
+        out = out.mapInArrow(found, schema)
+    return out.select(*names, "category", "term")
+
+
 def risk_flags(text: Column, words: dict[str, list[str]]) -> dict[str, Column]:
     """A flag for each group of words that the text contains, case ignored; null texts have none."""
     return {k: like_any(F.coalesce(text, F.lit("")), [f"%{w}%" for w in group]) for k, group in words.items()}

@@ -20,9 +20,14 @@ def metric_rows(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
 
 
 def dimension_counts(df: DataFrame, dimensions: list[str], blank: str = "(blank)") -> DataFrame:
-    """(dimension, value, row_count) for the total and each dimension, in one pass; nulls are shown as blank."""
-    cells = [F.struct(F.lit("total").alias("dimension"), F.lit("all").alias("value")), *(F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit(blank)).alias("value")) for d in dimensions)]
-    return df.select(F.explode(F.array(*cells)).alias("c")).groupBy("c.dimension", "c.value").agg(F.count("*").alias("row_count"))
+    """(dimension, value, row_count) for the total and each dimension, as grouping sets in one pass; nulls are shown as blank."""
+    shown = df.select(*(F.coalesce(F.col(d).cast("string"), F.lit(blank)).alias(d) for d in dimensions))
+    sets = shown.groupingSets([[], *([F.col(d)] for d in dimensions)], *(F.col(d) for d in dimensions)).agg(F.count("*").alias("row_count"), *(F.grouping(d).alias(f"_off_{i}") for i, d in enumerate(dimensions)))
+    name, value = F.lit("total"), F.lit("all")
+    for i, d in enumerate(dimensions):
+        on = F.col(f"_off_{i}") == 0
+        name, value = F.when(on, d).otherwise(name), F.when(on, F.col(d)).otherwise(value)
+    return sets.select(name.alias("dimension"), value.alias("value"), "row_count")
 
 
 def parity(left: DataFrame, right: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -130,7 +135,16 @@ def most_common(df: DataFrame, value: str, n: int = 20) -> DataFrame:
 
 def merged_lists(lists: list[str], key) -> Column:
     """One list of several columns of structs, in their order, of equal keys the first. key: struct column -> text; null lists and null elements are left out."""
-    kind = F.array_compact(F.concat(*(F.coalesce(F.col(c), F.array().cast("array<void>")) for c in lists)))
-    keyed = F.transform(kind, lambda x: F.struct(key(x).alias("k"), x.alias("x")))
-    keys = F.transform(keyed, lambda r: r.k)
-    return F.transform(F.filter(F.transform(keyed, lambda r, i: F.struct(r.x.alias("x"), (F.array_position(keys, r.k) == i + 1).alias("first"))), lambda r: r["first"]), lambda r: r.x)
+    return distinct_by(F.array_compact(F.concat(*(F.coalesce(F.col(c), F.array().cast("array<void>")) for c in lists))), key)
+
+
+def distinct_by(whole: Column, key) -> Column:
+    """The list without nulls and without elements whose key stands before them. Sorted by key and place, so a long list costs no more than a sort."""
+    sorted_ = F.array_sort(F.transform(F.array_compact(whole), lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+
+    def firsts(s: Column) -> Column:
+        return F.filter(s, lambda r, j: (j == 0) | ~r.k.eqNullSafe(F.get(s, (j - 1).cast("int")).k))
+
+    # bound as the one element of an array, so that it is sorted once
+    kept = F.get(F.transform(F.array(sorted_), firsts), F.lit(0))
+    return F.transform(F.array_sort(F.transform(kept, lambda r: F.struct(r.i.alias("i"), r.x.alias("x")))), lambda r: r.x)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.text import stable_id
 
 from .options import joined_reasons
-from .relational import top_rows
+from .relational import distinct_by, top_rows
 
 # Words that put a row in a bucket, and the two versions of the rules that disagree on the word "set", on what says that a code is blank, and on which
 # tiers are candidates.
@@ -17,17 +17,18 @@ BROWSER_RULES = ("세트|조합|bundle|set(?![a-z0-9_])", "코드 근거|코드
 SUMMARY_RULES = ("세트|조합|bundle|(^|[^a-z0-9])set([^a-z0-9]|$)", "코드 근거|코드공백|코드 공백|자사코드 공백|code blank|blank code", ("AUTO_APPROVE_CANDIDATE", "MANUAL_LINKED"))
 WORKFLOW = {"browser": BROWSER_RULES, "summary": SUMMARY_RULES}
 # Stock states and their buckets; the order in which a group takes the bucket of one of its rows.
-STOCK_BUCKETS = {"STOCK_MATCH": "stock_match", "STOCK_DIFF": "stock_diff", "STOCK_NOT_FOUND": "stock_missing"}
+STOCK_BUCKETS = {"STOCK_MATCH": "stock_match", "STOCK_DIFF": "stock_diff", "STOCK_SMARTSTORE_NOT_FOUND": "stock_missing"}
 BUCKET_PRIORITY = ("excluded", "no_match", "bundle", "suboption", "code_blank", "stock_diff", "stock_missing", "hold", "candidate", "stock_match")
 
 
 def workflow_bucket(tier: Column, texts: list[Column], stock: Column, rules: str = "browser") -> Column:
     """The first rule that holds: no match, excluded, bundle, suboption, blank code (words in the texts, case ignored), candidate tiers, stock states; else hold.
+    The browser's rules ignore the case of the tier, too, when they look for no match.
 
     texts: tier, action, reason, duplicate risk and the channel's names, as texts; nulls are empty."""
     bundle, blank, candidates = WORKFLOW[rules]
     text = F.lower(F.concat_ws(" ", *(F.coalesce(c.cast("string"), F.lit("")) for c in texts)))
-    out = F.when(F.upper(tier) == "NO_MATCH", "no_match").when(text.rlike(EXCLUDED_WORDS), "excluded").when(text.rlike(bundle), "bundle").when(text.rlike(SUBOPTION_WORDS), "suboption").when(text.rlike(blank), "code_blank")
+    out = F.when((F.upper(tier) if rules == "browser" else tier) == "NO_MATCH", "no_match").when(text.rlike(EXCLUDED_WORDS), "excluded").when(text.rlike(bundle), "bundle").when(text.rlike(SUBOPTION_WORDS), "suboption").when(text.rlike(blank), "code_blank")
     out = out.when(tier.isin(*candidates), "candidate")
     for state, bucket in STOCK_BUCKETS.items():
         out = out.when(stock == state, bucket)
@@ -52,9 +53,10 @@ def policy_tier(tier: Column, duplicates: Column, reason: Column, needed: str, e
     return F.when(tier == "AUTO_APPROVE_CANDIDATE", tier).when((tier == "FAST_REVIEW") & weak, "APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK").when(tier == "FAST_REVIEW", "FAST_REVIEW_REQUIRED").otherwise(F.coalesce(tier, F.lit("")))
 
 
-def group_matrix(rows: DataFrame, group: list[str], channel: str, order: str, image: Column, duplicates: str, channels: list[str], tags: str | None = None, bucket: str | None = None) -> DataFrame:
+def group_matrix(rows: DataFrame, group: list[str], channel: str, order: str, image: Column, duplicates: str, channels: list[str], tags: str | None = None, bucket: str | None = None, shared_tags: str | None = None) -> DataFrame:
     """Per group the last row's order value of each channel, the primary row (last with image, else last) and the duplicates' sum; with tags (an array column) the
-    longest list, of equally long ones the earliest; with bucket the group's bucket by BUCKET_PRIORITY."""
+    longest list, of equally long ones the earliest; with bucket the group's bucket by BUCKET_PRIORITY; with shared_tags (an array
+    of structs tag_id, tag_name, tag_scope, assignment_id) the tags of all its rows in their order, each once. A group is one item's rows, a few for each channel."""
     key = F.col(order)
     cells = [F.max(F.when(F.col(channel) == c, key)).alias(f"at_{c}") for c in channels]
     more = []
@@ -62,11 +64,23 @@ def group_matrix(rows: DataFrame, group: list[str], channel: str, order: str, im
         more.append(F.max(F.struct(F.size(F.coalesce(F.col(tags), F.array().cast("array<string>"))).alias("n"), (-key).alias("o"), F.col(tags).alias("t"))).getField("t").alias("tags"))
     if bucket:
         more.append(group_bucket(F.collect_set(bucket)).alias("bucket"))
+    if shared_tags:
+        none = F.array().cast(rows.schema[shared_tags].dataType)
+        listed = F.array_sort(F.collect_list(F.struct(key.alias("o"), F.coalesce(F.col(shared_tags), none).alias("t"))))
+        more.append(distinct_by(F.flatten(F.transform(listed, lambda x: x.t)), tag_key).alias("shared_tags"))
     return rows.groupBy(*group).agg(*cells, F.coalesce(F.max(F.when(image, key)), F.max(key)).alias("primary_row"), F.sum(duplicates).cast("long").alias("duplicates"), F.count("*").alias("n_rows"), *more)
 
 
-def queue_filter(rows: DataFrame, channels: list[str], tier: str | None = None, stock: str | None = None, bucket: str | None = None, mode: str | None = None, tags: tuple[str, ...] = (), image_only: bool = False, text: str = "", columns: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of the shown channels that pass every filter given. rows: channel, tier, stock, bucket, tag_names (array), has_image and the text columns.
+def tag_key(tag: Column) -> Column:
+    """What makes two tags one: id (else name), scope and assignment."""
+    name = F.coalesce(F.nullif(tag.tag_id.cast("string"), F.lit("")), tag.tag_name, F.lit(""))
+    return F.concat_ws("|", name, F.coalesce(tag.tag_scope, F.lit("")), F.coalesce(tag.assignment_id.cast("string"), F.lit("")))
+
+
+def queue_filter(rows: DataFrame, channels: list[str], tier: str | None = None, stock: str | None = None, bucket: str | None = None, mode: str | None = None, tags: tuple[str, ...] = (), image_only: bool = False, text: str = "", columns: tuple[str, ...] = (), hide_excluded: bool = False, exclusions: str | None = None) -> DataFrame:
+    """Rows of the shown channels that pass every filter given. rows: channel, tier, stock, bucket, tag_names (array), has_image, the text columns, and left_out for exclusions.
+
+    hide_excluded leaves out the bucket of excluded rows; exclusions: hide leaves out rows that a list leaves out (see exclusion), only leaves those.
 
     All of the tags must be there. mode: problem leaves out candidates and matching stock, candidate leaves only those. bucket: a stock bucket asks for the
     stock state, others for the workflow bucket. text: contained in the columns, joined by spaces, case ignored."""
@@ -79,6 +93,11 @@ def queue_filter(rows: DataFrame, channels: list[str], tier: str | None = None,
         df = df.where(F.col("stock") == stock)
     if bucket:
         df = df.where(F.col("stock") == states[bucket] if bucket in states else F.col("bucket") == bucket)
+    if hide_excluded:
+        df = df.where(~F.coalesce(F.col("bucket") == "excluded", F.lit(False)))
+    if exclusions:
+        out = F.coalesce("left_out", F.lit(False))
+        df = df.where(out if exclusions == "only" else ~out)
     if mode:
         df = df.where(done if mode == "candidate" else ~done)
     if tags:

@@ -1,15 +1,17 @@
 """The apply protocol: guards, dry runs, versioned tables, upsert, update, delete, audit events, rollback.
 
 A table is a folder of numbered snapshots, and the latest number is the table. A writer makes a whole snapshot and only then does its number
-count, as Spark's success marker is written last; so there must be one writer at a time. Changes return new DataFrames and write nothing.
+count, as its success marker is written last; so there must be one writer at a time. Changes return new DataFrames and write nothing.
+Every write asks the session whether it may (see transaction), and counts that a write must have are taken in the very job that writes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +27,47 @@ def expect(df: DataFrame, metrics: dict[str, tuple[Column, int]]) -> None:
         raise GuardError(", ".join(f"{k} is {a}, not {b}" for k, (a, b) in wrong.items()))
 
 
+#: The session setting that says whether library writes are barred.
+READ_ONLY = "matchloom.readOnly"
+
+
+@contextmanager
+def transaction(spark: SparkSession, read_only: bool) -> Iterator["RunContext"]:
+    """Within it the session may write, or may not; at its end what held before holds again. Nested ones may bar writing, but not allow what an outer one bars."""
+    before = spark.conf.get(READ_ONLY, None)
+    if before == "true" and not read_only:
+        raise GuardError("the session is read-only")
+    spark.conf.set(READ_ONLY, str(read_only).lower())
+    try:
+        yield RunContext.of(spark)
+    finally:
+        spark.conf.unset(READ_ONLY) if before is None else spark.conf.set(READ_ONLY, before)
+
+
+def observed_write(df: DataFrame, path: str, metrics: dict[str, tuple[Column, int]] | None = None, drop: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> dict[str, int]:
+    """Writes Parquet without a success marker and returns the counts that were taken on the rows as they were written.
+
+    metrics: name -> (aggregate, the count it must be, or None to take it only). If any differs the files go and GuardError names all that differ. drop: columns that only
+    the counts need. The counts sit in the last stage, in which each partition's attempt counts once."""
+    held = {k: c.cast("long").alias(k) for k, (c, _) in (metrics or {}).items()} | {"rows_written": F.count("*").alias("rows_written")}
+    seen = Observation()
+    writer = df.observe(seen, *held.values()).drop(*drop).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    got = {k: int(v or 0) for k, v in seen.get.items()}
+    wrong = {k: (got[k], n) for k, (_, n) in (metrics or {}).items() if n is not None and got[k] != n}
+    if wrong:
+        fs, at = files_at(df.sparkSession, path)
+        fs.delete(at, True)
+        raise GuardError(", ".join(f"{k} is {a}, not {b}" for k, (a, b) in wrong.items()))
+    return got
+
+
+def files_at(spark: SparkSession, path: str):
+    """The file system and path of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 @dataclass
 class VersionedTable:
     spark: SparkSession
@@ -46,9 +89,13 @@ class VersionedTable:
         at = version if version is not None else self.versions()[-1]
         return self.spark.read.parquet(f"{self.root}/v{at}")
 
-    def write(self, df: DataFrame) -> int:
+    def write(self, df: DataFrame, metrics: dict[str, tuple[Column, int]] | None = None) -> int:
+        """Writes a version and makes it the table, if the session may write and all counts hold that are taken while it is written (name -> (aggregate, count))."""
+        RunContext.of(self.spark).require(read_only=False)
         at = max(self.versions(), default=0) + 1
-        df.write.parquet(f"{self.root}/v{at}")
+        observed_write(df, f"{self.root}/v{at}", metrics)
+        fs, path = self._fs()
+        fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/v{at}/_SUCCESS"), False).close()
         return at
 
     def rollback(self, version: int) -> int:
@@ -94,12 +141,12 @@ def append_event(events: Column, action: str, before: Column, after: Column, rev
     return F.concat(F.coalesce(events, F.array().cast("array<struct<action:string,before:string,after:string,reviewer:string,at:string>>")), F.array(event))
 
 
-def run(table: VersionedTable, change: Callable[[DataFrame], DataFrame], guards: Callable[[DataFrame, DataFrame], None], dry: bool = True) -> tuple[DataFrame, int | None]:
-    """Works out the change and its guards; writes a new version only if it isn't a dry run."""
+def run(table: VersionedTable, change: Callable[[DataFrame], DataFrame], guards: Callable[[DataFrame, DataFrame], None], dry: bool = True, metrics: dict[str, tuple[Column, int]] | None = None) -> tuple[DataFrame, int | None]:
+    """Works out the change and its guards; writes a new version only if it isn't a dry run. metrics are counts of the new version, taken while it is written."""
     before = table.read()
     after = change(before)
     guards(before, after)
-    return after, None if dry else table.write(after)
+    return after, None if dry else table.write(after, metrics)
 
 
 #: Decisions: the actions of reviewers and the states they lead to.
@@ -142,6 +189,7 @@ class DecisionService:
     def _change(self, queue_id: int, reviewer: str, at: str, action: str, column: str, value: str | None) -> int:
         if not self.status(reviewer)["can_write"]:
             raise PermissionError(f"{reviewer!r} may not write")
+        RunContext.of(self.table.spark).require(read_only=False)
         expect(self.table.read().where(F.col("queue_id") == queue_id), {"rows": (F.count("*"), 1)})
         place = (self.log().agg(F.max("place")).first()[0] or 0) + 1
         self.table.spark.createDataFrame([(queue_id, column, value, action, reviewer.strip(), at, place)], LOG).coalesce(1).write.mode("append").parquet(self._log_path())
@@ -183,17 +231,17 @@ class DecisionService:
 
 @dataclass(frozen=True)
 class RunContext:
-    """Where a job runs: catalog and database of the session, the user, and whether it may write. Jobs ask for what they need before they start."""
+    """Where a job runs: catalog and database of the session, the user, and whether writes are barred (see transaction). Every write of the library asks it."""
 
     catalog: str
     database: str
     user: str
-    read_only: bool = True
+    read_only: bool
 
     @classmethod
-    def of(cls, spark: SparkSession, read_only: bool = True) -> "RunContext":
+    def of(cls, spark: SparkSession) -> "RunContext":
         row = spark.sql("select current_catalog() as c, current_database() as d, current_user() as u").first()
-        return cls(row.c, row.d, row.u, read_only)
+        return cls(row.c, row.d, row.u, spark.conf.get(READ_ONLY, "false") == "true")
 
     def require(self, **wanted: object) -> None:
         """Raises GuardError with everything that differs: require(database="test", read_only=True)."""
@@ -204,8 +252,7 @@ class RunContext:
 
 def refresh_summary(cache: VersionedTable, summary: DataFrame, at: str) -> int:
     """Replaces the one row of a summary cache; the summary must have exactly one."""
-    expect(summary, {"rows": (F.count("*"), 1)})
-    return cache.write(summary.withColumns({"singleton": F.lit(True), "refreshed_at": F.lit(at)}))
+    return cache.write(summary.withColumns({"singleton": F.lit(True), "refreshed_at": F.lit(at)}), {"rows": (F.count("*"), 1)})
 
 
 def merge_json(base: Column, more: dict[str, Column], strip_nulls: bool = True) -> Column:

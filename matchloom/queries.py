@@ -58,27 +58,27 @@ def alias_resolve(spark, sf):
     return codes.resolve_alias(rows, _aliases(spark, sf), "code").select("s_suppkey", "code", "match_count", "resolved", F.array_join(F.transform("candidates", lambda x: x.cast("string")), ",").alias("candidates"))
 
 
-@query(f"""with {ALIASES}, r as (select p_partkey, case when p_size % 7 = 0 then ' ' else 'S' || (p_partkey // 3) end as k, p_size % 5 <> 0 as matched, case when p_partkey % 11 = 0 then p_partkey + p_partkey % 2 end as existing,
+@query(f"""with {ALIASES}, r as (select p_partkey, case when p_size % 7 = 0 then ' ' else 'S' || (p_partkey // 3) end as k, p_size % 5 <> 0 as matched, p_size % 10 = 0 as loose, case when p_partkey % 11 = 0 then p_partkey + p_partkey % 2 end as existing,
   case when p_partkey % 13 = 0 then 'Deleted row' else 'ok' end as status from part)
-select p_partkey, case when trim(k) = '' then 'null_key' when not matched then 'pattern_unmatched' when coalesce(n, 0) = 0 then 'not_in_alias' when n > 1 then 'ambiguous' when existing is not null then 'conflict'
+select p_partkey, case when trim(k) = '' then 'null_key' when not matched and loose then 'loose_only' when not matched then 'pattern_unmatched' when coalesce(n, 0) = 0 then 'not_in_alias' when n > 1 then 'ambiguous' when existing is not null then 'conflict'
     when status ilike '%deleted%' then 'inactive' else 'auto_confirm' end as reason,
-  case when trim(k) = '' then 'null_key' when not matched then 'pattern_unmatched' when coalesce(n, 0) = 0 then 'not_in_alias' when n > 1 then 'ambiguous' when status ilike '%deleted%' then 'inactive'
+  case when trim(k) = '' then 'null_key' when not matched and loose then 'loose_only' when not matched then 'pattern_unmatched' when coalesce(n, 0) = 0 then 'not_in_alias' when n > 1 then 'ambiguous' when status ilike '%deleted%' then 'inactive'
     when existing = resolved then 'already_applied' when existing is not null then 'conflict' else 'auto_confirm' end as reason_split from r left join held on value = k""")
 def alias_classify(spark, sf):
     part = t(spark, sf, "part")
     rows = part.select(
-        "p_partkey", F.when(F.col("p_size") % 7 == 0, " ").otherwise(F.concat(F.lit("S"), F.floor(F.col("p_partkey") / 3).cast("string"))).alias("k"), (F.col("p_size") % 5 != 0).alias("matched"),
+        "p_partkey", F.when(F.col("p_size") % 7 == 0, " ").otherwise(F.concat(F.lit("S"), F.floor(F.col("p_partkey") / 3).cast("string"))).alias("k"), (F.col("p_size") % 5 != 0).alias("matched"), (F.col("p_size") % 10 == 0).alias("loose"),
         F.when(F.col("p_partkey") % 11 == 0, F.col("p_partkey") + F.col("p_partkey") % 2).alias("existing"), F.when(F.col("p_partkey") % 13 == 0, "Deleted row").otherwise("ok").alias("status"),
     )
     out = codes.resolve_alias(rows, _aliases(spark, sf), "k")
     args = [F.col(c) for c in ("k", "matched", "match_count", "existing", "resolved", "status")]
-    return out.select("p_partkey", codes.classify_match(*args).alias("reason"), codes.classify_match(*args, split_same=True).alias("reason_split"))
+    return out.select("p_partkey", codes.classify_match(*args, loose=F.col("loose")).alias("reason"), codes.classify_match(*args, split_same=True, loose=F.col("loose")).alias("reason_split"))
 
 
-@query("""with r as (select p_partkey as k, case when p_partkey % 4 = 0 then 'AB-' || p_partkey when p_partkey % 4 = 1 then ' ' end as direct, case when p_partkey % 3 = 0 then 'x [AB-' || p_partkey || '-1]' when p_partkey % 7 = 0 then '[EF-' || p_partkey || '-3-4]' else p_name end as a,
-    case when p_partkey % 10 = 0 then null when p_partkey % 2 = 0 then 'y [CD-' || p_partkey || '-2-3]' when p_partkey % 5 = 0 then '[GH-' || p_partkey || '-9_1] z' else 'loose ij-' || p_partkey || '-5-6' end as b from part),
-x as (select *, nullif(trim(direct), '') as d, nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as a3, nullif(regexp_extract(a, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as a4,
-    nullif(regexp_extract(b, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as b3, nullif(regexp_extract(b, '\\[([A-Z]{1,5}-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as b4 from r),
+@query("""with r as (select p_partkey as k, case when p_partkey % 4 = 0 then 'AB-' || p_partkey when p_partkey % 4 = 1 then ' ' end as direct, case when p_partkey % 6 = 0 then 'x [abcDEFgh-' || p_partkey || '-1]' when p_partkey % 3 = 0 then 'x [AB-' || p_partkey || '-1]' when p_partkey % 7 = 0 then '[EF-' || p_partkey || '-3-4]' else p_name end as a,
+    case when p_partkey % 10 = 0 then null when p_partkey % 4 = 2 then 'y [cd-' || p_partkey || '-2-3]' when p_partkey % 2 = 0 then 'y [CD-' || p_partkey || '-2-3]' when p_partkey % 5 = 0 then '[GH-' || p_partkey || '-9_1] z' else 'loose ij-' || p_partkey || '-5-6' end as b from part),
+x as (select *, nullif(trim(direct), '') as d, nullif(regexp_extract(a, '\\[([A-Za-z]+-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as a3, nullif(regexp_extract(a, '\\[([A-Za-z]+-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as a4,
+    nullif(regexp_extract(b, '\\[([A-Za-z]+-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as b3, nullif(regexp_extract(b, '\\[([A-Za-z]+-[0-9]+-[0-9]+-[0-9]+)\\]', 1), '') as b4 from r),
 e as (select k as p_partkey, coalesce(d, a3, b3, a4, b4) as old, coalesce(d, b3, b4, a3, a4) as new, case when d is not null then 'direct' when b3 is not null then 'b_bracket' when b4 is not null then 'b_four_parts' when a3 is not null then 'a_bracket' when a4 is not null then 'a_four_parts' end as method,
     case when d is not null or b3 is not null then 'existing' when b4 is not null then 'new' when a3 is not null then 'existing' when a4 is not null then 'new' end as family, nullif(regexp_extract(coalesce(a, '') || ' ' || coalesce(b, ''), '([A-Za-z]+-[0-9]+-[0-9]+-[0-9]+)', 1), '') as loose from x)
 select p_partkey, old, new, method, family, loose, case when old is not distinct from new then 'same' when old is null then 'new' when new is null then 'lost' else 'changed' end as change from e""")
@@ -87,8 +87,8 @@ def version_compare(spark, sf):
     text = k.cast("string")
     made = lambda head, tail: F.concat(F.lit(head), text, F.lit(tail))
     rows = t(spark, sf, "part").select(
-        "p_partkey", F.when(k % 4 == 0, F.concat(F.lit("AB-"), text)).when(k % 4 == 1, " ").alias("direct"), F.when(k % 3 == 0, made("x [AB-", "-1]")).when(k % 7 == 0, made("[EF-", "-3-4]")).otherwise(F.col("p_name")).alias("a"),
-        F.when(k % 10 == 0, None).when(k % 2 == 0, made("y [CD-", "-2-3]")).when(k % 5 == 0, made("[GH-", "-9_1] z")).otherwise(made("loose ij-", "-5-6")).alias("b"),
+        "p_partkey", F.when(k % 4 == 0, F.concat(F.lit("AB-"), text)).when(k % 4 == 1, " ").alias("direct"), F.when(k % 6 == 0, made("x [abcDEFgh-", "-1]")).when(k % 3 == 0, made("x [AB-", "-1]")).when(k % 7 == 0, made("[EF-", "-3-4]")).otherwise(F.col("p_name")).alias("a"),
+        F.when(k % 10 == 0, None).when(k % 4 == 2, made("y [cd-", "-2-3]")).when(k % 2 == 0, made("y [CD-", "-2-3]")).when(k % 5 == 0, made("[GH-", "-9_1] z")).otherwise(made("loose ij-", "-5-6")).alias("b"),
     )
     both = rows.select("p_partkey", codes.extract_code(F.col("direct"), F.col("a"), F.col("b"), "v2").code.alias("old"), codes.extract_code(F.col("direct"), F.col("a"), F.col("b")).alias("n"))
     both = both.select("p_partkey", "old", F.col("n.code").alias("new"), "n.method", "n.family", "n.loose")
@@ -198,10 +198,10 @@ m as (select 'C' || p_partkey as code, 'P' || (p_partkey // 4) as product, 'O' |
   union all select 'C' || p_partkey, 'Q' || p_partkey, null from part where p_partkey % 26 = 0 union all select 'D' || p_partkey, 'P' || p_partkey, 'O1' from part where p_partkey % 5 = 0),
 b as (select item, min(shared) as shared, coalesce(bool_or(risk), false) as risk from i group by 1), c as (select distinct item, trim(code) as code from i where trim(code) <> ''), h as (select distinct code, nullif(trim(product), '') as product, nullif(trim(option), '') as option from m where trim(coalesce(product, '')) <> '' or trim(coalesce(option, '')) <> ''),
 f as (select item, count(distinct concat_ws('|', product, option)) as n_pairs, min(product) as product, min(option) as option from c join h using (code) group by 1), r as (select b.*, coalesce(n_pairs, 0) as n_pairs, product, option from b left join f using (item)), s as (select * from r where n_pairs = 1),
-p as (select product, option, count(distinct item) as n_items from s group by 1, 2), q as (select shared, count(distinct product) as n_products from s group by 1)
-select r.item, r.n_pairs, case when r.n_pairs = 1 then r.product end as product, case when r.n_pairs = 1 then r.option end as option, p.n_items, q.n_products, risk,
-  case when r.n_pairs = 0 then 'evidence_missing' when r.n_pairs > 1 then 'duplicate_evidence' when p.n_items > 1 then 'duplicate_pair' when q.n_products > 1 then 'duplicate_product' when risk then 'risk' else 'clean' end as verdict
-from r left join p on r.n_pairs = 1 and p.product is not distinct from r.product and p.option is not distinct from r.option left join q on r.n_pairs = 1 and q.shared = r.shared""")
+p as (select product, option, count(distinct item) as n_items from s where product is not null and option is not null group by 1, 2), q as (select shared, count(distinct product) as n_products from s group by 1)
+select r.item, r.n_pairs, case when r.n_pairs = 1 then r.product end as product, case when r.n_pairs = 1 then r.option end as option, case when r.n_pairs = 1 then coalesce(p.n_items, 0) end as n_items, case when r.n_pairs = 1 then coalesce(q.n_products, 0) end as n_products, risk,
+  case when r.n_pairs = 0 then 'evidence_missing' when r.n_pairs > 1 then 'duplicate_evidence' when p.n_items > 1 then 'duplicate_pair' when q.n_products > 1 then 'duplicate_product' when coalesce(p.n_items, 0) = 0 or coalesce(q.n_products, 0) = 0 then 'half_pair' when risk then 'risk' else 'clean' end as verdict
+from r left join p on r.n_pairs = 1 and p.product = r.product and p.option = r.option left join q on r.n_pairs = 1 and q.shared = r.shared""")
 def unique_evidence(spark, sf):
     part, k, size = t(spark, sf, "part"), F.col("p_partkey"), F.col("p_size")
     text = lambda letter, x: F.concat(F.lit(letter), F.floor(x).cast("string"))
@@ -240,13 +240,13 @@ a as (select *, case when len(o) = len(c) then 'direct' when len(o) = len(c) + 1
 e as (select doc_id, c, o, alignment, unnest(range(1, len(c) + 1)) as line_no from a)
 select doc_id, line_no, md5(trim(c[line_no])) as code, md5(trim(case alignment when 'header' then o[line_no + 1] when 'direct' then o[line_no] end)) as option, alignment from e""")
 def multiline_align(spark, sf):
-    docs = t(spark, sf, "documents")
+    docs = t(spark, sf, "documents").repartition(32, "doc_id")  # the table may be one row group, which one task would cut into lines
     other = F.lit("\n".join("only two or four lines of other length than codes have here".split()))
     rows = docs.select("doc_id", F.col("text").alias("c"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("head\n"), "text")).when(F.col("doc_id") % 3 == 1, F.col("text")).otherwise(other).alias("o"), F.lit("").alias("s"))
     return evidence.aligned_lines(rows, "doc_id", "c", "o", "s").select("doc_id", "line_no", F.md5("code").alias("code"), F.md5("option").alias("option"), "alignment")
 
 
-@query("""with second as (select o_orderkey // 8 as item, cast(null as varchar) as own, case when o_orderkey % 7 <> 0 then o_orderpriority end as product, cast(o_custkey % 3 as varchar) as option from orders where o_orderkey % 6 = 0 union all select null, 'Brand#' || (o_orderkey % 60), o_orderpriority, '1' from orders where o_orderkey % 997 = 0),
+@query("""with second as (select case when o_orderkey % 6 = 0 then o_orderkey // 8 else -1 - o_orderkey end as item, cast(null as varchar) as own, case when o_orderkey % 7 <> 0 then o_orderpriority end as product, cast(o_custkey % 3 as varchar) as option from orders union all select null, case when o_orderkey % 997 = 0 then 'Brand#' || (o_orderkey % 60) else 'Other' || o_orderkey end, o_orderpriority, '1' from orders),
 i as (select item, count(distinct product) as np, min(product) as p, count(distinct option) as no, min(option) as o from second where item is not null group by 1), w as (select own, count(distinct product) as np, min(product) as p, count(distinct option) as no, min(option) as o from second where own is not null group by 1),
 r as (select p_partkey, p_brand, case when p_size % 5 <> 0 then '1-URGENT' end as product, case when p_size % 7 <> 0 then cast(p_size % 3 as varchar) end as option, p_partkey % 4 <> 0 as compares from part),
 j as (select r.*, i.item is not null or w.own is not null as found, case when i.item is not null then case when i.np = 1 then i.p end else case when w.np = 1 then w.p end end as p, case when i.item is not null then case when i.no = 1 then i.o end else case when w.no = 1 then w.o end end as o
@@ -254,8 +254,8 @@ j as (select r.*, i.item is not null or w.own is not null as found, case when i.
 select p_partkey, case when not found then 'none' when p is null or o is null then 'incomplete' when compares and coalesce(product = p, false) and coalesce(option = o, false) then 'supported' when compares and (coalesce(product <> p, false) or coalesce(option <> o, false)) then 'conflict' else 'relaxed' end as support from j""")
 def evidence_support(spark, sf):
     orders, k = t(spark, sf, "orders"), F.col("o_orderkey")
-    second = orders.where("o_orderkey % 6 = 0").select(F.floor(k / 8).alias("item"), F.lit(None).cast("string").alias("own"), F.when(k % 7 != 0, F.col("o_orderpriority")).alias("product"), (F.col("o_custkey") % 3).cast("string").alias("option"))
-    second = second.union(orders.where("o_orderkey % 997 = 0").select(F.lit(None).cast("long"), F.concat(F.lit("Brand#"), (k % 60).cast("string")), "o_orderpriority", F.lit("1")))
+    second = orders.select(F.when(k % 6 == 0, F.floor(k / 8)).otherwise(-1 - k).alias("item"), F.lit(None).cast("string").alias("own"), F.when(k % 7 != 0, F.col("o_orderpriority")).alias("product"), (F.col("o_custkey") % 3).cast("string").alias("option"))
+    second = second.union(orders.select(F.lit(None).cast("long"), F.when(k % 997 == 0, F.concat(F.lit("Brand#"), (k % 60).cast("string"))).otherwise(F.concat(F.lit("Other"), k.cast("string"))), "o_orderpriority", F.lit("1")))
     size = F.col("p_size")
     rows = t(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("own"), F.when(size % 5 != 0, "1-URGENT").alias("product"), F.when(size % 7 != 0, (size % 3).cast("string")).alias("option"), (F.col("p_partkey") % 4 != 0).alias("compares"))
     return evidence.evidence_support(rows, second).select(F.col("item").alias("p_partkey"), "support")
@@ -310,13 +310,17 @@ def latest_overlay(spark, sf):
 @query("""with r as (select *, (['x', 'y', 'z'])[1:o_orderkey % 4] as tags, ['hold', 'candidate', 'excluded', 'stock_match', 'no_match', 'other'][case when o_orderkey % 9 < 5 then o_orderkey % 2 + 1 else o_orderkey % 6 + 1 end] as b from orders)
 select o_custkey, o_orderpriority, max(o_orderkey) filter (o_orderstatus = 'F') as "at_F", max(o_orderkey) filter (o_orderstatus = 'O') as "at_O", coalesce(max(o_orderkey) filter (o_totalprice > 200000), max(o_orderkey)) as primary_row,
   cast(sum(o_orderkey % 4) as bigint) as duplicates, count(*) as n_rows, array_to_string((list(tags order by len(tags) desc, o_orderkey))[1], ',') as tags,
-  case when bool_or(b = 'excluded') then 'excluded' when bool_or(b = 'no_match') then 'no_match' when bool_or(b = 'hold') then 'hold' when bool_or(b = 'candidate') then 'candidate' when bool_or(b = 'stock_match') then 'stock_match' else 'hold' end as bucket from r group by 1, 2""")
+  case when bool_or(b = 'excluded') then 'excluded' when bool_or(b = 'no_match') then 'no_match' when bool_or(b = 'hold') then 'hold' when bool_or(b = 'candidate') then 'candidate' when bool_or(b = 'stock_match') then 'stock_match' else 'hold' end as bucket,
+  (select string_agg(g, ',' order by first_o, first_i) from (select g, min(o) as first_o, arg_min(i, o) as first_i from (select o_orderkey as o, 1 as i, 'g' || (o_orderkey % 3) || '|s' as g from orders x where x.o_custkey = r.o_custkey and x.o_orderpriority = r.o_orderpriority
+    union all select o_orderkey, 2, 'g' || (o_orderkey % 2) || '|' from orders x where x.o_custkey = r.o_custkey and x.o_orderpriority = r.o_orderpriority) group by 1)) as shared_tags from r group by 1, 2""")
 def group_matrix(spark, sf):
     k = F.col("o_orderkey")
+    tag = lambda n, scope: F.struct(F.lit(None).cast("long").alias("tag_id"), F.concat(F.lit("g"), n.cast("string")).alias("tag_name"), scope.cast("string").alias("tag_scope"), F.lit(None).cast("string").alias("assignment_id"))
     names = F.array(*(F.lit(x) for x in ("hold", "candidate", "excluded", "stock_match", "no_match", "other")))
-    rows = t(spark, sf, "orders").withColumns({"dup": k % 4, "t": F.slice(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.lit(1), (k % 4).cast("int")), "b": F.get(names, F.when(k % 9 < 5, k % 2).otherwise(k % 6).cast("int"))})
-    out = review.group_matrix(rows, ["o_custkey", "o_orderpriority"], "o_orderstatus", "o_orderkey", F.col("o_totalprice") > 200000, "dup", ["F", "O"], tags="t", bucket="b")
-    return out.withColumn("tags", F.array_join("tags", ","))
+    rows = t(spark, sf, "orders").withColumns({"dup": k % 4, "t": F.slice(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.lit(1), (k % 4).cast("int")), "b": F.get(names, F.when(k % 9 < 5, k % 2).otherwise(k % 6).cast("int")), "s": F.array(tag(k % 3, F.lit("s")), tag(k % 2, F.lit(None)))})
+    out = review.group_matrix(rows, ["o_custkey", "o_orderpriority"], "o_orderstatus", "o_orderkey", F.col("o_totalprice") > 200000, "dup", ["F", "O"], tags="t", bucket="b", shared_tags="s")
+    shown = F.transform("shared_tags", lambda x: F.concat(x.tag_name, F.lit("|"), F.coalesce(x.tag_scope, F.lit(""))))
+    return out.withColumns({"tags": F.array_join("tags", ","), "shared_tags": F.array_join(shown, ",")})
 
 
 QUEUE = """q as (select o_orderkey, case o_orderkey % 4 when 0 then 'AUTO_APPROVE_CANDIDATE' when 1 then 'FAST_REVIEW' when 2 then 'REVIEW' else 'NO_MATCH' end as tier, case when o_orderkey % 5 = 0 then 'set of ' || o_orderpriority when o_orderkey % 7 = 0 then 'offset name' else 'name code' end as reason,
@@ -336,16 +340,16 @@ def _queue(spark, sf):
     )
 
 
-@query(f"""with {QUEUE}, r as (select *, {{texts}}[o_orderkey % 13 + 1] as action, ['STOCK_MATCH', 'STOCK_DIFF', 'STOCK_NOT_FOUND', null][o_orderkey // 4 % 4 + 1] as stock, case when o_orderkey % 16 = 15 then 'MANUAL_LINKED' else tier end as tier2 from q), x as (select *, lower(tier2 || ' ' || coalesce(action, '') || ' ' || reason) as b from r)
+@query(f"""with {QUEUE}, r as (select *, {{texts}}[o_orderkey % 13 + 1] as action, ['STOCK_MATCH', 'STOCK_DIFF', 'STOCK_SMARTSTORE_NOT_FOUND', null][o_orderkey // 4 % 4 + 1] as stock, case when o_orderkey % 16 = 15 then 'MANUAL_LINKED' else tier end as tier2 from q), x as (select *, lower(tier2 || ' ' || coalesce(action, '') || ' ' || reason) as b from r)
 select case when tier2 = 'NO_MATCH' then 'no_match' when regexp_matches(b, '단종|삭제|제외|excluded|discontinued|hidden') then 'excluded' when regexp_matches(b, '세트|조합|bundle|set($|[^a-z0-9_])') then 'bundle' when regexp_matches(b, '보조옵션|보조 옵션|하위옵션|suboption|추가상품') then 'suboption'
-    when regexp_matches(b, '코드 근거|코드공란|코드 공란|자사코드 공란|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_NOT_FOUND' then 'stock_missing' else 'hold' end as browser,
+    when regexp_matches(b, '코드 근거|코드공란|코드 공란|자사코드 공란|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_SMARTSTORE_NOT_FOUND' then 'stock_missing' else 'hold' end as browser,
   case when tier2 = 'NO_MATCH' then 'no_match' when regexp_matches(b, '단종|삭제|제외|excluded|discontinued|hidden') then 'excluded' when regexp_matches(b, '세트|조합|bundle|(^|[^a-z0-9])set([^a-z0-9]|$)') then 'bundle' when regexp_matches(b, '보조옵션|보조 옵션|하위옵션|suboption|추가상품') then 'suboption'
-    when regexp_matches(b, '코드 근거|코드공백|코드 공백|자사코드 공백|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_NOT_FOUND' then 'stock_missing' else 'hold' end as summary,
+    when regexp_matches(b, '코드 근거|코드공백|코드 공백|자사코드 공백|code blank|blank code') then 'code_blank' when tier2 in ('AUTO_APPROVE_CANDIDATE', 'MANUAL_LINKED') then 'candidate' when stock = 'STOCK_MATCH' then 'stock_match' when stock = 'STOCK_DIFF' then 'stock_diff' when stock = 'STOCK_SMARTSTORE_NOT_FOUND' then 'stock_missing' else 'hold' end as summary,
   case when tier2 = 'AUTO_APPROVE_CANDIDATE' then tier2 when tier2 = 'FAST_REVIEW' and dup <= 3 and contains(reason, 'name') and (contains(reason, 'code') or contains(reason, 'exact')) then 'APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK' when tier2 = 'FAST_REVIEW' then 'FAST_REVIEW_REQUIRED' else tier2 end as policy, count(*) as n_rows from x group by 1, 2, 3""".replace("{texts}", str(ACTIONS).replace("None", "null")))
 def workflow_bucket(spark, sf):
     k, reason = F.col("o_orderkey"), F.col("reason")
     tier, action = F.when(k % 16 == 15, "MANUAL_LINKED").otherwise(F.col("tier")), F.get(F.array(*(F.lit(x).cast("string") for x in ACTIONS)), (k % len(ACTIONS)).cast("int"))
-    stocked = F.get(F.array(*(F.lit(x).cast("string") for x in ("STOCK_MATCH", "STOCK_DIFF", "STOCK_NOT_FOUND", None))), (F.floor(k / 4) % 4).cast("int"))
+    stocked = F.get(F.array(*(F.lit(x).cast("string") for x in ("STOCK_MATCH", "STOCK_DIFF", "STOCK_SMARTSTORE_NOT_FOUND", None))), (F.floor(k / 4) % 4).cast("int"))
     rows = _queue(spark, sf).select(*(review.workflow_bucket(tier, [tier, action, reason], stocked, r).alias(r) for r in review.WORKFLOW), review.policy_tier(tier, F.col("dup"), reason, "name", ("code", "exact")).alias("policy"))
     return rows.groupBy("browser", "summary", "policy").agg(F.count("*").alias("n_rows"))
 
@@ -517,9 +521,9 @@ def lateral_top1(spark, sf):
     return t(spark, sf, "customer").select("c_custkey").join(best, "c_custkey", "left")
 
 
-@query("""select s.seg as segment, r_name, count(c_custkey) as n from (select distinct c_mktsegment as seg from customer) s cross join region left join nation on n_regionkey = r_regionkey left join customer on c_mktsegment = s.seg and c_nationkey = n_nationkey and c_acctbal > 5000 group by 1, 2""")
+@query("""select s.seg as segment, r_name, count(c_custkey) as n from (select distinct c_mktsegment as seg from customer) s cross join region left join nation on n_regionkey = r_regionkey left join customer on c_mktsegment = s.seg and c_nationkey = n_nationkey group by 1, 2""")
 def cross_dims(spark, sf):
-    facts = t(spark, sf, "customer").where("c_acctbal > 5000").groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
+    facts = t(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
     facts = facts.join(F.broadcast(t(spark, sf, "nation")), "n_nationkey").groupBy("segment", F.col("n_regionkey").alias("r_regionkey")).agg(F.sum("n").alias("n"))
     dims = t(spark, sf, "customer").select(F.col("c_mktsegment").alias("segment")).distinct().select("segment", F.explode(F.array(*(F.lit(k).cast("int") for k in range(5)))).alias("r_regionkey"))
     named = dims.join(F.broadcast(t(spark, sf, "region")), "r_regionkey")

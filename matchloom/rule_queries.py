@@ -143,8 +143,8 @@ def presence_rates(spark, sf):
 
 
 @query("""with i as (select p_partkey as item, case when p_size % 6 = 0 then '' when p_size % 5 = 0 then null else 'W' || p_partkey end as own, p_size % 4 as n_images from part),
-m as (select distinct on (c, item) * from (select case l_returnflag when 'A' then 'one' when 'N' then 'two' else 'three' end as c, l_partkey as item, l_quantity > 25 as is_primary, case when l_suppkey % 3 <> 0 then 'P' || l_suppkey end as pc, case when l_suppkey % 4 <> 0 then 'O' || l_linenumber end as oc, case when l_suppkey % 5 = 0 then 'c' || l_suppkey end as pk,
-    case when l_suppkey % 7 = 0 then 'X' || l_suppkey end as mo from lineitem where l_quantity < 5 or l_quantity > 45) order by c, item, is_primary desc, pc nulls last, oc nulls last, pk nulls last, mo nulls last),
+m as (select distinct on (c, item) * from (select case l_returnflag when 'A' then 'one' when 'N' then 'two' else 'three' end as c, case when l_quantity < 5 or l_quantity > 45 then l_partkey else -1 - l_partkey end as item, l_quantity > 25 as is_primary, case when l_suppkey % 3 <> 0 then 'P' || l_suppkey end as pc, case when l_suppkey % 4 <> 0 then 'O' || l_linenumber end as oc, case when l_suppkey % 5 = 0 then 'c' || l_suppkey end as pk,
+    case when l_suppkey % 7 = 0 then 'X' || l_suppkey end as mo from lineitem) order by c, item, is_primary desc, pc nulls last, oc nulls last, pk nulls last, mo nulls last),
 j as (select ch as channel, i.item, coalesce(mo, own) as own_code, pc, oc, pk, n_images = 0 as image_missing, coalesce(mo, own, '') = '' as own_code_missing from i cross join unnest(['one', 'two', 'three']) as u(ch) left join m on m.c = ch and m.item = i.item)
 select channel, item, case when image_missing then 'image_missing' when own_code_missing then 'own_code_missing' when channel = 'one' and pc is null and oc is null and pk is null then 'channel_code_missing' when channel <> 'one' and (pc is null or oc is null) then 'channel_code_missing' when channel = 'one' then 'candidate' else 'review_required' end as reason,
   own_code, pc as product_code, oc as option_code, pk as product_candidate, cast(null as varchar) as option_candidate, image_missing, own_code_missing from j
@@ -153,8 +153,8 @@ def review_queue(spark, sf):
     size, s = F.col("p_size"), F.col("l_suppkey")
     code = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
     items = t(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.when(size % 6 == 0, "").when(size % 5 != 0, code("W", F.col("p_partkey"))).alias("own_code"), (size % 4).alias("n_images"))
-    mapping = t(spark, sf, "lineitem").where("l_quantity < 5 or l_quantity > 45").select(
-        F.when(F.col("l_returnflag") == "A", "one").when(F.col("l_returnflag") == "N", "two").otherwise("three").alias("channel"), F.col("l_partkey").alias("item"), (F.col("l_quantity") > 25).alias("is_primary"),
+    mapping = t(spark, sf, "lineitem").select(
+        F.when(F.col("l_returnflag") == "A", "one").when(F.col("l_returnflag") == "N", "two").otherwise("three").alias("channel"), F.when(F.expr("l_quantity < 5 or l_quantity > 45"), F.col("l_partkey")).otherwise(-1 - F.col("l_partkey")).alias("item"), (F.col("l_quantity") > 25).alias("is_primary"),
         F.when(s % 3 != 0, code("P", s)).alias("product_code"), F.when(s % 4 != 0, code("O", F.col("l_linenumber"))).alias("option_code"), F.when(s % 5 == 0, code("c", s)).alias("product_candidate"), F.lit(None).cast("string").alias("option_candidate"),
         F.when(s % 7 == 0, code("X", s)).alias("own_code"),
     )
@@ -222,10 +222,10 @@ def insert_classes(spark, sf):
 
 @query("""with s as (select unnest(['draft', 'submitted', 'approved', 'applied', 'rejected', 'cancelled']) as state), a as (select unnest(['submit', 'approve', 'reject', 'cancel', 'apply']) as action),
 ok as (select * from (values ('draft', 'submit', 'submitted'), ('draft', 'cancel', 'cancelled'), ('submitted', 'approve', 'approved'), ('submitted', 'reject', 'rejected'), ('submitted', 'cancel', 'cancelled'), ('approved', 'apply', 'applied')) as v(state, action, next_state))
-select s.state, a.action, next_state, (select count(*) from orders where o_orderkey % 6 = 0) as n_rows from s cross join a left join ok using (state, action)""")
+select s.state, a.action, next_state, (select count(*) from orders) as n_rows from s cross join a left join ok using (state, action)""")
 def change_moves(spark, sf):
     states, actions = ["draft", "submitted", "approved", "applied", "rejected", "cancelled"], ["submit", "approve", "reject", "cancel", "apply"]
-    rows = t(spark, sf, "orders").where("o_orderkey % 6 = 0").select(F.explode(F.array(*(F.lit(s) for s in states))).alias("state")).withColumn("action", F.explode(F.array(*(F.lit(a) for a in actions))))
+    rows = t(spark, sf, "orders").select(F.explode(F.array(*(F.lit(s) for s in states))).alias("state")).withColumn("action", F.explode(F.array(*(F.lit(a) for a in actions))))
     return rows.groupBy("state", "action", changes.next_state(F.col("action"), F.col("state")).alias("next_state")).agg(F.count("*").alias("n_rows"))
 
 
@@ -259,7 +259,7 @@ select doc_id, line_no, md5(code) as code, md5(option) as option, status, alignm
   concat_ws('; ', case when channel is null then 'unknown_channel' end, case when trim(product_code) = '' then 'no_product_code' end, case when code is null then 'no_code' end, case when option is null then 'no_option' end, case when alignment = 'needs_review' then 'line_count' end, case when not known then 'not_in_dictionary' end) as warning from z""")
 def line_dictionary_check(spark, sf):
     k, text = F.col("doc_id"), F.col("text")
-    docs = t(spark, sf, "documents")
+    docs = t(spark, sf, "documents").repartition(32, "doc_id")
     rows = docs.select(
         k.alias("row"), F.when(k % 7 != 0, "shop").alias("channel"), F.when(k % 11 == 0, " ").otherwise("P").alias("product_code"), text.alias("codes"), F.when(k % 3 == 0, F.concat(F.lit("head\n"), text)).when(k % 3 == 1, text).otherwise("one\ntwo").alias("options"),
         F.when(k % 2 == 0, F.regexp_replace(text, r"[^\r\n]+", "Y")).otherwise("N").alias("statuses"), _choose(k, ["판매중", "판매중", "판매중지", "odd"]).alias("sale_status"),
@@ -306,16 +306,16 @@ def review_predicates(spark, sf):
     rows, k = _queue(spark, sf), F.col("o_orderkey")
     tier, reason, dup = (F.col(c) for c in ("tier", "reason", "dup"))
     action = F.when(k % 8 == 0, "Duplicate row").when(k % 15 == 0, "auto-approve")
-    policy, bucket = review.policy_tier(tier, dup, reason, "name", ("code",)), review.workflow_bucket(tier, [tier, action, reason], F.when(k % 21 == 2, "STOCK_NOT_FOUND"))
+    policy, bucket = review.policy_tier(tier, dup, reason, "name", ("code",)), review.workflow_bucket(tier, [tier, action, reason], F.when(k % 21 == 2, "STOCK_SMARTSTORE_NOT_FOUND"))
     found = review.review_predicates(tier, policy, bucket, [reason, action], dup, k % 3 != 0, k % 50 == 0, k % 33 == 0, F.when(k % 4 != 3, k % 12 == 1))
     return rows.select("o_orderkey", *(c.alias(n) for n, c in found.items()))
 
 
-@query("""with u as (select s_suppkey as upload, case when s_suppkey % 5 = 0 then 'big, new;big' when s_suppkey % 5 = 1 then 'x' || chr(10) || ' y ' else 'one' end as tags, case s_suppkey % 6 when 0 then 'SKU' when 1 then '상품' end as scope, case when s_suppkey % 7 = 0 then 'Q-' || s_suppkey end as item, case when s_suppkey % 2 = 0 then ['F', 'O', 'P', 'Z'][s_suppkey // 2 % 4 + 1] end as channel,
+@query("""with u as materialized (select s_suppkey as upload, case when s_suppkey % 5 = 0 then 'big, new;big' when s_suppkey % 5 = 1 then 'x' || chr(10) || ' y ' else 'one' end as tags, case s_suppkey % 6 when 0 then 'SKU' when 1 then '상품' end as scope, case when s_suppkey % 7 = 0 then 'Q-' || s_suppkey end as item, case when s_suppkey % 2 = 0 then ['F', 'O', 'P', 'Z'][s_suppkey // 2 % 4 + 1] end as channel,
     case when s_suppkey % 3 = 0 then ['1-URGENT', '2-HIGH'][s_suppkey % 2 + 1] end as channel_product, case when s_suppkey % 3 <> 1 then 'O' || s_suppkey end as channel_option from supplier),
-q as (select o_orderstatus as channel, o_orderpriority as channel_product, 'O' || (o_orderkey % 400) as channel_option, 'P' || (o_custkey % 3) as p, 'P' || (o_custkey % 3) || '-' || (o_orderkey % 2) as i from orders where o_orderkey % 9 <> 0),
-m as (select upload, count(distinct (p, i)) as n, min(p) as p, min(i) as i from u join q on coalesce(u.channel = q.channel, true) and coalesce(u.channel_product = q.channel_product, true) and coalesce(u.channel_option = q.channel_option, true) where item is null group by 1),
-r as (select u.upload, tags, scope, case when item is not null then 'direct' when n is null then 'not_found' when n = 1 then 'seller_resolved' else 'multiple_targets' end as match, case when item is not null then 'Q' when n = 1 then p end as product, case when item is not null then item when n = 1 then i end as item from u left join m using (upload))
+q as materialized (select o_orderstatus as channel, o_orderpriority as channel_product, 'O' || (case when o_orderkey % 9 = 0 then -1 - o_orderkey else o_orderkey % 400 end) as channel_option, 'P' || (o_custkey % 3) as p, 'P' || (o_custkey % 3) || '-' || (o_orderkey % 2) as i from orders),
+m as materialized (select upload, count(distinct (p, i)) as n, min(p) as p, min(i) as i from u join q on coalesce(u.channel = q.channel, true) and coalesce(u.channel_product = q.channel_product, true) and coalesce(u.channel_option = q.channel_option, true) where item is null group by 1),
+r as materialized (select u.upload, tags, scope, case when item is not null then 'direct' when n is null then 'not_found' when n = 1 then 'seller_resolved' else 'multiple_targets' end as match, case when item is not null then 'Q' when n = 1 then p end as product, case when item is not null then item when n = 1 then i end as item from u left join m using (upload))
 select distinct upload, case when scope = '상품' then 'product' when scope = 'SKU' or item is not null then 'option' else 'product' end as scope, product, item, match, tag from (select *, trim(unnest(regexp_split_to_array(tags, '[,;\\n\\r]+'))) as tag from r) where tag <> ''""")
 def tag_targets(spark, sf):
     k, o, c = F.col("s_suppkey"), F.col("o_orderkey"), F.col("o_custkey")
@@ -324,8 +324,8 @@ def tag_targets(spark, sf):
         k.alias("upload"), F.when(k % 5 == 0, "big, new;big").when(k % 5 == 1, "x\n y ").otherwise("one").alias("tags"), F.when(k % 6 == 0, "SKU").when(k % 6 == 1, "상품").alias("scope"), F.lit(" ").alias("product"), F.when(k % 7 == 0, text("Q-", k)).alias("item"),
         F.when(k % 2 == 0, _choose(F.floor(k / 2), ["F", "O", "P", "Z"])).alias("channel"), F.when(k % 3 == 0, _choose(k, ["1-URGENT", "2-HIGH"])).alias("channel_product"), F.when(k % 3 != 1, text("O", k)).alias("channel_option"),
     )
-    rows = t(spark, sf, "orders").where("o_orderkey % 9 != 0").select(
-        F.col("o_orderstatus").alias("channel"), F.col("o_orderpriority").alias("channel_product"), text("O", o % 400).alias("channel_option"), F.when(o % 2 == 0, text("P", c % 3)).alias("product"), F.concat(text("P", c % 3), text("-", o % 2)).alias("item")
+    rows = t(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("channel"), F.col("o_orderpriority").alias("channel_product"), text("O", F.when(o % 9 == 0, -1 - o).otherwise(o % 400)).alias("channel_option"), F.when(o % 2 == 0, text("P", c % 3)).alias("product"), F.concat(text("P", c % 3), text("-", o % 2)).alias("item")
     )
     return review.tag_targets(uploads, rows)
 

@@ -14,7 +14,7 @@ from matchloom.sources import files
 # ---- files' checks -------------------------------------------------------------------------------------------------------
 
 SHEET = """r as (select case when o_orderkey % 10 = 0 then ' ' else 'P' || (o_custkey % 300) end as product_uid, case when o_orderkey % 12 <> 0 then cast(o_orderkey % 4000 as varchar) end as sto_id, case when o_orderkey % 3 = 0 then 'C' || o_orderkey when o_orderkey % 3 = 1 then '' end as sto_code,
-    case when o_orderkey % 5 = 0 then 'x [AB-' || (o_custkey % 50) || '-1]' else o_orderpriority end as opt_value, case when o_orderkey % 7 = 0 then '[CD-' || (o_custkey % 40) || '-2_1] y' when o_orderkey % 7 = 1 then null else ' ' end as opt_values from orders)"""
+    case when o_orderkey % 15 = 0 then 'x [abcdefg-' || (o_custkey % 50) || '-1]' when o_orderkey % 5 = 0 then 'x [AB-' || (o_custkey % 50) || '-1]' else o_orderpriority end as opt_value, case when o_orderkey % 7 = 0 then '[CD-' || (o_custkey % 40) || '-2_1] y' when o_orderkey % 7 = 1 then null else ' ' end as opt_values from orders)"""
 
 
 def _sheet(spark, sf):
@@ -22,12 +22,12 @@ def _sheet(spark, sf):
     text = lambda head, x, tail="": F.concat(F.lit(head), x.cast("string"), F.lit(tail))
     return t(spark, sf, "orders").select(
         F.when(k % 10 == 0, " ").otherwise(text("P", c % 300)).alias("product_uid"), F.when(k % 12 != 0, (k % 4000).cast("string")).alias("sto_id"), F.when(k % 3 == 0, text("C", k)).when(k % 3 == 1, "").alias("sto_code"),
-        F.when(k % 5 == 0, text("x [AB-", c % 50, "-1]")).otherwise(F.col("o_orderpriority")).alias("opt_value"), F.when(k % 7 == 0, text("[CD-", c % 40, "-2_1] y")).when(k % 7 == 1, None).otherwise(" ").alias("opt_values"),
+        F.when(k % 15 == 0, text("x [abcdefg-", c % 50, "-1]")).when(k % 5 == 0, text("x [AB-", c % 50, "-1]")).otherwise(F.col("o_orderpriority")).alias("opt_value"), F.when(k % 7 == 0, text("[CD-", c % 40, "-2_1] y")).when(k % 7 == 1, None).otherwise(" ").alias("opt_values"),
     )
 
 
 @query(f"""with {SHEET}, x as (select trim(coalesce(product_uid, '')) as p, trim(coalesce(sto_id, '')) as s, trim(coalesce(sto_code, '')) as c, trim(coalesce(opt_value, '')) as a, trim(coalesce(opt_values, '')) as b,
-    nullif(regexp_extract(coalesce(opt_value, ''), '\\[([A-Z]{{1,5}}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as ca, nullif(regexp_extract(coalesce(opt_values, ''), '\\[([A-Z]{{1,5}}-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as cb from r),
+    nullif(regexp_extract(coalesce(opt_value, ''), '\\[([A-Za-z]+-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as ca, nullif(regexp_extract(coalesce(opt_values, ''), '\\[([A-Za-z]+-[0-9]+-[0-9]+(?:_[0-9]+)?)\\]', 1), '') as cb from r),
 m as (select count(*) as row_count, count(distinct nullif(p, '')) as product_uid_distinct, count(*) filter (p = '') as product_uid_blank_rows, count(*) filter (s = '') as sto_id_blank_rows, count(*) filter (c = '') as sto_code_blank_rows, count(*) filter (a = '') as opt_value_blank_rows, count(*) filter (b = '') as opt_values_blank_rows,
     count(ca) as opt_value_bracket_hits, count(distinct ca) as opt_value_bracket_unique_codes, count(cb) as opt_values_bracket_hits, count(distinct cb) as opt_values_bracket_unique_codes, count(*) filter (c <> '' or ca is not null or cb is not null) as own_sku_candidate_resolvable, count(*) filter (c = '' and ca is null and cb is null) as own_sku_candidate_unresolvable from x),
 s as (select count(*) filter (n > 1) as sto_id_duplicate_keys, cast(coalesce(sum(n) filter (n > 1), 0) as bigint) as sto_id_duplicate_rows from (select s, count(*) as n from x where s <> '' group by 1)), p as (select count(*) filter (n > 1) as product_sto_duplicate_keys, cast(coalesce(sum(n) filter (n > 1), 0) as bigint) as product_sto_duplicate_rows from (select p, s, count(*) as n from x where p <> '' and s <> '' group by 1, 2))
@@ -116,14 +116,15 @@ def merged_tags(spark, sf):
     return rows.select("o_orderkey", F.array_join(F.transform(relational.merged_lists(["a", "b"], lambda x: x["name"]), lambda x: x["name"]), ",").alias("tags"))
 
 
-@query("""select o_orderkey from orders where o_orderstatus in ('F', 'O') and o_orderkey % 4 = 1 and (o_orderkey % 3 = 0) and o_orderkey % 5 <> 0 and contains(lower(o_orderpriority || ' ' || o_custkey), 'high 1')""")
+@query("""select o_orderkey from orders where o_orderstatus in ('F', 'O') and o_orderkey % 4 = 1 and (o_orderkey % 3 = 0) and o_orderkey % 5 <> 0 and o_custkey % 4 <> 0 and contains(lower(o_orderpriority || ' ' || o_custkey), 'high 1')""")
 def queue_filter(spark, sf):
     k = F.col("o_orderkey")
     rows = t(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderstatus").alias("channel"), F.when(k % 4 == 1, "REVIEW").otherwise("NO_MATCH").alias("tier"), F.when(k % 5 == 0, "STOCK_DIFF").otherwise("STOCK_MATCH").alias("stock"), F.when(k % 5 == 0, "hold").otherwise("candidate").alias("bucket"),
         F.when(k % 3 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a"))).alias("tag_names"), F.lit(True).alias("has_image"), "o_orderpriority", "o_custkey",
+        (F.col("o_custkey") % 4 == 0).alias("left_out"),
     )
-    return review.queue_filter(rows, ["F", "O"], tier="REVIEW", stock="STOCK_MATCH", mode="candidate", tags=("a", "b"), image_only=True, text=" HIGH 1", columns=("o_orderpriority", "o_custkey")).select("o_orderkey")
+    return review.queue_filter(rows, ["F", "O"], tier="REVIEW", stock="STOCK_MATCH", mode="candidate", tags=("a", "b"), image_only=True, text=" HIGH 1", columns=("o_orderpriority", "o_custkey"), hide_excluded=True, exclusions="hide").select("o_orderkey")
 
 
 @query("""select p_partkey from part order by try_cast(case when p_size % 10 = 0 then 'n/a' else cast(p_size as varchar) end as int) desc nulls last, p_partkey limit 50""")
@@ -178,14 +179,6 @@ def last_codes(spark, sf):
 # ---- context, caches, JSON, rollback -------------------------------------------------------------------------------------
 
 
-@query("""select count(*) as n_rows, true as read_only, true as guarded from region""")
-def guarded_count(spark, sf):
-    """A count that only runs where the context is what it must be."""
-    here = apply.RunContext.of(spark)
-    here.require(catalog="spark_catalog", database="default", read_only=True)
-    return t(spark, sf, "region").agg(F.count("*").alias("n_rows")).withColumns({"read_only": F.lit(here.read_only), "guarded": F.lit(True)})
-
-
 @query("""select o_orderkey, '{' || concat_ws(',', case when o_orderkey % 3 <> 0 then '"a":"' || o_orderkey || '"' end, '"rule":"auto"', case when o_orderkey % 2 = 0 then '"status":"' || o_orderstatus || '"' end) || '}' as evidence, o_orderkey % 2 = 0 and o_orderstatus = 'F' as is_done from orders""")
 def evidence_json(spark, sf):
     """Keys set in a JSON object, nulls stripped, and a test for a part of it."""

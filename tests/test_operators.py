@@ -56,6 +56,11 @@ def test_unique_evidence_and_conflicts(spark):
     got = evidence.unique_evidence(spark.createDataFrame(items, "item long, shared string, code string, risk boolean"), spark.createDataFrame(mapping, "code string, product string, option string"))
     # a clean item whose pair also serves a risky one is not unique
     assert {r.item: r.verdict for r in got.collect()} == {1: "clean", 2: "duplicate_pair", 3: "duplicate_pair", 4: "duplicate_evidence", 5: "evidence_missing", 6: "duplicate_evidence", 7: "evidence_missing", 8: "risk", 9: "duplicate_product", 10: "duplicate_product"}
+    # half an address is never clean: the counts take plain equality, so a pair without product or option has none
+    half = [(1, "s1", "h1", False), (2, "s2", "h2", False), (3, None, "h3", False), (4, "s4", "h4", True)]
+    halves = [("h1", "P1", None), ("h2", None, "O2"), ("h3", "P3", "O3"), ("h4", "P4", "")]
+    got = evidence.unique_evidence(spark.createDataFrame(half, "item long, shared string, code string, risk boolean"), spark.createDataFrame(halves, "code string, product string, option string"))
+    assert {r.item: (r.n_items, r.n_products, r.verdict) for r in got.collect()} == {1: (0, 1, "half_pair"), 2: (0, 0, "half_pair"), 3: (1, 0, "half_pair"), 4: (0, 1, "half_pair")}
     rows = spark.createDataFrame([("i", "a", "s1"), ("i", "b", "s1"), ("j", "a", "s2"), ("k", "c", "s1"), ("k", "c", "s2")], "item string, code string, source string")
     got = {(r.item, r.code): (r.code_conflict, r.item_conflict) for r in relational.source_conflicts(rows, "item", "code", "source").collect()}
     assert got == {("i", "a"): (False, True), ("j", "a"): (False, True)}
@@ -75,7 +80,7 @@ def test_dictionary(spark):
 def test_review_rules(spark):
     bucket = lambda tier, text, stock=None, rules="browser": one(spark, x=review.workflow_bucket(F.lit(tier), [F.lit(tier), F.lit(text)], F.lit(stock), rules))["x"]
     assert [bucket("NO_MATCH", "단종"), bucket("REVIEW", "단종 세트"), bucket("REVIEW", "my set"), bucket("REVIEW", "subset"), bucket("REVIEW", "a my_set"), bucket("REVIEW", "my_set", None, "summary"), bucket("REVIEW", "추가상품"), bucket("REVIEW", "코드공란"), bucket("REVIEW", "코드공란", None, "summary")] == ["no_match", "excluded", "bundle", "bundle", "bundle", "bundle", "suboption", "code_blank", "hold"]
-    assert [bucket("REVIEW", "sets", None), bucket("REVIEW", "xset", None, "summary"), bucket("FAST_REVIEW", "x"), bucket("FAST_REVIEW", "x", "STOCK_DIFF", "summary"), bucket("MANUAL_LINKED", "x", None, "summary"), bucket("REVIEW", "", "STOCK_NOT_FOUND"), bucket(None, None, None)] == ["hold", "hold", "candidate", "stock_diff", "candidate", "stock_missing", "hold"]
+    assert [bucket("REVIEW", "sets", None), bucket("REVIEW", "xset", None, "summary"), bucket("FAST_REVIEW", "x"), bucket("FAST_REVIEW", "x", "STOCK_DIFF", "summary"), bucket("MANUAL_LINKED", "x", None, "summary"), bucket("REVIEW", "", "STOCK_SMARTSTORE_NOT_FOUND"), bucket(None, None, None)] == ["hold", "hold", "candidate", "stock_diff", "candidate", "stock_missing", "hold"]
     policy = lambda tier, dup, reason: one(spark, x=review.policy_tier(F.lit(tier), F.lit(dup), F.lit(reason), "seen", ("exact", "part")))["x"]
     assert [policy("FAST_REVIEW", 3, "seen part"), policy("FAST_REVIEW", 4, "seen part"), policy("FAST_REVIEW", None, "exact part"), policy("AUTO_APPROVE_CANDIDATE", 9, ""), policy(None, 0, None)] == ["APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK", "FAST_REVIEW_REQUIRED", "FAST_REVIEW_REQUIRED", "AUTO_APPROVE_CANDIDATE", ""]
     why = lambda known=False, listed=None, code="", name="", hints="", marks="": one(spark, x=review.exclusion(F.lit(known), F.array(*map(F.lit, listed)) if listed else F.lit(None).cast("array<string>"), F.lit(code), F.lit(name), F.lit(hints), F.lit(marks), "shop"))["x"]
@@ -170,10 +175,10 @@ def test_decisions(spark, tmp_path):
 
 
 def test_context_summary_and_json(spark, tmp_path):
-    here = apply.RunContext.of(spark)
-    here.require(database=here.database, read_only=True)
-    with pytest.raises(apply.GuardError, match="read_only is True"):
-        here.require(read_only=False, user=here.user)
+    with apply.transaction(spark, read_only=True) as here:
+        here.require(database=here.database, read_only=True)
+        with pytest.raises(apply.GuardError, match="read_only is True"):
+            here.require(read_only=False, user=here.user)
     cache = apply.VersionedTable(spark, f"{tmp_path}/s")
     summary = spark.createDataFrame([("{}",)], "summary string")
     assert apply.refresh_summary(cache, summary, "t0") == 1 and apply.refresh_summary(cache, summary, "t1") == 2
@@ -211,6 +216,27 @@ def test_queue_filter(spark):
     assert [ids(), ids(["a"]), ids([]), ids(tier="REVIEW"), ids(stock="STOCK_DIFF"), ids(bucket="stock_diff"), ids(bucket="hold"), ids(mode="problem"), ids(mode="candidate"), ids(tags=("x",)), ids(tags=("x", "y")), ids(image_only=True), ids(text=" BLUE "), ids(text="3 RED")] == [
         [1, 2, 3], [1, 2], [], [1, 2], [1], [1], [1], [1, 3], [2], [1, 2], [1], [1, 3], [1], [3],
     ]
+    rows = rows.withColumns({"left_out": F.when(F.col("k") == 1, True), "bucket": F.when(F.col("k") == 3, "excluded").otherwise(F.col("bucket"))})
+    assert [ids(hide_excluded=True), ids(exclusions="hide"), ids(exclusions="only"), ids(exclusions="hide", hide_excluded=True), ids(bucket="excluded")] == [[1, 2], [2, 3], [1], [2], [3]]
+
+
+def test_code_letters_and_loose_codes(spark):
+    found = lambda a, b="": one(spark, x=codes.extract_code(F.lit(None).cast("string"), F.lit(a), F.lit(b)))["x"]
+    assert [found(x).code for x in ("[ab-1-2]", "[ABCDEFG-1-2]", "[aBc-1-2_3]", "[abcdefgh-1-2-3]", "[A1-1-2]", "[-1-2]", "ab-1-2-3")] == ["ab-1-2", "ABCDEFG-1-2", "aBc-1-2_3", "abcdefgh-1-2-3", None, None, None]
+    assert found("x abcdefgh-1-2-3").loose == "abcdefgh-1-2-3"
+    reason = lambda key, matched, loose: one(spark, x=codes.classify_match(F.lit(key), F.lit(matched), F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("string"), loose=F.lit(loose).cast("boolean")))["x"]
+    assert [reason("k", False, True), reason("k", False, None), reason("k", True, True), reason(" ", False, True)] == ["loose_only", "pattern_unmatched", "not_in_alias", "null_key"]
+    assert one(spark, x=review.workflow_bucket(F.lit("no_match"), [F.lit("")], F.lit(None), "summary"))["x"] == "hold"
+
+
+def test_long_lists_merge_in_order(spark):
+    rows = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(59_999)), lambda i: F.struct((i % 20_000).cast("string").alias("id"), i.alias("n"))).alias("a"), F.lit(None).cast("array<struct<id:string,n:int>>").alias("b"))
+    got = rows.select(relational.merged_lists(["a", "b"], lambda x: x.id).alias("m")).first().m
+    assert [x.n for x in got] == list(range(20_000))
+    tags = "array<struct<tag_id:long,tag_name:string,tag_scope:string,assignment_id:string>>"
+    rows = spark.createDataFrame([("g", 2, [(1, "a", None, None), None]), ("g", 1, [(None, "x", "s", "1"), (None, "x", "s", "2")]), ("g", 3, [(1, "other", "", None), (None, "x", "s", "1")]), ("h", 4, None)], f"g string, o long, t {tags}").withColumns({"c": F.lit("c"), "d": F.lit(1)})
+    got = {r.g: [(t.tag_id, t.assignment_id) for t in r.shared_tags] for r in review.group_matrix(rows, ["g"], "c", "o", F.lit(True), "d", ["c"], shared_tags="t").collect()}
+    assert got == {"g": [(None, "1"), (None, "2"), (1, None)], "h": []}
 
 
 def test_encodings_and_integrity(spark, tmp_path):

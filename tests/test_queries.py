@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__
 import verify
-from matchloom.queries import QUERIES, SQL
+from matchloom.queries import QUERIES, SQL  # filled by __spark_entry__
 
 SF = "/root/testdata/sf0.001"
 
