@@ -23,8 +23,9 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text as a stored FLAC stream, a column of binary, which is then read back as PCM blocks in order."""
-    return media_columns.digests(media_columns.encoded(load(spark, sf_dir, "documents")))
+    """Every text as a stored FLAC stream, written to a table, which is then read back as PCM blocks in order."""
+    media = media_columns.encoded(load(spark, sf_dir, "documents"))
+    return media_columns.digests(media_columns.stored(media, Scratch(spark, "media")))
 
 
 def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
