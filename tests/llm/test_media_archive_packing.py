@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import verify
 from matchloom.llm import content_archive, flac, harmonic_packing, media_columns, preference_format
+from matchloom.llm.common import Scratch
 from matchloom.llm.queries import QUERIES
 from matchloom.llm.sql import ORACLE
 
@@ -81,7 +82,13 @@ def test_media_digests(spark):
     got = [tuple(r)[:5] for r in media_columns.digests(media).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
     blocks = media_columns.pcm_blocks(media.where("doc_id = 7"), samples=5760).orderBy("first_sample").collect()
-    assert b"".join(bytes(b.pcm) for b in blocks).translate(bytes((i + 128) % 256 for i in range(256)))[:200_000] == b"z" * 200_000
+    assert media_columns.payload_of(b"".join(bytes(b.pcm) for b in blocks))[:200_000] == b"z" * 200_000
+    kept = media_columns.stored(media, Scratch(spark, "t"))
+    again = [tuple(r)[:5] for r in media_columns.digests(kept).collect()]
+    assert sorted(again, key=repr) == sorted(got, key=repr) and not any("snappy" in f for f in kept.inputFiles())
+    plain = media_columns.digests(media_columns.encoded(docs(spark), frequent=b""), frequent=b"").collect()
+    assert [tuple(r)[:5] for r in plain] == got  # any order of the bytes gives the payload back
+    assert sorted(media_columns.sample_of(b"zz\xff")) == list(range(256)) and media_columns.sample_of(b"ab")[[97, 98, 0]].tolist() == [128, 127, 129]
     assert media_columns.digests(media_columns.encoded(docs(spark).limit(0))).count() == 0
 
 
