@@ -10,6 +10,7 @@ from matchloom.operators import options
 from matchloom.plans import apply, keyed, ordered, summary
 from matchloom.queries import query, t
 from matchloom.session import working_folder
+from matchloom.sources import files
 
 # ---- guards --------------------------------------------------------------------------------------------------------------
 
@@ -154,3 +155,16 @@ def dict_large(spark, sf):
     tail = F.when(k % 3 == 0, F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))).when(k % 3 == 1, F.concat(F.lit("Small-Ring (P"), (k % 60).cast("string"), F.lit(")"))).otherwise(F.concat(F.lit("economy p"), (k % 99).cast("string")))
     rows = t(spark, sf, "orders").select("o_orderkey", F.concat("o_orderpriority", F.lit(" / "), tail).alias("text"))
     return options.dictionary_terms(rows, "text", terms, pinned="kind").select("o_orderkey", "category", "term")
+
+
+# ---- files ---------------------------------------------------------------------------------------------------------------
+
+
+@query("""select cast(doc_id as varchar) as doc_id, md5(text) as text_hash, length(text) as n_chars, coalesce(lang, '') as lang, 'utf-8-sig' as encoding from documents""")
+def csv_round_trip(spark, sf):
+    """All documents written as quoted CSV with their line breaks, and read back by byte ranges."""
+    path = working_folder(spark, "csv")
+    docs = t(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    rows, encoding = files.read_csv_any(spark, path)
+    return rows.select("doc_id", F.md5("text").alias("text_hash"), F.length("text").cast("long").alias("n_chars"), "lang", F.lit(encoding).alias("encoding"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from functools import partial
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +12,8 @@ from pyspark.sql import functions as F
 
 from matchloom.operators.relational import metric_rows, top_rows
 
+from .split_csv import read_csv_split
+
 ROWS = "path string, sheet string, row_no long, cells array<string>"
 
 
@@ -26,37 +27,11 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
 ENCODINGS = ("utf-8-sig", "cp949", "utf-8")
 
 
-def _csv_rows(batches, encoding: str):
-    """(path, row number, cells) of every file, parsed in a task; (path, null, null) for a file that doesn't decode."""
-    import csv
-
-    import pandas as pd
-
-    for batch in batches:
-        for path, content in zip(batch.path, batch.content, strict=True):
-            try:
-                text = bytes(content).decode(encoding)
-            except UnicodeDecodeError:
-                yield pd.DataFrame([(path, None, None)], columns=["path", "row_no", "cells"]).astype({"row_no": "Int64"})
-                continue
-            rows = [(path, i, cells) for i, cells in enumerate(csv.reader(io.StringIO(text, newline="")), 1)]
-            yield pd.DataFrame(rows, columns=["path", "row_no", "cells"]).astype({"row_no": "Int64"})
-
-
 def read_csv_any(spark: SparkSession, path: str, encodings: tuple[str, ...] = ENCODINGS) -> tuple[DataFrame, str]:
     """All-string columns of the files by the first encoding in which every one of them decodes, with its name. For encodings that Spark's own reader doesn't take.
 
-    Each file is read whole in a task. All must have the same header. An empty cell is '', a missing one null; rows of blank cells alone are dropped."""
-    found = spark.read.format("binaryFile").load(path).select("path", "content")
-    for encoding in encodings:
-        rows = found.mapInPandas(partial(_csv_rows, encoding=encoding), "path string, row_no long, cells array<string>")
-        if rows.where("row_no is null").isEmpty():
-            heads = rows.where("row_no = 1").select("cells").distinct().limit(2).collect()
-            if len(heads) != 1:
-                raise ValueError(f"the files of {path} have {'no header' if not heads else 'several headers'}")
-            named = rows.where("row_no > 1").select(*(F.get("cells", F.lit(i)).alias(c.strip()) for i, c in enumerate(heads[0].cells)))
-            return named.where(F.trim(F.concat_ws("", *(f"`{c}`" for c in named.columns))) != ""), encoding
-    raise ValueError(f"no encoding of {', '.join(encodings)} fits all files of {path}")
+    Large files are read by ranges, see split_csv. All must have the same header. An empty cell is '', a missing one null; rows of blank cells alone are dropped."""
+    return read_csv_split(spark, path, encodings)
 
 
 # The columns of the integrity report.
@@ -108,58 +83,103 @@ def _placed(cells: list[tuple[int, str]]) -> list[str]:
     return out
 
 
-def xlsx_rows(content: bytes):
-    """(sheet, row number, cells) of a workbook; every cell is text, missing ones are ''."""
-    tag = lambda e: e.tag.rpartition("}")[2]
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        names = set(z.namelist())
-        shared = ["".join(t.text or "" for t in s.iter() if tag(t) == "t") for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
-        sheets = [e.get("name") for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if tag(e) == "sheet"]
-        for n, sheet in enumerate(sheets, 1):
-            with z.open(f"xl/worksheets/sheet{n}.xml") as f:
-                for _, row in ElementTree.iterparse(f):
-                    if tag(row) != "row":
-                        continue
-                    cells = []
-                    for c in row:
-                        text = "".join(v.text or "" for v in c.iter() if tag(v) in ("v", "t"))
-                        cells.append((_column(c.get("r")), shared[int(text)] if c.get("t") == "s" else text))
-                    yield sheet, int(row.get("r")), _placed(cells)
-                    row.clear()
+def _tag(e) -> str:
+    return e.tag.rpartition("}")[2]
 
 
-def spreadsheetml_rows(content: bytes):
-    """(sheet, row number, cells) of SpreadsheetML-2003; a cell's Index leaves a gap, rows without text are skipped but counted."""
-    name = lambda e: e.tag.rpartition("}")[2]
+def xlsx_sheets(content: bytes):
+    """(sheet, its XML, the workbook's shared strings as XML or None) of each sheet of a workbook."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        shared = z.read("xl/sharedStrings.xml") if "xl/sharedStrings.xml" in z.namelist() else None
+        sheets = [e.get("name") for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if _tag(e) == "sheet"]
+        for n, sheet in enumerate(sheets, 1):
+            yield sheet, z.read(f"xl/worksheets/sheet{n}.xml"), shared
+
+
+def xlsx_sheet_rows(xml: bytes, shared: bytes | None):
+    """(row number, cells) of one sheet; every cell is text, missing ones are ''."""
+    texts = ["".join(t.text or "" for t in s.iter() if _tag(t) == "t") for s in ElementTree.fromstring(shared) if _tag(s) == "si"] if shared else []
+    for _, row in ElementTree.iterparse(io.BytesIO(xml)):
+        if _tag(row) != "row":
+            continue
+        cells = []
+        for c in row:
+            text = "".join(v.text or "" for v in c.iter() if _tag(v) in ("v", "t"))
+            cells.append((_column(c.get("r")), texts[int(text)] if c.get("t") == "s" else text))
+        yield int(row.get("r")), _placed(cells)
+        row.clear()
+
+
+def spreadsheetml_sheets(content: bytes):
+    """(sheet, its XML, None) of each sheet of a SpreadsheetML-2003 file: the sheet's bytes within the file's own root element."""
+    root = re.search(rb"<(\w+:)?Workbook\b[^>]*>", content)
+    for found in re.finditer(rb"<((?:\w+:)?)Worksheet\b.*?</\1Worksheet>", content, re.S):
+        name = re.match(rb"<[^>]*\bName\s*=\s*(\"[^\"]*\"|'[^']*')", found.group())
+        label = ElementTree.fromstring(b"<x n=" + name.group(1) + b"/>").get("n") if name else None
+        yield label, root.group() + found.group() + b"</" + (root.group(1) or b"") + b"Workbook>", None
+
+
+def spreadsheetml_sheet_rows(xml: bytes, shared: bytes | None = None):
+    """(row number, cells) of one sheet; a cell's Index leaves a gap, rows without text are skipped but counted."""
     get = lambda e, k: next((v for a, v in e.attrib.items() if a.rpartition("}")[2] == k), None)
-    sheet, at = None, 0
-    for event, e in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
-        if event == "start" and name(e) == "Worksheet":
-            sheet, at = get(e, "Name"), 0
-        elif event == "end" and name(e) == "Row":
+    at = 0
+    for _, e in ElementTree.iterparse(io.BytesIO(xml)):
+        if _tag(e) == "Row":
             at = int(get(e, "Index") or at + 1)
             cells, i = [], -1
             for c in e:
-                if name(c) == "Cell":
+                if _tag(c) == "Cell":
                     i = int(get(c, "Index")) - 1 if get(c, "Index") else i + 1
                     cells.append((i, "".join(c.itertext())))
             if any(v.strip() for _, v in cells):
-                yield sheet, at, _placed(cells)
+                yield at, _placed(cells)
             e.clear()
 
 
-def read_sheets(spark: SparkSession, path: str, kind: str = "xlsx") -> DataFrame:
-    """path, sheet, row_no and cells of every workbook under path, one file per task at a time; row numbers give the order."""
+SHEETS = {"xlsx": (xlsx_sheets, xlsx_sheet_rows), "spreadsheetml": (spreadsheetml_sheets, spreadsheetml_sheet_rows)}
+
+
+def xlsx_rows(content: bytes):
+    """(sheet, row number, cells) of a whole workbook."""
+    return ((sheet, *row) for sheet, xml, shared in xlsx_sheets(content) for row in xlsx_sheet_rows(xml, shared))
+
+
+def spreadsheetml_rows(content: bytes):
+    """(sheet, row number, cells) of a whole SpreadsheetML-2003 file."""
+    return ((sheet, *row) for sheet, xml, _ in spreadsheetml_sheets(content) for row in spreadsheetml_sheet_rows(xml))
+
+
+def read_sheets(spark: SparkSession, path: str, kind: str = "xlsx", only: tuple[int, ...] | None = None, tasks: int | None = None) -> DataFrame:
+    """path, sheet, row_no and cells of every workbook under path; row numbers give the order. only: places (from 0) of the cells that are wanted, the others are ''.
+
+    A workbook is taken apart where it is read, and its sheets, compressed, are dealt out by name, so that sheets of one workbook are parsed by different tasks. Files come through
+    Spark's own reader, so they may be in any store that it opens; a data source in Python would have to open them by itself."""
+    apart, parse = SHEETS[kind]
+
+    def sheets(batches):
+        import zlib
 
-    def rows(batches):
         import pandas as pd
 
-        parse = xlsx_rows if kind == "xlsx" else spreadsheetml_rows
         for batch in batches:
             for p, content in zip(batch.path, batch.content, strict=True):
-                yield pd.DataFrame([(p, *r) for r in parse(content)], columns=["path", "sheet", "row_no", "cells"])
+                for sheet, xml, shared in apart(bytes(content)):
+                    yield pd.DataFrame([(p, sheet, zlib.compress(xml, 1), zlib.compress(shared, 1) if shared else None)], columns=["path", "sheet", "xml", "shared"])
+
+    def rows(batches):
+        import zlib
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, ROWS)
+        import pandas as pd
+
+        for batch in batches:
+            for p, sheet, xml, shared in zip(batch.path, batch.sheet, batch.xml, batch.shared, strict=True):
+                out = [(p, sheet, n, [v if only is None or i in only else "" for i, v in enumerate(cells)]) for n, cells in parse(zlib.decompress(xml), zlib.decompress(shared) if shared is not None else None)]
+                if out:
+                    yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
+
+    found = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(sheets, "path string, sheet string, xml binary, shared binary")
+    dealt = found.repartition(tasks, "path", "sheet") if tasks else found.repartition("path", "sheet")
+    return dealt.mapInPandas(rows, ROWS)
 
 
 def with_header(rows: DataFrame, wanted: dict[str, list[str]], header_row: int = 1, fixed: dict[str, int] | None = None) -> DataFrame:
