@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchloom.operators import options
-from matchloom.plans import apply, keyed, ordered, summary
+from matchloom.plans import apply, json_values, keyed, ordered, summary
 from matchloom.queries import query, t
 from matchloom.session import working_folder
 from matchloom.sources import files
@@ -168,3 +168,20 @@ def csv_round_trip(spark, sf):
     docs.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     rows, encoding = files.read_csv_any(spark, path)
     return rows.select("doc_id", F.md5("text").alias("text_hash"), F.length("text").cast("long").alias("n_chars"), "lang", F.lit(encoding).alias("encoding"))
+
+
+# ---- nested JSON ---------------------------------------------------------------------------------------------------------
+
+
+@query("""with r as (select *, o_orderkey % 3 as m, '{"after":{"review":false,"status":"AUTO"},"before":{"price":' || cast(o_orderkey % 7 as varchar) || ',"status":"' || o_orderstatus || '"},"event":"auto_approve"}' as e from orders)
+select o_orderkey, case m when 0 then '{"events":[' || e || ']}' when 1 then '{"events":[{"event":"first","n":' || o_custkey || '},' || e || '],"rule":{"name":"new","old":null}}' else '{"events":[' || e || '],"rule":{"name":"new"}}' end as evidence,
+  m = 1 as had_first, o_orderstatus = 'F' as from_f, m <> 0 as ruled from r""")
+def evidence_events(spark, sf):
+    """An event added to the list in each order's evidence, a nested key set where its object is there, and three tests of parts."""
+    k, orders = F.col("o_orderkey"), t(spark, sf, "orders")
+    old = F.when(k % 3 == 1, F.concat(F.lit('{"rule":{"old":null},"events":[{"event":"first","n":'), F.col("o_custkey").cast("string"), F.lit("}]}"))).when(k % 3 == 2, F.lit('{"rule":{"name":"r"}}'))
+    event = F.struct(F.lit("auto_approve").alias("event"), F.struct(F.col("o_orderstatus").alias("status"), (k % 7).alias("price")).alias("before"), F.struct(F.lit("AUTO").alias("status"), F.lit(False).alias("review")).alias("after"))
+    rows = orders.select("o_orderkey", json_values.append_path(json_values.parsed(old), ["events"], json_values.json_value(event)).alias("v"))
+    rows = rows.select("o_orderkey", json_values.set_path(F.col("v"), ["rule", "name"], json_values.json_value(F.lit("new"))).alias("v"))
+    tests = {"had_first": {"events": [{"event": "first"}]}, "from_f": {"events": [{"before": {"status": "F"}, "event": "auto_approve"}]}, "ruled": {"rule": {"name": "new"}}}
+    return rows.select("o_orderkey", json_values.json_text(F.col("v")).alias("evidence"), *(json_values.contains(F.col("v"), part).alias(n) for n, part in tests.items()))

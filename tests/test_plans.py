@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators import evidence, options, relational
-from matchloom.plans import apply, keyed, ordered, summary
+from matchloom.plans import apply, json_values, keyed, ordered, summary
 
 
 def rows_of(df):
@@ -232,3 +232,20 @@ def test_lines_are_cut_once(spark):
 def test_dimension_counts_as_grouping_sets(spark):
     rows = spark.createDataFrame([("a", 1), ("a", None), (None, 1)], "x string, y int")
     assert rows_of(relational.dimension_counts(rows, ["x", "y"])) == sorted([("total", "all", 3), ("x", "a", 2), ("x", "(blank)", 1), ("y", "1", 2), ("y", "(blank)", 1)], key=repr)
+
+
+def test_nested_json(spark):
+    row = spark.range(1)
+    value = lambda text: json_values.parsed(F.lit(text).cast("string"))
+    shown = lambda c: row.select(json_values.json_text(c).alias("x")).first().x
+    put = lambda text, path, new: shown(json_values.set_path(value(text), path, json_values.json_value(F.lit(new))))
+    assert put('{"a":{"b":1},"c":[1]}', ["a", "b"], "x") == '{"a":{"b":"x"},"c":[1]}' and put('{"a":1}', ["b"], 2) == '{"a":1,"b":2}'
+    assert put('{"a":1}', ["x", "y"], 2) == '{"a":1}' and put('{"a":1}', ["a", "y"], 2) == '{"a":1}' and put("[1]", ["a"], 2) == "[1]" and put(None, ["a"], 2) is None and put('{"a b":null}', ["a b"], None) == '{"a b":null}'
+    added = lambda text, path: shown(json_values.append_path(value(text), path, json_values.json_value(F.struct(F.lit(1).alias("n"), F.lit(None).cast("string").alias("z")))))
+    assert added(None, ["e"]) == '{"e":[{"n":1,"z":null}]}' and added('{"e":[true],"k":"v"}', ["e"]) == '{"e":[true,{"n":1,"z":null}],"k":"v"}' and added('{"e":"one"}', ["e"]) == '{"e":["one",{"n":1,"z":null}]}' and added('{"d":{}}', ["d", "e"]) == '{"d":{"e":[{"n":1,"z":null}]}}'
+    assert shown(json_values.without_nulls(value('{"a":null,"b":null,"c":1}'), ["a", "c"])) == '{"b":null,"c":1}'
+    has = lambda text, part: row.select(json_values.contains(value(text), part).alias("x")).first().x
+    whole = '{"a":{"b":[1,{"c":"x","d":null},2.5,true]},"e":"1"}'
+    assert all(has(whole, p) for p in ({}, {"e": "1"}, {"a": {"b": [2.5]}}, {"a": {"b": [{"c": "x"}, 1]}}, {"a": {"b": [{"d": None}]}}, {"a": {"b": [True]}}, {"a": {"b": []}}))
+    assert not any(has(whole, p) for p in ({"e": 1}, {"a": {"b": [{"c": "y"}]}}, {"a": {"b": [False]}}, {"z": None}, {"a": []}, [], "1", {"a": {"b": ["1"]}}, {"a": {"b": {"c": "x"}}}))
+    assert has("[1,2]", 2) and has("[[1],2]", [[1]]) and not has("[[1]]", 1) and has('"s"', "s") and not has(None, {}) and has("null", None)
