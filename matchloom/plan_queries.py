@@ -185,3 +185,54 @@ def evidence_events(spark, sf):
     rows = rows.select("o_orderkey", json_values.set_path(F.col("v"), ["rule", "name"], json_values.json_value(F.lit("new"))).alias("v"))
     tests = {"had_first": {"events": [{"event": "first"}]}, "from_f": {"events": [{"before": {"status": "F"}, "event": "auto_approve"}]}, "ruled": {"rule": {"name": "new"}}}
     return rows.select("o_orderkey", json_values.json_text(F.col("v")).alias("evidence"), *(json_values.contains(F.col("v"), part).alias(n) for n, part in tests.items()))
+
+
+# ---- apply protocol ------------------------------------------------------------------------------------------------------
+
+
+@query("""with n as (select count(*) as n, count(*) filter (o_orderstatus = 'P') as p from orders) select 'first' as step, 1 as version, n as n_rows, cast(0 as bigint) as done_rows from n union all select 'dry', 1, n, 0 from n union all select 'guarded', 1, n, 0 from n
+union all select 'applied', 2, n, p from n union all select 'rolled back', 3, n, 0 from n union all select 'old version', 2, n, p from n""")
+def apply_runs(spark, sf):
+    """A change of all orders in one state: dry, stopped by a guard, applied, rolled back; and the version before that read again."""
+    orders = t(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    table = apply.VersionedTable(spark, working_folder(spark, "runs"))
+    table.write(orders)
+    told = []
+
+    def tell(step, version=None):
+        rows = table.read(version).agg(F.count("*"), F.count_if(F.col("status") == "DONE")).first()
+        told.append((step, version or table.versions()[-1], *rows))
+
+    change = lambda df: df.withColumn("status", F.when(F.col("status") == "P", "DONE").otherwise(F.col("status")))
+    allow = lambda a, b: apply.expect(b, {"rows": (F.count("*"), a.count())})
+    tell("first")
+    apply.run(table, change, allow)
+    tell("dry")
+    try:
+        apply.run(table, change, lambda a, b: apply.expect(b, {"done": (F.count_if(F.col("status") == "DONE"), 0)}), dry=False)
+    except apply.GuardError:
+        tell("guarded")
+    apply.run(table, change, allow, dry=False)
+    tell("applied")
+    table.rollback(1)
+    tell("rolled back")
+    tell("old version", 2)
+    return spark.createDataFrame(told, "step string, version int, n_rows long, done_rows long")
+
+
+@query("""select o_orderkey as queue_id, case o_orderkey when 1 then 'exclude_candidate' when 2 then 'discontinued' else o_orderstatus end as status, case o_orderkey when 3 then null when 2 then 'S9' else 'S' || o_custkey end as sku_code,
+  cast(case o_orderkey when 1 then 2 when 2 then 2 when 3 then 1 else 0 end as bigint) as n_events, case o_orderkey when 1 then 'hold' when 2 then o_orderstatus when 3 then 'S' || o_custkey end as last_before from orders""")
+def decision_log(spark, sf):
+    """Reviewers' decisions on a queue of all orders, logged beside it and then written into it with an event for each."""
+    kind = "array<struct<action:string,before:string,after:string,reviewer:string,at:string>>"
+    queue = t(spark, sf, "orders").select(F.col("o_orderkey").alias("queue_id"), F.col("o_orderstatus").alias("status"), F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sku_code"), F.array().cast(kind).alias("events"))
+    table = apply.VersionedTable(spark, working_folder(spark, "decisions"))
+    table.write(queue)
+    service = apply.DecisionService(table, {"ann"})
+    service.decide(1, "hold", "ann", "t1")
+    service.link(2, "S9", "ann", "t2")
+    service.decide(1, "exclude", " ann", "t3")
+    service.unlink(3, "ann", "t4")
+    service.discontinue(2, "ann", "t5")
+    service.compact()
+    return table.read().select("queue_id", "status", "sku_code", F.size("events").cast("long").alias("n_events"), F.try_element_at("events", F.lit(-1)).getField("before").alias("last_before"))
