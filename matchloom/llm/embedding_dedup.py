@@ -140,36 +140,91 @@ def _roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> None:
             root[:] = root[root]
 
 
+def _matrix(keys: pa.ChunkedArray) -> np.ndarray:
+    return keys.combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    one = column.combine_chunks()
+    return one.chunk(0) if isinstance(one, pa.ChunkedArray) else one
+
+
+def _told(rows: pa.Table, at: np.ndarray, links: np.ndarray, root: np.ndarray) -> pa.Table:
+    nodes = _whole(rows.column("node"))
+    return pa.table({"node": nodes.take(pa.array(at)), "links": links, "root": nodes.take(pa.array(root))})
+
+
 def _links(group: pa.Table, cosine: float, rows_at_once: int = 256) -> pa.Table:
     """One pair of blocks of a bucket: for each vector the copies that it links with, counted in the first table only, and its root in the group."""
-    table, same = group.column("t")[0].as_py(), group.column("i")[0].as_py() == group.column("j")[0].as_py()
-    place = np.arange(len(group))
-    vectors, keys, copies = np.zeros(0), np.stack(group.column("keys").to_numpy()), group.column("copies").to_numpy()
-    rows = group.column("embedding").combine_chunks()
-    rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
-    ((at, vectors),) = _unit(rows)
-    block = group.column("b").to_numpy()
-    left = place if same else np.flatnonzero(block == group.column("i")[0].as_py())
-    right = place if same else np.flatnonzero(block != group.column("i")[0].as_py())
+    table, i = group.column("t")[0].as_py(), group.column("i")[0].as_py()
+    same, place = i == group.column("j")[0].as_py(), np.arange(len(group))
+    keys, copies, block = _matrix(group.column("keys")), group.column("copies").to_numpy(), group.column("b").to_numpy()
     found, root = np.zeros(len(group), np.int64), place.copy()
-    for k in range(0, len(left), rows_at_once):
-        a = left[k : k + rows_at_once]
-        near = vectors[a] @ vectors[right].T >= cosine
-        if same:
-            near &= a[:, None] < right[None, :]
-        if not near.any():
-            continue
-        for u in range(table):  # a pair that met in an earlier table is counted there
-            near &= keys[a, u][:, None] != keys[right, u][None, :]
-        x, y = np.nonzero(near)
-        x, y = a[x], right[y]
-        np.add.at(found, x, copies[y])
-        np.add.at(found, y, copies[x])
-        _roots(x, y, root)
+    for at, vectors in _unit(_whole(group.column("embedding"))):  # one length, unless keys of two collide
+        row = np.zeros(len(group), np.int64)
+        row[at] = np.arange(len(at))
+        left, right = (at, at) if same else (at[block[at] == i], at[block[at] != i])
+        for k in range(0, len(left), rows_at_once):
+            a = left[k : k + rows_at_once]
+            near = vectors[row[a]] @ vectors[row[right]].T >= cosine
+            if same:
+                near &= a[:, None] < right[None, :]
+            if not near.any():
+                continue
+            for u in range(table):  # a pair that met in an earlier table is counted there
+                near &= keys[a, u][:, None] != keys[right, u][None, :]
+            x, y = np.nonzero(near)
+            x, y = a[x], right[y]
+            np.add.at(found, x, copies[y])
+            np.add.at(found, y, copies[x])
+            _roots(x, y, root)
     on = np.flatnonzero(found)
-    nodes = group.column("node").combine_chunks()
-    nodes = nodes.chunk(0) if isinstance(nodes, pa.ChunkedArray) else nodes
-    return pa.table({"node": nodes.take(pa.array(on)), "links": found[on], "root": nodes.take(pa.array(root[on]))})
+    return _told(group, on, found[on], root[on])
+
+
+def _pairs(rows: pa.Table, first: np.ndarray, cosine: float) -> pa.Table:
+    """As _links, for all buckets of two vectors at once, which most are: the vectors at the places `first` and behind them."""
+    keys, copies, table = _matrix(rows.column("keys")), rows.column("copies").to_numpy(), rows.column("t").to_numpy()
+    a, linked = first, np.zeros(len(first), bool)
+    for at, vectors in _unit(_whole(rows.column("embedding"))):
+        row = np.full(len(rows), -1)
+        row[at] = np.arange(len(at))
+        own = np.flatnonzero((row[a] >= 0) & (row[a + 1] >= 0))
+        linked[own] = np.einsum("ij,ij->i", vectors[row[a[own]]], vectors[row[a[own] + 1]]) >= cosine
+    a = a[linked]
+    a = a[~((keys[a] == keys[a + 1]) & (np.arange(keys.shape[1]) < table[a][:, None])).any(1)]
+    return _told(rows, np.concatenate([a, a + 1]), np.concatenate([copies[a + 1], copies[a]]), np.concatenate([a, a]))
+
+
+GROUP = ["t", "key", "i", "j"]
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket and pair of blocks, group by group; a task holds one group, of two blocks at most, and a batch."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        new = np.zeros(max(len(held) - 1, 0), bool)
+        for c in GROUP:
+            v = held.column(c).to_numpy()
+            new |= v[1:] != v[:-1]
+        starts = np.flatnonzero(new) + 1
+        if len(starts):
+            yield from _compared(held.slice(0, starts[-1]), np.concatenate([[0], starts[:-1]]), cosine)
+            held = held.slice(starts[-1])
+    if held is not None and len(held):
+        yield from _compared(held, np.array([0]), cosine)
+
+
+def _compared(rows: pa.Table, starts: np.ndarray, cosine: float) -> Iterator[pa.RecordBatch]:
+    sizes = np.diff(np.append(starts, len(rows)))
+    two = (sizes == 2) & (rows.column("i").to_numpy()[starts] == rows.column("j").to_numpy()[starts])
+    if two.any():
+        yield from _pairs(rows, starts[two], cosine).to_batches()
+    for start, size in zip(starts[~two].tolist(), sizes[~two].tolist(), strict=True):
+        if size > 1:
+            yield from _links(rows.slice(start, size), cosine).to_batches()
 
 
 def valid(vector: str = "embedding"):
@@ -201,11 +256,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     paired = places.select("node", "t", "key", "b", F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("o"))
     paired = paired.select("node", "t", "key", "b", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
     whole = paired.join(keys, "node").join(kinds, "node")
-
-    def links(group: pa.Table) -> pa.Table:
-        return _links(group, cosine)
-
-    parts = scratch.table(whole.groupBy("t", "key", "i", "j").applyInArrow(links, f"node {node_type}, links long, root {node_type}"), "links")
+    sorted_ = whole.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    parts = scratch.table(sorted_.mapInArrow(partial(_buckets, cosine=cosine), f"node {node_type}, links long, root {node_type}"), "links")
     linked = parts.groupBy("node").agg(F.sum("links").alias("links"))
     reach = components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
     facts = kinds.join(linked, "node", "left").join(reach, "node", "left")
