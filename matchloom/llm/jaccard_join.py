@@ -445,9 +445,11 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     rows = linked_documents(docs, n, percent, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
     keep = rows.where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("o")).select("o.doc_id", "o.text_hash")
-    keep = keep.select(F.col("doc_id").alias(i := fresh(docs, "keep_id")), F.col("text_hash").alias(h := fresh(docs, "keep_hash")))
-    own = docs.withColumn(mine := fresh(docs, "own_hash"), F.xxhash64(F.col(text_col).cast("string")))
-    empty = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^ \t\n\x0b\f\r]")
-    kept = own.where(~empty).join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(mine) == F.col(h)), "left_semi")
-    kept = kept.groupBy(id_col, mine).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    # one shuffle of the texts, with repeated rows combined before it: they are grouped by the very columns that the join asks for
+    by = late, number, mine = [fresh(docs, c) for c in ("own_late", "own_number", "own_hash")]
+    keep = keep.select(F.col("doc_id").isNull().alias(late), F.coalesce("doc_id", F.lit(0)).alias(number), F.col("text_hash").alias(mine))
+    text, own_id = F.col(text_col).cast("string"), F.col(id_col).cast("long")
+    empty = ~F.coalesce(text, F.lit("")).rlike(r"[^ \t\n\x0b\f\r]")
+    own = docs.where(~empty).withColumns({late: own_id.isNull(), number: F.coalesce(own_id, F.lit(0)), mine: F.xxhash64(text)})
+    kept = own.groupBy(*by).agg(F.min(F.struct(*docs.columns)).alias(row := fresh(docs, "own_row"))).join(keep, by, "left_semi").select(f"{row}.*")
     return kept.unionByName(docs.where(empty))
