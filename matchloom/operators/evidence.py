@@ -19,20 +19,25 @@ PRESENCE = {
 MATCHED, OTHER, LEFT = ("confirmed", "high", "medium"), ("blocked", "absent"), ("manual", "unknown")
 
 
+def _filled(c: str) -> Column:
+    return F.when(nonblank(F.col(c).cast("string")), F.col(c))
+
+
 def mapping_profile(rows: DataFrame, item: str, product: str, option: str, confirmed: Column) -> DataFrame:
-    """Per item: rows, confirmed and candidate rows, distinct products and options, and the least of each as representatives."""
+    """Per item: rows, confirmed and candidate rows, distinct products and options, and the least of each as representatives, of confirmed and candidate rows alike. Blanks are none."""
     return rows.groupBy(item).agg(
         F.count("*").alias("n_rows"), count_when(confirmed).alias("n_confirmed"), count_when(~confirmed).alias("n_candidate"),
-        F.count_distinct(product).alias("n_products"), F.count_distinct(option).alias("n_options"),
-        F.min(F.when(confirmed, F.col(product))).alias("product"), F.min(F.when(confirmed, F.col(option))).alias("option"),
+        F.count_distinct(_filled(product)).alias("n_products"), F.count_distinct(_filled(option)).alias("n_options"),
+        F.min(_filled(product)).alias("product"), F.min(_filled(option)).alias("option"),
     )
 
 
-def code_scope(items: DataFrame, code: str, item: str, product: str, family: str) -> DataFrame:
-    """How far each shared code fans out, and for every item the widest of its codes."""
+def code_scope(items: DataFrame, code: str, item: str, product: str, family: str, channel_code: str) -> DataFrame:
+    """How far each shared code fans out over items, products, families and the channel's codes, and for every item its codes and the widest of each. Blank codes and families are none."""
     each = items.where(nonblank(F.col(code).cast("string")))
-    scope = each.groupBy(code).agg(F.count_distinct(item).alias("n_items"), F.count_distinct(product).alias("n_products"), F.count_distinct(family).alias("n_families"))
-    return each.join(scope, code).groupBy(item).agg(F.max("n_items").alias("max_items"), F.max("n_products").alias("max_products"), F.max("n_families").alias("max_families"))
+    scope = each.groupBy(code).agg(F.count_distinct(item).alias("n_items"), F.count_distinct(product).alias("n_products"), F.count_distinct(_filled(family)).alias("n_families"), F.count_distinct(_filled(channel_code)).alias("n_channel_codes"))
+    widest = (F.max(f"n_{k}").alias(f"max_{k}") for k in ("items", "products", "families", "channel_codes"))
+    return each.select(item, code).distinct().join(scope, code).groupBy(item).agg(F.count("*").alias("n_codes"), *widest)
 
 
 def presence_status(flags: dict[str, Column], rules: str = "candidate") -> Column:

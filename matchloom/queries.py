@@ -148,16 +148,23 @@ def code_parse(spark, sf):
 # ---- evidence ------------------------------------------------------------------------------------------------------------
 
 
-@query("""select l_partkey, count(*) as n_rows, count(*) filter (l_returnflag = 'N') as n_confirmed, count(*) filter (l_returnflag <> 'N') as n_candidate, count(distinct l_suppkey) as n_products, count(distinct l_linenumber) as n_options,
-  min(l_suppkey) filter (l_returnflag = 'N') as product, min(l_linenumber) filter (l_returnflag = 'N') as option from lineitem group by 1""")
+@query("""with r as (select l_partkey, l_returnflag, case when l_suppkey % 7 = 0 then ' ' else 'P' || l_suppkey end as p, case when l_linenumber % 3 = 0 then null else l_linenumber end as o from lineitem)
+select l_partkey, count(*) as n_rows, count(*) filter (l_returnflag = 'N') as n_confirmed, count(*) filter (l_returnflag <> 'N') as n_candidate, count(distinct p) filter (trim(p) <> '') as n_products, count(distinct o) as n_options,
+  min(p) filter (trim(p) <> '') as product, min(o) as option from r group by 1""")
 def alias_profile(spark, sf):
-    return evidence.mapping_profile(t(spark, sf, "lineitem"), "l_partkey", "l_suppkey", "l_linenumber", F.col("l_returnflag") == "N")
+    product, option = F.when(F.col("l_suppkey") % 7 == 0, " ").otherwise(F.concat(F.lit("P"), F.col("l_suppkey").cast("string"))), F.when(F.col("l_linenumber") % 3 != 0, F.col("l_linenumber"))
+    return evidence.mapping_profile(t(spark, sf, "lineitem").select("l_partkey", "l_returnflag", product.alias("p"), option.alias("o")), "l_partkey", "p", "o", F.col("l_returnflag") == "N")
 
 
-@query("""with s as (select p_name, count(distinct p_partkey) as i, count(distinct p_type) as p, count(distinct p_brand) as f from part where trim(p_name) <> '' group by 1)
-select p_partkey, i as max_items, p as max_products, f as max_families from part join s using (p_name)""")
+@query("""with i as (select p_partkey, p_name, p_brand, p_type, case when p_size % 9 = 0 then ' ' else p_brand end as f, case when p_size % 6 = 0 then ' ' else 'C' || (p_size % 6) end as c from part),
+x as (select p_partkey, p_name as code, p_type, f, c from i union all select p_partkey, p_brand, p_type, f, c from i union all select p_partkey, ' ', p_type, f, c from i),
+s as (select code, count(distinct p_partkey) as i, count(distinct p_type) as p, count(distinct f) filter (trim(f) <> '') as f, count(distinct c) filter (trim(c) <> '') as c from x where trim(code) <> '' group by 1)
+select p_partkey, count(distinct code) as n_codes, max(s.i) as max_items, max(s.p) as max_products, max(s.f) as max_families, max(s.c) as max_channel_codes from x join s using (code) group by 1""")
 def own_code_scope(spark, sf):
-    return evidence.code_scope(t(spark, sf, "part"), "p_name", "p_partkey", "p_type", "p_brand")
+    size = F.col("p_size")
+    rows = t(spark, sf, "part").withColumns({"f": F.when(size % 9 == 0, " ").otherwise(F.col("p_brand")), "c": F.when(size % 6 == 0, " ").otherwise(F.concat(F.lit("C"), (size % 6).cast("string")))})
+    rows = rows.select("p_partkey", "p_type", "f", "c", F.explode(F.array("p_name", "p_brand", F.lit(" "))).alias("code"))
+    return evidence.code_scope(rows, "code", "p_partkey", "p_type", "f", "c")
 
 
 @query("""with f as (select p_partkey, count(l_orderkey) as n, count(l_orderkey) filter (l_returnflag = 'R') as r, sum(l_quantity) as q from part left join lineitem on l_partkey = p_partkey group by 1)

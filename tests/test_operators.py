@@ -50,6 +50,15 @@ def test_aligned_lines(spark):
     assert len(got) == 6
 
 
+def test_profile_and_scope_take_blanks_for_none(spark):
+    rows = spark.createDataFrame([("i", "B", "2", True), ("i", "A", None, False), ("i", " ", "1", True), ("j", "", None, False)], "item string, product string, option string, sure boolean")
+    got = {r["item"]: tuple(r)[1:] for r in evidence.mapping_profile(rows, "item", "product", "option", F.col("sure")).collect()}
+    assert got == {"i": (3, 2, 1, 2, 2, "A", "1"), "j": (1, 0, 1, 0, 0, None, None)}  # the least product is that of a candidate row
+    items = spark.createDataFrame([("i", "X", 1, "f", "C"), ("i", "Y", 1, "f", "C"), ("j", "X", None, " ", ""), ("k", " ", 2, "g", "D")], "item string, code string, product int, family string, channel string")
+    got = {r["item"]: tuple(r)[1:] for r in evidence.code_scope(items, "code", "item", "product", "family", "channel").collect()}
+    assert got == {"i": (2, 2, 1, 1, 1), "j": (1, 2, 1, 1, 1)}
+
+
 def test_unique_evidence_and_conflicts(spark):
     items = [(1, "s1", "c1", False), (2, "s2", "c2", False), (3, "s3", "c3", True), (4, "s4", "c4", False), (5, "s5", "c5", False), (6, "s6", "c6", None), (6, "s6", "c6b", None), (7, "s7", " ", False), (8, "s8", "c8", True), (9, "s9", "c9", False), (10, "s9", "c10", False)]
     mapping = [("c1", "p1", "o1"), ("c1", "p1", "o1"), ("c2", "p2", "o2"), ("c3", "p2", "o2"), ("c4", "p4", "o1"), ("c4", "p4", "o2"), ("c5", None, " "), ("c6", "p6", "o"), ("c6b", "p6", None), ("c8", "p8", "o"), ("c9", "p9", "o"), ("c10", "p10", "o"), (None, "x", "y")]
