@@ -43,6 +43,7 @@ BLOCK_SETS = 512
 BLOCK_SHINGLES = 1_000_000
 BITMAP_BITS = 24
 SALTS = 16
+SLICE = 1_000_000  # bytes of texts that are hashed at once
 
 
 def _key(one: np.ndarray) -> bytes:
@@ -56,7 +57,7 @@ def _sizes(batches, n: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
         data, offsets = utf8(batch.column(1))
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, SLICE):
             sizes, keys, held = [], [], []
             for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n):
                 sizes.append(len(one))
@@ -108,7 +109,7 @@ def _postings(batches, n: int, percent: int, sketch):
     seen: set[bytes] = set()
     for batch in batches:
         data, offsets = utf8(batch.column(0))
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, SLICE):
             tokens, keys, sizes, lengths = [], [], [], []
             for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n):
                 if not len(one) or (key := _key(one)) in seen:
@@ -246,7 +247,7 @@ def _wanted_texts(batches, n: int, bitmap):
     cells, seen = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little"), set()
     for batch in batches:
         data, offsets = utf8(batch.column(0))
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, SLICE):
             keys, rows = [], []
             for row, one in enumerate(shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n), a):
                 if len(one) and cells[_marks(key := _key(one))] and key not in seen:
@@ -329,7 +330,7 @@ def _unit_links(batches, n: int, percent: int):
 
     for batch in batches:
         data, offsets = utf8(batch.column(3))
-        made = (one for a, b in slices(offsets) for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n))
+        made = (one for a, b in slices(offsets, SLICE) for one in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n))
         for u, role, key, one in zip(*(batch.column(k).to_pylist() for k in range(3)), made, strict=True):
             if u != unit:
                 flush()

@@ -56,8 +56,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts, ends, first = word_bounds(data, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, ends, first
-    run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=run[1:])
+    run = np.zeros(len(data) + 1, np.uint64)  # all in this one array, as it takes eight bytes for each of a text's
+    sums = run[1:]
+    sums[:] = LOWER[data]
+    sums += np.uint64(1)
+    sums *= powers(BASE, len(data))
+    np.cumsum(sums, out=sums)
     return mix((run[ends] - run[starts]) * powers(INVERSE, len(data))[starts]), starts, ends, first
 
 
