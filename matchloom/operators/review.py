@@ -238,14 +238,14 @@ CONFLICT_WORDS, AUTO_WORDS, FAST_WORDS = "(?i)중복|충돌|duplicate|conflict",
 UNLINKED_BUCKETS = ("no_match", "code_blank", "stock_missing")
 
 
-def review_predicates(tier: Column, policy: Column, bucket: Column, texts: list[Column], duplicates: Column, linked: Column, unlinked: Column, discontinued: Column, required: Column) -> dict[str, Column]:
-    """Columns conflict, needs_linking, auto, fast and pending; nulls are false, empty or 0.
+def review_predicates(tier: Column, policy: Column, bucket: Column, texts: list[Column], duplicates: Column, linked: Column, unlinked: Column, discontinued: Column, required: Column, risk: Column | None = None, label: Column | None = None) -> dict[str, Column]:
+    """Columns conflict, needs_linking, auto, fast and pending; nulls are false, empty or 0. texts (reason, action) are searched for all words, risk for those of a conflict alone, label (of the policy) for those of an approval.
 
     pending: rows that were unlinked by hand or are to be discontinued never are; then conflicts, rows without link and rows that ask for a review are;
     of the rest those that can't be approved by themselves."""
     no = lambda c: F.coalesce(c, F.lit(False))
-    text = F.concat_ws(" ", *texts)
-    conflict = (F.coalesce(duplicates, F.lit(0)) > 1) | text.rlike(CONFLICT_WORDS) | no(tier.rlike(CONFLICT_WORDS))
+    doubt, text = (F.concat_ws(" ", *([] if more is None else [more]), *texts) for more in (risk, label))
+    conflict = (F.coalesce(duplicates, F.lit(0)) > 1) | doubt.rlike(CONFLICT_WORDS) | no(tier.rlike(CONFLICT_WORDS))
     needs = no(unlinked) | ~no(linked) | no(bucket.isin(*UNLINKED_BUCKETS))
     fast = no(tier == "FAST_REVIEW") | no(policy == "FAST_REVIEW_REQUIRED") | text.rlike(FAST_WORDS)
     auto = no(tier.isin("AUTO_APPROVE_CANDIDATE", "FAST_REVIEW")) | no(policy.isin("AUTO_APPROVE_CANDIDATE", "APPROVAL_CANDIDATE_CODE_EVIDENCE_WEAK", "FAST_REVIEW_REQUIRED")) | text.rlike(AUTO_WORDS)

@@ -300,14 +300,14 @@ def weak_groups(spark, sf):
 
 
 @query(f"""with {QUEUE}, r as (select *, case when o_orderkey % 8 = 0 then 'Duplicate row' when o_orderkey % 15 = 0 then 'auto-approve' end as action, o_orderkey % 3 <> 0 as linked, o_orderkey % 50 = 0 as unlinked, o_orderkey % 33 = 0 as gone, case when o_orderkey % 4 <> 3 then o_orderkey % 12 = 1 end as required from q),
-x as (select *, dup > 1 or coalesce(action ilike '%duplicate%', false) as conflict, unlinked or not linked or tier = 'NO_MATCH' or (tier = 'REVIEW' and not regexp_matches(reason, '(?i)set($|[^a-z0-9_])') and o_orderkey % 21 = 2) as needs_linking, tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') or coalesce(action = 'auto-approve', false) as auto, tier = 'FAST_REVIEW' as fast from r)
+x as (select *, dup > 1 or coalesce(action ilike '%duplicate%', false) or o_orderkey % 13 = 0 as conflict, unlinked or not linked or tier = 'NO_MATCH' or (tier = 'REVIEW' and not regexp_matches(reason, '(?i)set($|[^a-z0-9_])') and o_orderkey % 21 = 2) as needs_linking, tier in ('AUTO_APPROVE_CANDIDATE', 'FAST_REVIEW') or coalesce(action = 'auto-approve', false) as auto, tier = 'FAST_REVIEW' or o_orderkey % 17 = 0 as fast from r)
 select o_orderkey, conflict, needs_linking, auto, fast, not unlinked and not gone and (conflict or needs_linking or coalesce(required, false) or not auto) as pending from x""")
 def review_predicates(spark, sf):
     rows, k = _queue(spark, sf), F.col("o_orderkey")
     tier, reason, dup = (F.col(c) for c in ("tier", "reason", "dup"))
     action = F.when(k % 8 == 0, "Duplicate row").when(k % 15 == 0, "auto-approve")
     policy, bucket = review.policy_tier(tier, dup, reason, "name", ("code",)), review.workflow_bucket(tier, [tier, action, reason], F.when(k % 21 == 2, "STOCK_SMARTSTORE_NOT_FOUND"))
-    found = review.review_predicates(tier, policy, bucket, [reason, action], dup, k % 3 != 0, k % 50 == 0, k % 33 == 0, F.when(k % 4 != 3, k % 12 == 1))
+    found = review.review_predicates(tier, policy, bucket, [reason, action], dup, k % 3 != 0, k % 50 == 0, k % 33 == 0, F.when(k % 4 != 3, k % 12 == 1), risk=F.when(k % 13 == 0, "중복 auto-approve"), label=F.when(k % 17 == 0, "빠른검토 conflict"))
     return rows.select("o_orderkey", *(c.alias(n) for n, c in found.items()))
 
 

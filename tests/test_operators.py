@@ -441,6 +441,9 @@ def test_review_predicates_and_light_queue(spark):
     assert of() == {"needs_linking", "pending"} and of(linked=yes) == {"pending"} and of(linked=yes, tier=F.lit("FAST_REVIEW")) == {"auto", "fast"}
     assert of(linked=yes, policy=F.lit("AUTO_APPROVE_CANDIDATE"), dup=F.lit(2)) == {"auto", "conflict", "pending"} and of(linked=yes, unlinked=yes) == {"needs_linking"} and of(gone=yes) == {"needs_linking"}
     assert of(linked=yes, text=F.lit("자동승인"), required=yes) == {"auto", "pending"}
+    risky = one(spark, **review.review_predicates(*args(linked=yes), risk=F.lit("중복 auto-approve"), label=F.lit("fast-review conflict")))
+    assert risky["conflict"] and risky["fast"] and not risky["auto"]
+    assert not one(spark, **review.review_predicates(*args(linked=yes), label=F.lit("conflict")))["conflict"]
     rows = spark.createDataFrame([(1, "NO_MATCH", None, None), (2, None, None, None), (3, "AUTO", "STOCK_HOLD_REVIEW", False), (4, "MANUAL_LINKED", "x", None), (5, "AUTO", None, True), (6, "AUTO", None, False)], "k long, tier string, stock string, required boolean")
     got = {r.k: (r.queue_priority, r.search_text) for r in review.light_queue(rows, "tier", "stock", "required", ["tier", "stock"]).collect()}
     assert got == {1: (10, "NO_MATCH"), 3: (20, "AUTO STOCK_HOLD_REVIEW"), 4: (90, "MANUAL_LINKED x"), 5: (50, "AUTO")}
