@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,16 +117,20 @@ def related_rows(df: DataFrame, row: str, keys: list[str], most: int | None = 80
 def ranked_matches(rows: DataFrame, row: str, others: DataFrame, keys: dict[str, int | None], order: list[Column], values: list[str]) -> DataFrame:
     """For each row the best other row that shares any key: keys with a rank come first, lower ones before, keys without one count alike; then the order.
 
-    One equi-join for each key instead of a condition with OR. Rows without a match have nulls; null keys match nothing."""
+    The others are first cut to the best one for each value of a key, and for each set of values of several keys with a rank, as matching all of them goes before matching
+    some. A row then meets one of them for each such set by an equi-join, so no work grows with the number of others that share a key. With r such keys these are
+    2 ** r - 1 joins, and one for each other key. Rows without a match have nulls; null keys match nothing."""
+    ranked = [k for k, _ in sorted(((k, r) for k, r in keys.items() if r is not None), key=lambda x: x[1])]
+    sets = [list(s) for n in range(len(ranked), 0, -1) for s in combinations(ranked, n)] + [[k] for k, rank in keys.items() if rank is None]
     found = None
-    for k in keys:
-        ranks = [F.coalesce((F.col(f"_o_{j}") == F.col(f"_r_{j}")).cast("int"), F.lit(0)).alias(f"_hit_{j}") for j, rank in keys.items() if rank is not None]
-        a = rows.select(F.col(row), *(F.col(j).alias(f"_r_{j}") for j in keys))
-        b = others.select(*others.columns, *(F.col(j).alias(f"_o_{j}") for j in keys)).drop(*(j for j in keys))
-        each = a.join(b, F.col(f"_r_{k}") == F.col(f"_o_{k}")).select("*", *ranks)
+    for s in sets:
+        known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in s))
+        a = rows.where(known).select(F.col(row), *(F.col(k).alias(f"_r_{k}") for k in s))
+        b = top_rows(others.where(known), s, order).select(*(c for c in others.columns if c not in keys), *(F.col(k).alias(f"_o_{k}") for k in s))
+        on = reduce(lambda x, y: x & y, (F.col(f"_r_{k}") == F.col(f"_o_{k}") for k in s))
+        each = a.join(b, on).drop(*(f"_{side}_{k}" for side in "ro" for k in s)).select("*", *(F.lit(int(k in s)).alias(f"_hit_{k}") for k in ranked))
         found = each if found is None else found.unionByName(each)
-    hits = [F.col(f"_hit_{k}").desc() for k, rank in sorted(((k, r) for k, r in keys.items() if r is not None), key=lambda x: x[1])]
-    best = top_rows(found, [row], [*hits, *order]).select(row, *values)
+    best = top_rows(found, [row], [*(F.col(f"_hit_{k}").desc() for k in ranked), *order]).select(row, *values)
     return rows.select(row).join(best, row, "left")
 
 

@@ -219,6 +219,26 @@ def test_more_shapes(spark):
     assert {r.item: r.url for r in best.collect()} == {"i1": "by_item", "i2": "first", "i3": None}
 
 
+def test_matches_dont_grow_with_a_hot_key(spark):
+    """Each row meets one other for each set of keys, and the best is still the one that all pairs give."""
+    keys, order = {"a": 0, "b": 1, "c": None, "d": None}, [F.col("place").desc_nulls_last(), F.col("n")]
+    made = lambda n, seed: spark.range(n).select(F.col("id").alias("n"), *(F.when(F.pmod(F.xxhash64("id", F.lit(seed + i)), F.lit(2)) != 0, F.pmod(F.xxhash64("id", F.lit(seed + 10 + i)), F.lit(3 + i))).alias(k) for i, k in enumerate(keys)), F.nullif(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(5)), F.lit(0)).alias("place"))
+    rows, others = made(60, 1).select(F.col("n").alias("row"), *keys), made(40, 50)
+    held = [r.asDict() for r in others.collect()]
+    want = {}
+    for r in rows.collect():
+        met = [o for o in held if any(r[k] is not None and r[k] == o[k] for k in keys)]
+        best = min(met, key=lambda o: (*(r[k] is None or r[k] != o[k] for k in "ab"), o["place"] is None, -(o["place"] or 0), o["n"]), default=None)
+        want[r.row] = best and best["n"]
+    got = relational.ranked_matches(rows, "row", others, keys, order, ["n"])
+    assert {r.row: r.n for r in got.collect()} == want and None in want.values()
+    hot = relational.ranked_matches(spark.range(3000).select("id", F.lit(1).alias("a")), "id", spark.range(3000).select(F.col("id").alias("n"), F.lit(1).alias("a")), {"a": 0}, [F.col("n")], ["n"])
+    assert hot.where("n = 0").count() == 3000
+    # others are ranked before the join, which made 9,000,000 pairs
+    text = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Window") == 2 and text.index("Window") < text.index("Join Inner") < text.rindex("Window")
+
+
 def test_queue_filter(spark):
     rows = spark.createDataFrame([(1, "a", "REVIEW", "STOCK_DIFF", "hold", ["x", "y"], True, "Blue Ring"), (2, "a", "REVIEW", "STOCK_MATCH", "stock_match", ["x"], False, None), (3, "b", "NO_MATCH", None, "no_match", None, True, "red")], "k long, channel string, tier string, stock string, bucket string, tag_names array<string>, has_image boolean, name string")
     ids = lambda channels=("a", "b"), **x: [r.k for r in review.queue_filter(rows, list(channels), columns=("k", "name"), **x).orderBy("k").collect()]
