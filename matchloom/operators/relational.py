@@ -100,18 +100,24 @@ def stratified_sample(df: DataFrame, buckets: dict[str, Column], id_col: str, co
 def related_rows(df: DataFrame, row: str, keys: list[str], most: int | None = 80) -> DataFrame:
     """(row, other): other rows that share any of the keys with a row, each once, the first `most` by id; None gives all. Blank and null keys relate nothing.
 
-    One equi-join for each key. The cut is the feature: for each row a list of a readable length."""
+    One equi-join for each key. The cut is the feature: for each row a list of a readable length. It is filled from the first most + 1 ids of its keys, which are one sorted list for each
+    key's value; a row's lists are merged before they become rows, so that pairs are neither shuffled nor sorted. Without a cut all pairs are made."""
     found = None
     for k in keys:
         value = F.nullif(F.trim(F.col(k).cast("string")), F.lit(""))
-        own = df.select(F.col(row).alias("row"), value.alias("_k")).where("_k is not null")
-        others = own.withColumnRenamed("row", "other")
-        if most is not None:  # a row's list is filled from the first most + 1 of a key, so a hot key's pairs stay in proportion to its rows
-            others = top_rows(others, ["_k"], [F.col("other")], most + 1)
-        each = own.join(others, "_k").where("row != other").select("row", "other")
+        own = df.select(F.col(row).alias("row"), value.alias("_k")).where("_k is not null and row is not null")
+        if most is None:
+            each = own.join(own.withColumnRenamed("row", "other"), "_k").where("row != other").select("row", "other")
+        else:
+            place = F.dense_rank().over(Window.partitionBy("_k").orderBy("row"))
+            firsts = own.withColumn("_n", place).where(F.col("_n") <= most + 1).groupBy("_k").agg(F.sort_array(F.collect_set("row")).alias("_others"))
+            each = own.join(firsts, "_k").select("row", "_others")
         found = each if found is None else found.union(each)
-    found = found.distinct()
-    return found if most is None else top_rows(found, ["row"], [F.col("other")], most)
+    if most is None:
+        return found.distinct()
+    lists = found.groupBy("row").agg(F.flatten(F.collect_list("_others")).alias("_others"))
+    merged = F.array_sort(F.array_remove(F.array_distinct("_others"), F.col("row")))
+    return lists.select("row", F.explode(F.slice(merged, 1, most)).alias("other"))
 
 
 def ranked_matches(rows: DataFrame, row: str, others: DataFrame, keys: dict[str, int | None], order: list[Column], values: list[str]) -> DataFrame:
