@@ -221,6 +221,22 @@ def test_dictionary_of_any_size(spark):
     assert options.dictionary_terms(rows, "text", many.limit(0)).where("term is null").count() == 3000
 
 
+def test_a_large_dictionary_is_joined(spark):
+    """Beyond the size of one automaton no Python worker holds the terms, and the terms found are the same."""
+    mode, k = F.when(F.col("id") % 3 == 0, "token").otherwise("contains"), F.col("id")
+    made = F.when(k % 5 == 0, F.concat(F.lit("customer"), F.lpad(k.cast("string"), 9, "0"))).when(k % 5 == 1, F.concat(F.lit("ab "), k.cast("string"), F.lit(" é"))).when(k % 5 == 2, F.concat(F.lit("x"), (k % 90).cast("string"))).when(k % 5 == 3, F.concat(F.lit("аб"), k.cast("string"))).otherwise(F.concat(k.cast("string"), F.lit("zzzzzzzzz")))
+    terms = spark.range(2000).select((k % 4).cast("string").alias("category"), made.alias("term"), mode.alias("mode"))
+    terms = terms.union(spark.createDataFrame([("0", "ABC", "token"), ("0", " q", "token"), ("9", "customer000000005", "contains"), (None, "x7", None), ("1", "o\u0301a", "contains")], "category string, term string, mode string"))
+    texts = spark.range(1500).select(k.alias("i"), F.concat(F.when(k % 2 == 0, "Customer#").when(k % 3 == 0, "AB ").otherwise("АБ"), F.when(k % 2 == 0, F.lpad(k.cast("string"), 9, "0")).otherwise(k.cast("string")), F.when(k % 7 == 0, " É x7").when(k % 7 == 1, "zzzzzzzzz-").otherwise(F.concat(F.lit("/x"), (k % 95).cast("string")))).alias("text"))
+    long = "".join(f"wörd{i}, " for i in range(700))
+    texts = texts.union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "?!"), (-4, long + "Customer#000000010 " + long), (-5, "q  abc"), (-6, "c" * 300 + "ustomer#000000015"), (-7, long + "ab 6 é")], "i long, text string"))
+    for pinned in (None, "2"):
+        small, large = (options.dictionary_terms(texts.union(texts), "text", terms, pinned, block) for block in (16_000_000, 1000))
+        assert rows_of(small) == rows_of(large)
+        assert "MapInArrow" in small._jdf.queryExecution().toString() and "InArrow" not in large._jdf.queryExecution().toString()
+        assert large.where("i = -4 and term = 'customer000000010'").count() == 2
+
+
 def test_lines_are_cut_once(spark):
     """Each expression over a cell's lines stands once in the plan."""
     rows = spark.createDataFrame([(1, "a\nb", "h\nx\ny", "Y\nN", "c", "p", "s")], "row long, codes string, options string, statuses string, channel string, product_code string, sale_status string")
