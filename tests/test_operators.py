@@ -219,6 +219,24 @@ def test_more_shapes(spark):
     assert {r.item: r.url for r in best.collect()} == {"i1": "by_item", "i2": "first", "i3": None}
 
 
+def test_all_candidates_of_a_group_are_paired(spark):
+    from matchloom import queries
+
+    sf = "/root/testdata/sf0.001"
+    part = queries.t(spark, sf, "part")
+    want = part.groupBy("p_brand", "p_type").count().agg(F.sum(F.col("count") * (F.col("count") - 1))).first()[0]
+    got = queries.token_score_rank(spark, sf)
+    assert got.count() == want and "p_brand" in queries.SQL["token_score_rank"]
+    rows = spark.range(90).select("id", (F.col("id") % 2).alias("k"))
+    others = rows.select(F.col("id").alias("other"), "k")
+    pairs, dealt = codes.candidate_pairs(rows, others, ["k"], "id", pairs=100)
+    assert dealt == ["k", "_deal"] and pairs.select("_deal").distinct().count() > 10
+    assert sorted((r.id, r.other) for r in pairs.collect()) == [(a, b) for a in range(90) for b in range(a % 2, 90, 2)]
+    ranked = codes.rank_candidates(pairs.withColumn("score", F.lit(1)), "id", "other", dealt=dealt)
+    above = ranked._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "Window" in above and "Exchange" not in above  # no pair is moved
+
+
 def test_related_lists_dont_make_pairs(spark):
     """Lists of a key's first rows are joined and merged, so the first of a key count each id once and no pair is a row before it is given back."""
     rows = spark.range(400).select(F.pmod("id", F.lit(300)).alias("id"), F.when(F.col("id") % 3 != 0, (F.col("id") % 5).cast("string")).alias("a"), F.when(F.col("id") % 4 != 0, F.concat(F.lit(" "), (F.col("id") % 11).cast("string"))).alias("b"))
