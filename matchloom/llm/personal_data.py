@@ -124,6 +124,22 @@ def _allowed() -> np.ndarray:
 BANNED = _allowed()
 
 
+def _runs(sizes: np.ndarray | None, n: int, size: int) -> list[tuple[int, int, int]]:
+    """(size, first, end) of the windows of one size; sizes don't grow."""
+    if sizes is None:
+        return [(size, 0, n)]
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), n]
+    return [(int(sizes[a]), a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _sigmoid(z: np.ndarray) -> None:
+    """1 / (1 + exp(z)) in place; an exp beyond the floats gives 0. (numpy's tanh takes twice the time of its exp.)"""
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+    z += 1
+    np.divide(1, z, out=z)
+
+
 class Network:
     """Parameters; gates stand in the order input, forget, output, candidate."""
 
@@ -140,57 +156,92 @@ class Network:
     # -- scoring: (direction, gate, window) so that every step works on long rows
 
     def prepared(self):
-        half = np.r_[np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)].astype(np.float32)  # a sigmoid is a tanh of half the argument
-        table = np.stack([((self.p["embed"] @ self.p[f"w{d}"] + self.p[f"c{d}"]) * half).T for d in "fb"])
-        u = np.stack([(self.p[f"u{d}"] * half).T for d in "fb"])
-        return np.ascontiguousarray(table), np.ascontiguousarray(u)
-
-    def emissions(self, windows: np.ndarray, prepared) -> np.ndarray:
-        """(character, tag, window) for windows of classes (window, character)."""
-        table, u = prepared
+        """Embeddings by character class; gates by state, one and embedding, so that one product gives all; tags by state and one.
+
+        A sigmoid is 1 / (1 + exp(-x)), and a tanh is 2 * sigmoid(2 * x) - 1: signs and the factor stand in the gates."""
+        turned = -np.r_[np.ones(3 * HIDDEN), np.full(HIDDEN, 2)].astype(np.float32)
+        gates = np.stack([(np.concatenate([self.p[f"u{d}"], self.p[f"c{d}"][None], self.p[f"w{d}"]]) * turned).T for d in "fb"])
+        bias = np.stack([self.p["out_b"], np.zeros_like(self.p["out_b"])])
+        out = np.concatenate([self.p["out"].T.reshape(TAGS, 2, HIDDEN).transpose(1, 0, 2), bias[:, :, None]], axis=2)
+        return tuple(np.ascontiguousarray(x, np.float32) for x in (self.p["embed"].T, gates, out))
+
+    def emissions(self, windows: np.ndarray, prepared, sizes: np.ndarray | None = None) -> np.ndarray:
+        """(character, tag, window) for windows of classes (window, character). Windows may have their own sizes, the greatest first: what stands
+        beyond a window's size is left open then."""
+        embed, gates, out = prepared
         n, size = windows.shape
-        by_char = np.ascontiguousarray(windows.T)
+        runs = _runs(sizes, n, size)
+        backward = np.zeros_like(windows)
+        for s, a, b in runs:
+            backward[a:b, :s] = windows[a:b, :s][:, ::-1]
+        by_char = np.ascontiguousarray(windows.T), np.ascontiguousarray(backward.T)
+        emitted = np.empty((2, size, TAGS, n), np.float32)
         h, c = np.zeros((2, HIDDEN, n), np.float32), np.zeros((2, HIDDEN, n), np.float32)
-        out = np.ascontiguousarray(self.p["out"].T.reshape(TAGS, 2, HIDDEN).transpose(1, 0, 2))
-        emitted = np.zeros((size, TAGS, n), np.float32)
-        z, x = np.empty((2, 4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
-        for t in range(size):
-            np.matmul(u, h, out=z)
-            for d, at in ((0, t), (1, size - 1 - t)):
-                np.take(table[d], by_char[at], axis=1, out=x, mode="clip")
-                z[d] += x
-            np.tanh(z, out=z)
-            gates = z[:, : 3 * HIDDEN]
-            gates *= 0.5
-            gates += 0.5
-            c *= z[:, HIDDEN : 2 * HIDDEN]
-            c += z[:, :HIDDEN] * z[:, 3 * HIDDEN :]
-            np.tanh(c, out=h)
-            h *= z[:, 2 * HIDDEN : 3 * HIDDEN]
-            emitted[t] += out[0] @ h[0]
-            emitted[size - 1 - t] += out[1] @ h[1]
-        return emitted + self.p["out_b"][:, None]
-
-    def decode(self, emitted: np.ndarray) -> np.ndarray:
-        """Best tags (window, character) under the transitions, by Viterbi; the way back is worked out again from the kept scores."""
+        done = 0
+        for s, _, k in reversed(runs):
+            # the windows that end here leave, so the others stand in rows without gaps
+            given = np.ones((2, gates.shape[2], k), np.float32)
+            given[:, :HIDDEN], c = h[:, :, :k], np.ascontiguousarray(c[:, :, :k])
+            h, state = given[:, :HIDDEN], given[:, : HIDDEN + 1]
+            z, x = np.empty((2, 4 * HIDDEN, k), np.float32), np.empty_like(c)
+            for t in range(done, s):
+                for d in range(2):
+                    np.take(embed, by_char[d][t, :k], axis=1, out=given[d, HIDDEN + 1 :], mode="clip")
+                np.matmul(gates, given, out=z)
+                _sigmoid(z)
+                g = z[:, 3 * HIDDEN :]
+                g *= 2
+                g -= 1
+                g *= z[:, :HIDDEN]
+                c *= z[:, HIDDEN : 2 * HIDDEN]
+                c += g
+                np.multiply(c, -2, out=x)
+                _sigmoid(x)
+                x *= 2
+                x -= 1
+                np.multiply(x, z[:, 2 * HIDDEN : 3 * HIDDEN], out=h)
+                np.matmul(out, state, out=emitted[:, t, :, :k])
+            done = s
+        for s, a, b in runs:
+            emitted[0, :s, :, a:b] += emitted[1, s - 1 :: -1, :, a:b]
+        return emitted[0]
+
+    def decode(self, emitted: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """Best tags (window, character) under the transitions, by Viterbi; 0 beyond a window's size. The way back is worked out again from the kept scores,
+        but where no path has a higher score than that without any span."""
         trans = self.p["trans"] + BANNED
         size, _, n = emitted.shape
         outside, begin, inside = [0, *range(1, TAGS, 2)], slice(1, None, 2), slice(2, None, 2)
         enter = np.ascontiguousarray(trans[:, outside][:, :, None])
         kinds = np.arange(len(KINDS))
         go_in, stay = trans[2 * kinds + 1, 2 * kinds + 2][:, None], trans[2 * kinds + 2, 2 * kinds + 2][:, None]
+        runs = _runs(sizes, n, size)
         scores = np.empty((size, TAGS, n), np.float32)
         scores[0] = emitted[0]
-        for t in range(1, size):
-            before, now = scores[t - 1], scores[t]
-            now[outside] = (before[:, None, :] + enter).max(axis=0)
-            now[inside] = np.maximum(before[begin] + go_in, before[inside] + stay)
-            now += emitted[t]
-        tags = np.zeros((size, n), np.int8)
-        tags[-1] = scores[-1].argmax(axis=0)
-        for t in range(size - 1, 0, -1):
-            tags[t - 1] = (scores[t - 1] + trans[:, tags[t]]).argmax(axis=0)
-        return tags.T
+        none, last, tags = emitted[0, 0].copy(), np.empty((TAGS, n), np.float32), np.zeros((n, size), np.int8)
+        done = 1
+        for s, a, k in reversed(runs):
+            for t in range(done, s):
+                before, now = scores[t - 1, :, :k], scores[t, :, :k]
+                now[outside] = (before[:, None, :] + enter).max(axis=0)
+                now[inside] = np.maximum(before[begin] + go_in, before[inside] + stay)
+                now += emitted[t, :, :k]
+                none[:k] += trans[0, 0]
+                none[:k] += emitted[t, 0, :k]
+            last[:, a:k], done = scores[s - 1, :, a:k], max(done, s)
+        these = np.flatnonzero(last.max(axis=0) > none)
+        if not len(these):
+            return tags
+        kept, ends = np.ascontiguousarray(scores[:, :, these]), last[:, these].argmax(axis=0)
+        own = np.full(len(these), size) if sizes is None else np.asarray(sizes)[these]
+        back = np.zeros((size, len(these)), np.int8)
+        for t in range(int(own[0]) - 1, -1, -1):
+            k, to = int(np.count_nonzero(own > t + 1)), int(np.count_nonzero(own > t))
+            if k:
+                back[t, :k] = (kept[t, :, :k] + trans[:, back[t + 1, :k]]).argmax(axis=0)
+            back[t, k:to] = ends[k:to]
+        tags[these] = back.T
+        return tags
 
     # -- training
 
@@ -419,34 +470,36 @@ def _found(network: Network, prepared, texts: list[str]) -> list[list[tuple[int,
     counts = [max(1, -(-(len(t) - OVERLAP) // step)) if t else 0 for t in texts]
     if not sum(counts):
         return out
-    coded = np.concatenate([classes(t) for t in texts])
-    base = np.cumsum([0, *map(len, texts)])
+    # each text's classes and a window of zeros, so that no window reaches into the next text
+    coded = np.concatenate([x for t in texts for x in (classes(t), np.zeros(WINDOW, np.uint8))])
+    lengths = np.array(list(map(len, texts)))
+    base = np.cumsum(lengths + WINDOW) - lengths - WINDOW
     owner = np.repeat(np.arange(len(texts)), counts)
     first = np.cumsum(counts) - counts
     start = (np.arange(len(owner)) - first[owner]) * step
-    own_length = np.minimum(np.diff(base)[owner] - start, WINDOW)
-    width = np.array(WIDTHS)[np.searchsorted(WIDTHS, own_length)]  # ends of texts don't fill a window, so they are run in shorter ones
-    for size in WIDTHS:
-        these = np.flatnonzero(width == size)
-        for a in range(0, len(these), max(1, SLICE_CHARS // size)):
-            at_once = these[a : a + max(1, SLICE_CHARS // size)]
-            own, at = owner[at_once], start[at_once]
-            index = at[:, None] + np.arange(size)
-            inside = index < np.diff(base)[own][:, None]
-            windows = np.where(inside, coded[np.minimum(base[own][:, None] + index, len(coded) - 1)], 0)
-            emitted = network.emissions(windows, prepared)
-            tags = np.ascontiguousarray(network.decode(emitted))
-            for w in np.flatnonzero(tags.any(axis=1)).tolist():
-                line = tags[w]
-                doc, offset = int(own[w]), int(at[w])
-                kind = np.where(line > 0, (line.astype(np.int64) + 1) // 2, 0)
-                cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (line[1:] % 2 == 1) & (line[1:] > 0)])
-                for c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), size], strict=True):
-                    if kind[c]:
-                        e = min(d + offset, len(texts[doc]))
-                        margin = emitted[np.arange(c, d), line[c:d], w] - emitted[c:d, 0, w]
-                        if e > c + offset:
-                            out[doc].append((int(kind[c]) - 1, c + offset, e, float(margin.sum())))
+    width = np.array(WIDTHS)[np.searchsorted(WIDTHS, np.minimum(lengths[owner] - start, WINDOW))]  # ends of texts don't fill a window, so they are run in shorter ones
+    order = np.argsort(-width, kind="stable")
+    parts = -(-int(width.sum()) // SLICE_CHARS)
+    for part in range(parts):
+        these = order[part::parts]
+        if not len(these):
+            continue
+        sizes, own, at = width[these], owner[these], start[these]
+        windows = np.lib.stride_tricks.sliding_window_view(coded, int(sizes[0]))[base[own] + at]
+        emitted = network.emissions(windows, prepared, sizes)
+        tags = network.decode(emitted, sizes)
+        for w in np.flatnonzero(tags.any(axis=1)).tolist():
+            size = int(sizes[w])
+            line = tags[w, :size]
+            doc, offset = int(own[w]), int(at[w])
+            kind = np.where(line > 0, (line.astype(np.int64) + 1) // 2, 0)
+            cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (line[1:] % 2 == 1) & (line[1:] > 0)])
+            for c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), size], strict=True):
+                if kind[c]:
+                    e = min(d + offset, len(texts[doc]))
+                    margin = emitted[np.arange(c, d), line[c:d], w] - emitted[c:d, 0, w]
+                    if e > c + offset:
+                        out[doc].append((int(kind[c]) - 1, c + offset, e, float(margin.sum())))
     return out
 
 

@@ -234,6 +234,45 @@ def test_crf_gradient_and_viterbi():
         assert math.isclose(score(tuple(tags[w])), score(best), rel_tol=1e-5)
 
 
+def test_windows_of_all_sizes_run_together(monkeypatch):
+    """One run of the network for texts of all lengths gives what each of them gives by itself, and what the states of training give."""
+    rng, net, calls = np.random.default_rng(4), personal_data.Network(3), []
+    net.p["out"] *= 3
+    net.p["out_b"][0] = 0
+    texts = ["".join(rng.choice(list("ab .@019-+")) for _ in range(n)) for n in (1, 700, 64, 65, 130, 250, 300, 0, 330, 400, 512, 513)]
+    once = personal_data.Network.emissions
+    monkeypatch.setattr(personal_data.Network, "emissions", lambda self, windows, *more: calls.append(len(windows)) or once(self, windows, *more))
+    found = personal_data._found(net, net.prepared(), texts)
+    assert calls == [13] and sum(map(len, found)) > 20
+    for text, spans in zip(texts, found, strict=True):
+        (alone,) = personal_data._found(net, net.prepared(), [text])
+        assert [s[:3] for s in alone] == [s[:3] for s in spans]
+        assert np.allclose([s[3] for s in alone], [s[3] for s in spans], atol=1e-3)
+    windows = rng.integers(0, personal_data.CLASSES, (5, 40)).astype(np.uint8)
+    x = windows.T
+    plain = np.concatenate([net._run(x, "f")[0], net._run(x[::-1], "b")[0][::-1]], axis=2) @ net.p["out"] + net.p["out_b"]
+    assert np.allclose(net.emissions(windows, net.prepared()), plain.transpose(0, 2, 1), atol=1e-4)
+    net.p["embed"] *= 1e4  # an exp beyond the floats
+    with np.errstate(all="raise", under="ignore"):
+        assert np.isfinite(net.emissions(windows, net.prepared())).all()
+
+
+def test_best_paths_without_a_span():
+    """Where no path beats that without spans, it is taken without the way back; the others are as by brute force, in windows of several sizes."""
+    rng, net = np.random.default_rng(6), personal_data.Network(2)
+    net.p["trans"] = -np.abs(rng.standard_normal((personal_data.TAGS, personal_data.TAGS))).astype(np.float32)
+    net.p["trans"][0, 0] = 0
+    trans, sizes = net.p["trans"] + personal_data.BANNED, np.array([4, 4, 4, 3, 3, 1, 1])
+    emitted = rng.standard_normal((4, personal_data.TAGS, 7)).astype(np.float32)
+    emitted[:, 0, ::2] += 4
+    tags = net.decode(emitted, sizes)
+    for w, size in enumerate(sizes):
+        score = lambda p: sum(emitted[t, p[t], w] for t in range(len(p))) + sum(trans[a, b] for a, b in itertools.pairwise(p))  # noqa: B023, E731
+        assert tuple(tags[w, :size]) == max(itertools.product(range(personal_data.TAGS), repeat=int(size)), key=score)
+        assert not tags[w, size:].any()
+    assert not tags[::2].any() and tags[1::2].any(axis=1).all()
+
+
 def test_personal_data(spark):
     docs = load(spark, "/root/testdata/sf0.01", "documents")
     texts = [r.text for r in docs.where("doc_id % 3 = 0").collect()]
