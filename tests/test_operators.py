@@ -1,6 +1,7 @@
 """Reconciliation operators on hand-made rows: traps of blanks, nulls, order of rules, ties."""
 
 import io
+import random
 import zipfile
 
 import pytest
@@ -237,6 +238,40 @@ def test_all_candidates_of_a_group_are_paired(spark):
     assert "Window" in above and "Exchange" not in above  # no pair is moved
 
 
+def test_rows_that_are_alike_share_a_ranking(spark, tmp_path, monkeypatch):
+    """Copies of a table with other keys make far fewer scored pairs than rows are given back, and no ranking moves a pair."""
+    from matchloom import queries
+
+    part = queries.t(spark, "/root/testdata/sf0.001", "part")
+    part.crossJoin(spark.range(24)).withColumn("p_partkey", F.col("p_partkey") + 60_000 * F.col("id")).drop("id").write.parquet(f"{tmp_path}/part.parquet")
+    made, real = [], codes.candidate_pairs
+    monkeypatch.setattr(codes, "candidate_pairs", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    got = queries.token_score_rank(spark, str(tmp_path))
+    above = got._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0].split("BroadcastHashJoin")[0].split("ShuffledHashJoin")[0]
+    assert "Window" in above and "Exchange" not in above
+    sizes = part.groupBy("p_brand", "p_type").agg((F.count("*") * 24).alias("n"))
+    assert got.count() == sizes.agg(F.sum(F.col("n") * (F.col("n") - 1))).first()[0] > 100 * sum(pairs.count() for pairs, _ in made)
+    assert got.groupBy("row_id").agg(F.max("candidate_rank").alias("n"), F.count("*").alias("m"), F.count_distinct("candidate").alias("d")).where("n != m or d != m").count() == 0
+
+
+@pytest.mark.parametrize("ids", ["once", "repeated"])
+def test_shared_rankings_are_each_rows_own(spark, ids):
+    """Against pairs of single rows: null ids, keys and values, groups of one row, kinds in several rows, rankings in several pieces, and ids that stand in one group or two."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["x", "xy", "z", None]), rng.choice([1, 2, None])) for i in rng.sample(range(-500, 500), 90)]
+    rows += [(1000, "alone", "x", 1), (None, "a", "x", 1), (None, "a", "x", 1), *((2000 + i, "c", "x", 1) for i in range(25)), (3000, "two", "x", 1), (3001, "two", "z", 1)]
+    if ids == "repeated":
+        rows += [rows[0], rows[0], (rows[1][0], "b", "z", 2), (2003, "c", "xy", None), (3000, "one", "x", 1), (3002, "one", "q", 1)]
+    table = spark.createDataFrame(rows, "id long, k string, t string, n int")
+    score = F.when(F.col("t").eqNullSafe(F.col("c_t")), 3).otherwise(0) + F.when(F.contains("c_t", "t"), 2).otherwise(0) + F.when(F.col("n") == F.col("c_n"), 1).otherwise(0)
+    other = table.toDF("other", "k", "c_t", "c_n")
+    want = codes.rank_candidates(table.join(other, "k").where("id != other").select("id", "other", score.alias("score")), "id", "other")
+    got = codes.ranked_within(table, ["k"], "id", "other", score, band=4)
+    assert got.columns == want.columns and [t for _, t in got.dtypes] == [t for _, t in want.dtypes]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert codes.ranked_within(table.limit(0), ["k"], "id", "other", score).count() == 0
+
+
 def test_related_lists_dont_make_pairs(spark):
     """Lists of a key's first rows are joined and merged, so the first of a key count each id once and no pair is a row before it is given back."""
     rows = spark.range(400).select(F.pmod("id", F.lit(300)).alias("id"), F.when(F.col("id") % 3 != 0, (F.col("id") % 5).cast("string")).alias("a"), F.when(F.col("id") % 4 != 0, F.concat(F.lit(" "), (F.col("id") % 11).cast("string"))).alias("b"))
